@@ -4,13 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, url_filter
+from tidemark.llm import mixing, packing, token_files, url_filter
+from tidemark.llm.common import new_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_path(spark, "tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), folder, tokenizer_file("word_bpe_49k.json"), end_id=1)
+    return token_files.read_tokens(spark, folder)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=0, capacity=2048)
+
+
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 
 
@@ -65,6 +82,8 @@ SELECT doc_id, size, source_size, target, ((epochs + CASE WHEN rest > 0 AND midd
 """
 
 QUERIES = {
+    "op2_token_files": op2_token_files,
+    "op9_packing": op9_packing,
     "op8_url_filter": op8_url_filter,
     "op10_mixing": op10_mixing,
 }
