@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, packing, token_files, url_filter
+from tidemark.llm import mixing, packing, token_files, url_filter, vector_search
 from tidemark.llm.common import new_path
 
 
@@ -28,6 +29,24 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=0, capacity=2048)
 
 
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+OP7_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, coalesce(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scores
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 
 
@@ -82,9 +101,10 @@ SELECT doc_id, size, source_size, target, ((epochs + CASE WHEN rest > 0 AND midd
 """
 
 QUERIES = {
+    "op7_top_k": op7_top_k,
     "op2_token_files": op2_token_files,
     "op9_packing": op9_packing,
     "op8_url_filter": op8_url_filter,
     "op10_mixing": op10_mixing,
 }
-ORACLES = {"op8_url_filter": OP8_SQL, "op10_mixing": OP10_SQL}
+ORACLES = {"op7_top_k": OP7_SQL, "op8_url_filter": OP8_SQL, "op10_mixing": OP10_SQL}
