@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, packing, token_files, url_filter, vector_search
+from tidemark.llm import mixing, near_vectors, packing, token_files, url_filter, vector_search
 from tidemark.llm.common import new_path
 
 
@@ -29,6 +29,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=0, capacity=2048)
 
 
+def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -101,6 +105,7 @@ SELECT doc_id, size, source_size, target, ((epochs + CASE WHEN rest > 0 AND midd
 """
 
 QUERIES = {
+    "op5_near_vectors": op5_near_vectors,
     "op7_top_k": op7_top_k,
     "op2_token_files": op2_token_files,
     "op9_packing": op9_packing,
