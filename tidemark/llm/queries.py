@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, near_vectors, packing, token_files, url_filter, vector_search
+from tidemark.llm import mixing, near_vectors, packing, quality, token_files, toxicity, url_filter, vector_search
 from tidemark.llm.common import new_path
 
 
@@ -29,6 +29,14 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=0, capacity=2048)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
@@ -105,6 +113,8 @@ SELECT doc_id, size, source_size, target, ((epochs + CASE WHEN rest > 0 AND midd
 """
 
 QUERIES = {
+    "op3_toxicity": op3_toxicity,
+    "op4_quality": op4_quality,
     "op5_near_vectors": op5_near_vectors,
     "op7_top_k": op7_top_k,
     "op2_token_files": op2_token_files,
