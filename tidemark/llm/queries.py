@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, near_vectors, packing, quality, token_files, toxicity, url_filter, vector_search
+from tidemark.llm import mixing, near_text, near_vectors, packing, quality, token_files, toxicity, url_filter, vector_search
 from tidemark.llm.common import new_path
 
 
@@ -41,6 +41,10 @@ def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
+def op6_near_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_text.near_text(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -113,6 +117,7 @@ SELECT doc_id, size, source_size, target, ((epochs + CASE WHEN rest > 0 AND midd
 """
 
 QUERIES = {
+    "op6_near_text": op6_near_text,
     "op3_toxicity": op3_toxicity,
     "op4_quality": op4_quality,
     "op5_near_vectors": op5_near_vectors,
