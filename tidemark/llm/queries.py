@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, near_text, near_vectors, packing, quality, token_files, toxicity, url_filter, vector_search
+from tidemark.llm import mixing, near_text, near_vectors, packing, quality, repeats, token_files, toxicity, url_filter, vector_search
 from tidemark.llm.common import new_path
 
 
@@ -19,6 +19,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats(table(spark, sf_dir, "documents"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_path(spark, "tokens")
     token_files.write_tokens(table(spark, sf_dir, "documents"), folder, tokenizer_file("word_bpe_49k.json"), end_id=1)
@@ -117,6 +121,7 @@ SELECT doc_id, size, source_size, target, ((epochs + CASE WHEN rest > 0 AND midd
 """
 
 QUERIES = {
+    "op1_repeats": op1_repeats,
     "op6_near_text": op6_near_text,
     "op3_toxicity": op3_toxicity,
     "op4_quality": op4_quality,
