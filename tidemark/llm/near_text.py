@@ -24,11 +24,12 @@ from tidemark.llm.common import settle, small
 from tidemark.llm.components import components
 from tidemark.llm.textbytes import Hasher, chunks, lowered, mix64, runs
 
-#: Coordinates of a sketch; bands and coordinates in a band. A pair at 0.85 misses all bands once in two million.
-COORDINATES, BANDS, ROWS = 128, 25, 5
-#: Candidates whose one-bit sketches differ in more than this many of 128 bits are not read: at 0.85 or more (a bit differs with a chance
-#: of 0.075) that happens once in 10**10, so it loses no more than banding does.
-MAX_BITS = 32
+#: Coordinates of a sketch. Bands of five coordinates from a similarity of 0.85 on, else of four: a pair just similar enough misses all of
+#: them once in two million times at 0.85, once in twenty million at 0.8.
+COORDINATES = 128
+#: Candidates whose one-bit sketches differ in more bits than this, of 128, are not read. A bit of a pair at 0.8 differs with a chance of
+#: 0.1, so the limit loses one such pair in ten million, no more than banding does.
+MAX_BITS = 33
 #: The most ids (8 bytes each) that are broadcast.
 MAX_IDS = 500_000
 _SEEDS = mix64(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
@@ -82,7 +83,11 @@ def sketches(doc: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
     return s.reshape(n, COORDINATES)
 
 
-def _features(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _band_rows(percent: int) -> int:
+    return 5 if percent >= 85 else 4
+
+
+def _features(width: int, rows: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each document the size and two hashes of its shingle set, two words of one-bit sketch and a key for each band."""
     for batch in batches:
         for first, data, bounds in chunks((t.as_py() for t in batch.column("text")), b"", b"\n"):
@@ -94,13 +99,14 @@ def _features(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
             np.add.at(sums[1], doc, mix64(h * _FACTOR))
             s = sketches(doc, h, n)
             bits = np.packbits((s & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
-            keys = np.repeat(np.arange(BANDS, dtype=np.uint64)[None, :], n, 0)
-            for k in range(ROWS):
-                keys = mix64(keys * _FACTOR + s[:, k : BANDS * ROWS : ROWS])
+            bands = COORDINATES // rows
+            keys = np.repeat(np.arange(bands, dtype=np.uint64)[None, :], n, 0)
+            for k in range(rows):
+                keys = mix64(keys * _FACTOR + s[:, k : bands * rows : rows])
             columns = {
                 "doc_id": batch.column("doc_id").slice(first, n), "tx": batch.column("tx").slice(first, n), "n": size, "f0": sums[0].view(np.int64), "f1": sums[1].view(np.int64),
                 "b0": np.ascontiguousarray(bits[:, 0]), "b1": np.ascontiguousarray(bits[:, 1]),
-                "bands": pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * BANDS, BANDS, dtype=np.int32)), pa.array(keys.view(np.int64).ravel())),
+                "bands": pa.ListArray.from_arrays(pa.array(np.arange(0, n * bands + 1, bands, dtype=np.int32)), pa.array(keys.view(np.int64).ravel())),
             }
             yield pa.RecordBatch.from_pydict({k: v if isinstance(v, pa.Array) else pa.array(v) for k, v in columns.items()})
 
@@ -170,7 +176,7 @@ def near_text(docs: DataFrame, percent: int = 80, width: int = 5, doc_id: str =
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id long, tx long, n long, f0 long, f1 long, b0 long, b1 long, bands array<long>"
-    known = settle(rows.withColumn("tx", F.xxhash64("text")).mapInArrow(partial(_features, width), schema))
+    known = settle(rows.withColumn("tx", F.xxhash64("text")).mapInArrow(partial(_features, width, _band_rows(percent)), schema))
     first = F.min(F.struct("doc_id", "tx", "b0", "b1", "bands")).alias("r")
     classes = known.where("n > 0 and doc_id is not null").groupBy("n", "f0", "f1").agg(first)
     classes = settle(classes.select("n", "f0", "f1", F.xxhash64("f0", "f1", "n").alias("cid"), F.col("r.doc_id").alias("rep"), "r.tx", "r.b0", "r.b1", "r.bands"))

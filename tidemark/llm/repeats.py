@@ -387,5 +387,5 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     Bytes of a character that was cut in part are replaced. A null text becomes empty.
     """
     out, others = _removed(docs, doc_id, text, True), [c for c in docs.columns if c != text]
-    names = {c: F.col(f"c{i}") for i, c in enumerate(others)} | {text: F.decode("kept", F.lit("UTF-8"))}
+    names = {c: F.col(f"c{i}") for i, c in enumerate(others)} | {text: F.make_valid_utf8(F.col("kept").cast("string"))}
     return out.select(*[names[c].alias(c) for c in docs.columns])
