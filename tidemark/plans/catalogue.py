@@ -1,4 +1,550 @@
-"""Registered queries of the loading library and the SQL that checks them."""
+"""Registered queries of the loading library, each over whole tables, and the SQL that checks them.
+
+The driver's tables stand in for event logs (``events``: the type is the log's type, the day its date), for object tables with dates
+(``orders``, ``lineitem``, ``customer``) and for column listings. Marks, bounds, entries and listings are derived from the tables too.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.functions.text import as_text, csv_quote, interpolate
+from tidemark.functions.times import Bounds, instant, is_iso
+from tidemark.operators import checks, schema, sinks
+from tidemark.plans import report, run
+from tidemark.sources import logs, tables
+from tidemark.streaming import tail as streaming
+
+MARK = "2024-01-20T12:00:00Z"
+START, END = "2024-01-10T00:00:00Z", "2024-01-15T06:30:00+02:00"
+COLUMNS = ["event_id", "ts", "user_id", "event_type", "value"]
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def scratch(spark: SparkSession, kind: str) -> str:
+    import tempfile
+    import uuid
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-")
+    return f"{base.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
 
 QUERIES: dict = {}
-ORACLES: dict = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+# Scans
+
+
+@query("SELECT event_id, ts, user_id, event_type, value FROM events WHERE ts > TIMESTAMP '2024-01-20 12:00:00'")
+def incremental_tail(spark, sf_dir):
+    return tables.scan_table(table(spark, sf_dir, "events"), COLUMNS, "ts", mark=MARK).drop(tables.MARK)
+
+
+@query("""SELECT event_id, ts, user_id, event_type, value FROM events
+WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts <= TIMESTAMP '2024-01-15 04:30:00' AND (event_type = 'click' OR event_type = 'view')""")
+def bounded_window(spark, sf_dir):
+    where = "event_type = 'click' OR event_type = 'view'"
+    return tables.scan_table(table(spark, sf_dir, "events"), COLUMNS, "ts", where, bounds=Bounds(START, END)).drop(tables.MARK)
+
+
+@query("SELECT event_id, ts, user_id, event_type, value FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00'")
+def start_overrides_watermark(spark, sf_dir):
+    return tables.scan_table(table(spark, sf_dir, "events"), COLUMNS, "ts", bounds=Bounds(start=START), mark=MARK).drop(tables.MARK)
+
+
+@query("SELECT event_id, ts, user_id, event_type, value FROM events WHERE ts > TIMESTAMP '2024-01-20 12:00:00' ORDER BY ts LIMIT 500")
+def oldest_n(spark, sf_dir):
+    return tables.scan_table(table(spark, sf_dir, "events"), COLUMNS, "ts", limit=500, mark=MARK).drop(tables.MARK)
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity
+FROM (SELECT *, rank() OVER (ORDER BY l_shipdate) AS r FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-06-01') WHERE r <= 1000""")
+def oldest_n_with_ties(spark, sf_dir):
+    fields = ["l_orderkey", "l_linenumber", "l_shipdate", "l_quantity"]
+    bounds = Bounds(start="1998-06-01T00:00:00Z")
+    return tables.scan_table(table(spark, sf_dir, "lineitem"), fields, "l_shipdate", limit=1000, bounds=bounds, with_ties=True).drop(tables.MARK)
+
+
+@query("SELECT event_type, max(ts) AS mark, count(*) AS n_rows, sum(octet_length(props::BLOB))::BIGINT AS n_bytes FROM events GROUP BY event_type")
+def high_water_marks(spark, sf_dir):
+    rows = table(spark, sf_dir, "events")
+    return rows.groupBy("event_type").agg(F.max("ts").alias("mark"), F.count(F.lit(1)).alias("n_rows"), F.sum(F.octet_length("props").cast("long")).alias("n_bytes"))
+
+
+@query("""SELECT event_id, user_id, value FROM events
+WHERE event_type = 'purchase' AND date_trunc('day', ts) > TIMESTAMP '2024-01-05' AND date_trunc('day', ts) <= TIMESTAMP '2024-01-25'""")
+def event_log_scan(spark, sf_dir):
+    daily = table(spark, sf_dir, "events").withColumns({"interval": F.lit("Daily"), "log_date": F.date_trunc("day", "ts").cast("timestamp_ntz")})
+    found = logs.scan_log_table(daily, "purchase", "Daily", ["event_id", "user_id", "value"], Bounds(end="2024-01-25T00:00:00Z"), "2024-01-05T00:00:00Z")
+    return found.drop(tables.MARK)
+
+
+RELATIONS = {
+    ("Order", "Customer"): tables.Relation("o_custkey", "Customer", "c_custkey"),
+    ("Customer", "Nation"): tables.Relation("c_nationkey", "Nation", "n_nationkey"),
+    ("Nation", "Region"): tables.Relation("n_regionkey", "Region", "r_regionkey"),
+}
+
+
+@query("""SELECT o_orderkey, c_name AS "Customer_c_name", n_name AS "Customer_Nation_n_name", r_name AS "Customer_Nation_Region_r_name"
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""")
+def relationship_path(spark, sf_dir):
+    objects = {o: table(spark, sf_dir, o.lower()) for o in ("Customer", "Nation", "Region")}
+    paths = ["Customer.c_name", "Customer.Nation.n_name", "Customer.Nation.Region.r_name"]
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return tables.with_paths(orders, objects, RELATIONS, "Order", paths).drop("o_custkey")
+
+
+@query("""SELECT * EXCLUDE (n) FROM (SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice,
+row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders WHERE o_orderstatus IN ('F', 'O')) WHERE n = 1""")
+def latest_per_key(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice", "o_orderstatus")
+    found = tables.latest_per_key(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], F.col("o_orderstatus").isin("F", "O"))
+    return found.drop("o_orderstatus")
+
+
+@query("""SELECT event_id, event_type, ts FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts) AS n FROM events) WHERE n <= 100""")
+def oldest_per_type(spark, sf_dir):
+    return tables.oldest_per_key(table(spark, sf_dir, "events").select("event_id", "event_type", "ts"), ["event_type"], "ts", 100)
+
+
+# Shaping rows
+
+
+@query("SELECT c_mktsegment AS \"C_MktSegment\", 'Acme' AS \"OrgName\", c_custkey AS \"C_CustKey\", c_name AS \"C_Name\", '00D' AS \"OrgId\" FROM customer")
+def layout_projection(spark, sf_dir):
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return schema.project(schema.augment(rows, {"OrgId": "00D", "OrgName": "Acme"}), ["C_MktSegment", "OrgName", "C_CustKey", "C_Name", "OrgId"])
+
+
+@query("SELECT s_suppkey, 'from ' || n_name || ' (' || n_nationkey || ') {{ kept }}' AS label FROM supplier JOIN nation ON s_nationkey = n_nationkey")
+def augment_lookup(spark, sf_dir):
+    orgs = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+    rows = table(spark, sf_dir, "supplier").join(orgs, F.col("s_nationkey") == F.col("id"), "left")
+    template = F.lit("from {{sourceOrg.Name}} ({{sourceOrg.Id}}) {{ kept }}")
+    return rows.select("s_suppkey", interpolate(template, {"sourceOrg.Name": F.col("name"), "sourceOrg.Id": F.col("id").cast("string")}).alias("label"))
+
+
+@query("""SELECT doc_id, '"' || CASE WHEN regexp_matches(text, '^[=+\\-@|\\t\\r]') THEN chr(9) ELSE '' END || replace(coalesce(text, ''), '"', '""') || '"' AS cell
+FROM documents""".replace("\\\\", "\\"))
+def csv_quoted(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", csv_quote(as_text(F.col("text"), docs.schema["text"].dataType)).alias("cell"))
+
+
+@query("""SELECT c_custkey, '"' || CASE WHEN c_acctbal < 0 THEN chr(9) ELSE '' END || regexp_replace(c_acctbal::VARCHAR, '\\.0$', '') || '"' AS cell
+FROM customer""")
+def csv_quoted_numbers(spark, sf_dir):
+    rows = table(spark, sf_dir, "customer")
+    return rows.select("c_custkey", csv_quote(as_text(F.col("c_acctbal"), rows.schema["c_acctbal"].dataType)).alias("cell"))
+
+
+@query("""SELECT event_id, value, 'north' AS org FROM events WHERE ts > TIMESTAMP '2024-01-20 12:00:00'
+UNION ALL SELECT event_id, value, 'south' AS org FROM events WHERE ts >= TIMESTAMP '2024-01-18' AND ts <= TIMESTAMP '2024-01-22'""")
+def fan_in_union(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    north = tables.scan_table(events, ["event_id", "value"], "ts", mark=MARK).drop(tables.MARK)
+    window = Bounds("2024-01-18T00:00:00Z", "2024-01-22T00:00:00Z")
+    south = tables.scan_table(events, ["value", "event_id"], "ts", bounds=window).drop(tables.MARK)
+    return run.merged([schema.augment(north, {"org": "north"}), schema.augment(south, {"org": "south"})])
+
+
+@query("""SELECT event_id, event_type, bytes, floor((sum(bytes) OVER (PARTITION BY event_type ORDER BY event_id) - bytes) / 4096)::BIGINT AS part
+FROM (SELECT event_id, event_type, octet_length(props::BLOB) + 40 AS bytes FROM events)""")
+def part_packing(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type", (F.octet_length("props") + 40).cast("long").alias("bytes"))
+    return sinks.pack_parts(rows, F.col("bytes"), ["event_id"], 4096, ["event_type"])
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 0.0 ELSE o_totalprice END::DOUBLE AS price,
+CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderdate::DATE END AS day, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderdate END AS at FROM orders""")
+def typed_load(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    empty = lambda n, c: F.when(F.col("o_orderkey") % n == 0, "").otherwise(c)
+    texts = orders.select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"),
+        empty(5, F.format_string("%.2f", "o_totalprice")).alias("price"),
+        empty(7, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("day"),
+        empty(11, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'+0000'")).alias("at"),
+    )
+    fields = [
+        {"name": "o_orderkey", "type": "Numeric", "precision": 18, "scale": 0},
+        {"name": "price", "type": "Numeric", "precision": 18, "scale": 2},
+        {"name": "day", "type": "Date", "format": schema.DATE_FORMAT},
+        {"name": "at", "type": "Date"},
+    ]
+    loaded = schema.typed_load(texts, fields)
+    return loaded.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), F.col("price").cast("double").alias("price"), "day", F.col("at").cast("timestamp_ntz").alias("at"))
+
+
+BROKEN = """SELECT o_orderkey, CASE o_orderkey % 7 WHEN 0 THEN iso || 'Z' WHEN 1 THEN iso || '+02:00' WHEN 2 THEN iso || '-0330' WHEN 3 THEN '2023-02-30T00:00:00Z'
+WHEN 4 THEN iso WHEN 5 THEN replace(iso, '-', '/') || 'Z' ELSE iso || '.250Z' END AS text FROM ({inner})"""
+
+
+@query("WITH b AS (" + BROKEN.replace("{inner}", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS iso FROM orders") + """)
+SELECT o_orderkey, text, valid, CASE WHEN valid THEN epoch_ms(TRY_CAST(text[1:19] AS TIMESTAMP)) + CASE WHEN contains(text, '.250') THEN 250 ELSE 0 END
+  - CASE WHEN ends_with(text, '+02:00') THEN 7200000 WHEN ends_with(text, '-0330') THEN -12600000 ELSE 0 END END AS millis
+FROM (SELECT *, regexp_matches(text, '^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?(Z|[+-][0-9]{2}:?[0-9]{2})$')
+  AND TRY_CAST(text[1:19] AS TIMESTAMP) IS NOT NULL AS valid FROM b)""")
+def iso_validity(spark, sf_dir):
+    inner = table(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("iso"))
+    iso, key = F.col("iso"), F.col("o_orderkey") % 7
+    text = (
+        F.when(key == 0, F.concat(iso, F.lit("Z"))).when(key == 1, F.concat(iso, F.lit("+02:00"))).when(key == 2, F.concat(iso, F.lit("-0330")))
+        .when(key == 3, "2023-02-30T00:00:00Z").when(key == 4, iso).when(key == 5, F.concat(F.replace(iso, F.lit("-"), F.lit("/")), F.lit("Z")))
+        .otherwise(F.concat(iso, F.lit(".250Z")))
+    )
+    return inner.select("o_orderkey", text.alias("text")).select("o_orderkey", "text", is_iso(F.col("text")).alias("valid"), F.unix_millis(instant(F.col("text"))).alias("millis"))
+
+
+# Plans and checks
+
+
+def _entries(spark, sf_dir) -> DataFrame:
+    """One entry for each user and event type; what varies follows from the user's number."""
+    pairs = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("first"))
+    u = F.col("user_id")
+    stamp = lambda text: F.lit(text).cast("timestamp")
+    return pairs.select(
+        F.col("first").alias("idx"), "user_id", "event_type",
+        F.when(u % 5 == 0, F.concat(F.lit("named-"), "user_id", F.lit("-"), "event_type")).alias("name"),
+        F.when(u % 7 == 0, "csv").when(u % 2 == 0, "elf").otherwise("sobject").alias("kind"),
+        F.concat(F.lit("org"), u % 3).alias("source_org"), F.concat(F.lit("Obj"), u, F.lit("_"), "event_type").alias("object"), F.lit("Daily").alias("interval"),
+        F.concat(F.lit("/drop/"), "user_id", F.lit("_"), "event_type", F.lit(".csv")).alias("csv_path"), F.lit("ts").alias("date_field"),
+        F.when(u % 4 != 0, "hub").alias("target_org"), F.concat(F.lit("set_"), "user_id").alias("target_dataset"), F.concat(F.lit("/out/"), "user_id").alias("target_file"),
+        F.when(u % 3 == 0, "Overwrite").otherwise("Append").alias("operation"), (u % 6 == 1).alias("override_metadata"),
+        F.when(u % 4 == 1, stamp("2024-01-12T00:00:00Z")).when(u % 4 == 2, stamp("2024-01-16T00:00:00Z")).alias("start_ts"),
+        F.when(u % 3 == 1, stamp("2024-01-20T00:00:00Z")).alias("end_ts"),
+    )
+
+
+def _state(spark, sf_dir) -> DataFrame:
+    """Marks by entry from an earlier run: the newest event before the 15th, where the user has a number below 100."""
+    events = table(spark, sf_dir, "events").where("ts < timestamp_ntz'2024-01-15 00:00:00' and user_id < 100")
+    newest = events.groupBy("user_id", "event_type").agg(F.date_trunc("second", F.max("ts").cast("timestamp")).alias("watermark_ts"))
+    keyed = _entries(spark, sf_dir).withColumn("watermark_key", report.watermark_key()).where("kind <> 'csv'").join(newest, ["user_id", "event_type"])
+    raw = F.date_format("watermark_ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return keyed.groupBy("watermark_key").agg(F.max("watermark_ts").alias("watermark_ts")).select("watermark_key", raw.alias("watermark_raw"), "watermark_ts")
+
+
+ENTRIES_SQL = """entries AS (
+  SELECT min(event_id) AS idx, user_id AS u, event_type AS t,
+    CASE WHEN u % 5 = 0 THEN 'named-' || u || '-' || t END AS name, CASE WHEN u % 7 = 0 THEN 'csv' WHEN u % 2 = 0 THEN 'elf' ELSE 'sobject' END AS kind,
+    'org' || (u % 3) AS source_org, CASE WHEN u % 4 <> 0 THEN 'hub' END AS target_org, CASE WHEN u % 3 = 0 THEN 'Overwrite' ELSE 'Append' END AS operation,
+    u % 6 = 1 AS override_metadata, CASE WHEN u % 4 = 1 THEN TIMESTAMP '2024-01-12' WHEN u % 4 = 2 THEN TIMESTAMP '2024-01-16' END AS s,
+    CASE WHEN u % 3 = 1 THEN TIMESTAMP '2024-01-20' END AS e
+  FROM events GROUP BY user_id, event_type
+), keyed AS (
+  SELECT *, coalesce(name, CASE kind WHEN 'elf' THEN source_org || ':elf:' || t || ':Daily' WHEN 'sobject' THEN source_org || ':sobject:Obj' || u || '_' || t
+    ELSE 'csv:/drop/' || u || '_' || t || '.csv' END) AS wkey,
+    CASE WHEN target_org IS NOT NULL THEN 'org:hub:set_' || u ELSE 'file:/out/' || u END AS target_key FROM entries
+), marks AS (
+  SELECT wkey, max(date_trunc('second', n.m)) AS m FROM keyed k
+  JOIN (SELECT user_id, event_type, max(ts) AS m FROM events WHERE ts < TIMESTAMP '2024-01-15' AND user_id < 100 GROUP BY ALL) n ON n.user_id = k.u AND n.event_type = k.t
+  WHERE kind <> 'csv' GROUP BY wkey
+), full_entries AS (
+  SELECT k.*, m, coalesce(CASE WHEN kind <> 'csv' THEN CASE WHEN s < m THEN 'REWIND' WHEN s > m THEN 'HOLE' WHEN s = m AND operation = 'Append' THEN 'BOUNDARY' WHEN e < m THEN 'EMPTY' END END,
+    CASE WHEN m IS NULL AND s IS NULL AND kind <> 'csv' THEN CASE WHEN e IS NOT NULL THEN 'FRESH_END_ONLY' WHEN kind = 'elf' THEN 'FIRST_RUN_ELF' END END) AS warning
+  FROM keyed k LEFT JOIN marks USING (wkey)
+)"""
+
+
+@query("WITH " + ENTRIES_SQL + """
+SELECT idx, warning FROM full_entries""")
+def entry_warnings(spark, sf_dir):
+    entries = _entries(spark, sf_dir).withColumn("watermark_key", report.watermark_key())
+    return report.classified(report.with_marks(entries, _state(spark, sf_dir))).select("idx", "warning")
+
+
+@query("""WITH marks AS (SELECT event_type, max(ts) AS m, ascii(event_type) % 3 AS k FROM events WHERE event_id % 10 = 0 AND ts < TIMESTAMP '2024-01-15' GROUP BY event_type),
+e AS (SELECT event_type, m, CASE k WHEN 0 THEN TIMESTAMP '2024-01-12' WHEN 1 THEN TIMESTAMP '2024-01-16' END AS s, CASE WHEN k = 2 THEN NULL ELSE TIMESTAMP '2024-01-20' END AS t FROM marks)
+SELECT e.event_type AS watermark_key, count(*) FILTER ((CASE WHEN s IS NOT NULL THEN ts >= s ELSE ts > m END) AND (t IS NULL OR ts <= t)) AS n_load,
+count(*) FILTER (ts >= s AND ts <= m AND (t IS NULL OR ts <= t)) AS n_again, count(*) FILTER (ts > m AND ts < s) AS n_gap, count(*) FILTER (ts = m) AS n_boundary,
+CASE WHEN any_value(s) < any_value(m) THEN 'REWIND' WHEN any_value(s) > any_value(m) THEN 'HOLE' END AS warning
+FROM e JOIN events ON events.event_type = e.event_type GROUP BY e.event_type""")
+def bounds_classification(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    marks = events.where("event_id % 10 = 0 and ts < timestamp_ntz'2024-01-15 00:00:00'").groupBy("event_type").agg(F.max("ts").cast("timestamp").alias("watermark_ts"))
+    k = F.ascii("event_type") % 3
+    stamp = lambda text: F.lit(text).cast("timestamp")
+    entries = marks.withColumns(
+        {
+            "watermark_key": F.col("event_type"), "kind": F.lit("sobject"), "operation": F.lit("Append"),
+            "start_ts": F.when(k == 0, stamp("2024-01-12T00:00:00Z")).when(k == 1, stamp("2024-01-16T00:00:00Z")),
+            "end_ts": F.when(k != 2, stamp("2024-01-20T00:00:00Z")),
+        }
+    )
+    counts = report.row_counts(events, entries, "event_type", "ts")
+    return counts.join(report.classified(entries).select("watermark_key", "warning"), "watermark_key")
+
+
+@query("WITH " + ENTRIES_SQL + """
+SELECT idx, target_key, CASE WHEN kind = 'csv' THEN 'n/a' ELSE coalesce(strftime(m, '%Y-%m-%dT%H:%M:%SZ'), '(none)') END AS mark,
+  CASE WHEN kind <> 'csv' THEN nullif(concat_ws(' AND ', d || CASE WHEN s IS NOT NULL THEN ' >= ' || strftime(s, '%Y-%m-%dT%H:%M:%SZ') ELSE ' > ' || strftime(m, '%Y-%m-%dT%H:%M:%SZ') END,
+    d || ' <= ' || strftime(e, '%Y-%m-%dT%H:%M:%SZ')), '') END AS effective,
+  CASE WHEN target_org IS NULL THEN NULL WHEN u % 10 >= 7 THEN 'BOOTSTRAP' WHEN override_metadata THEN 'OVERRIDE' END AS note, warning
+FROM (SELECT *, CASE WHEN kind = 'elf' THEN 'LogDate' ELSE 'ts' END AS d FROM full_entries)""")
+def plan_report(spark, sf_dir):
+    entries = _entries(spark, sf_dir)
+    existing = entries.where("user_id % 10 < 7").select(report.target_key().alias("target_key")).distinct()
+    return report.plan_report(entries, _state(spark, sf_dir), existing)
+
+
+@query("""SELECT o_custkey, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS vals, count(*) AS n_rows, min(o_orderkey) AS first_at, max(o_orderkey) AS last_at
+FROM orders GROUP BY o_custkey HAVING count(DISTINCT o_orderpriority) > 1""")
+def single_valued_check(spark, sf_dir):
+    found = checks.conflicting_values(table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderpriority", "o_orderkey")
+    return found.select("o_custkey", F.array_join("values", ",").alias("vals"), "n_rows", "first_at", "last_at")
+
+
+@query("SELECT p_name, count(*) AS times, min(p_partkey) AS first_at, max(p_partkey) AS last_at FROM part WHERE p_name IS NOT NULL GROUP BY p_name HAVING count(*) > 1")
+def uniqueness_check(spark, sf_dir):
+    return checks.repeated_names(table(spark, sf_dir, "part"), "p_name", "p_partkey")
+
+
+@query("""SELECT l_partkey, count(*) AS n_members, count(DISTINCT s) AS n_sets
+FROM (SELECT l_partkey, l_suppkey, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS s FROM lineitem GROUP BY ALL) GROUP BY l_partkey HAVING count(DISTINCT s) > 1""")
+def equal_column_sets(spark, sf_dir):
+    return checks.unequal_sets(table(spark, sf_dir, "lineitem"), "l_partkey", "l_suppkey", "l_returnflag")
+
+
+@query("""SELECT l_orderkey, string_agg(v, ',' ORDER BY first_at, v) AS vals FROM (
+  SELECT l_orderkey, l_returnflag || l_linestatus AS v, min(l_linenumber * 1000000000 + l_suppkey) AS first_at FROM lineitem GROUP BY l_orderkey, v) GROUP BY l_orderkey""")
+def order_preserving_union(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").withColumn("v", F.concat("l_returnflag", "l_linestatus"))
+    found = checks.ordered_union(lines, ["l_orderkey"], "v", ["l_linenumber", "l_suppkey"])
+    return found.select("l_orderkey", F.array_join("values", ",").alias("vals"))
+
+
+@query("""SELECT conv_id, string_agg(role, ',' ORDER BY first_at) AS roles FROM (SELECT conv_id, role, min(turn) AS first_at FROM conversations GROUP BY ALL) GROUP BY conv_id""")
+def roles_in_order(spark, sf_dir):
+    found = checks.ordered_union(table(spark, sf_dir, "conversations"), ["conv_id"], "role", ["turn"])
+    return found.select("conv_id", F.array_join("values", ",").alias("roles"))
+
+
+@query("SELECT conv_id, turn, role FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS n FROM conversations) WHERE n = 1")
+def first_wins_dedup(spark, sf_dir):
+    return checks.first_wins(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role"), ["conv_id", "role"], "turn")
+
+
+def _listings(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Two column listings for each order from its lines: names are part numbers, the provided ones by supplier, some in other case or gone."""
+    rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("owner"), "l_partkey").agg(F.min("l_suppkey").alias("supp"), F.max("l_quantity").alias("q"))
+    from pyspark.sql.window import Window
+
+    by = lambda *order: F.row_number().over(Window.partitionBy("owner").orderBy(*order))
+    name = F.concat(F.lit("Col_"), "l_partkey")
+    expected = rows.where("owner % 5 <> 0 or q < 45").select("owner", by("l_partkey").alias("position"), name.alias("name"))
+    shown = F.when(F.col("l_partkey") % 9 == 0, F.upper(name)).otherwise(name)
+    provided = rows.where("owner % 7 <> 0 or q > 5").select("owner", by("supp", "l_partkey").alias("position"), shown.alias("name"))
+    return provided, expected
+
+
+DIFF_SQL = """rows AS (SELECT l_orderkey AS owner, l_partkey, min(l_suppkey) AS supp, max(l_quantity) AS q FROM lineitem GROUP BY ALL),
+x AS (SELECT owner, row_number() OVER (PARTITION BY owner ORDER BY l_partkey) AS pos, 'Col_' || l_partkey AS name FROM rows WHERE owner % 5 <> 0 OR q < 45),
+p AS (SELECT owner, row_number() OVER (PARTITION BY owner ORDER BY supp, l_partkey) AS pos, CASE WHEN l_partkey % 9 = 0 THEN upper('Col_' || l_partkey) ELSE 'Col_' || l_partkey END AS name
+  FROM rows WHERE owner % 7 <> 0 OR q > 5),
+b AS (SELECT coalesce(x.owner, p.owner) AS owner, x.name AS xn, p.name AS pn, x.pos AS xp, p.pos AS pp FROM x FULL JOIN p ON x.owner = p.owner AND lower(x.name) = lower(p.name)),
+same AS (SELECT owner FROM b GROUP BY owner HAVING bool_and(xn IS NOT NULL AND pn IS NOT NULL)),
+diff AS (SELECT owner, CASE WHEN pn IS NULL THEN 'missing' WHEN xn IS NULL THEN 'extra' ELSE 'casing' END AS issue, coalesce(xn, pn) AS name, coalesce(xp, pp) AS position
+  FROM b WHERE pn IS NULL OR xn IS NULL OR pn <> xn
+  UNION ALL SELECT owner, 'order', xn, xp FROM b JOIN same USING (owner) WHERE xp <> pp)"""
+
+
+@query("WITH " + DIFF_SQL + " SELECT owner, issue, name, position FROM diff")
+def schema_diff(spark, sf_dir):
+    return schema.column_diff(*_listings(spark, sf_dir))
+
+
+@query("WITH " + DIFF_SQL + """, ranked AS (SELECT o.owner, CASE WHEN issue IN ('missing', 'extra') OR issue = 'order' AND o.owner % 2 = 0 THEN 2 WHEN issue = 'casing' THEN 1 ELSE 0 END AS r,
+  issue || ': ' || name AS d FROM (SELECT DISTINCT l_orderkey AS owner FROM lineitem) o LEFT JOIN diff USING (owner))
+SELECT owner, ['pass', 'warn', 'fail'][max(r) + 1] AS status, coalesce(string_agg(DISTINCT d, '; ' ORDER BY d) FILTER (r > 0), '') AS detail FROM ranked GROUP BY owner""")
+def schema_alignment(spark, sf_dir):
+    owners = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("owner")).distinct()
+    return checks.alignment(schema.column_diff(*_listings(spark, sf_dir)), owners, F.col("owner") % 2 == 0)
+
+
+@query("WITH " + DIFF_SQL + """ SELECT owner % 10 AS bucket, count(*) AS n_checks, count(*) FILTER (bad) AS n_failed, CASE WHEN bool_or(bad) THEN 'fail' ELSE 'pass' END AS status
+FROM (SELECT owner, bool_or(issue IN ('missing', 'extra')) AS bad FROM diff GROUP BY owner) GROUP BY bucket""")
+def check_roll_up(spark, sf_dir):
+    diff = schema.column_diff(*_listings(spark, sf_dir))
+    owners = diff.select("owner").distinct()
+    found = checks.alignment(diff, owners, F.lit(False)).withColumn("bucket", F.col("owner") % 10)
+    return checks.roll_up(found, ["bucket"])
+
+
+@query("""SELECT DISTINCT o_custkey, o_orderpriority FROM orders o WHERE NOT EXISTS (
+  SELECT 1 FROM orders r WHERE r.o_orderstatus = 'F' AND r.o_custkey = o.o_custkey AND r.o_orderpriority = o.o_orderpriority)""")
+def source_readability(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority", "o_orderstatus")
+    on = ["o_custkey", "o_orderpriority"]
+    return checks.unreadable(orders.select(*on).distinct(), orders.where("o_orderstatus = 'F'").select(*on), on)
+
+
+def _describe(spark, sf_dir) -> DataFrame:
+    """A describe table in which every customer, nation and region is an object; what they lead to follows from the tables."""
+    c, n, r = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
+    link = lambda df, object, to, name: df.select(
+        F.col(object).alias("object"), F.lit(f"{name}Id").alias("field"), F.lit("reference").alias("type"), F.lit(None).cast("int").alias("precision"),
+        F.lit(None).cast("int").alias("scale"), F.array(to).alias("reference_to"), F.lit(name).alias("relationship_name"),
+    )
+    kinds = F.element_at(F.array(*map(F.lit, ["currency", "date", "string", "int", "datetime"])), F.col("r_regionkey").cast("int") + 1)
+    leaves = r.where("r_name <> 'ASIA'").select(
+        F.col("r_name").alias("object"), F.lit("Total").alias("field"), kinds.alias("type"), F.lit(12).alias("precision"), F.lit(2).alias("scale"),
+        F.lit(None).cast("array<string>").alias("reference_to"), F.lit(None).cast("string").alias("relationship_name"),
+    )
+    cn = c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    nr = n.join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+    return link(cn, "c_name", "n_name", "Nation").union(link(nr.where("n_nationkey <> 3"), "n_name", "r_name", "Region")).union(leaves)
+
+
+@query("""SELECT c_name AS object, 'nation.REGION.total' AS path, CASE WHEN n_nationkey = 3 THEN n_name ELSE r_name END AS leaf_object,
+  CASE WHEN n_nationkey <> 3 AND r_name <> 'ASIA' THEN 'Total' END AS field,
+  CASE WHEN n_nationkey = 3 OR r_name = 'ASIA' THEN 'Text' ELSE ['Numeric', 'Date', 'Text', 'Numeric', 'Date'][r_regionkey + 1] END AS type,
+  CASE WHEN n_nationkey = 3 THEN 'REGION' WHEN r_name = 'ASIA' THEN 'total' END AS problem
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def describe_resolution(spark, sf_dir):
+    paths = table(spark, sf_dir, "customer").select(F.col("c_name").alias("object"), F.lit("nation.REGION.total").alias("path"))
+    return schema.resolve_paths(paths, _describe(spark, sf_dir), 2).drop("precision", "scale")
+
+
+def _source_fields(spark, sf_dir) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    kind = F.element_at(F.array(F.lit("Text"), F.lit("Numeric"), F.lit("Date")), (F.col("p_partkey") % 3 + 1).cast("int"))
+    return part.select(
+        F.col("p_brand").alias("target"), F.col("p_partkey").alias("position"),
+        F.when(F.col("p_partkey") % 10 == 0, F.col("p_name")).otherwise(F.concat(F.replace("p_name", F.lit(" "), F.lit("_")), F.lit("_"), "p_size")).alias("name"),
+        F.col("p_name").alias("label"), kind.alias("type"), F.when(F.col("p_size") % 4 != 0, F.col("p_size")).alias("precision"),
+        F.when(F.col("p_size") % 5 != 0, F.col("p_size") % 25).alias("scale"), F.when(F.col("p_size") % 2 == 0, "yyyy-MM-dd").alias("format"),
+    )
+
+
+@query("""WITH f AS (SELECT p_brand AS target, p_partkey AS position, CASE WHEN p_partkey % 10 = 0 THEN p_name ELSE replace(p_name, ' ', '_') || '_' || p_size END AS name, p_name AS label,
+  ['Text', 'Numeric', 'Date'][p_partkey % 3 + 1] AS type, CASE WHEN p_size % 4 <> 0 THEN p_size END AS pr, CASE WHEN p_size % 5 <> 0 THEN p_size % 25 END AS sc,
+  CASE WHEN p_size % 2 = 0 THEN 'yyyy-MM-dd' END AS fmt FROM part),
+g AS (SELECT *, CASE WHEN pr BETWEEN 1 AND 18 THEN pr ELSE 18 END AS p, count(*) OVER (PARTITION BY target, lower(name)) AS times FROM f)
+SELECT target, position, name, label, type, CASE WHEN type = 'Numeric' THEN p END AS precision, CASE WHEN type = 'Numeric' THEN least(coalesce(sc, 0), p) END AS scale,
+  CASE WHEN type = 'Numeric' THEN '0' END AS default_value, CASE WHEN type = 'Date' THEN coalesce(fmt, 'yyyy-MM-dd''T''HH:mm:ss.SSSXXX') END AS format,
+  CASE WHEN NOT regexp_matches(name, '^[a-zA-Z_][a-zA-Z0-9_]*$') THEN 'bad name' WHEN times > 1 THEN 'duplicate' END AS problem FROM g""")
+def metadata_synthesis(spark, sf_dir):
+    return schema.synthesised_fields(_source_fields(spark, sf_dir))
+
+
+@query("""SELECT p_brand AS target, string_agg(replace(p_name, ' ', '_') || '_' || p_partkey, ',' ORDER BY p_partkey) AS columns FROM part GROUP BY p_brand""")
+def metadata_roundtrip(spark, sf_dir):
+    fields = _source_fields(spark, sf_dir).withColumn("name", F.concat(F.replace("label", F.lit(" "), F.lit("_")), F.lit("_"), "position"))
+    documents = schema.metadata_json(schema.synthesised_fields(fields))
+    own = schema.resolve_metadata(F.lit(None).cast("string"), F.col("metadata"), F.lit(False))
+    return documents.select("target", F.array_join(schema.metadata_columns(own), ",").alias("columns"))
+
+
+def _outcomes(spark, sf_dir) -> DataFrame:
+    kind = F.when((F.col("event_type") == "error") & (F.col("event_id") % 20 == 0), "failed").when((F.col("event_type") == "view") | (F.col("user_id") % 9 == 0), "skipped")
+    return table(spark, sf_dir, "events").select(F.concat(F.lit("org:hub:"), "user_id").alias("target_key"), kind.alias("k"), F.floor("value").alias("rows")).select(
+        "target_key", F.coalesce("k", F.lit("processed")).alias("status"), "rows"
+    )
+
+
+OUTCOME_SQL = """o AS (SELECT 'org:hub:' || user_id AS target_key, floor(value)::BIGINT AS rows,
+  CASE WHEN event_type = 'error' AND event_id % 20 = 0 THEN 'failed' WHEN event_type = 'view' OR user_id % 9 = 0 THEN 'skipped' ELSE 'processed' END AS s FROM events),
+t AS (SELECT target_key, CASE WHEN bool_or(s = 'failed') THEN 'failed' WHEN bool_or(s = 'processed') THEN 'processed' ELSE 'skipped' END AS status,
+  count(*) FILTER (s <> 'skipped') AS n_entries, CASE WHEN bool_or(s = 'failed') THEN 0 ELSE coalesce(sum(rows) FILTER (s = 'processed'), 0) END::BIGINT AS n_rows FROM o GROUP BY target_key)"""
+
+
+@query(f"WITH {OUTCOME_SQL} SELECT * FROM t")
+def outcome_rollup(spark, sf_dir):
+    return report.outcomes(_outcomes(spark, sf_dir))
+
+
+@query(f"""WITH {OUTCOME_SQL} SELECT sum(n_entries) FILTER (status = 'processed')::BIGINT AS processed, sum(n_entries) FILTER (status = 'failed')::BIGINT AS failed,
+  count(*) FILTER (status = 'processed') AS targets_written, CASE WHEN count(*) FILTER (status = 'failed') = 0 THEN 0 WHEN count(*) FILTER (status = 'processed') > 0 THEN 1 ELSE 2 END::INT AS exit_status FROM t""")
+def run_exit_status(spark, sf_dir):
+    return report.exit_status(report.outcomes(_outcomes(spark, sf_dir)))
+
+
+@query("""WITH old AS (SELECT 'user:' || user_id AS k, max(ts) AS m FROM events WHERE ts < TIMESTAMP '2024-01-15' AND user_id % 3 <> 0 GROUP BY user_id),
+new AS (SELECT 'user:' || user_id AS k, min(ts) AS m FROM events WHERE user_id % 4 <> 0 GROUP BY user_id)
+SELECT coalesce(new.k, old.k) AS watermark_key, coalesce(new.m, old.m) AS watermark_ts FROM old FULL JOIN new USING (k)""")
+def state_merge(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    key = F.concat(F.lit("user:"), "user_id").alias("watermark_key")
+    marks = lambda df, f: df.groupBy(key).agg(f("ts").alias("watermark_ts")).withColumn("watermark_raw", F.col("watermark_ts").cast("string"))
+    old = marks(events.where("ts < timestamp_ntz'2024-01-15 00:00:00' and user_id % 3 <> 0"), F.max)
+    return sinks.merge_state(old, marks(events.where("user_id % 4 <> 0"), F.min)).select("watermark_key", "watermark_ts")
+
+
+# Whole runs
+
+
+@query("""SELECT event_id, value, 'a' AS source FROM events WHERE event_type = 'click' UNION ALL SELECT event_id, value, 'b' AS source FROM events WHERE event_type = 'view'""")
+def staged_commit(spark, sf_dir):
+    """Two entries into one target in two runs; the second run finds nothing new, and the target holds every row once."""
+    events = table(spark, sf_dir, "events")
+    store = sinks.Store(spark, scratch(spark, "store"))
+    entries = [
+        run.table_entry(events, "events", ["event_id", "value"], "ts", "org:hub:all", "clicks", "event_type = 'click'", constants={"source": "a"}),
+        run.table_entry(events, "events", ["event_id", "value"], "ts", "org:hub:all", "views", "event_type = 'view'", constants={"source": "b"}),
+    ]
+    run.run(spark, entries, store)
+    run.run(spark, entries, store)
+    return store.read("org:hub:all")
+
+
+@query("""SELECT target, count(*) AS n, round(sum(value), 2) AS total FROM (SELECT unnest(['one', 'two', 'three']) AS target, value FROM events WHERE ts > TIMESTAMP '2024-01-20 12:00:00') GROUP BY target""")
+def shared_scan(spark, sf_dir):
+    """One scan feeds three targets."""
+    events = table(spark, sf_dir, "events").where("ts > timestamp_ntz'2024-01-20 12:00:00'")
+    store = sinks.Store(spark, scratch(spark, "store"))
+    entries = [run.table_entry(events, "events", ["event_id", "value"], "ts", t) for t in ("one", "two", "three")]
+    run.run(spark, entries, store)
+    return run.merged([store.read(t).groupBy(F.lit(t).alias("target")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total")) for t in ("one", "two", "three")])
+
+
+@query("""SELECT doc_id::VARCHAR AS doc_id, CASE WHEN regexp_matches(text, '^[=+\\-@|\\t\\r]') THEN chr(9) ELSE '' END || text AS text, source FROM documents""")
+def csv_export_roundtrip(spark, sf_dir):
+    """Texts with quotes, commas and newlines through a quoted CSV folder and back."""
+    path = scratch(spark, "csv")
+    sinks.export_csv(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), path, "Overwrite")
+    return logs.read_csv(spark, path, ["doc_id", "text", "source"])
+
+
+@query("""SELECT count(*) AS n_lines, sum(octet_length(encode('"' || event_id || '","' || props_q || '"')) + 1)::BIGINT AS n_bytes
+FROM (SELECT event_id, replace(props, '"', '""') AS props_q FROM events)""")
+def gzip_parts(spark, sf_dir):
+    """Quoted lines in numbered gzip parts; read back, none is lost and no part exceeds its budget by more than a line."""
+    path = scratch(spark, "gzip")
+    sinks.export_gzip(table(spark, sf_dir, "events").select("event_id", "props"), path, 64 * 1024)
+    lines = spark.read.text(path).withColumn("size", F.octet_length("value") + 1)
+    parts = lines.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"), F.max("size").alias("widest"))
+    kept = F.when(F.col("bytes") <= 64 * 1024 + F.col("widest"), F.col("bytes")).otherwise(F.raise_error(F.lit("part over budget")).cast("long"))
+    return parts.agg(F.sum("n").alias("n_lines"), F.sum(kept).alias("n_bytes"))
+
+
+@query("""SELECT event_id::VARCHAR AS "Event_Id", 'hub' AS "OrgName", event_type FROM events""")
+def tail_stream(spark, sf_dir):
+    """Event logs arrive as CSV files in two goes; each is loaded once, by two triggers and one that finds nothing."""
+    folder, out, checkpoint = scratch(spark, "logs"), scratch(spark, "tail"), scratch(spark, "offsets")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "props")
+    target = streaming.TailTarget(out, ["Event_Id", "OrgName", "event_type"], {"OrgName": "hub"})
+    for half in (events.where("event_id % 2 = 0"), events.where("event_id % 2 = 1")):
+        half.write.mode("append").option("header", True).option("escape", '"').csv(folder)
+        streaming.tail(spark, folder, ["event_id", "event_type", "props"], [target], checkpoint)
+    streaming.tail(spark, folder, ["event_id", "event_type", "props"], [target], checkpoint)
+    return streaming.read_target(spark, target)
+
+
