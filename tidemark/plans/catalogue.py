@@ -324,7 +324,7 @@ def equal_column_sets(spark, sf_dir):
 
 
 @query("""SELECT l_orderkey, string_agg(v, ',' ORDER BY first_at, v) AS vals FROM (
-  SELECT l_orderkey, l_returnflag || l_linestatus AS v, min(l_linenumber * 1000000000 + l_suppkey) AS first_at FROM lineitem GROUP BY l_orderkey, v) GROUP BY l_orderkey""")
+  SELECT l_orderkey, l_returnflag || l_linestatus AS v, min(l_linenumber::BIGINT * 1000000000 + l_suppkey) AS first_at FROM lineitem GROUP BY l_orderkey, v) GROUP BY l_orderkey""")
 def order_preserving_union(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").withColumn("v", F.concat("l_returnflag", "l_linestatus"))
     found = checks.ordered_union(lines, ["l_orderkey"], "v", ["l_linenumber", "l_suppkey"])
