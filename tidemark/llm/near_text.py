@@ -6,8 +6,8 @@ sends every shingle to coordinate j, so the last is filled after 2t rounds at mo
 the concentration of independent samples, at a cost of about one hash for a shingle.
 
 Documents with equal shingle sets are one class. Classes that agree on a whole band of coordinates are candidates: first each with the
-smallest of its bucket, then, where a bucket's members still lie in several components, all pairs between those components. Every link is
-confirmed on the full sets of both texts.
+smallest of its bucket, then, where a bucket's members still lie in several components, all pairs between those components that a longer
+sketch leaves. Every link is confirmed on the full sets of both texts.
 """
 
 from __future__ import annotations
@@ -27,12 +27,14 @@ from tidemark.llm.textbytes import Hasher, chunks, lowered, mix64, runs
 #: Coordinates of a sketch. Bands of five coordinates from a similarity of 0.85 on, else of four: a pair just similar enough misses all of
 #: them once in two million times at 0.85, once in twenty million at 0.8.
 COORDINATES = 128
-#: Candidates whose one-bit sketches differ in more bits than this, of 128, are not read. A bit of a pair at 0.8 differs with a chance of
-#: 0.1, so the limit loses one such pair in ten million, no more than banding does.
-MAX_BITS = 33
+#: A candidate is not read if its one-bit sketches differ in more bits than a pair just similar enough would, by so many standard
+#: deviations: one such pair in a million is lost at most, about as many as banding loses.
+DEVIATIONS = 4.9
+#: Bits of the finer sketches that pairs between components are held against.
+FINE = 4096
 #: The most ids (8 bytes each) that are broadcast.
 MAX_IDS = 500_000
-_SEEDS = mix64(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+_SEEDS = mix64(np.arange(1, 2 * FINE + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 _FACTOR = np.uint64(0xA0761D6478BD642F)
 
 
@@ -67,20 +69,25 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray, width: int = 5) -> tuple[
     return doc[new], h[new]
 
 
-def sketches(doc: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
-    """Fast similarity sketches of ``n`` sets given as (set, hash); rows of empty sets stay at the largest value."""
-    s = np.full(n * COORDINATES, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(2 * COORDINATES):
+def sketches(doc: np.ndarray, h: np.ndarray, n: int, t: int = COORDINATES) -> np.ndarray:
+    """Fast similarity sketches of ``n`` sets given as (set, hash); ``t`` is a power of two. Rows of empty sets stay at the largest value."""
+    s = np.full(n * t, np.iinfo(np.uint64).max, np.uint64)
+    shift = np.uint64(64 - (t.bit_length() - 1))
+    for i in range(2 * t):
         g = mix64(h ^ _SEEDS[i])
-        coordinate = (g >> np.uint64(57)).astype(np.int64) if i < COORDINATES else np.full(len(g), i - COORDINATES)
-        value = (np.uint64(i) << np.uint64(56)) | (g & np.uint64((1 << 56) - 1))
-        np.minimum.at(s, doc * COORDINATES + coordinate, value)
-        open_ = (s.reshape(n, COORDINATES) == np.iinfo(np.uint64).max).any(1)
-        live = open_[doc]
-        doc, h = doc[live], h[live]
-        if not len(doc):
-            break
-    return s.reshape(n, COORDINATES)
+        coordinate = (g >> shift).astype(np.int64) if i < t else np.full(len(g), i - t)
+        value = (np.uint64(i) << np.uint64(48)) | (g & np.uint64((1 << 48) - 1))
+        np.minimum.at(s, doc * t + coordinate, value)
+        if t <= COORDINATES or i % 16 == 15:  # more rounds than needed change nothing
+            live = (s.reshape(n, t) == np.iinfo(np.uint64).max).any(1)[doc]
+            doc, h = doc[live], h[live]
+            if not len(doc):
+                break
+    return s.reshape(n, t)
+
+
+def _one_bit(s: np.ndarray) -> np.ndarray:
+    return np.packbits((s & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
 
 
 def _band_rows(percent: int) -> int:
@@ -98,7 +105,7 @@ def _features(width: int, rows: int, batches: Iterator[pa.RecordBatch]) -> Itera
             np.add.at(sums[0], doc, mix64(h))
             np.add.at(sums[1], doc, mix64(h * _FACTOR))
             s = sketches(doc, h, n)
-            bits = np.packbits((s & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
+            bits = _one_bit(s)
             bands = COORDINATES // rows
             keys = np.repeat(np.arange(bands, dtype=np.uint64)[None, :], n, 0)
             for k in range(rows):
@@ -147,19 +154,49 @@ def _joined(first: int, texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.
     yield first, np.frombuffer(b"".join(own), np.uint8), np.cumsum([0, *map(len, own)])
 
 
+def _fine(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A longer one-bit sketch of each text."""
+    for batch in batches:
+        for first, data, bounds in chunks((t.as_py() for t in batch.column("text")), b"", b"\n"):
+            n = len(bounds) - 1
+            for at in range(0, n, 64):
+                own = slice(at, min(n, at + 64))
+                lo, hi = bounds[own.start], bounds[own.stop]
+                doc, h = shingle_sets(data[lo:hi], bounds[own.start : own.stop + 1] - lo, width)
+                bits = _one_bit(sketches(doc, h, own.stop - own.start, FINE))
+                offsets = pa.array(np.arange(0, bits.size + 1, FINE // 64, dtype=np.int32))
+                column = pa.ListArray.from_arrays(offsets, pa.array(bits.ravel()))
+                yield pa.RecordBatch.from_pydict({"cid": batch.column("cid").slice(first + at, own.stop - own.start), "fine": column})
+
+
+def _most_bits(percent: int, bits: int) -> int:
+    """Differing bits, of so many, beyond which a link is ruled out."""
+    p = (1 - percent / 100) / 2
+    return int(bits * (p + DEVIATIONS * (p * (1 - p) / bits) ** 0.5))
+
+
 def _alike(x, y, percent: int):
     """Sizes and one-bit sketches leave a link possible. ``x`` and ``y`` find a column of either side."""
     bits = F.bit_count(x("b0").bitwiseXOR(y("b0"))) + F.bit_count(x("b1").bitwiseXOR(y("b1")))
-    return (F.least(x("n"), y("n")) * 100 >= F.greatest(x("n"), y("n")) * percent) & (bits <= MAX_BITS)
+    return (F.least(x("n"), y("n")) * 100 >= F.greatest(x("n"), y("n")) * percent) & (bits <= _most_bits(percent, COORDINATES))
+
+
+def _finely_alike(x, y, percent: int):
+    bits = sum((F.bit_count(x("fine")[i].bitwiseXOR(y("fine")[i])) for i in range(1, FINE // 64)), F.bit_count(x("fine")[0].bitwiseXOR(y("fine")[0])))
+    return bits <= _most_bits(percent, FINE)
+
+
+def _texts(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``cid, text`` of the classes in ``wanted(cid)``."""
+    rows = classes.select("cid", "rep", "tx").join(small(settle(wanted.distinct()), MAX_IDS), "cid", "left_semi")
+    texts = docs.join(small(settle(rows), MAX_IDS), (F.col("doc_id") == F.col("rep")) & (F.xxhash64("text") == F.col("tx")))
+    return settle(texts.groupBy("cid").agg(F.first("text").alias("text")))
 
 
 def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs ``(a, ac, b, bc)`` of classes (smallest id and class key) whose full sets link."""
     pairs = settle(pairs)
-    wanted = settle(pairs.select(F.col("ac").alias("cid")).union(pairs.select("bc")).distinct())
-    rows = classes.select("cid", "rep", "tx").join(small(wanted, MAX_IDS), "cid", "left_semi")
-    texts = docs.join(small(settle(rows), MAX_IDS), (F.col("doc_id") == F.col("rep")) & (F.xxhash64("text") == F.col("tx")))
-    texts = settle(texts.groupBy("cid").agg(F.first("text").alias("text")))
+    texts = _texts(pairs.select(F.col("ac").alias("cid")).union(pairs.select("bc")), classes, docs)
     both = pairs.join(texts.select(F.col("cid").alias("ac"), F.col("text").alias("ta")), "ac")
     both = both.join(texts.select(F.col("cid").alias("bc"), F.col("text").alias("tb")), "bc").select("a", "b", "ta", "tb")
     return settle(both.mapInArrow(partial(_confirm, width, percent), "a long, b long"))
@@ -196,8 +233,12 @@ def near_text(docs: DataFrame, percent: int = 80, width: int = 5, doc_id: str =
     placed = settle(placed)
     split = settle(placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key"))
     rest = settle(placed.where("not is_hub").join(split, "key"))
+    fine = settle(_texts(rest.select("cid"), classes, rows).mapInArrow(partial(_fine, width), "cid long, fine array<long>"))
+    rest = settle(rest.join(fine, "cid"))
     x, y = rest.alias("x"), rest.alias("y")
-    more = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp")) & _alike(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"), percent))
+    left, right = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+    near = (F.col("x.comp") < F.col("y.comp")) & _alike(left, right, percent) & _finely_alike(left, right, percent)
+    more = x.join(y, (F.col("x.key") == F.col("y.key")) & near)
     more = more.select(F.col("x.rep").alias("a"), F.col("x.cid").alias("ac"), F.col("y.rep").alias("b"), F.col("y.cid").alias("bc")).distinct()
     found = links.union(_links(more, classes, rows, width, percent))
 
