@@ -30,8 +30,6 @@ from tidemark.llm.textbytes import Hasher, chunks, mix64, runs
 
 #: Bytes of a repeat; of a first name; places among which one is the anchor; of an anchor's longest name.
 LENGTH, FIRST, SPREAD, SECOND = 200, 64, 48, 152
-#: The most bytes of findings that are broadcast to join them with their documents; more are joined by a shuffle.
-MAX_BYTES = 24 << 20
 #: Buckets for each shuffle partition.
 BUCKETS = 4
 _FACTOR = np.uint64(0xA0761D6478BD642F)
@@ -333,16 +331,9 @@ def _keep(with_text: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
         yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], *done.columns], [*names, *done.schema.names])
 
 
-def _gathered(findings: DataFrame) -> tuple[DataFrame, bool]:
-    """All that was found for each document, and whether it is small enough to broadcast."""
-    table = settle(findings.groupBy("k0", "tx").agg(F.collect_set("found").alias("found")))
-    size = table.agg(F.sum(F.lit(64) + F.aggregate("found", F.lit(0).cast("long"), lambda s, x: s + F.octet_length(x) + 16))).first()[0]
-    return table, (size or 0) <= MAX_BYTES
-
-
 def _joined(docs: DataFrame, findings: DataFrame, how: str) -> DataFrame:
-    table, few = _gathered(findings)
-    return docs.join(F.broadcast(table) if few else table, ["k0", "tx"], how)
+    """Each document with all that was found for it. Findings grow with the corpus, so they are never broadcast by hand."""
+    return docs.join(findings.groupBy("k0", "tx").agg(F.collect_set("found").alias("found")), ["k0", "tx"], how)
 
 
 def find_repeats(docs: DataFrame) -> DataFrame:
