@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
-#: Bytes of text handled at once, unless one document alone is longer.
-CHUNK_BYTES = 1 << 20
+#: Bytes of text handled at once, unless one document alone is longer. Arrays over a chunk take some 150 bytes for each.
+CHUNK_BYTES = 1 << 19
 BASE = 0x9E3779B97F4A7C15
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _powers: list[np.ndarray] = []
+_libc = ctypes.CDLL(None)
 
 
 def mix64(h: np.ndarray) -> np.ndarray:
@@ -48,6 +51,13 @@ class Hasher:
         return mix64((self.sums[n:] - self.sums[:-n]) * self.down[: len(self.sums) - n])
 
 
+def trim() -> None:
+    """Give freed memory back: a worker lives on for later stages, and allocators would keep what its largest chunk took."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
 def chunks(texts: Iterable[str | None], before: bytes = b"", after: bytes = b"") -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``(first text, bytes, bounds)``: whole texts joined into byte arrays; text i of a chunk is bytes bounds[i] to bounds[i + 1]."""
     held: list[bytes] = []
@@ -61,6 +71,7 @@ def chunks(texts: Iterable[str | None], before: bytes = b"", after: bytes = b"")
         size += len(own)
     if held:
         yield first, np.frombuffer(b"".join(held), np.uint8), np.cumsum([0, *map(len, held)])
+    trim()
 
 
 def lowered(data: np.ndarray) -> np.ndarray:

@@ -21,7 +21,7 @@ from tidemark.llm.textbytes import Hasher, chunks, lowered, mix64
 #: Rows and columns of the embedding table, lengths of n-grams in bytes, words in a segment.
 BUCKETS, DIMENSIONS, GRAMS, SEGMENT = 1 << 18, 8, (3, 4, 5, 6), 12
 #: Labelled documents of each class, at most, that the model is fitted on.
-SAMPLE = 1200
+SAMPLE = 1000
 
 
 @dataclass
@@ -76,6 +76,7 @@ def fit(texts: list[str | None], labels: np.ndarray, steps: int = 36, rate: floa
     parts, of, n_segments = [], [], 0  # of each chunk: buckets, segments counted within the chunk, the chunk's segments
     for first, data, bounds in chunks(texts, b" ", b" "):
         ids, where, own = subwords(data, bounds)
+        where = where.astype(np.min_scalar_type(max(1, len(own))))
         parts.append((ids, where, slice(n_segments, n_segments + len(own))))
         of.append(own + first)
         n_segments += len(own)
