@@ -17,7 +17,7 @@ from tidemark.llm import near_text, packing, repeats, token_files
 from tidemark.llm.common import new_path
 from tidemark.llm.encode import Encoder
 from tidemark.llm.near_text import sketches
-from tidemark.llm.textbytes import Hasher, chunks
+from tidemark.llm.textbytes import CHUNK_BYTES, Hasher, chunks
 
 
 def plain_repeats(texts, length=200):
@@ -223,5 +223,6 @@ def test_hashes_agree_wherever_a_string_stands():
     data = np.frombuffer(b"one two one two", np.uint8)
     h = Hasher(data)
     assert h(np.array([0]), np.array([3])) == h(np.array([8]), np.array([11])) != h(np.array([4]), np.array([7]))
-    parts = list(chunks(["a" * 600_000, None, "b" * 600_000, "c" * 2_000_000, ""], b" "))
+    most = CHUNK_BYTES * 6 // 10
+    parts = list(chunks(["a" * most, None, "b" * most, "c" * 2 * CHUNK_BYTES, ""], b" "))
     assert [first for first, *_ in parts] == [0, 2, 3, 4] and sum(len(b) - 1 for _, _, b in parts) == 5
