@@ -50,8 +50,8 @@ def scan_table(
     if limit is not None and not with_ties:
         df = df.orderBy(date.asc()).limit(limit)
     elif limit is not None:
-        last = df.select(date.alias("d")).orderBy(F.col("d").asc()).limit(limit).agg(F.max("d").alias("d"))
-        df = df.join(F.broadcast(last), date <= F.col("d")).drop("d")  # one row
+        last = df.select(date.alias("__last")).orderBy(F.col("__last").asc()).limit(limit).agg(F.max("__last").alias("__last"))
+        df = df.join(F.broadcast(last), date <= F.col("__last")).drop("__last")  # one row
     return df.select(*[dotted(df, f).alias(f.replace(".", "_")) for f in fields], dotted(df, date_field).alias(MARK))
 
 
@@ -69,7 +69,7 @@ def with_paths(df: DataFrame, objects: Mapping[str, DataFrame], relations: Mappi
 
     Each hop is a left join on the key, with only the columns that paths need; keys must be unique.
     """
-    needed: dict[tuple[str, ...], set[str]] = {}
+    own, needed = df.columns, {}
     for path in paths:
         *hops, leaf = path.split(".")
         for depth in range(1, len(hops) + 1):
@@ -86,9 +86,7 @@ def with_paths(df: DataFrame, objects: Mapping[str, DataFrame], relations: Mappi
         )
         left = "_".join((*hops[:-1], relation.foreign_key))
         df = df.join(right, F.col(left) == F.col(f"{prefix}__key"), "left").drop(f"{prefix}__key")
-    wanted = {path.replace(".", "_") for path in paths}
-    prefixes = tuple("_".join(h) + "_" for h in needed)
-    return df.select(*[c for c in df.columns if c in wanted or not c.startswith(prefixes)])
+    return df.select(*own, *[path.replace(".", "_") for path in paths])
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str], status: Column | None = None) -> DataFrame:
