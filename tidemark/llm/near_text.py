@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,10 +29,12 @@ from tidemark.llm.textbytes import Hasher, chunks, lowered, mix64, runs
 #: them once in two million times at 0.85, once in twenty million at 0.8.
 COORDINATES = 128
 #: A candidate is not read if its one-bit sketches differ in more bits than a pair just similar enough would, by so many standard
-#: deviations: one such pair in a million is lost at most, about as many as banding loses.
-DEVIATIONS = 4.9
+#: deviations: three such pairs in a million are not read.
+DEVIATIONS = 4.5
 #: Bits of the finer sketches that pairs between components are held against.
-FINE = 4096
+FINE = 2048
+#: Members of a bucket that are held against as many others at once.
+CHUNK = 1024
 #: The most ids (8 bytes each) that are broadcast.
 MAX_IDS = 500_000
 _SEEDS = mix64(np.arange(1, 2 * FINE + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
@@ -164,9 +167,8 @@ def _fine(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
                 lo, hi = bounds[own.start], bounds[own.stop]
                 doc, h = shingle_sets(data[lo:hi], bounds[own.start : own.stop + 1] - lo, width)
                 bits = _one_bit(sketches(doc, h, own.stop - own.start, FINE))
-                offsets = pa.array(np.arange(0, bits.size + 1, FINE // 64, dtype=np.int32))
-                column = pa.ListArray.from_arrays(offsets, pa.array(bits.ravel()))
-                yield pa.RecordBatch.from_pydict({"cid": batch.column("cid").slice(first + at, own.stop - own.start), "fine": column})
+                words = {f"f{i}": np.ascontiguousarray(bits[:, i]) for i in range(FINE // 64)}
+                yield pa.RecordBatch.from_pydict({"cid": batch.column("cid").slice(first + at, own.stop - own.start), **words})
 
 
 def _most_bits(percent: int, bits: int) -> int:
@@ -181,9 +183,26 @@ def _alike(x, y, percent: int):
     return (F.least(x("n"), y("n")) * 100 >= F.greatest(x("n"), y("n")) * percent) & (bits <= _most_bits(percent, COORDINATES))
 
 
-def _finely_alike(x, y, percent: int):
-    bits = sum((F.bit_count(x("fine")[i].bitwiseXOR(y("fine")[i])) for i in range(1, FINE // 64)), F.bit_count(x("fine")[0].bitwiseXOR(y("fine")[0])))
-    return bits <= _most_bits(percent, FINE)
+def _across(percent: int, group: pd.DataFrame) -> pd.DataFrame:
+    """Pairs between components within one chunk of a bucket, or between two, that the longer sketches leave. A pair that met in an
+    earlier band is left to that one."""
+    band, own = int(group.band.iloc[0]), group.chunk.to_numpy() == group.a.iloc[0]
+    x, y = (group[own], group[own]) if group.a.iloc[0] == group.b.iloc[0] else (group[own], group[~own])
+    words = [f"f{i}" for i in range(FINE // 64)]
+    fx, fy = (np.ascontiguousarray(z[words].to_numpy()).view(np.uint64) for z in (x, y))
+    bits = np.zeros((len(x), len(y)), np.uint16)
+    for w in range(fx.shape[1]):
+        bits += np.bitwise_count(fx[:, w, None] ^ fy[None, :, w])
+    nx, ny = x.n.to_numpy()[:, None], y.n.to_numpy()[None, :]
+    near = (bits <= _most_bits(percent, FINE)) & (x.comp.to_numpy()[:, None] != y.comp.to_numpy()[None, :]) & (np.minimum(nx, ny) * 100 >= np.maximum(nx, ny) * percent)
+    if x is y:
+        near = np.triu(near)
+    i, j = np.nonzero(near)
+    out = pd.DataFrame({"a": x.rep.to_numpy()[i], "ac": x.cid.to_numpy()[i], "b": y.rep.to_numpy()[j], "bc": y.cid.to_numpy()[j]})
+    if not len(out):
+        return out
+    met = (np.stack(x.bands.to_numpy())[i, :band] == np.stack(y.bands.to_numpy())[j, :band]).any(1)
+    return out[~met]
 
 
 def _texts(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -218,7 +237,7 @@ def near_text(docs: DataFrame, percent: int = 80, width: int = 5, doc_id: str =
     classes = known.where("n > 0 and doc_id is not null").groupBy("n", "f0", "f1").agg(first)
     classes = settle(classes.select("n", "f0", "f1", F.xxhash64("f0", "f1", "n").alias("cid"), F.col("r.doc_id").alias("rep"), "r.tx", "r.b0", "r.b1", "r.bands"))
 
-    banded = classes.select(F.explode("bands").alias("key"), "rep", "cid", "n", "b0", "b1")
+    banded = classes.select(F.posexplode("bands").alias("band", "key"), "rep", "cid", "n", "b0", "b1")
     hub = F.min(F.struct("rep", "cid", "n", "b0", "b1")).alias("hub")
     hubs = settle(banded.groupBy("key").agg(F.count(F.lit(1)).alias("members"), hub).where("members > 1").drop("members"))
     members = settle(banded.join(hubs, "key"))
@@ -228,18 +247,17 @@ def near_text(docs: DataFrame, percent: int = 80, width: int = 5, doc_id: str =
 
     reached = components(links)
     placed = members.join(reached, members.rep == reached.node, "left").select(
-        "key", "rep", "cid", "n", "b0", "b1", (F.col("cid") == F.col("hub.cid")).alias("is_hub"), F.coalesce("component", "rep").alias("comp")
+        "key", "band", "rep", "cid", "n", (F.col("cid") == F.col("hub.cid")).alias("is_hub"), F.coalesce("component", "rep").alias("comp")
     )
     placed = settle(placed)
-    split = settle(placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key"))
-    rest = settle(placed.where("not is_hub").join(split, "key"))
-    fine = settle(_texts(rest.select("cid"), classes, rows).mapInArrow(partial(_fine, width), "cid long, fine array<long>"))
-    rest = settle(rest.join(fine, "cid"))
-    x, y = rest.alias("x"), rest.alias("y")
-    left, right = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
-    near = (F.col("x.comp") < F.col("y.comp")) & _alike(left, right, percent) & _finely_alike(left, right, percent)
-    more = x.join(y, (F.col("x.key") == F.col("y.key")) & near)
-    more = more.select(F.col("x.rep").alias("a"), F.col("x.cid").alias("ac"), F.col("y.rep").alias("b"), F.col("y.cid").alias("bc")).distinct()
+    several = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
+    rest = settle(placed.where("not is_hub").join(settle(several.where("lo < hi").select("key", "chunks")), "key"))
+    fine = settle(_texts(rest.select("cid"), classes, rows).mapInArrow(partial(_fine, width), "cid long, " + ", ".join(f"f{i} long" for i in range(FINE // 64))))
+    fine = settle(fine.join(classes.select("cid", "bands"), "cid"))
+    rest = rest.join(fine, "cid").withColumn("chunk", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int"))
+    others = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.struct(F.least(c, "chunk").alias("a"), F.greatest(c, "chunk").alias("b")))
+    units = rest.withColumn("pair", F.explode(others)).select("*", "pair.a", "pair.b").drop("pair", "is_hub", "chunks")
+    more = units.groupBy("key", "a", "b").applyInPandas(partial(_across, percent), "a long, ac long, b long, bc long")
     found = links.union(_links(more, classes, rows, width, percent))
 
     reached = components(found)
