@@ -5,16 +5,25 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+_own: list[str] = []
+
+
+def place(spark: SparkSession, kind: str) -> str:
+    """A new path in the folder of ``spark.checkpoint.dir``; a temporary folder only where that is unset, as in tests."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not _own:
+            _own.append("file://" + tempfile.mkdtemp(prefix="spark-"))
+        base = _own[0]
+    return f"{base.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet and read it back: its lineage ends there and every executor can read it."""
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/written-{uuid.uuid4().hex}"
+    path = place(spark, "written")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

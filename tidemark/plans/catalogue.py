@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.scratch import place
 from tidemark.functions.text import as_text, csv_quote, interpolate
 from tidemark.functions.times import Bounds, instant, is_iso
 from tidemark.operators import checks, schema, sinks
@@ -25,14 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, kind: str) -> str:
-    import tempfile
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-")
-    return f"{base.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
-
-
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
@@ -495,7 +488,7 @@ def state_merge(spark, sf_dir):
 def staged_commit(spark, sf_dir):
     """Two entries into one target in two runs; the second run finds nothing new, and the target holds every row once."""
     events = table(spark, sf_dir, "events")
-    store = sinks.Store(spark, scratch(spark, "store"))
+    store = sinks.Store(spark, place(spark, "store"))
     entries = [
         run.table_entry(events, "events", ["event_id", "value"], "ts", "org:hub:all", "clicks", "event_type = 'click'", constants={"source": "a"}),
         run.table_entry(events, "events", ["event_id", "value"], "ts", "org:hub:all", "views", "event_type = 'view'", constants={"source": "b"}),
@@ -509,7 +502,7 @@ def staged_commit(spark, sf_dir):
 def shared_scan(spark, sf_dir):
     """One scan feeds three targets."""
     events = table(spark, sf_dir, "events").where("ts > timestamp_ntz'2024-01-20 12:00:00'")
-    store = sinks.Store(spark, scratch(spark, "store"))
+    store = sinks.Store(spark, place(spark, "store"))
     entries = [run.table_entry(events, "events", ["event_id", "value"], "ts", t) for t in ("one", "two", "three")]
     run.run(spark, entries, store)
     return run.merged([store.read(t).groupBy(F.lit(t).alias("target")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total")) for t in ("one", "two", "three")])
@@ -518,7 +511,7 @@ def shared_scan(spark, sf_dir):
 @query("""SELECT doc_id::VARCHAR AS doc_id, CASE WHEN regexp_matches(text, '^[=+\\-@|\\t\\r]') THEN chr(9) ELSE '' END || text AS text, source FROM documents""")
 def csv_export_roundtrip(spark, sf_dir):
     """Texts with quotes, commas and newlines through a quoted CSV folder and back."""
-    path = scratch(spark, "csv")
+    path = place(spark, "csv")
     sinks.export_csv(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), path, "Overwrite")
     return logs.read_csv(spark, path, ["doc_id", "text", "source"])
 
@@ -527,7 +520,7 @@ def csv_export_roundtrip(spark, sf_dir):
 FROM (SELECT event_id, replace(props, '"', '""') AS props_q FROM events)""")
 def gzip_parts(spark, sf_dir):
     """Quoted lines in numbered gzip parts; read back, none is lost and no part exceeds its budget by more than a line."""
-    path = scratch(spark, "gzip")
+    path = place(spark, "gzip")
     sinks.export_gzip(table(spark, sf_dir, "events").select("event_id", "props"), path, 64 * 1024)
     lines = spark.read.text(path).withColumn("size", F.octet_length("value") + 1)
     parts = lines.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"), F.max("size").alias("widest"))
@@ -538,7 +531,7 @@ def gzip_parts(spark, sf_dir):
 @query("""SELECT event_id::VARCHAR AS "Event_Id", 'hub' AS "OrgName", event_type FROM events""")
 def tail_stream(spark, sf_dir):
     """Event logs arrive as CSV files in two goes; each is loaded once, by two triggers and one that finds nothing."""
-    folder, out, checkpoint = scratch(spark, "logs"), scratch(spark, "tail"), scratch(spark, "offsets")
+    folder, out, checkpoint = place(spark, "logs"), place(spark, "tail"), place(spark, "offsets")
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "props")
     target = streaming.TailTarget(out, ["Event_Id", "OrgName", "event_type"], {"OrgName": "hub"})
     for half in (events.where("event_id % 2 = 0"), events.where("event_id % 2 = 1")):
