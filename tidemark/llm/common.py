@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,13 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_own: list[str] = []
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares, from ``spark.checkpoint.dir``; a temporary one is set only where that is unset (tests)."""
+    """The folder that the cluster shares, from ``spark.checkpoint.dir``, with its scheme; a temporary one only where that is unset (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+        if not _own:
+            _own.append("file://" + tempfile.mkdtemp(prefix="spark-"))
+        found = _own[0]
+    path = spark._jvm.org.apache.hadoop.fs.Path(found)
+    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return re.sub("^file:/+", "file:///", full).rstrip("/")
 
 
 def new_path(spark: SparkSession, kind: str) -> str:
