@@ -62,3 +62,17 @@ def roll_up(checks: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Only a failure fails; a warning passes. A check without a status failed to run, which is a failure."""
     failed = F.coalesce(~F.col("status").isin("pass", "warn"), F.lit(True))
     return checks.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_checks"), F.count_if(failed).alias("n_failed"), F.when(F.count_if(failed) > 0, "fail").otherwise("pass").alias("status"))
+
+
+def target_ready(targets: DataFrame, completed: DataFrame, key: str = "target_key") -> DataFrame:
+    """``key, status, detail``: a target with a completed load passes; one without is a warning, as a run will create it."""
+    there = completed.select(key, F.lit(True).alias("there")).distinct()
+    joined = targets.select(key).distinct().join(there, key, "left")
+    return joined.select(key, F.when(F.col("there"), "pass").otherwise("warn").alias("status"), F.when(F.col("there").isNull(), "will be created").alias("detail"))
+
+
+def counters(lines: DataFrame, key: str, line: str, source: str, part: str | None = None) -> DataFrame:
+    """What each target received: rows, bytes with one for each line end, source units and, where rows are packed, parts."""
+    parts = [F.countDistinct(part).alias("n_parts")] if part else []
+    size = F.sum(F.octet_length(line).cast("long") + 1)
+    return lines.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"), size.alias("n_bytes"), F.countDistinct(source).alias("n_units"), *parts)

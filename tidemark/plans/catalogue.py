@@ -446,6 +446,25 @@ def metadata_roundtrip(spark, sf_dir):
     return documents.select("target", F.array_join(schema.metadata_columns(own), ",").alias("columns"))
 
 
+@query("""SELECT 'set_' || o_custkey AS target_key, CASE WHEN bool_or(o_orderstatus = 'F') THEN 'pass' ELSE 'warn' END AS status,
+  CASE WHEN NOT bool_or(o_orderstatus = 'F') THEN 'will be created' END AS detail FROM orders GROUP BY o_custkey""")
+def target_ready_check(spark, sf_dir):
+    keyed = table(spark, sf_dir, "orders").select(F.concat(F.lit("set_"), "o_custkey").alias("target_key"), "o_orderstatus")
+    return checks.target_ready(keyed, keyed.where("o_orderstatus = 'F'"))
+
+
+@query("""SELECT event_type, count(*) AS n_rows, sum(octet_length(props::BLOB) + 1)::BIGINT AS n_bytes, count(DISTINCT ts::DATE) AS n_units FROM events GROUP BY event_type""")
+def run_counters(spark, sf_dir):
+    lines = table(spark, sf_dir, "events").withColumn("log", F.to_date("ts"))
+    return checks.counters(lines, "event_type", "props", "log")
+
+
+@query("WITH " + ENTRIES_SQL + """
+SELECT bool_or(s IS NOT NULL OR e IS NOT NULL) AND bool_and(kind = 'csv') AS without_effect FROM full_entries WHERE u % 7 = 0""")
+def bounds_without_effect(spark, sf_dir):
+    return report.without_effect(_entries(spark, sf_dir).where("user_id % 7 = 0"))
+
+
 def _outcomes(spark, sf_dir) -> DataFrame:
     kind = F.when((F.col("event_type") == "error") & (F.col("event_id") % 20 == 0), "failed").when((F.col("event_type") == "view") | (F.col("user_id") % 9 == 0), "skipped")
     return table(spark, sf_dir, "events").select(F.concat(F.lit("org:hub:"), "user_id").alias("target_key"), kind.alias("k"), F.floor("value").alias("rows")).select(

@@ -102,3 +102,9 @@ def exit_status(targets: DataFrame) -> DataFrame:
         processed.alias("processed"), failed.alias("failed"), F.count_if(F.col("status") == "processed").alias("targets_written"),
         F.when(failed == 0, 0).when(processed > 0, 1).otherwise(2).alias("exit_status"),
     )
+
+
+def without_effect(entries: DataFrame) -> DataFrame:
+    """One row: whether bounds are set for entries that are all CSV files, which are always read in full."""
+    bounded = F.max((F.col("start_ts").isNotNull() | F.col("end_ts").isNotNull()).cast("int")) == 1
+    return entries.agg(F.coalesce(bounded & F.every(F.col("kind") == "csv"), F.lit(False)).alias("without_effect"))
