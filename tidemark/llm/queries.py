@@ -49,6 +49,26 @@ def op6_near_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_text.near_text(table(spark, sf_dir, "documents"), percent=85)
 
 
+OP6_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents
+), s AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END)) AS sh FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)
+), reach(a, b) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT r.a AS doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.b) AS component_id, min(r.b) = r.a AS kept FROM reach r LEFT JOIN n ON n.doc_id = r.a GROUP BY r.a
+"""
+
+
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -132,4 +152,4 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op10_mixing": op10_mixing,
 }
-ORACLES = {"op7_top_k": OP7_SQL, "op8_url_filter": OP8_SQL, "op10_mixing": OP10_SQL}
+ORACLES = {"op6_near_text": OP6_SQL, "op7_top_k": OP7_SQL, "op8_url_filter": OP8_SQL, "op10_mixing": OP10_SQL}
