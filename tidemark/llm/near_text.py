@@ -16,7 +16,6 @@ from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -183,26 +182,64 @@ def _alike(x, y, percent: int):
     return (F.least(x("n"), y("n")) * 100 >= F.greatest(x("n"), y("n")) * percent) & (bits <= _most_bits(percent, COORDINATES))
 
 
-def _across(percent: int, group: pd.DataFrame) -> pd.DataFrame:
-    """Pairs between components within one chunk of a bucket, or between two, that the longer sketches leave. A pair that met in an
-    earlier band is left to that one."""
-    band, own = int(group.band.iloc[0]), group.chunk.to_numpy() == group.a.iloc[0]
-    x, y = (group[own], group[own]) if group.a.iloc[0] == group.b.iloc[0] else (group[own], group[~own])
-    words = [f"f{i}" for i in range(FINE // 64)]
-    fx, fy = (np.ascontiguousarray(z[words].to_numpy()).view(np.uint64) for z in (x, y))
-    bits = np.zeros((len(x), len(y)), np.uint16)
-    for w in range(fx.shape[1]):
-        bits += np.bitwise_count(fx[:, w, None] ^ fy[None, :, w])
-    nx, ny = x.n.to_numpy()[:, None], y.n.to_numpy()[None, :]
-    near = (bits <= _most_bits(percent, FINE)) & (x.comp.to_numpy()[:, None] != y.comp.to_numpy()[None, :]) & (np.minimum(nx, ny) * 100 >= np.maximum(nx, ny) * percent)
-    if x is y:
-        near = np.triu(near)
-    i, j = np.nonzero(near)
-    out = pd.DataFrame({"a": x.rep.to_numpy()[i], "ac": x.cid.to_numpy()[i], "b": y.rep.to_numpy()[j], "bc": y.cid.to_numpy()[j]})
-    if not len(out):
-        return out
-    met = (np.stack(x.bands.to_numpy())[i, :band] == np.stack(y.bands.to_numpy())[j, :band]).any(1)
-    return out[~met]
+UNIT = ("key", "a", "b")
+
+
+def _arrays(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+    out = {c: batch.column(c).to_numpy() for c in (*UNIT, "chunk", "band", "rep", "cid", "n", "comp")}
+    out["fine"] = np.column_stack([batch.column(f"f{i}").to_numpy() for i in range(FINE // 64)]).view(np.uint64)
+    out["bands"] = batch.column("bands").flatten().to_numpy().reshape(batch.num_rows, -1)
+    return out
+
+
+def _unit(percent: int, u: dict[str, np.ndarray]) -> Iterator[np.ndarray]:
+    """Pairs (a, ac, b, bc) between components within one chunk of a bucket, or between two, that the longer sketches leave. A pair that
+    met in an earlier band is left to that one."""
+    comp, n, band = u["comp"], u["n"], int(u["band"][0])
+    x = np.flatnonzero(u["chunk"] == u["a"][0])
+    y = x if u["a"][0] == u["b"][0] else np.flatnonzero(u["chunk"] == u["b"][0])
+    if not len(x) or not len(y) or (comp == comp[0]).all():
+        return
+    for at in range(0, len(x), 128):
+        i = x[at : at + 128]
+        bits = np.zeros((len(i), len(y)), np.uint16)
+        for w in range(u["fine"].shape[1]):
+            bits += np.bitwise_count(u["fine"][i, w][:, None] ^ u["fine"][y, w][None, :])
+        near = (bits <= _most_bits(percent, FINE)) & (comp[i][:, None] != comp[y][None, :])
+        near &= np.minimum(n[i][:, None], n[y][None, :]) * 100 >= np.maximum(n[i][:, None], n[y][None, :]) * percent
+        if x is y:
+            near &= i[:, None] < y[None, :]
+        p, q = np.nonzero(near)
+        p, q = i[p], y[q]
+        new = ~(u["bands"][p, :band] == u["bands"][q, :band]).any(1)
+        yield np.stack([u["rep"][p], u["cid"][p], u["rep"][q], u["cid"][q]])[:, new]
+
+
+def _across(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All units of a partition, which come sorted; one that goes on in the next batch waits for it."""
+    held: dict[str, np.ndarray] | None = None
+    for batch in _and_end(batches):
+        rows = None if batch is None else _arrays(batch)
+        if held is not None:
+            rows = held if rows is None else {c: np.concatenate([held[c], v]) for c, v in rows.items()}
+        if rows is None or not len(rows["key"]):
+            continue
+        new = np.zeros(len(rows["key"]), bool)
+        for c in UNIT:
+            new[1:] |= rows[c][1:] != rows[c][:-1]
+        cuts = [0, *np.flatnonzero(new), len(new)]
+        if batch is not None:
+            held = {c: v[cuts[-2] :] for c, v in rows.items()}
+            cuts.pop()
+        pairs = [found for lo, hi in zip(cuts, cuts[1:], strict=False) for found in _unit(percent, {c: v[lo:hi] for c, v in rows.items()})]
+        if pairs:
+            a, ac, b, bc = np.concatenate(pairs, 1)
+            yield pa.RecordBatch.from_pydict({"a": a, "ac": ac, "b": b, "bc": bc})
+
+
+def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
 
 
 def _texts(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -257,7 +294,9 @@ def near_text(docs: DataFrame, percent: int = 80, width: int = 5, doc_id: str =
     rest = rest.join(fine, "cid").withColumn("chunk", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int"))
     others = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.struct(F.least(c, "chunk").alias("a"), F.greatest(c, "chunk").alias("b")))
     units = rest.withColumn("pair", F.explode(others)).select("*", "pair.a", "pair.b").drop("pair", "is_hub", "chunks")
-    more = units.groupBy("key", "a", "b").applyInPandas(partial(_across, percent), "a long, ac long, b long, bc long")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    units = units.repartition(parts, *UNIT).sortWithinPartitions(*UNIT)
+    more = units.mapInArrow(partial(_across, percent), "a long, ac long, b long, bc long")
     found = links.union(_links(more, classes, rows, width, percent))
 
     reached = components(found)
