@@ -10,8 +10,9 @@ fetch the second of a pair. Each round Spark brings equal names together, and pl
    occur twice from end to end is past the threshold in all its strings, and one whose anchor's name is unique is dropped.
 3. h = 200, at every place left, which are those around the ends of repeats.
 
-Rounds 1 and 2 pack what one task sends to another into byte blocks and settle among themselves what repeats inside one block, so that a
-passage in a third of all documents costs a block one entry. Round 3 meets only different stretches with one anchor.
+All rounds pack what one task sends to another into byte blocks and settle among themselves what repeats inside one block, so that a
+passage in a third of all documents costs a block one entry. Stretches meet by anchor and bytes together, and places by their full names, so
+different stretches with one anchor are spread over all tasks; of an anchor, a task passes on one stretch at most to tell whether it has others.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import settle
-from tidemark.llm.textbytes import Hasher, chunks, mix64, runs
+from tidemark.llm.textbytes import CHUNK_BYTES, Hasher, chunks, mix64, runs, trim
 
 #: Bytes of a repeat; of a first name; places among which one is the anchor; of an anchor's longest name.
 LENGTH, FIRST, SPREAD, SECOND = 200, 64, 48, 152
@@ -99,37 +100,54 @@ def _by_document(owner: np.ndarray, values: np.ndarray, k0: np.ndarray, tx: np.n
     return pa.RecordBatch.from_pydict({"k0": pa.array(k0[who]), "tx": pa.array(tx[who]), "found": pa.array([values[p].tobytes() for p in parts], pa.binary())})
 
 
+RANGE = np.dtype([("lo", "<u4"), ("many", "<u4")])
 REQUESTS = "bucket long, k0 binary, tx binary, owner binary, name binary, nth binary, shared binary"
 
 
+def _requests(buckets: int, name: np.ndarray, nth: np.ndarray, owner: np.ndarray, k0: np.ndarray, tx: np.ndarray, known: np.ndarray) -> pa.RecordBatch | None:
+    """Names of places by bucket. A name that a chunk holds twice is sent once, without owners, as ``shared``; its own places are sent as
+    already found, with an empty name. So is a name of ``known`` places, which occur twice and are found elsewhere: they are not sent."""
+    unique, inverse, count = np.unique(name, return_inverse=True, return_counts=True)
+    several = count > 1
+    several[inverse[known]] = True
+    twice = several[inverse]
+    one, mine = ~twice, twice & ~known
+    bucket = (name >> np.uint64(20)) % np.uint64(buckets)
+    out = _blocks(bucket[one].astype(np.int64), owner[one], k0, tx, {"name": name[one], "nth": nth[one]})
+    own = _blocks(owner[mine] % buckets, owner[mine], k0, tx, {"nth": nth[mine]})
+    shared = unique[several]
+    of = ((shared >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+    sent = _blocks(of, np.zeros(len(shared), np.int64), k0[:1], tx[:1], {"shared": shared})
+    rows = {c: [] for c in ("bucket", "k0", "tx", "owner", "name", "nth", "shared")}
+    for part in (out, own, sent):
+        for c in rows:
+            rows[c] += part.get(c, [b""] * len(part["bucket"]))
+    return _rows(rows, {"bucket": pa.int64()}) if rows["bucket"] else None
+
+
 def _ask(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Round 1, sending: anchors' names by bucket. A name that a chunk holds twice is sent once, without owners, as ``shared``; its own
-    places are sent as already found, with an empty name."""
+    """Round 1, sending: anchors' names by bucket."""
     for batch in batches:
         key0, key1 = batch.column("k0").to_numpy(), batch.column("tx").to_numpy()
         for first, data, bounds in chunks(t.as_py() for t in batch.column("text")):
             p = _Places(data, bounds)
             name, nth = p.first[p.anchors], (np.arange(len(p.anchors)) - p.before[p.doc]).astype(np.uint32)
-            unique, inverse, count = np.unique(name, return_inverse=True, return_counts=True)
-            twice = count[inverse] > 1
             k0, tx = key0[first : first + len(bounds) - 1], key1[first : first + len(bounds) - 1]
-            bucket = (name >> np.uint64(20)) % np.uint64(buckets)
-            one = ~twice
-            out = _blocks(bucket[one].astype(np.int64), p.doc[one], k0, tx, {"name": name[one], "nth": nth[one]})
-            own = _blocks(p.doc[twice] % buckets, p.doc[twice], k0, tx, {"nth": nth[twice]})
-            shared = unique[count > 1]
-            of = ((shared >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
-            sent = _blocks(of, np.zeros(len(shared), np.int64), k0[:1], tx[:1], {"shared": shared})
-            rows = {c: [] for c in ("bucket", "k0", "tx", "owner", "name", "nth", "shared")}
-            for part in (out, own, sent):
-                for c in rows:
-                    rows[c] += part.get(c, [b""] * len(part["bucket"]))
-            if rows["bucket"]:
-                yield _rows(rows, {"bucket": pa.int64()})
+            out = _requests(buckets, name, nth, p.doc, k0, tx, np.zeros(len(name), bool))
+            if out is not None:
+                yield out
+
 
+def _one_each(nth: np.ndarray) -> np.ndarray:
+    """Ranges of one place each."""
+    ranges = np.zeros(len(nth), RANGE)
+    ranges["lo"], ranges["many"] = nth, 1
+    return ranges
 
-def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Round 1, receiving: which anchors of which documents have names that occur elsewhere."""
+
+def _answer(ranges: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rounds 1 and 3, receiving: which anchors of which documents, or with ``ranges`` which places, have names that occur elsewhere."""
+    made = _one_each if ranges else np.asarray
     asked, shared = [], []
     for batch in batches:
         for row in batch.to_pylist():
@@ -141,7 +159,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if row["name"]:
                 asked.append((np.frombuffer(row["name"], np.uint64), owner, nth, k0, tx))
             else:
-                yield _by_document(owner, nth, k0, tx)
+                yield _by_document(owner, made(nth), k0, tx)
     if asked:
         unique, inverse, count = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True, return_counts=True)
         again = count > 1
@@ -151,7 +169,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, owner, nth, k0, tx in asked:
             hit = again[at : at + len(name)]
             at += len(name)
-            found = _by_document(owner[hit], nth[hit], k0, tx)
+            found = _by_document(owner[hit], made(nth[hit]), k0, tx)
             if found is not None:
                 yield found
 
@@ -162,7 +180,7 @@ PLAIN, TWICE, FOUND = 0, 1, 2
 
 
 def _stretches(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Round 2, sending: stretches of places that may repeat, by the longest name of their anchor."""
+    """Round 2, sending: stretches of places that may repeat, by the longest name of their anchor and their bytes."""
     for batch in batches:
         key0, key1, lists = batch.column("k0").to_numpy(), batch.column("tx").to_numpy(), batch.column("found")
         for first, data, bounds in chunks(t.as_py() for t in batch.column("text")):
@@ -192,7 +210,8 @@ def _stretches(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
             n = _pair(p.hash(lo, lo + many - 1 + LENGTH), lead.astype(np.uint64))
             alone = mix64(tx[doc].view(np.uint64) ^ mix64(k0[doc].view(np.uint64) + (lo - bounds[doc]).astype(np.uint64)))
             n = np.where(full, n, alone)
-            _, index, inverse, count = np.unique(_pair(g, n), return_index=True, return_inverse=True, return_counts=True)
+            both = _pair(g, n)
+            _, index, inverse, count = np.unique(both, return_index=True, return_inverse=True, return_counts=True)
             twice = (count[inverse] > 1) & full
             keep = ~twice
             keep[index] = True
@@ -200,7 +219,7 @@ def _stretches(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
                 "g": g, "n": n, "lo": (lo - bounds[doc]).astype(np.uint32), "many": many.astype(np.uint8), "lead": lead.astype(np.uint8),
                 "state": np.where(twice, TWICE, PLAIN).astype(np.uint8),
             }
-            bucket = ((g >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+            bucket = ((both >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
             bucket[~keep] = doc[~keep] % buckets
             columns["state"][~keep] = FOUND
             rows = _blocks(bucket, doc, k0, tx, columns)
@@ -208,8 +227,9 @@ def _stretches(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
                 yield _rows(rows, {"bucket": pa.int64()})
 
 
-RANGE = np.dtype([("lo", "<u4"), ("many", "<u4")])
 REFINE = np.dtype([("g", "<u8"), ("lo", "<u4"), ("many", "u1"), ("lead", "u1"), ("known", "u1")])
+#: A stretch, of no places where it only says that its anchor has several, and its document.
+SINGLE = np.dtype([("k0", "<i8"), ("tx", "<i8"), *((c, REFINE[c]) for c in REFINE.names)])
 
 
 def _tagged(batch: pa.RecordBatch | None, kind: int) -> Iterator[pa.RecordBatch]:
@@ -217,8 +237,9 @@ def _tagged(batch: pa.RecordBatch | None, kind: int) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(batch.num_rows, kind, np.int32))], [*batch.schema.names, "kind"])
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Round 2, receiving: ranges of places past the threshold (kind 0), and stretches to be read place by place (kind 1)."""
+def _meet(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Round 2, receiving: ranges of places past the threshold (kind 0), stretches to be read place by place (kind 1), and stretches that
+    are here the only one of their anchor (kind 2, packed, with ``k0`` the bucket of the anchor), which meet once more by anchor."""
     kinds = {"owner": np.uint32, "g": np.uint64, "n": np.uint64, "lo": np.uint32, "many": np.uint8, "lead": np.uint8, "state": np.uint8}
     held, k0, tx, docs = {c: [] for c in kinds}, [], [], 0
     for batch in batches:
@@ -251,61 +272,75 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ranges = np.zeros(len(done), RANGE)
     ranges["lo"], ranges["many"] = x["lo"][done], x["many"][done]
     yield from _tagged(_by_document(x["owner"][done], ranges, k0, tx), 0)
-    read = several & (new | ~known[which])
-    left = np.zeros(int(read.sum()), REFINE)
-    own = order[read]
+    read = new | ~known[which]
+    own, alone = order[read], ~several[read]
+    left = np.zeros(len(own), SINGLE)
     for c in ("g", "lo", "many", "lead"):
         left[c] = x[c][own]
     left["known"] = known[which][read]
-    yield from _tagged(_by_document(x["owner"][own], left, k0, tx), 1)
+    left["k0"], left["tx"] = k0[x["owner"][own]], tx[x["owner"][own]]
+    yield from _tagged(_by_document(x["owner"][own[~alone]], _refined(left[~alone]), k0, tx), 1)
+    heads = np.zeros(int((new_g & several).sum()), SINGLE)
+    heads["g"] = g[new_g & several]
+    single = np.concatenate([left[alone], heads])
+    bucket = ((single["g"] >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+    yield from _tagged(_by_document(bucket, single, np.arange(buckets), np.zeros(buckets, np.int64)), 2)
+
+
+def _refined(single: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(single), REFINE)
+    for c in REFINE.names:
+        out[c] = single[c]
+    return out
 
 
-def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Round 3, sending: the bytes of the stretches left."""
-    for batch in batches:
-        out = {c: [] for c in ("g", "k0", "tx", "lo", "many", "lead", "known", "bytes")}
-        for row in batch.to_pylist():
-            text = (row["text"] or "").encode("utf-8", "surrogatepass")
-            for s in np.frombuffer(b"".join(row["found"]), REFINE):
-                lo, many = int(s["lo"]), int(s["many"])
-                for c, v in (("g", int(s["g"].astype(np.int64))), ("k0", row["k0"]), ("tx", row["tx"]), ("lo", lo), ("many", many), ("lead", int(s["lead"])), ("known", bool(s["known"]))):
-                    out[c].append(v)
-                out["bytes"].append(text[lo : lo + many - 1 + LENGTH])
-        if out["g"]:
-            yield _rows(out, {"known": pa.bool_(), **{c: pa.int64() for c in ("g", "k0", "tx", "lo", "many", "lead")}})
-
-
-def _place_by_place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Round 3, receiving: names of the full length at every place; those that occur twice are found."""
-    held, names = [], []
-    for batch in batches:
-        held.append(batch.drop_columns(["bytes"]))
-        g = batch.column("g").to_numpy().view(np.uint64)
-        many, lead = batch.column("many").to_numpy(), batch.column("lead").to_numpy()
-        data = batch.column("bytes").to_pylist()
-        for a in range(0, len(data), 2048):
-            part, m = data[a : a + 2048], many[a : a + 2048]
-            begin = np.cumsum([0, *map(len, part)])[:-1]
-            which = np.repeat(np.arange(len(part)), m)
-            nth = np.arange(len(which)) - np.repeat(np.cumsum(m) - m, m)
-            at = begin[which] + nth
-            name = Hasher(np.frombuffer(b"".join(part), np.uint8))(at, at + LENGTH)
-            names.append(_pair(_pair(g[a + which], (lead[a + which] - nth).astype(np.uint64)), name))
-    if not names:
+def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Round 2, end: of the stretches that were the only one of their anchor in a task, those whose anchor has others in another task."""
+    lists = [np.frombuffer(v.as_py(), SINGLE) for batch in batches for v in batch.column("found")]
+    if not lists:
         return
-    rows = pa.Table.from_batches(held)
-    many, lo, known = rows["many"].to_numpy(), rows["lo"].to_numpy(), rows["known"].to_numpy()
-    _, inverse, count = np.unique(np.concatenate(names), return_inverse=True, return_counts=True)
-    which = np.repeat(np.arange(len(many)), many)
-    again = (count[inverse] > 1) & ~known[which]
-    place = lo[which] + np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
-    ranges = np.zeros(int(again.sum()), RANGE)
-    ranges["lo"], ranges["many"] = place[again], 1
-    found = _by_document(which[again], ranges, rows["k0"].to_numpy(), rows["tx"].to_numpy())
+    single = np.concatenate(lists)
+    _, inverse, count = np.unique(single["g"], return_inverse=True, return_counts=True)
+    single = single[(count[inverse] > 1) & (single["many"] > 0)]
+    single = single[np.lexsort((single["tx"], single["k0"]))]
+    new = np.ones(len(single), bool)
+    new[1:] = (single["k0"][1:] != single["k0"][:-1]) | (single["tx"][1:] != single["tx"][:-1])
+    found = _by_document(np.cumsum(new) - 1, _refined(single), single["k0"][new], single["tx"][new])
     if found is not None:
         yield found
 
 
+def _cut_out(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Round 3, sending: names of the full length at every place of the stretches left."""
+    for batch in batches:
+        k0, tx, held, owner, size = batch.column("k0").to_numpy(), batch.column("tx").to_numpy(), [], [], 0
+        stretches = []
+        for at, (text, lists) in enumerate(zip(batch.column("text"), batch.column("found"), strict=True)):
+            data = (text.as_py() or "").encode("utf-8", "surrogatepass")
+            for s in np.frombuffer(b"".join(lists.as_py()), REFINE):
+                lo = int(s["lo"])
+                held.append(data[lo : lo + int(s["many"]) - 1 + LENGTH])
+                stretches.append(s)
+                owner.append(at)
+                size += len(held[-1])
+                if size > CHUNK_BYTES:
+                    yield _named(buckets, held, np.array(stretches, REFINE), np.array(owner), k0, tx)
+                    held, stretches, owner, size = [], [], [], 0
+        if held:
+            yield _named(buckets, held, np.array(stretches, REFINE), np.array(owner), k0, tx)
+    trim()
+
+
+def _named(buckets: int, held: list[bytes], s: np.ndarray, owner: np.ndarray, k0: np.ndarray, tx: np.ndarray) -> pa.RecordBatch:
+    many = s["many"].astype(np.int64)
+    which = np.repeat(np.arange(len(s)), many)
+    nth = np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
+    at = np.cumsum([0, *map(len, held)])[which] + nth
+    name = Hasher(np.frombuffer(b"".join(held), np.uint8))(at, at + LENGTH)
+    name = _pair(_pair(s["g"][which], (s["lead"][which] - nth).astype(np.uint64)), name)
+    return _requests(buckets, name, (s["lo"][which] + nth).astype(np.uint32), owner[which], k0, tx, s["known"][which] > 0)
+
+
 def _keep(with_text: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What is left of each document once the bytes under its ranges are gone."""
     for batch in batches:
@@ -341,12 +376,15 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = BUCKETS * parts
     found = f"{KEYS}, found binary"
-    repeated = docs.mapInArrow(partial(_ask, buckets), REQUESTS).repartition(parts, "bucket").mapInArrow(_answer, found)
+    repeated = docs.mapInArrow(partial(_ask, buckets), REQUESTS).repartition(parts, "bucket").mapInArrow(partial(_answer, False), found)
     left = _joined(docs, repeated, "inner").select("k0", "tx", "text", "found")
-    met = settle(left.mapInArrow(partial(_stretches, buckets), STRETCHES).repartition(parts, "bucket").mapInArrow(_meet, f"{found}, kind int"))
-    left = _joined(docs, met.where("kind = 1"), "inner").select("k0", "tx", "text", "found")
-    pieces = left.mapInArrow(_cut_out, "g long, k0 long, tx long, lo long, many long, lead long, known boolean, bytes binary")
-    return met.where("kind = 0").select("k0", "tx", "found").union(pieces.repartition(parts, "g").mapInArrow(_place_by_place, found))
+    met = left.mapInArrow(partial(_stretches, buckets), STRETCHES).repartition(parts, "bucket")
+    met = settle(met.mapInArrow(partial(_meet, buckets), f"{found}, kind int"))
+    of = {kind: met.where(f"kind = {kind}").select("k0", "tx", "found") for kind in range(3)}
+    read = of[1].union(of[2].repartition(parts, "k0").mapInArrow(_decide, found))
+    left = _joined(docs, read, "inner").select("k0", "tx", "text", "found")
+    places = left.mapInArrow(partial(_cut_out, buckets), REQUESTS).repartition(parts, "bucket")
+    return of[0].union(places.mapInArrow(partial(_answer, True), found))
 
 
 def _removed(docs: DataFrame, doc_id: str, text: str, with_text: bool) -> DataFrame:
