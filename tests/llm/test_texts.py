@@ -241,6 +241,13 @@ def test_near_text_chains_and_families(spark):
         assert len(set(want.values())) > 6
 
 
+def test_near_text_reads_pairs_whose_short_sketches_differ(spark):
+    """A pair just at the limit whose sketches of 128 bits differ in five: 4.5 standard deviations would be four."""
+    words = [f"22828.{k}" for k in range(300)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:297]))], "doc_id long, text string")
+    assert sorted((r.doc_id, r.component_id) for r in near_text.near_text(docs, 99, 1).collect()) == [(1, 1), (2, 1)]
+
+
 def test_dropping_near_text_keeps_one_of_each(awkward, nothing):
     want = plain_components(awkward.collect(), 80)
     stay = near_text.drop_near_text(awkward)

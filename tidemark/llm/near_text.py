@@ -6,8 +6,8 @@ sends every shingle to coordinate j, so the last is filled after 2t rounds at mo
 the concentration of independent samples, at a cost of about one hash for a shingle.
 
 Documents with equal shingle sets are one class. Classes that agree on a whole band of coordinates are candidates: first each with the
-smallest of its bucket, then, where a bucket's members still lie in several components, all pairs between those components that a longer
-sketch leaves. Every link is confirmed on the full sets of both texts.
+smallest of its bucket, which only their sizes can rule out, then, where a bucket's members still lie in several components, all pairs
+between those components that a longer sketch leaves. Every link is confirmed on the full sets of both texts.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ from tidemark.llm.textbytes import Hasher, chunks, lowered, mix64, runs
 #: Coordinates of a sketch. Bands of five coordinates from a similarity of 0.85 on, else of four: a pair just similar enough misses all of
 #: them once in two million times at 0.85, once in twenty million at 0.8.
 COORDINATES = 128
-#: A candidate is not read if its one-bit sketches differ in more bits than a pair just similar enough would, by so many standard
-#: deviations: three such pairs in a million are not read.
+#: A pair between components is not read if its finer sketches differ in more bits than a pair just similar enough would, by so many
+#: standard deviations: eight such pairs in a million are not read.
 DEVIATIONS = 4.5
 #: Bits of the finer sketches that pairs between components are held against.
 FINE = 2048
@@ -97,7 +97,7 @@ def _band_rows(percent: int) -> int:
 
 
 def _features(width: int, rows: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each document the size and two hashes of its shingle set, two words of one-bit sketch and a key for each band."""
+    """For each document the size and two hashes of its shingle set and a key for each band."""
     for batch in batches:
         for first, data, bounds in chunks((t.as_py() for t in batch.column("text")), b"", b"\n"):
             n = len(bounds) - 1
@@ -107,14 +107,12 @@ def _features(width: int, rows: int, batches: Iterator[pa.RecordBatch]) -> Itera
             np.add.at(sums[0], doc, mix64(h))
             np.add.at(sums[1], doc, mix64(h * _FACTOR))
             s = sketches(doc, h, n)
-            bits = _one_bit(s)
             bands = COORDINATES // rows
             keys = np.repeat(np.arange(bands, dtype=np.uint64)[None, :], n, 0)
             for k in range(rows):
                 keys = mix64(keys * _FACTOR + s[:, k : bands * rows : rows])
             columns = {
                 "doc_id": batch.column("doc_id").slice(first, n), "tx": batch.column("tx").slice(first, n), "n": size, "f0": sums[0].view(np.int64), "f1": sums[1].view(np.int64),
-                "b0": np.ascontiguousarray(bits[:, 0]), "b1": np.ascontiguousarray(bits[:, 1]),
                 "bands": pa.ListArray.from_arrays(pa.array(np.arange(0, n * bands + 1, bands, dtype=np.int32)), pa.array(keys.view(np.int64).ravel())),
             }
             yield pa.RecordBatch.from_pydict({k: v if isinstance(v, pa.Array) else pa.array(v) for k, v in columns.items()})
@@ -176,10 +174,9 @@ def _most_bits(percent: int, bits: int) -> int:
     return int(bits * (p + DEVIATIONS * (p * (1 - p) / bits) ** 0.5))
 
 
-def _alike(x, y, percent: int):
-    """Sizes and one-bit sketches leave a link possible. ``x`` and ``y`` find a column of either side."""
-    bits = F.bit_count(x("b0").bitwiseXOR(y("b0"))) + F.bit_count(x("b1").bitwiseXOR(y("b1")))
-    return (F.least(x("n"), y("n")) * 100 >= F.greatest(x("n"), y("n")) * percent) & (bits <= _most_bits(percent, COORDINATES))
+def _fitting(x, y, percent: int):
+    """Sizes leave a link possible."""
+    return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
 
 UNIT = ("key", "a", "b")
@@ -268,17 +265,17 @@ def near_text(docs: DataFrame, percent: int = 80, width: int = 5, doc_id: str =
     components are merged. Other columns are ignored, whatever their names; no rows give no rows.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    schema = "doc_id long, tx long, n long, f0 long, f1 long, b0 long, b1 long, bands array<long>"
+    schema = "doc_id long, tx long, n long, f0 long, f1 long, bands array<long>"
     known = settle(rows.withColumn("tx", F.xxhash64("text")).mapInArrow(partial(_features, width, _band_rows(percent)), schema))
-    first = F.min(F.struct("doc_id", "tx", "b0", "b1", "bands")).alias("r")
+    first = F.min(F.struct("doc_id", "tx", "bands")).alias("r")
     classes = known.where("n > 0 and doc_id is not null").groupBy("n", "f0", "f1").agg(first)
-    classes = settle(classes.select("n", "f0", "f1", F.xxhash64("f0", "f1", "n").alias("cid"), F.col("r.doc_id").alias("rep"), "r.tx", "r.b0", "r.b1", "r.bands"))
+    classes = settle(classes.select("n", "f0", "f1", F.xxhash64("f0", "f1", "n").alias("cid"), F.col("r.doc_id").alias("rep"), "r.tx", "r.bands"))
 
-    banded = classes.select(F.posexplode("bands").alias("band", "key"), "rep", "cid", "n", "b0", "b1")
-    hub = F.min(F.struct("rep", "cid", "n", "b0", "b1")).alias("hub")
+    banded = classes.select(F.posexplode("bands").alias("band", "key"), "rep", "cid", "n")
+    hub = F.min(F.struct("rep", "cid", "n")).alias("hub")
     hubs = settle(banded.groupBy("key").agg(F.count(F.lit(1)).alias("members"), hub).where("members > 1").drop("members"))
     members = settle(banded.join(hubs, "key"))
-    near = members.where((F.col("cid") != F.col("hub.cid")) & _alike(lambda c: F.col(c), lambda c: F.col(f"hub.{c}"), percent))
+    near = members.where((F.col("cid") != F.col("hub.cid")) & _fitting(F.col("n"), F.col("hub.n"), percent))
     star = near.select(F.col("hub.rep").alias("a"), F.col("hub.cid").alias("ac"), F.col("rep").alias("b"), F.col("cid").alias("bc")).distinct()
     links = _links(star, classes, rows, width, percent)
 
