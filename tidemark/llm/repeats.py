@@ -1,8 +1,8 @@
 """Suffix-array dedup: bytes covered by a string of a given length that starts anywhere else in the corpus.
 
-Suffixes are ranked by prefix doubling, as far as the threshold needs it. A rank is a name: the rank of the first 2h bytes at a place
-follows from the pair of ranks (of h bytes there, of h bytes h further on), so equal names mean equal bytes and no join is needed to
-fetch the second of a pair. Each round Spark brings equal names together, and places whose name occurs once are dropped for good:
+Anchored fingerprints stand in for ranks by prefix doubling. The name of a place is a 64-bit hash of the h bytes there, so but for
+collisions equal names mean equal bytes, and no join is needed to fetch the second rank of a pair. Each round Spark brings equal names
+together, and places whose name occurs once are dropped for good:
 
 1. h = 64, at a sample of places. From every place, the least-named of the next ``SPREAD`` places is its anchor; the choice depends on the
    bytes alone, so both ends of a repeat make it. A string with a unique anchor inside is itself unique.
