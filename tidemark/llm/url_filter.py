@@ -15,7 +15,8 @@ from tidemark.llm.common import small
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: One block holds four 64-bit words and each key sets one bit in each, with this many bits of filter for a key.
 WORDS, BITS_PER_KEY = 4, 16
-#: Broadcast bounds: filter blocks (40 bytes each) and rules (about 100 bytes each). Above them both joins shuffle.
+#: Broadcast bounds: filter blocks (40 bytes each) and rules (about 100 bytes each). Above the first the filter is
+#: skipped and every key goes to the exact join; above the second that join shuffles.
 MAX_BLOCKS, MAX_RULES = 250_000, 100_000
 
 
