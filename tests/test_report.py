@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import checks
-from tidemark.plans import report
+from tidemark.plans import catalogue, report
 
 ENTRY = "idx int, name string, kind string, source_org string, object string, event_type string, interval string, csv_path string, date_field string, target_org string, target_dataset string, target_file string, operation string, override_metadata boolean, start string, end string"
 
@@ -65,3 +65,10 @@ def test_counters_and_readiness(spark):
     assert sorted(tuple(r) for r in checks.counters(lines, "target", "line", "file", "part").collect()) == [("t", 2, 6, 2, 2), ("u", 1, 1, 1, 1)]
     got = checks.target_ready(lines, lines.where("target = 'u'"), "target")
     assert sorted((r.target, r.status) for r in got.collect()) == [("t", "warn"), ("u", "pass")]
+
+
+def test_a_missing_org_is_an_error(spark, tmp_path):
+    spark.createDataFrame([(1, "FRANCE")], "n_nationkey int, n_name string").write.parquet(str(tmp_path / "nation.parquet"))
+    spark.createDataFrame([(7, 1), (8, 2)], "s_suppkey int, s_nationkey int").write.parquet(str(tmp_path / "supplier.parquet"))
+    with pytest.raises(Exception, match="missing org: 2"):
+        catalogue.augment_lookup(spark, str(tmp_path)).collect()

@@ -129,6 +129,8 @@ def layout_projection(spark, sf_dir):
 def augment_lookup(spark, sf_dir):
     orgs = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
     rows = table(spark, sf_dir, "supplier").join(orgs, F.col("s_nationkey") == F.col("id"), "left")
+    complaint = F.raise_error(F.concat(F.lit("missing org: "), F.coalesce(F.col("s_nationkey").cast("string"), F.lit("null"))))
+    rows = rows.withColumn("name", F.when(F.col("id").isNull(), complaint.cast("string")).otherwise(F.col("name")))
     template = F.lit("from {{sourceOrg.Name}} ({{sourceOrg.Id}}) {{ kept }}")
     return rows.select("s_suppkey", interpolate(template, {"sourceOrg.Name": F.col("name"), "sourceOrg.Id": F.col("id").cast("string")}).alias("label"))
 
