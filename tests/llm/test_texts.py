@@ -112,6 +112,9 @@ def test_pieces_give_the_ids_of_whole_texts(name, awkward):
     texts = [r.text or "" for r in awkward.collect()]
     texts += [" a", "a ", "a  b", "a \n b", "a\nb", "\na", "a\n", "a \u00a0b", "don't we'll", "É éa ΣΑΣ. İx,", "e\u0301 x", "12 3,4 ...", "a<|startoftext|> b", "\x1c a"]
     texts += ["".join(rng.choice(" \n\t.,'éAb1#") for _ in range(30)) for _ in range(300)]
+    texts += ["x İ_", "o GELDİ.", "o GELDİ, dedi", "AÇIK DEĞİL Mİ?", "İ\n."]
+    letters = list("İıßǅŉΐΣσÉá\u0301\u0307bAz19٣½.,'’!?-_(\n\t \x1c♥漢ﬁ") + [" "] * 12 + ["'s", "'LL", "...", "<|endoftext|>", "GELDİ"]
+    texts += ["".join(rng.choice(letters) for _ in range(rng.randint(1, 25))) for _ in range(5000)]
     for text in texts:
         assert encode(text) == array("I", plain.encode(text, add_special_tokens=False).ids).tobytes(), repr(text)
 

@@ -32,7 +32,7 @@ class _Pieces(dict):
         before, newline, after = piece.partition("\n")
         if self.inner and self.encoder.keeps_space and (not piece or piece[-1].isspace()):
             found = None
-        elif core.isalpha() and (core.isascii() or max(core) < "\u0250"):
+        elif core.isalpha() and (core.isascii() or max(core) < "\u0250" and self.encoder.stays_letters(core)):
             found = self.encoder.word(self.prefix, core) if core is piece else self[core] + self.encoder.bare(piece[len(core) :])
         elif newline and before and after and not (before[-1].isspace() or after[0].isspace()):
             found = self[before] + self.encoder.bare(newline) + self.encoder.bare(after)
@@ -59,12 +59,14 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def stays_letters(self, core: str) -> bool:
+        """Lower case makes no marks of the letters, as it does of U+0130: a mark would join the punctuation that follows it."""
+        return not self.lowers or core.lower().isalpha()
+
     def word(self, prefix: str, letters: str) -> bytes:
         """Latin letters without marks of their own: one pre-token, which goes to the library's merge model directly."""
         if self.lowers:
             letters = letters.lower()
-            if not letters.isalpha():
-                return self.whole(prefix + letters)
         if letters.isascii():
             as_bytes = BYTE_CHARS[32] + letters if prefix else letters
         else:
