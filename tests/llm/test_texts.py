@@ -6,12 +6,10 @@ import re
 import zlib
 from array import array
 from collections import Counter, defaultdict
-from functools import partial
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import pyarrow.compute
 import pytest
 from tokenizers import Tokenizer
 
@@ -58,45 +56,32 @@ def test_repeats_of_every_overlap(spark):
     assert got == plain_repeats(texts)
 
 
-def test_stretches_around_a_common_passage_spread_over_buckets(spark):
-    """One passage beside different text in every document: no bucket of any round gets more than a few of the stretches at its ends."""
+def test_a_common_passage_costs_a_task_one_row_for_each_name(spark):
+    """One passage beside different text in every document: no name is sent to where it meets others more than once, and results are exact."""
     rng = random.Random(5)
     letters = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
     passage = letters(400)
     texts = [letters(250) + passage + letters(250) for _ in range(300)]
     keys = {"k0": pa.array(range(300), pa.int64()), "tx": pa.array(range(300), pa.int64())}
-    buckets = 16
-
-    def met(sent, receive):
-        parts = pa.Table.from_batches(sent)
-        return [b for k in sorted(set(parts["bucket"].to_pylist())) for b in receive(iter(parts.filter(pa.compute.equal(parts["bucket"], k)).combine_chunks().to_batches()))]
-
-    def joined(found, length):
-        lists = [[] for _ in range(length)]
-        for row in pa.Table.from_batches(found).to_pylist():
-            lists[row["k0"]].append(row["found"])
-        return pa.RecordBatch.from_pydict({**keys, "text": pa.array(texts), "found": pa.array(lists, pa.list_(pa.binary()))})
-
-    def most(sent, column, width):
-        count = Counter()
-        for row in pa.Table.from_batches(sent).to_pylist():
-            count[row["bucket"]] += len(row[column]) // width
-        return max(count.values()), sum(count.values())
-
-    asked = list(repeats._ask(buckets, iter([pa.RecordBatch.from_pydict({**keys, "text": pa.array(texts)})])))
-    sent = list(repeats._stretches(buckets, iter([joined(met(asked, partial(repeats._answer, False)), 300)])))
-    largest, total = most(sent, "g", 8)
-    assert total >= 600 and largest < total / 4
-    kinds = pa.Table.from_batches(met(sent, partial(repeats._meet, buckets)))
-    decided = list(repeats._decide(iter(kinds.filter(pa.compute.equal(kinds["kind"], 2)).to_batches())))
-    read = [*kinds.filter(pa.compute.equal(kinds["kind"], 1)).select(["k0", "tx", "found"]).to_batches(), *decided]
-    places = list(repeats._cut_out(buckets, iter([joined(read, 300)])))
-    largest, total = most(places, "name", 8)
-    assert total >= 600 and largest < total / 4
+    sent = pa.Table.from_batches(repeats._ask(iter([pa.RecordBatch.from_pydict({**keys, "text": pa.array(texts)})] * 2)))
+    meeting = Counter(n for n, i in zip(sent["name"].to_pylist(), sent["info"].to_pylist(), strict=True) if i & 3 != repeats.FOUND)
+    assert max(meeting.values()) <= 2 and sum((i & 3) == repeats.FOUND for i in sent["info"].to_pylist()) > 300
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
     assert [tuple(r)[1:] for r in sorted(repeats.repeats(docs).collect())] == plain_repeats(texts)
 
 
+def test_repeats_next_to_the_ends_of_documents(spark):
+    """Ranks of copies agree where one copy ends with its document and the other goes on, and where runs make every place an anchor."""
+    rng = random.Random(31)
+    p = "".join(rng.choice("abcd") for _ in range(500))
+    texts = [p[a:b] + rng.choice(["", "zz", "y" * 60, "ab" * 90, p[:90]]) for a, b in [sorted(rng.sample(range(500), 2)) for _ in range(120)]]
+    texts += ["q" * n for n in (199, 200, 260, 400)] + ["abc" * 100 + p[100:320], p[100:320] + "abc" * 100]
+    docs = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)] + [(0, texts[0]), (0, texts[0])], "doc_id long, text string").repartition(3)
+    rows = docs.collect()
+    want = sorted((r.doc_id, *w) for r, w in zip(rows, plain_repeats([r.text for r in rows]), strict=True))
+    assert sorted(tuple(r) for r in repeats.repeats(docs).collect()) == want
+
+
 def test_repeats_cut_out_of_texts(awkward, nothing):
     kept = repeats.remove_repeats(awkward)
     assert kept.columns == awkward.columns and kept.count() == awkward.count()

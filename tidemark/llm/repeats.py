@@ -1,18 +1,20 @@
 """Suffix-array dedup: bytes covered by a string of a given length that starts anywhere else in the corpus.
 
-Anchored fingerprints stand in for ranks by prefix doubling. The name of a place is a 64-bit hash of the h bytes there, so but for
-collisions equal names mean equal bytes, and no join is needed to fetch the second rank of a pair. Each round Spark brings equal names
-together, and places whose name occurs once are dropped for good:
-
-1. h = 64, at a sample of places. From every place, the least-named of the next ``SPREAD`` places is its anchor; the choice depends on the
-   bytes alone, so both ends of a repeat make it. A string with a unique anchor inside is itself unique.
-2. h = 152 (64, 128, 152), at the anchors of the strings left. Strings with one anchor lie together as a stretch; a stretch whose bytes
-   occur twice from end to end is past the threshold in all its strings, and one whose anchor's name is unique is dropped.
-3. h = 200, at every place left, which are those around the ends of repeats.
-
-All rounds pack what one task sends to another into byte blocks and settle among themselves what repeats inside one block, so that a
-passage in a third of all documents costs a block one entry. Stretches meet by anchor and bytes together, and places by their full names, so
-different stretches with one anchor are spread over all tasks; of an anchor, a task passes on one stretch at most to tell whether it has others.
+Prefix doubling over a sample of positions. A position's rank stands for the bytes from there on: equal ranks, equal bytes. Spark sorts
+pairs of ranks, those of a position and of the one at a growing offset, and gives equal pairs a new rank, which covers both; positions
+whose pair is unique are dropped, and the others go on until their ranks cover as much as a repeat is sure to share.
+
+1. Positions are anchors: from every place, the least-named of the next ``SPREAD`` places, so that both ends of a repeat choose alike, and
+   every string of the full length holds some. The first rank is the name, a 64-bit hash, of ``FIRST`` bytes. Unique names are dropped.
+2. Anchors are ranked anew by pairs (rank, rank of the anchor at offset 1, 2, 4, ... anchors), as long as the pair lies within what any
+   string with this anchor covers. The ranks are numbers that Spark gives to the pairs it finds more than once, not hashes.
+3. The last offset leads to the full length. The strings that share one anchor lie together as a stretch. A stretch whose rank and bytes
+   from end to end occur twice is past the threshold in all its strings. The others, which are those around the ends of repeats, are read
+   place by place: pairs of an anchor's rank and a string's name in 128 bits.
+
+Rows that one task knows to be repeated are not all sent: of equal names in a chunk one is sent to where they meet, marked, and the
+others go elsewhere, so that a passage in a third of all documents costs a chunk one row for each anchor. Counts of pairs are aggregated before
+they are shuffled.
 """
 
 from __future__ import annotations
@@ -23,18 +25,23 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.llm.common import settle
 from tidemark.llm.textbytes import CHUNK_BYTES, Hasher, chunks, mix64, runs, trim
 
-#: Bytes of a repeat; of a first name; places among which one is the anchor; of an anchor's longest name.
-LENGTH, FIRST, SPREAD, SECOND = 200, 64, 48, 152
-#: Buckets for each shuffle partition.
-BUCKETS = 4
+#: Bytes of a repeat and of a first name; places among which one is the anchor.
+LENGTH, FIRST, SPREAD = 200, 64, 48
+#: Windows that start up to so many bytes after an anchor lie inside every string that has this anchor.
+SURE = LENGTH - FIRST - 2 * (SPREAD - 1)
+#: Names known to be repeated that a task remembers from its earlier chunks (8 bytes each).
+REMEMBERED = 1 << 18
+#: States of a row: as it is; known to be repeated and sent to tell others; known to be repeated, sent elsewhere.
+PLAIN, TELLS, FOUND = 0, 1, 2
 _FACTOR = np.uint64(0xA0761D6478BD642F)
-KEYS = "k0 long, tx long"
+KEYS = ["k0", "tx"]
 
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -45,13 +52,13 @@ class _Places:
     """Names and anchors of a chunk of documents."""
 
     def __init__(self, data: np.ndarray, bounds: np.ndarray):
-        self.bounds, size = bounds, len(data)
+        size = len(data)
         end = np.repeat(bounds[1:], np.diff(bounds))
         at = np.arange(size)
         self.hash = Hasher(data)
         self.first = self.hash.grams(FIRST) if size >= FIRST else np.empty(0, np.uint64)
         long = np.repeat(np.diff(bounds) >= LENGTH, np.diff(bounds))
-        self.starts = np.flatnonzero(long & (at + LENGTH <= end))  # of strings of the full length
+        starts = np.flatnonzero(long & (at + LENGTH <= end))  # of strings of the full length
         tested = np.flatnonzero(long & (at + FIRST + SPREAD - 1 <= end))
         low = np.uint64((1 << max(20, size.bit_length())) - 1)
         key = np.full(-(-max(1, size) // SPREAD) * SPREAD + SPREAD, np.iinfo(np.uint64).max)
@@ -60,331 +67,245 @@ class _Places:
         ahead = np.minimum.accumulate(blocks, 1).ravel()
         behind = np.minimum.accumulate(blocks[:, ::-1], 1)[:, ::-1].ravel()
         least = np.minimum(behind[:size], ahead[SPREAD - 1 : SPREAD - 1 + size])
-        self.anchor = (least & low).astype(np.int64)  # for each place, where its anchor is
-        own = self.anchor[tested]
+        anchor = (least & low).astype(np.int64)  # for each place, where its anchor is
+        own = anchor[tested]
         new = np.ones(len(own), bool)
         new[1:] = own[1:] != own[:-1]
-        self.anchors, self.tested, self.nth = own[new], tested, np.cumsum(new) - 1
+        self.anchors, window = own[new], tested[new]  # with the first place that chooses each
         self.doc = np.searchsorted(bounds, self.anchors, "right") - 1
-        self.before = np.searchsorted(self.doc, np.arange(len(bounds)))  # anchors of earlier documents
-
-
-def _blocks(bucket: np.ndarray, owner: np.ndarray, k0: np.ndarray, tx: np.ndarray, columns: dict[str, np.ndarray]) -> dict[str, list]:
-    """One row for each bucket: its documents' keys, the owner of each entry among them and the entries, packed."""
-    order = np.argsort(bucket, kind="stable")
-    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-    out: dict[str, list] = {name: [] for name in ("bucket", "k0", "tx", "owner", *columns)}
-    for part in np.split(order, cuts) if len(order) else []:
-        docs, inside = np.unique(owner[part], return_inverse=True)
-        out["bucket"].append(int(bucket[part[0]]))
-        out["k0"].append(k0[docs].tobytes())
-        out["tx"].append(tx[docs].tobytes())
-        out["owner"].append(inside.astype(np.uint32).tobytes())
-        for name, values in columns.items():
-            out[name].append(values[part].tobytes())
-    return out
-
-
-def _rows(fields: dict[str, list], types: dict[str, pa.DataType]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({name: pa.array(fields[name], types.get(name, pa.binary())) for name in fields})
-
-
-def _by_document(owner: np.ndarray, values: np.ndarray, k0: np.ndarray, tx: np.ndarray) -> pa.RecordBatch | None:
-    """``k0, tx, found``: the values of each owner, packed."""
-    if not len(owner):
-        return None
-    order = np.argsort(owner, kind="stable")
-    cuts = np.flatnonzero(np.diff(owner[order])) + 1
-    parts = np.split(order, cuts)
-    who = owner[order[np.concatenate([[0], cuts])]]
-    return pa.RecordBatch.from_pydict({"k0": pa.array(k0[who]), "tx": pa.array(tx[who]), "found": pa.array([values[p].tobytes() for p in parts], pa.binary())})
-
-
-RANGE = np.dtype([("lo", "<u4"), ("many", "<u4")])
-REQUESTS = "bucket long, k0 binary, tx binary, owner binary, name binary, nth binary, shared binary"
-
-
-def _requests(buckets: int, name: np.ndarray, nth: np.ndarray, owner: np.ndarray, k0: np.ndarray, tx: np.ndarray, known: np.ndarray) -> pa.RecordBatch | None:
-    """Names of places by bucket. A name that a chunk holds twice is sent once, without owners, as ``shared``; its own places are sent as
-    already found, with an empty name. So is a name of ``known`` places, which occur twice and are found elsewhere: they are not sent."""
-    unique, inverse, count = np.unique(name, return_inverse=True, return_counts=True)
+        follows = np.append(self.doc[1:] == self.doc[:-1], False) if len(own) else np.empty(0, bool)
+        self.gap = np.where(follows, np.append(np.diff(self.anchors), 0), 0)  # to the next anchor of the document, if any
+        self.window = np.where(follows, np.append(window[1:], 0) - self.anchors, 0)  # where the next one's first window starts
+        q = anchor[starts]
+        new = np.ones(len(q), bool)
+        new[1:] = q[1:] != q[:-1]
+        first = np.flatnonzero(new)
+        self.lo, self.many = np.zeros((2, len(self.anchors)), np.int64)
+        at = np.searchsorted(self.anchors, q[first])
+        self.lo[at], self.many[at] = starts[first], np.diff(np.append(first, len(q)))
+
+
+#: How a row's numbers are packed, by bits from the lowest: state, places, lead, window (less its least value), gap, place of the anchor.
+BITS = {"state": 2, "many": 6, "lead": 6, "window": 6, "gap": 6}
+LEAST_WINDOW = 1 - SPREAD
+
+
+def _unpacked() -> dict[str, Column]:
+    out, at = {}, 0
+    for name, width in BITS.items():
+        out[name] = F.shiftright("info", at).bitwiseAND(F.lit((1 << width) - 1)).cast("int")
+        at += width
+    return {**out, "window": out["window"] + LEAST_WINDOW, "at": F.shiftright("info", at).cast("int")}
+
+
+def _states(name: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Of equal names in a chunk, or with one known to be repeated: one tells, the others are found."""
+    _, index, inverse, count = np.unique(name, return_index=True, return_inverse=True, return_counts=True)
     several = count > 1
     several[inverse[known]] = True
-    twice = several[inverse]
-    one, mine = ~twice, twice & ~known
-    bucket = (name >> np.uint64(20)) % np.uint64(buckets)
-    out = _blocks(bucket[one].astype(np.int64), owner[one], k0, tx, {"name": name[one], "nth": nth[one]})
-    own = _blocks(owner[mine] % buckets, owner[mine], k0, tx, {"nth": nth[mine]})
-    shared = unique[several]
-    of = ((shared >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
-    sent = _blocks(of, np.zeros(len(shared), np.int64), k0[:1], tx[:1], {"shared": shared})
-    rows = {c: [] for c in ("bucket", "k0", "tx", "owner", "name", "nth", "shared")}
-    for part in (out, own, sent):
-        for c in rows:
-            rows[c] += part.get(c, [b""] * len(part["bucket"]))
-    return _rows(rows, {"bucket": pa.int64()}) if rows["bucket"] else None
-
-
-def _ask(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Round 1, sending: anchors' names by bucket."""
-    for batch in batches:
-        key0, key1 = batch.column("k0").to_numpy(), batch.column("tx").to_numpy()
-        for first, data, bounds in chunks(t.as_py() for t in batch.column("text")):
-            p = _Places(data, bounds)
-            name, nth = p.first[p.anchors], (np.arange(len(p.anchors)) - p.before[p.doc]).astype(np.uint32)
-            k0, tx = key0[first : first + len(bounds) - 1], key1[first : first + len(bounds) - 1]
-            out = _requests(buckets, name, nth, p.doc, k0, tx, np.zeros(len(name), bool))
-            if out is not None:
-                yield out
-
+    state = np.where(several[inverse], FOUND, PLAIN)
+    state[index[several]] = TELLS
+    return state
 
-def _one_each(nth: np.ndarray) -> np.ndarray:
-    """Ranges of one place each."""
-    ranges = np.zeros(len(nth), RANGE)
-    ranges["lo"], ranges["many"] = nth, 1
-    return ranges
 
-
-def _answer(ranges: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rounds 1 and 3, receiving: which anchors of which documents, or with ``ranges`` which places, have names that occur elsewhere."""
-    made = _one_each if ranges else np.asarray
-    asked, shared = [], []
-    for batch in batches:
-        for row in batch.to_pylist():
-            if row["shared"]:
-                shared.append(np.frombuffer(row["shared"], np.uint64))
-                continue
-            owner, nth = np.frombuffer(row["owner"], np.uint32), np.frombuffer(row["nth"], np.uint32)
-            k0, tx = np.frombuffer(row["k0"], np.int64), np.frombuffer(row["tx"], np.int64)
-            if row["name"]:
-                asked.append((np.frombuffer(row["name"], np.uint64), owner, nth, k0, tx))
-            else:
-                yield _by_document(owner, made(nth), k0, tx)
-    if asked:
-        unique, inverse, count = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True, return_counts=True)
-        again = count > 1
-        if shared:
-            again |= np.isin(unique, np.concatenate(shared))
-        again, at = again[inverse], 0
-        for name, owner, nth, k0, tx in asked:
-            hit = again[at : at + len(name)]
-            at += len(name)
-            found = _by_document(owner[hit], made(nth[hit]), k0, tx)
-            if found is not None:
-                yield found
-
-
-STRETCHES = "bucket long, k0 binary, tx binary, owner binary, g binary, n binary, lo binary, many binary, lead binary, state binary"
-#: States of a stretch: as it is; already known to occur twice; found, to be passed on as it is.
-PLAIN, TWICE, FOUND = 0, 1, 2
-
-
-def _stretches(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Round 2, sending: stretches of places that may repeat, by the longest name of their anchor and their bytes."""
+def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each anchor with its name and, for the stretch of strings that have it, the name of all their bytes."""
+    remembered = np.empty(0, np.uint64)
     for batch in batches:
-        key0, key1, lists = batch.column("k0").to_numpy(), batch.column("tx").to_numpy(), batch.column("found")
+        key0, key1 = batch.column("k0").to_numpy(), batch.column("tx").to_numpy()
         for first, data, bounds in chunks(t.as_py() for t in batch.column("text")):
-            p, n_docs = _Places(data, bounds), len(bounds) - 1
-            if not len(p.starts):
+            p = _Places(data, bounds)
+            if not len(p.anchors):
                 continue
-            again = np.zeros(len(p.anchors), bool)
-            for i in range(n_docs):
-                again[p.before[i] + np.frombuffer(b"".join(lists[first + i].as_py()), np.uint32)] = True
-            unique = np.zeros(len(data) + 1, np.int64)
-            unique[p.tested] = ~again[p.nth]
-            before = np.concatenate([[0], np.cumsum(unique)])
-            may = before[p.starts + LENGTH - FIRST - SPREAD + 2] == before[p.starts]
-            q = p.anchor[p.starts]
-            doc = np.searchsorted(bounds, p.starts, "right") - 1
-            new = np.ones(len(q), bool)
-            new[1:] = (q[1:] != q[:-1]) | (doc[1:] != doc[:-1])
-            at = np.flatnonzero(new)
-            many = np.diff(np.append(at, len(q)))
-            able = np.add.reduceat(may.astype(np.int64), at)
-            some = able > 0
-            at, many, full = at[some], many[some], able[some] == many[some]
-            lo, q, doc = p.starts[at], q[at], doc[at]
-            g = _pair(_pair(p.first[q], p.first[q + FIRST]), p.first[q + SECOND - FIRST])
-            k0, tx = key0[first : first + n_docs], key1[first : first + n_docs]
-            lead = q - lo
-            n = _pair(p.hash(lo, lo + many - 1 + LENGTH), lead.astype(np.uint64))
-            alone = mix64(tx[doc].view(np.uint64) ^ mix64(k0[doc].view(np.uint64) + (lo - bounds[doc]).astype(np.uint64)))
-            n = np.where(full, n, alone)
-            both = _pair(g, n)
-            _, index, inverse, count = np.unique(both, return_index=True, return_inverse=True, return_counts=True)
-            twice = (count[inverse] > 1) & full
-            keep = ~twice
-            keep[index] = True
-            columns = {
-                "g": g, "n": n, "lo": (lo - bounds[doc]).astype(np.uint32), "many": many.astype(np.uint8), "lead": lead.astype(np.uint8),
-                "state": np.where(twice, TWICE, PLAIN).astype(np.uint8),
-            }
-            bucket = ((both >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
-            bucket[~keep] = doc[~keep] % buckets
-            columns["state"][~keep] = FOUND
-            rows = _blocks(bucket, doc, k0, tx, columns)
-            if rows["bucket"]:
-                yield _rows(rows, {"bucket": pa.int64()})
-
-
-REFINE = np.dtype([("g", "<u8"), ("lo", "<u4"), ("many", "u1"), ("lead", "u1"), ("known", "u1")])
-#: A stretch, of no places where it only says that its anchor has several, and its document.
-SINGLE = np.dtype([("k0", "<i8"), ("tx", "<i8"), *((c, REFINE[c]) for c in REFINE.names)])
-
-
-def _tagged(batch: pa.RecordBatch | None, kind: int) -> Iterator[pa.RecordBatch]:
-    if batch is not None:
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(batch.num_rows, kind, np.int32))], [*batch.schema.names, "kind"])
-
-
-def _meet(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Round 2, receiving: ranges of places past the threshold (kind 0), stretches to be read place by place (kind 1), and stretches that
-    are here the only one of their anchor (kind 2, packed, with ``k0`` the bucket of the anchor), which meet once more by anchor."""
-    kinds = {"owner": np.uint32, "g": np.uint64, "n": np.uint64, "lo": np.uint32, "many": np.uint8, "lead": np.uint8, "state": np.uint8}
-    held, k0, tx, docs = {c: [] for c in kinds}, [], [], 0
-    for batch in batches:
-        for row in batch.to_pylist():
-            for c, kind in kinds.items():
-                values = np.frombuffer(row[c], kind)
-                held[c].append(values.astype(np.int64) + docs if c == "owner" else values)
-            k0.append(np.frombuffer(row["k0"], np.int64))
-            tx.append(np.frombuffer(row["tx"], np.int64))
-            docs += len(k0[-1])
-    if not docs:
-        return
-    x = {c: np.concatenate(v) for c, v in held.items()}
-    k0, tx = np.concatenate(k0), np.concatenate(tx)
-    passed = x["state"] == FOUND
-    done = [np.flatnonzero(passed)]
-    order = np.flatnonzero(~passed)
-    order = order[np.lexsort((x["n"][order], x["g"][order]))]
-    g, n = x["g"][order], x["n"][order]
-    new_g, new = np.ones(len(g), bool), np.ones(len(g), bool)
-    new_g[1:] = g[1:] != g[:-1]
-    new[1:] = new_g[1:] | (n[1:] != n[:-1])
-    which, at = np.cumsum(new) - 1, np.flatnonzero(new)
-    count = np.diff(np.append(at, len(g)))
-    known = count > 1
-    np.logical_or.at(known, which, x["state"][order] == TWICE)
-    several = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_g))[np.cumsum(new_g) - 1] > 1 if len(g) else np.empty(0, bool)
-    done.append(order[known[which]])
-    done = np.concatenate(done)
-    ranges = np.zeros(len(done), RANGE)
-    ranges["lo"], ranges["many"] = x["lo"][done], x["many"][done]
-    yield from _tagged(_by_document(x["owner"][done], ranges, k0, tx), 0)
-    read = new | ~known[which]
-    own, alone = order[read], ~several[read]
-    left = np.zeros(len(own), SINGLE)
-    for c in ("g", "lo", "many", "lead"):
-        left[c] = x[c][own]
-    left["known"] = known[which][read]
-    left["k0"], left["tx"] = k0[x["owner"][own]], tx[x["owner"][own]]
-    yield from _tagged(_by_document(x["owner"][own[~alone]], _refined(left[~alone]), k0, tx), 1)
-    heads = np.zeros(int((new_g & several).sum()), SINGLE)
-    heads["g"] = g[new_g & several]
-    single = np.concatenate([left[alone], heads])
-    bucket = ((single["g"] >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
-    yield from _tagged(_by_document(bucket, single, np.arange(buckets), np.zeros(buckets, np.int64)), 2)
-
-
-def _refined(single: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(single), REFINE)
-    for c in REFINE.names:
-        out[c] = single[c]
-    return out
-
-
-def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Round 2, end: of the stretches that were the only one of their anchor in a task, those whose anchor has others in another task."""
-    lists = [np.frombuffer(v.as_py(), SINGLE) for batch in batches for v in batch.column("found")]
-    if not lists:
-        return
-    single = np.concatenate(lists)
-    _, inverse, count = np.unique(single["g"], return_inverse=True, return_counts=True)
-    single = single[(count[inverse] > 1) & (single["many"] > 0)]
-    single = single[np.lexsort((single["tx"], single["k0"]))]
-    new = np.ones(len(single), bool)
-    new[1:] = (single["k0"][1:] != single["k0"][:-1]) | (single["tx"][1:] != single["tx"][:-1])
-    found = _by_document(np.cumsum(new) - 1, _refined(single), single["k0"][new], single["tx"][new])
-    if found is not None:
-        yield found
-
-
-def _cut_out(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Round 3, sending: names of the full length at every place of the stretches left."""
+            name, some = p.first[p.anchors], p.many > 0
+            lead = np.where(some, p.anchors - p.lo, 0)
+            n = np.zeros(len(name), np.uint64)
+            n[some] = _pair(p.hash(p.lo[some], p.lo[some] + p.many[some] - 1 + LENGTH), lead[some].astype(np.uint64))
+            state = _states(name, np.zeros(len(name), bool))
+            told = np.isin(name, remembered)
+            new = name[(state == TELLS) & ~told]
+            state[told] = FOUND
+            remembered = np.union1d(remembered, new[: max(0, REMEMBERED - len(remembered))])
+            info = p.anchors - bounds[p.doc]
+            for field, values in (("gap", p.gap), ("window", p.window - LEAST_WINDOW * (p.gap > 0)), ("lead", lead), ("many", p.many), ("state", state)):
+                info = (info << BITS[field]) | values
+            own = first + p.doc
+            columns = {"name": name.view(np.int64), "n": n.view(np.int64), "k0": key0[own], "tx": key1[own], "info": info}
+            yield pa.RecordBatch.from_pydict(columns)
+
+
+def _again(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Rows with ``info`` whose names occur more than once, or once beside a row that tells of others."""
+    state = F.col("info").bitwiseAND(F.lit((1 << BITS["state"]) - 1))
+    rows = rows.withColumn("salt", F.when(state == FOUND, F.xxhash64(*KEYS, "info")).otherwise(F.lit(0)))
+    same = Window.partitionBy(*names, "salt")
+    several = (F.count(F.lit(1)).over(same) > 1) | (F.max(state).over(same) == TELLS)
+    return rows.withColumn("several", several | (state == FOUND)).where("several").drop("several", "salt")
+
+
+PAIR = ["rank", "span", "rank2", "span2"]
+
+
+def _reranked(pairs: DataFrame) -> DataFrame:
+    """``pairs`` with ``state`` 'pair' get a new rank by (rank, rank2) and what these cover; those with a unique pair are 'dead'."""
+    several = pairs.where("state = 'pair'").groupBy(*PAIR).agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    numbered = settle(several.select(*PAIR, F.monotonically_increasing_id().alias("number")))
+    paired = F.col("state") == "pair"
+    state = F.when(~paired, F.col("state")).when(F.col("number").isNotNull(), "live").otherwise("dead")
+    return settle(
+        pairs.join(numbered, PAIR, "left").select(
+            *KEYS, "at", "n", "lead", "many",
+            F.when(paired, F.col("number")).otherwise(F.col("rank")).alias("rank"),
+            F.when(F.col("state") == "done", F.col("span")).otherwise(F.col("span") + F.col("span2")).alias("span"),
+            F.when(F.col("state") == "done", F.col("window")).otherwise(F.col("window2")).alias("window"),
+            state.alias("state"),
+        )
+    )
+
+
+def _ranked(anchors: DataFrame) -> DataFrame:
+    """``k0, tx, at, n, lead, many, rank, level``: anchors that are not shown to be unique by ranks at growing offsets.
+
+    ``span`` is how far on the last anchor lies that a rank covers and ``window`` where the first window starts that chooses it, which
+    decides whether a pair lies inside every string of the anchor. Partners of the same level alone make a pair, so that copies go alike:
+    where one stops, so do all. For anchors that died, ``span`` and ``window`` are those of bytes that occur once.
+    """
+    here, there = anchors.alias("a"), anchors.select(*[F.col(c).alias(f"{c}_") for c in KEYS], F.col("at").alias("at_"), F.col("name").alias("rank2")).alias("b")
+    meets = (F.col("k0") == F.col("k0_")) & (F.col("tx") == F.col("tx_")) & (F.col("gap") > 0)
+    pairs = here.join(there, meets & (F.col("at") + F.col("gap") == F.col("at_")), "left").select(
+        *KEYS, "at", "n", "lead", "many", F.col("name").alias("rank"), F.lit(0).alias("span"), F.lit(0).alias("window"), "rank2", F.col("gap").alias("span2"),
+        F.col("window").alias("window2"), F.when(F.col("gap") == 0, "done").when(F.col("rank2").isNull(), "dead").otherwise("pair").alias("state"),
+    )
+    level, finished, dead = 0, [], None
+    while True:
+        ranked = _reranked(settle(pairs))
+        finished.append(ranked.where("state = 'done'").withColumn("level", F.lit(level)))
+        level += 1
+        live, unique = ranked.where("state = 'live'"), ranked.where("state = 'dead'")
+        if live.isEmpty():
+            break
+        dead = unique if dead is None else dead.union(unique)
+        other = live.union(dead).select(
+            *[F.col(c).alias(f"{c}_") for c in KEYS], F.col("at").alias("at_"), F.col("rank").alias("rank2"), F.col("span").alias("span2"), F.col("window").alias("w2"), F.col("state").alias("other")
+        )
+        meets = (F.col("k0") == F.col("k0_")) & (F.col("tx") == F.col("tx_")) & (F.col("at") + F.col("span") == F.col("at_"))
+        window2 = F.col("span") + F.col("w2")
+        inside = F.coalesce(window2 <= SURE, F.lit(False))
+        pairs = live.join(other, meets, "left").select(
+            *KEYS, "at", "n", "lead", "many", "rank", "span", "window", "rank2", "span2", window2.alias("window2"),
+            F.when(~inside, "done").when(F.col("other") == "dead", "dead").otherwise("pair").alias("state"),
+        )
+    out = finished[0]
+    for more in finished[1:]:
+        out = out.union(more)
+    return out.drop("span", "window", "state")
+
+
+STRETCH = ["level", "rank", "lead", "many", "n"]
+
+
+def _read_on(stretches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``k0, tx, found`` for ranges of places past the threshold, and for stretches to be read place by place, with one that tells for each
+    that occurs twice beside others of its rank."""
+    stretches = stretches.where("many > 0")
+    classes = settle(stretches.groupBy(*STRETCH).agg(F.count(F.lit(1)).alias("times"), F.min(F.struct(*KEYS, "at")).alias("one")))
+    counted = settle(stretches.join(classes, STRETCH))
+    lo = (F.col("at") - F.col("lead")).cast("long")
+    past = counted.where("times > 1").select(*KEYS, F.shiftleft(lo, 32).bitwiseOR(F.col("many").cast("long")).alias("found"))
+    rest = counted.where("times = 1")
+    tells = counted.where((F.col("times") > 1) & (F.struct(*KEYS, "at") == F.col("one")))
+    tells = tells.join(classes.where("times = 1").select("level", "rank").distinct(), ["level", "rank"], "left_semi")
+    info = F.shiftleft(lo, 16).bitwiseOR(F.shiftleft(F.col("many").cast("long"), 8)).bitwiseOR(F.shiftleft(F.col("lead").cast("long"), 1))
+    asked = lambda df, known: df.select(*KEYS, F.struct(info.bitwiseOR(F.lit(known)).alias("info"), F.xxhash64("level", "rank").alias("rank")).alias("found"))
+    return past, asked(rest, 0).union(asked(tells, 1)).groupBy(*KEYS).agg(F.collect_list("found").alias("found"))
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Names in 128 bits, of the anchor's rank and the string, at every place of the stretches asked for."""
     for batch in batches:
-        k0, tx, held, owner, size = batch.column("k0").to_numpy(), batch.column("tx").to_numpy(), [], [], 0
-        stretches = []
-        for at, (text, lists) in enumerate(zip(batch.column("text"), batch.column("found"), strict=True)):
-            data = (text.as_py() or "").encode("utf-8", "surrogatepass")
-            for s in np.frombuffer(b"".join(lists.as_py()), REFINE):
-                lo = int(s["lo"])
-                held.append(data[lo : lo + int(s["many"]) - 1 + LENGTH])
-                stretches.append(s)
-                owner.append(at)
-                size += len(held[-1])
-                if size > CHUNK_BYTES:
-                    yield _named(buckets, held, np.array(stretches, REFINE), np.array(owner), k0, tx)
-                    held, stretches, owner, size = [], [], [], 0
-        if held:
-            yield _named(buckets, held, np.array(stretches, REFINE), np.array(owner), k0, tx)
+        lists = batch.column("found")
+        flat, sizes = lists.flatten(), np.diff(lists.offsets.to_numpy())
+        info, rank = flat.field("info").to_numpy(), flat.field("rank").to_numpy()
+        owner = np.repeat(np.arange(batch.num_rows), sizes)
+        lo, many = info >> 16, (info >> 8) & 63
+        ends = np.cumsum(many + LENGTH - 1)
+        cuts, at = [0], 0
+        while at < len(lo):
+            at = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK_BYTES, "right")))
+            cuts.append(at)
+        last, data = -1, b""
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            held = []
+            for i in range(a, b):
+                if owner[i] != last:
+                    last = owner[i]
+                    data = (batch.column("text")[int(last)].as_py() or "").encode("utf-8", "surrogatepass")
+                held.append(data[lo[i] : lo[i] + many[i] - 1 + LENGTH])
+            yield _named(held, info[a:b], rank[a:b], batch.column("k0").to_numpy()[owner[a:b]], batch.column("tx").to_numpy()[owner[a:b]])
     trim()
 
 
-def _named(buckets: int, held: list[bytes], s: np.ndarray, owner: np.ndarray, k0: np.ndarray, tx: np.ndarray) -> pa.RecordBatch:
-    many = s["many"].astype(np.int64)
-    which = np.repeat(np.arange(len(s)), many)
+def _named(held: list[bytes], info: np.ndarray, rank: np.ndarray, k0: np.ndarray, tx: np.ndarray) -> pa.RecordBatch:
+    many, lead = (info >> 8) & 63, (info >> 1) & 63
+    which = np.repeat(np.arange(len(held)), many)
     nth = np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
     at = np.cumsum([0, *map(len, held)])[which] + nth
-    name = Hasher(np.frombuffer(b"".join(held), np.uint8))(at, at + LENGTH)
-    name = _pair(_pair(s["g"][which], (s["lead"][which] - nth).astype(np.uint64)), name)
-    return _requests(buckets, name, (s["lo"][which] + nth).astype(np.uint32), owner[which], k0, tx, s["known"][which] > 0)
+    h = Hasher(np.frombuffer(b"".join(held), np.uint8))
+    name = _pair(_pair(rank.view(np.uint64)[which], (lead[which] - nth).astype(np.uint64)), h(at, at + LENGTH))
+    again = _pair(h(at, at + LENGTH // 2), h(at + LENGTH // 2, at + LENGTH))
+    state = _states(name ^ (again >> np.uint64(1)), (info[which] & 1) > 0)
+    place = ((info >> 16)[which] + nth) << BITS["state"] | state
+    return pa.RecordBatch.from_pydict({"name": name.view(np.int64), "again": again.view(np.int64), "k0": k0[which], "tx": tx[which], "info": place})
 
 
 def _keep(with_text: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What is left of each document once the bytes under its ranges are gone."""
     for batch in batches:
         out = {c: [] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
-        for text, lists in zip(batch.column("text"), batch.column("found"), strict=True):
+        lists = batch.column("found")
+        ranges, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+        for i, text in enumerate(batch.column("text")):
             data = (text.as_py() or "").encode("utf-8", "surrogatepass")
             removed = spans = 0
             kept = data
-            if lists.is_valid:
-                r = np.frombuffer(b"".join(lists.as_py()), RANGE)
+            own = ranges[offsets[i] : offsets[i + 1]]
+            if len(own):
                 step = np.zeros(len(data) + 1, np.int64)
-                np.add.at(step, r["lo"], 1)
-                np.add.at(step, r["lo"].astype(np.int64) + r["many"] - 1 + LENGTH, -1)
+                np.add.at(step, own >> 32, 1)
+                np.add.at(step, (own >> 32) + (own & 0xFFFFFFFF) - 1 + LENGTH, -1)
                 gone = np.cumsum(step)[:-1] > 0
                 removed, spans = int(gone.sum()), len(runs(gone)[0])
                 kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
             for c, v in (("n_bytes", len(data)), ("n_removed", removed), ("n_spans", spans), ("kept_sha256", hashlib.sha256(kept).hexdigest())):
                 out[c].append(v)
             out["kept"].append(kept if with_text else b"")
-        types = {"n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string()}
-        done = _rows(out, types)
+        types = {"n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string(), "kept": pa.binary()}
         names = [n for n in batch.schema.names if n not in ("text", "found")]
-        yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], *done.columns], [*names, *done.schema.names])
+        yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], *[pa.array(out[c], t) for c, t in types.items()]], [*names, *types])
 
 
-def _joined(docs: DataFrame, findings: DataFrame, how: str) -> DataFrame:
-    """Each document with all that was found for it. Findings grow with the corpus, so they are never broadcast by hand."""
-    return docs.join(findings.groupBy("k0", "tx").agg(F.collect_set("found").alias("found")), ["k0", "tx"], how)
+def _once(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Rows that share id and text are one, and all its strings are repeats: the rows without others like them, and ``k0, tx, found``."""
+    counts = docs.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("times"), F.max(F.octet_length("text")).alias("size")).where("times > 1")
+    repeated = settle(counts)
+    if repeated.isEmpty():
+        return docs, None
+    single = docs.join(repeated, KEYS, "left_anti").union(docs.join(repeated, KEYS, "left_semi").dropDuplicates(KEYS))
+    whole = (F.col("size") - LENGTH + 1).cast("long")
+    return single, repeated.where(F.col("size") >= LENGTH).select(*KEYS, whole.alias("found"))
 
 
 def find_repeats(docs: DataFrame) -> DataFrame:
-    """``k0, tx, found``: packed ranges of starting places of repeated strings, for ``docs(k0, tx, text)``."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = BUCKETS * parts
-    found = f"{KEYS}, found binary"
-    repeated = docs.mapInArrow(partial(_ask, buckets), REQUESTS).repartition(parts, "bucket").mapInArrow(partial(_answer, False), found)
-    left = _joined(docs, repeated, "inner").select("k0", "tx", "text", "found")
-    met = left.mapInArrow(partial(_stretches, buckets), STRETCHES).repartition(parts, "bucket")
-    met = settle(met.mapInArrow(partial(_meet, buckets), f"{found}, kind int"))
-    of = {kind: met.where(f"kind = {kind}").select("k0", "tx", "found") for kind in range(3)}
-    read = of[1].union(of[2].repartition(parts, "k0").mapInArrow(_decide, found))
-    left = _joined(docs, read, "inner").select("k0", "tx", "text", "found")
-    places = left.mapInArrow(partial(_cut_out, buckets), REQUESTS).repartition(parts, "bucket")
-    return of[0].union(places.mapInArrow(partial(_answer, True), found))
+    """``k0, tx, found``: ranges of starting places of repeated strings (place, then how many, 32 bits each), for ``docs(k0, tx, text)``."""
+    single, whole = _once(docs)
+    anchors = _again(single.mapInArrow(_ask, "name long, n long, k0 long, tx long, info long"), ["name"])
+    unpacked = _unpacked()
+    anchors = settle(anchors.select("name", "n", *KEYS, *[unpacked[c].alias(c) for c in ("at", "gap", "window", "lead", "many")]))
+    past, asked = _read_on(_ranked(anchors))
+    places = single.join(asked, KEYS).select(*KEYS, "text", "found").mapInArrow(_places, "name long, again long, k0 long, tx long, info long")
+    repeated = _again(places, ["name", "again"])
+    found = past.union(repeated.select(*KEYS, F.shiftleft(F.shiftright("info", BITS["state"]), 32).bitwiseOR(F.lit(1).cast("long"))))
+    return found if whole is None else found.union(whole)
 
 
 def _removed(docs: DataFrame, doc_id: str, text: str, with_text: bool) -> DataFrame:
@@ -392,8 +313,8 @@ def _removed(docs: DataFrame, doc_id: str, text: str, with_text: bool) -> DataFr
     rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)], F.col(f"`{text}`").alias("text"))
     key = F.coalesce(F.col(f"`c{others.index(doc_id)}`").cast("long"), F.lit(-(2**63)))
     rows = rows.withColumns({"k0": key, "tx": F.xxhash64("text")})
-    found = find_repeats(rows.select("k0", "tx", "text"))
-    joined = _joined(rows, found, "left").select(*[f"c{i}" for i in range(len(others))], "text", "found")
+    found = find_repeats(rows.select(*KEYS, "text")).groupBy(*KEYS).agg(F.collect_list("found").alias("found"))
+    joined = rows.join(found, KEYS, "left").select(*[f"c{i}" for i in range(len(others))], "text", "found")
     fields = "".join(f"c{i} {docs.schema[c].dataType.simpleString()}, " for i, c in enumerate(others))
     return joined.mapInArrow(partial(_keep, with_text), fields + "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
