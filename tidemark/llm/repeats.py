@@ -7,7 +7,7 @@ whose pair is unique are dropped, and the others go on until their ranks cover a
 1. Positions are anchors: from every place, the least-named of the next ``SPREAD`` places, so that both ends of a repeat choose alike, and
    every string of the full length holds some. The first rank is the name, a 64-bit hash, of ``FIRST`` bytes. Unique names are dropped.
 2. Anchors are ranked anew by pairs (rank, rank of the anchor at offset 1, 2, 4, ... anchors), as long as the pair lies within what any
-   string with this anchor covers. The ranks are numbers that Spark gives to the pairs it finds more than once, not hashes.
+   string with this anchor covers. Positions whose pair Spark finds more than once share the least identity among them as their new rank.
 3. The last offset leads to the full length. The strings that share one anchor lie together as a stretch. A stretch whose rank and bytes
    from end to end occur twice is past the threshold in all its strings. The others, which are those around the ends of repeats, are read
    place by place: pairs of an anchor's rank and a string's name in 128 bits.
@@ -147,17 +147,20 @@ PAIR = ["rank", "span", "rank2", "span2"]
 
 
 def _reranked(pairs: DataFrame) -> DataFrame:
-    """``pairs`` with ``state`` 'pair' get a new rank by (rank, rank2) and what these cover; those with a unique pair are 'dead'."""
-    several = pairs.where("state = 'pair'").groupBy(*PAIR).agg(F.count(F.lit(1)).alias("times")).where("times > 1")
-    numbered = settle(several.select(*PAIR, F.monotonically_increasing_id().alias("number")))
-    paired = F.col("state") == "pair"
-    state = F.when(~paired, F.col("state")).when(F.col("number").isNotNull(), "live").otherwise("dead")
+    """``pairs`` with ``state`` 'pair' get a new rank by (rank, rank2) and what these cover; those with a unique pair are 'dead'.
+
+    The new rank is the least identity of the positions with that pair.
+    """
+    identity = F.xxhash64(*KEYS, "at")
+    several = pairs.where("state = 'pair'").groupBy(*PAIR).agg(F.count(F.lit(1)).alias("times"), F.min(identity).alias("new")).where("times > 1").drop("times")
+    paired, done = F.col("state") == "pair", F.col("state") == "done"
+    state = F.when(~paired, F.col("state")).when(F.col("new").isNotNull(), "live").otherwise("dead")
     return settle(
-        pairs.join(numbered, PAIR, "left").select(
+        pairs.join(several, PAIR, "left").select(
             *KEYS, "at", "n", "lead", "many",
-            F.when(paired, F.col("number")).otherwise(F.col("rank")).alias("rank"),
-            F.when(F.col("state") == "done", F.col("span")).otherwise(F.col("span") + F.col("span2")).alias("span"),
-            F.when(F.col("state") == "done", F.col("window")).otherwise(F.col("window2")).alias("window"),
+            F.when(paired, F.col("new")).otherwise(F.col("rank")).alias("rank"),
+            F.when(done, F.col("span")).otherwise(F.col("span") + F.col("span2")).alias("span"),
+            F.when(done, F.col("window")).otherwise(F.col("window2")).alias("window"),
             state.alias("state"),
         )
     )
@@ -178,7 +181,7 @@ def _ranked(anchors: DataFrame) -> DataFrame:
     )
     level, finished, dead = 0, [], None
     while True:
-        ranked = _reranked(settle(pairs))
+        ranked = _reranked(pairs)
         finished.append(ranked.where("state = 'done'").withColumn("level", F.lit(level)))
         level += 1
         live, unique = ranked.where("state = 'live'"), ranked.where("state = 'dead'")
@@ -208,13 +211,13 @@ def _read_on(stretches: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``k0, tx, found`` for ranges of places past the threshold, and for stretches to be read place by place, with one that tells for each
     that occurs twice beside others of its rank."""
     stretches = stretches.where("many > 0")
-    classes = settle(stretches.groupBy(*STRETCH).agg(F.count(F.lit(1)).alias("times"), F.min(F.struct(*KEYS, "at")).alias("one")))
+    classes = stretches.groupBy(*STRETCH).agg(F.count(F.lit(1)).alias("times"), F.min(F.struct(*KEYS, "at")).alias("one"))
     counted = settle(stretches.join(classes, STRETCH))
     lo = (F.col("at") - F.col("lead")).cast("long")
     past = counted.where("times > 1").select(*KEYS, F.shiftleft(lo, 32).bitwiseOR(F.col("many").cast("long")).alias("found"))
     rest = counted.where("times = 1")
     tells = counted.where((F.col("times") > 1) & (F.struct(*KEYS, "at") == F.col("one")))
-    tells = tells.join(classes.where("times = 1").select("level", "rank").distinct(), ["level", "rank"], "left_semi")
+    tells = tells.join(rest.select("level", "rank").distinct(), ["level", "rank"], "left_semi")
     info = F.shiftleft(lo, 16).bitwiseOR(F.shiftleft(F.col("many").cast("long"), 8)).bitwiseOR(F.shiftleft(F.col("lead").cast("long"), 1))
     asked = lambda df, known: df.select(*KEYS, F.struct(info.bitwiseOR(F.lit(known)).alias("info"), F.xxhash64("level", "rank").alias("rank")).alias("found"))
     return past, asked(rest, 0).union(asked(tells, 1)).groupBy(*KEYS).agg(F.collect_list("found").alias("found"))
