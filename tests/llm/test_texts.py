@@ -64,8 +64,9 @@ def test_a_common_passage_costs_a_task_one_row_for_each_name(spark):
     texts = [letters(250) + passage + letters(250) for _ in range(300)]
     keys = {"k0": pa.array(range(300), pa.int64()), "tx": pa.array(range(300), pa.int64())}
     sent = pa.Table.from_batches(repeats._ask(iter([pa.RecordBatch.from_pydict({**keys, "text": pa.array(texts)})] * 2)))
-    meeting = Counter(n for n, i in zip(sent["name"].to_pylist(), sent["info"].to_pylist(), strict=True) if i & 3 != repeats.FOUND)
-    assert max(meeting.values()) <= 2 and sum((i & 3) == repeats.FOUND for i in sent["info"].to_pylist()) > 300
+    kinds = [(r, w, i & 7) for r, w, i in zip(*(sent[c].to_pylist() for c in ("rank", "whole", "info")), strict=True)]
+    meeting = Counter(r for r, _, state in kinds if state in (repeats.PLAIN, repeats.TELLS, repeats.TELLS_PAST))
+    assert max(meeting.values()) <= 2 and sum(state >= repeats.FOUND for *_, state in kinds) > 600
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
     assert [tuple(r)[1:] for r in sorted(repeats.repeats(docs).collect())] == plain_repeats(texts)
 

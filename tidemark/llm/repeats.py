@@ -1,20 +1,20 @@
 """Suffix-array dedup: bytes covered by a string of a given length that starts anywhere else in the corpus.
 
-Prefix doubling over a sample of positions. A position's rank stands for the bytes from there on: equal ranks, equal bytes. Spark sorts
-pairs of ranks, those of a position and of the one at a growing offset, and gives equal pairs a new rank, which covers both; positions
-whose pair is unique are dropped, and the others go on until their ranks cover as much as a repeat is sure to share.
-
-1. Positions are anchors: from every place, the least-named of the next ``SPREAD`` places, so that both ends of a repeat choose alike, and
-   every string of the full length holds some. The first rank is the name, a 64-bit hash, of ``FIRST`` bytes. Unique names are dropped.
-2. Anchors are ranked anew by pairs (rank, rank of the anchor at offset 1, 2, 4, ... anchors), as long as the pair lies within what any
-   string with this anchor covers. Positions whose pair Spark finds more than once share the least identity among them as their new rank.
-3. The last offset leads to the full length. The strings that share one anchor lie together as a stretch. A stretch whose rank and bytes
-   from end to end occur twice is past the threshold in all its strings. The others, which are those around the ends of repeats, are read
-   place by place: pairs of an anchor's rank and a string's name in 128 bits.
-
-Rows that one task knows to be repeated are not all sent: of equal names in a chunk one is sent to where they meet, marked, and the
-others go elsewhere, so that a passage in a third of all documents costs a chunk one row for each anchor. Counts of pairs are aggregated before
-they are shuffled.
+Prefix doubling over a sample of positions. A rank stands for the bytes from a position on: equal ranks, equal bytes. Rounds within a chunk
+of text, where all ranks are at hand, give ranks of ``FIRST`` bytes, half of a repeat. From there on Spark sorts: it brings pairs of ranks
+together, of a position and of the one at a growing offset, drops what is unique and passes on what is not, until it is past the threshold.
+
+1. Positions are anchors: from every place, the least of the next ``SPREAD`` ranks of ``FIRST`` bytes, so that both ends of a repeat choose
+   alike and every string of the full length holds one. Unique ranks are dropped. The strings with one anchor lie together as a stretch; one
+   whose bytes from end to end occur twice is past the threshold in all its strings.
+2. Stretches that are left, which are those around the ends of repeats, are cut into blocks of ``BLOCK`` places, alike from their anchors. A
+   block's pair of ranks, at offset ``INNER - FIRST``, covers what all its strings share: unique pairs are dropped, and blocks whose bytes from
+   end to end occur twice are past the threshold.
+3. Every place of the blocks that are left: pairs of ranks at offset ``LENGTH - FIRST`` cover the whole string, in 128 bits.
+
+A stretch or block that is past the threshold tells the others of its rank, which one of each kind goes on to do. Hot passages: of equal
+stretches in a task's text one is sent to where they meet, marked, and the others go elsewhere; counts of pairs are aggregated before they
+are shuffled.
 """
 
 from __future__ import annotations
@@ -25,21 +25,21 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.llm.common import settle
 from tidemark.llm.textbytes import CHUNK_BYTES, Hasher, chunks, mix64, runs, trim
 
-#: Bytes of a repeat and of a first name; places among which one is the anchor.
-LENGTH, FIRST, SPREAD = 200, 64, 48
-#: Windows that start up to so many bytes after an anchor lie inside every string that has this anchor.
-SURE = LENGTH - FIRST - 2 * (SPREAD - 1)
-#: Names known to be repeated that a task remembers from its earlier chunks (8 bytes each).
+#: Bytes of a repeat and of a first rank; places among which one is the anchor; places of a block and the bytes that all its strings share.
+LENGTH, FIRST, SPREAD, BLOCK = 200, 100, 100, 10
+INNER = LENGTH - BLOCK + 1
+#: Ranks known to be repeated that a task remembers from its earlier chunks (8 bytes each).
 REMEMBERED = 1 << 18
-#: States of a row: as it is; known to be repeated and sent to tell others; known to be repeated, sent elsewhere.
-PLAIN, TELLS, FOUND = 0, 1, 2
+#: States of a stretch: as it is; its rank is known to be repeated, and it is sent to tell others or goes elsewhere; so are all its bytes,
+#: and it tells others, goes elsewhere or tells only those with the same bytes.
+PLAIN, TELLS, FOUND, TELLS_PAST, FOUND_PAST, KIND_PAST = range(6)
 _FACTOR = np.uint64(0xA0761D6478BD642F)
 KEYS = ["k0", "tx"]
 
@@ -48,217 +48,183 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix64(a * _FACTOR + b)
 
 
-class _Places:
-    """Names and anchors of a chunk of documents."""
+class _Stretches:
+    """Anchors of a chunk of documents, each with the stretch of strings that have it."""
 
     def __init__(self, data: np.ndarray, bounds: np.ndarray):
         size = len(data)
-        end = np.repeat(bounds[1:], np.diff(bounds))
-        at = np.arange(size)
-        self.hash = Hasher(data)
-        self.first = self.hash.grams(FIRST) if size >= FIRST else np.empty(0, np.uint64)
-        long = np.repeat(np.diff(bounds) >= LENGTH, np.diff(bounds))
-        starts = np.flatnonzero(long & (at + LENGTH <= end))  # of strings of the full length
-        tested = np.flatnonzero(long & (at + FIRST + SPREAD - 1 <= end))
+        h = Hasher(data)
+        rank = h.grams(FIRST) if size >= FIRST else np.empty(0, np.uint64)
+        starts = np.flatnonzero(np.arange(size) + LENGTH <= np.repeat(bounds[1:], np.diff(bounds)))  # of strings of the full length
         low = np.uint64((1 << max(20, size.bit_length())) - 1)
         key = np.full(-(-max(1, size) // SPREAD) * SPREAD + SPREAD, np.iinfo(np.uint64).max)
-        key[: len(self.first)] = (self.first & ~low) | np.arange(len(self.first), dtype=np.uint64)
+        key[: len(rank)] = (rank & ~low) | np.arange(len(rank), dtype=np.uint64)
         blocks = key.reshape(-1, SPREAD)
         ahead = np.minimum.accumulate(blocks, 1).ravel()
         behind = np.minimum.accumulate(blocks[:, ::-1], 1)[:, ::-1].ravel()
         least = np.minimum(behind[:size], ahead[SPREAD - 1 : SPREAD - 1 + size])
-        anchor = (least & low).astype(np.int64)  # for each place, where its anchor is
-        own = anchor[tested]
-        new = np.ones(len(own), bool)
-        new[1:] = own[1:] != own[:-1]
-        self.anchors, window = own[new], tested[new]  # with the first place that chooses each
-        self.doc = np.searchsorted(bounds, self.anchors, "right") - 1
-        follows = np.append(self.doc[1:] == self.doc[:-1], False) if len(own) else np.empty(0, bool)
-        self.gap = np.where(follows, np.append(np.diff(self.anchors), 0), 0)  # to the next anchor of the document, if any
-        self.window = np.where(follows, np.append(window[1:], 0) - self.anchors, 0)  # where the next one's first window starts
-        q = anchor[starts]
+        q = (least & low).astype(np.int64)[starts]  # for each string, where its anchor is
         new = np.ones(len(q), bool)
         new[1:] = q[1:] != q[:-1]
         first = np.flatnonzero(new)
-        self.lo, self.many = np.zeros((2, len(self.anchors)), np.int64)
-        at = np.searchsorted(self.anchors, q[first])
-        self.lo[at], self.many[at] = starts[first], np.diff(np.append(first, len(q)))
-
-
-#: How a row's numbers are packed, by bits from the lowest: state, places, lead, window (less its least value), gap, place of the anchor.
-BITS = {"state": 2, "many": 6, "lead": 6, "window": 6, "gap": 6}
-LEAST_WINDOW = 1 - SPREAD
-
-
-def _unpacked() -> dict[str, Column]:
-    out, at = {}, 0
-    for name, width in BITS.items():
-        out[name] = F.shiftright("info", at).bitwiseAND(F.lit((1 << width) - 1)).cast("int")
-        at += width
-    return {**out, "window": out["window"] + LEAST_WINDOW, "at": F.shiftright("info", at).cast("int")}
+        self.lo, self.many, q = starts[first], np.diff(np.append(first, len(q))), q[first]
+        self.lead, self.rank = q - self.lo, rank[q]
+        self.whole = _pair(h(self.lo, self.lo + self.many - 1 + LENGTH), (self.lead * 256 + self.many).astype(np.uint64))
+        self.doc = np.searchsorted(bounds, self.lo, "right") - 1
+
+
+def _states(rank: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """States of a chunk's stretches: of those alike in rank and bytes, or in rank alone, one tells and the others are found."""
+    _, heads, inverse, count = np.unique(rank, return_index=True, return_inverse=True, return_counts=True)
+    state, heads = np.where(count[inverse] > 1, FOUND, PLAIN), heads[count > 1]
+    _, index, inverse, count = np.unique(_pair(rank, whole), return_index=True, return_inverse=True, return_counts=True)
+    state[count[inverse] > 1] = FOUND_PAST
+    state[index[count > 1]] = KIND_PAST
+    state[heads] = np.where(state[heads] == KIND_PAST, TELLS_PAST, TELLS)
+    return state
 
 
-def _states(name: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Of equal names in a chunk, or with one known to be repeated: one tells, the others are found."""
-    _, index, inverse, count = np.unique(name, return_index=True, return_inverse=True, return_counts=True)
-    several = count > 1
-    several[inverse[known]] = True
-    state = np.where(several[inverse], FOUND, PLAIN)
-    state[index[several]] = TELLS
-    return state
+def _remember(known: np.ndarray, new: np.ndarray) -> np.ndarray:
+    return np.union1d(known, new[: max(0, REMEMBERED - len(known))])
 
 
 def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each anchor with its name and, for the stretch of strings that have it, the name of all their bytes."""
-    remembered = np.empty(0, np.uint64)
+    """Round 1, sending: each anchor's rank and, for its stretch, the name of all bytes, the places and a state."""
+    ranks = wholes = np.empty(0, np.uint64)
     for batch in batches:
         key0, key1 = batch.column("k0").to_numpy(), batch.column("tx").to_numpy()
         for first, data, bounds in chunks(t.as_py() for t in batch.column("text")):
-            p = _Places(data, bounds)
-            if not len(p.anchors):
+            s = _Stretches(data, bounds)
+            if not len(s.lo):
                 continue
-            name, some = p.first[p.anchors], p.many > 0
-            lead = np.where(some, p.anchors - p.lo, 0)
-            n = np.zeros(len(name), np.uint64)
-            n[some] = _pair(p.hash(p.lo[some], p.lo[some] + p.many[some] - 1 + LENGTH), lead[some].astype(np.uint64))
-            state = _states(name, np.zeros(len(name), bool))
-            told = np.isin(name, remembered)
-            new = name[(state == TELLS) & ~told]
-            state[told] = FOUND
-            remembered = np.union1d(remembered, new[: max(0, REMEMBERED - len(remembered))])
-            info = p.anchors - bounds[p.doc]
-            for field, values in (("gap", p.gap), ("window", p.window - LEAST_WINDOW * (p.gap > 0)), ("lead", lead), ("many", p.many), ("state", state)):
-                info = (info << BITS[field]) | values
-            own = first + p.doc
-            columns = {"name": name.view(np.int64), "n": n.view(np.int64), "k0": key0[own], "tx": key1[own], "info": info}
-            yield pa.RecordBatch.from_pydict(columns)
-
-
-def _again(rows: DataFrame, names: list[str]) -> DataFrame:
-    """Rows with ``info`` whose names occur more than once, or once beside a row that tells of others."""
-    state = F.col("info").bitwiseAND(F.lit((1 << BITS["state"]) - 1))
-    rows = rows.withColumn("salt", F.when(state == FOUND, F.xxhash64(*KEYS, "info")).otherwise(F.lit(0)))
-    same = Window.partitionBy(*names, "salt")
-    several = (F.count(F.lit(1)).over(same) > 1) | (F.max(state).over(same) == TELLS)
-    return rows.withColumn("several", several | (state == FOUND)).where("several").drop("several", "salt")
-
-
-PAIR = ["rank", "span", "rank2", "span2"]
-
-
-def _reranked(pairs: DataFrame) -> DataFrame:
-    """``pairs`` with ``state`` 'pair' get a new rank by (rank, rank2) and what these cover; those with a unique pair are 'dead'.
-
-    The new rank is the least identity of the positions with that pair.
-    """
-    identity = F.xxhash64(*KEYS, "at")
-    several = pairs.where("state = 'pair'").groupBy(*PAIR).agg(F.count(F.lit(1)).alias("times"), F.min(identity).alias("new")).where("times > 1").drop("times")
-    paired, done = F.col("state") == "pair", F.col("state") == "done"
-    state = F.when(~paired, F.col("state")).when(F.col("new").isNotNull(), "live").otherwise("dead")
-    return settle(
-        pairs.join(several, PAIR, "left").select(
-            *KEYS, "at", "n", "lead", "many",
-            F.when(paired, F.col("new")).otherwise(F.col("rank")).alias("rank"),
-            F.when(done, F.col("span")).otherwise(F.col("span") + F.col("span2")).alias("span"),
-            F.when(done, F.col("window")).otherwise(F.col("window2")).alias("window"),
-            state.alias("state"),
-        )
-    )
-
-
-def _ranked(anchors: DataFrame) -> DataFrame:
-    """``k0, tx, at, n, lead, many, rank, level``: anchors that are not shown to be unique by ranks at growing offsets.
-
-    ``span`` is how far on the last anchor lies that a rank covers and ``window`` where the first window starts that chooses it, which
-    decides whether a pair lies inside every string of the anchor. Partners of the same level alone make a pair, so that copies go alike:
-    where one stops, so do all. For anchors that died, ``span`` and ``window`` are those of bytes that occur once.
-    """
-    here, there = anchors.alias("a"), anchors.select(*[F.col(c).alias(f"{c}_") for c in KEYS], F.col("at").alias("at_"), F.col("name").alias("rank2")).alias("b")
-    meets = (F.col("k0") == F.col("k0_")) & (F.col("tx") == F.col("tx_")) & (F.col("gap") > 0)
-    pairs = here.join(there, meets & (F.col("at") + F.col("gap") == F.col("at_")), "left").select(
-        *KEYS, "at", "n", "lead", "many", F.col("name").alias("rank"), F.lit(0).alias("span"), F.lit(0).alias("window"), "rank2", F.col("gap").alias("span2"),
-        F.col("window").alias("window2"), F.when(F.col("gap") == 0, "done").when(F.col("rank2").isNull(), "dead").otherwise("pair").alias("state"),
-    )
-    level, finished, dead = 0, [], None
-    while True:
-        ranked = _reranked(pairs)
-        finished.append(ranked.where("state = 'done'").withColumn("level", F.lit(level)))
-        level += 1
-        live, unique = ranked.where("state = 'live'"), ranked.where("state = 'dead'")
-        if live.isEmpty():
-            break
-        dead = unique if dead is None else dead.union(unique)
-        other = live.union(dead).select(
-            *[F.col(c).alias(f"{c}_") for c in KEYS], F.col("at").alias("at_"), F.col("rank").alias("rank2"), F.col("span").alias("span2"), F.col("window").alias("w2"), F.col("state").alias("other")
-        )
-        meets = (F.col("k0") == F.col("k0_")) & (F.col("tx") == F.col("tx_")) & (F.col("at") + F.col("span") == F.col("at_"))
-        window2 = F.col("span") + F.col("w2")
-        inside = F.coalesce(window2 <= SURE, F.lit(False))
-        pairs = live.join(other, meets, "left").select(
-            *KEYS, "at", "n", "lead", "many", "rank", "span", "window", "rank2", "span2", window2.alias("window2"),
-            F.when(~inside, "done").when(F.col("other") == "dead", "dead").otherwise("pair").alias("state"),
-        )
-    out = finished[0]
-    for more in finished[1:]:
-        out = out.union(more)
-    return out.drop("span", "window", "state")
-
-
-STRETCH = ["level", "rank", "lead", "many", "n"]
-
-
-def _read_on(stretches: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``k0, tx, found`` for ranges of places past the threshold, and for stretches to be read place by place, with one that tells for each
-    that occurs twice beside others of its rank."""
-    stretches = stretches.where("many > 0")
-    classes = stretches.groupBy(*STRETCH).agg(F.count(F.lit(1)).alias("times"), F.min(F.struct(*KEYS, "at")).alias("one"))
-    counted = settle(stretches.join(classes, STRETCH))
-    lo = (F.col("at") - F.col("lead")).cast("long")
-    past = counted.where("times > 1").select(*KEYS, F.shiftleft(lo, 32).bitwiseOR(F.col("many").cast("long")).alias("found"))
-    rest = counted.where("times = 1")
-    tells = counted.where((F.col("times") > 1) & (F.struct(*KEYS, "at") == F.col("one")))
-    tells = tells.join(rest.select("level", "rank").distinct(), ["level", "rank"], "left_semi")
-    info = F.shiftleft(lo, 16).bitwiseOR(F.shiftleft(F.col("many").cast("long"), 8)).bitwiseOR(F.shiftleft(F.col("lead").cast("long"), 1))
-    asked = lambda df, known: df.select(*KEYS, F.struct(info.bitwiseOR(F.lit(known)).alias("info"), F.xxhash64("level", "rank").alias("rank")).alias("found"))
-    return past, asked(rest, 0).union(asked(tells, 1)).groupBy(*KEYS).agg(F.collect_list("found").alias("found"))
+            state, kind = _states(s.rank, s.whole), _pair(s.rank, s.whole)
+            told, past = np.isin(s.rank, ranks), np.isin(kind, wholes)
+            ranks = _remember(ranks, s.rank[((state == TELLS) | (state == TELLS_PAST)) & ~told])
+            wholes = _remember(wholes, kind[((state == KIND_PAST) | (state == TELLS_PAST)) & ~past])
+            state[told & (state < FOUND)] = FOUND
+            state[told & (state == TELLS_PAST)] = KIND_PAST
+            state[past] = FOUND_PAST
+            own = first + s.doc
+            info = (((s.lo - bounds[s.doc]) << 8 | s.many) << 8 | s.lead) << 3 | state
+            yield pa.RecordBatch.from_pydict({"rank": s.rank.view(np.int64), "whole": s.whole.view(np.int64), "k0": key0[own], "tx": key1[own], "info": info})
+
+
+def _bits(column: str, at: int, width: int):
+    return F.shiftright(column, at).bitwiseAND(F.lit((1 << width) - 1))
+
+
+def _met(asked: DataFrame) -> DataFrame:
+    """Round 1, receiving: stretches whose rank occurs more than once, as ``k0, tx, rank, info, past, one``; ``one`` of each kind is to tell."""
+    state = _bits("info", 0, 3)
+    salt = F.when(state.isin(FOUND, FOUND_PAST), F.xxhash64(*KEYS, "info")).when(state == KIND_PAST, F.xxhash64("whole")).otherwise(F.lit(0))
+    sent = asked.withColumn("salt", salt)
+    same = Window.partitionBy("rank", "salt")
+    sent = sent.withColumn("several", (F.count(F.lit(1)).over(same) > 1) | (F.max((state > PLAIN).cast("int")).over(same) == 1)).where("several")
+    alike = Window.partitionBy("rank", "salt", "whole").orderBy(*KEYS, "info")
+    everywhere = alike.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    past = (F.count(F.lit(1)).over(everywhere) > 1) | (F.max((state >= TELLS_PAST).cast("int")).over(everywhere) == 1)
+    sent = sent.withColumn("past", past).withColumn("one", (F.row_number().over(alike) == 1) & (state != FOUND_PAST))
+    return sent.select(*KEYS, "rank", F.shiftright("info", 3).alias("info"), "past", F.expr("past and one").alias("one"))
+
+
+def _lists(batch: pa.RecordBatch) -> tuple[np.ndarray, pa.Array]:
+    """For each entry of the column ``found``, its row; and the entries."""
+    lists = batch.column("found")
+    return np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy())), lists.flatten()
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of the stretches asked for."""
+    for batch in batches:
+        owner, flat = _lists(batch)
+        info, lo, many = flat.field("info"), flat.field("info").to_numpy() >> 17, (flat.field("info").to_numpy() >> 9) & 255
+        last, data, held, size, at = -1, b"", [], 0, 0
+        for i, row in enumerate(owner):
+            if row != last:
+                last, data = row, (batch.column("text")[int(row)].as_py() or "").encode("utf-8", "surrogatepass")
+            held.append(data[lo[i] : lo[i] + many[i] - 1 + LENGTH])
+            size += len(held[-1])
+            if size > CHUNK_BYTES or i == len(owner) - 1:
+                own = pa.array(owner[at : i + 1])
+                columns = {c: batch.column(c).take(own) for c in KEYS} | {"info": info.slice(at, len(held)), "rank": flat.field("rank").slice(at, len(held))}
+                yield pa.RecordBatch.from_pydict({**columns, "bytes": pa.array(held, pa.binary())})
+                held, size, at = [], 0, i + 1
+    trim()
 
 
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Names in 128 bits, of the anchor's rank and the string, at every place of the stretches asked for."""
+class _Cuts:
+    """A batch of stretches: their bytes as one array, and where each begins."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        info = batch.column("info").to_numpy()
+        self.info, self.lo, self.many, self.lead, self.known = info, info >> 17, (info >> 9) & 255, (info >> 1) & 255, info & 1
+        self.rank, self.k0, self.tx = batch.column("rank").to_numpy().view(np.uint64), batch.column("k0").to_numpy(), batch.column("tx").to_numpy()
+        held = batch.column("bytes").to_pylist()
+        self.at = np.cumsum([0, *map(len, held)])[:-1]
+        self.hash = Hasher(np.frombuffer(b"".join(held), np.uint8))
+
+
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 2048) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        lists = batch.column("found")
-        flat, sizes = lists.flatten(), np.diff(lists.offsets.to_numpy())
-        info, rank = flat.field("info").to_numpy(), flat.field("rank").to_numpy()
-        owner = np.repeat(np.arange(batch.num_rows), sizes)
-        lo, many = info >> 16, (info >> 8) & 63
-        ends = np.cumsum(many + LENGTH - 1)
-        cuts, at = [0], 0
-        while at < len(lo):
-            at = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK_BYTES, "right")))
-            cuts.append(at)
-        last, data = -1, b""
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            held = []
-            for i in range(a, b):
-                if owner[i] != last:
-                    last = owner[i]
-                    data = (batch.column("text")[int(last)].as_py() or "").encode("utf-8", "surrogatepass")
-                held.append(data[lo[i] : lo[i] + many[i] - 1 + LENGTH])
-            yield _named(held, info[a:b], rank[a:b], batch.column("k0").to_numpy()[owner[a:b]], batch.column("tx").to_numpy()[owner[a:b]])
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
     trim()
 
 
-def _named(held: list[bytes], info: np.ndarray, rank: np.ndarray, k0: np.ndarray, tx: np.ndarray) -> pa.RecordBatch:
-    many, lead = (info >> 8) & 63, (info >> 1) & 63
-    which = np.repeat(np.arange(len(held)), many)
-    nth = np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
-    at = np.cumsum([0, *map(len, held)])[which] + nth
-    h = Hasher(np.frombuffer(b"".join(held), np.uint8))
-    name = _pair(_pair(rank.view(np.uint64)[which], (lead[which] - nth).astype(np.uint64)), h(at, at + LENGTH))
-    again = _pair(h(at, at + LENGTH // 2), h(at + LENGTH // 2, at + LENGTH))
-    state = _states(name ^ (again >> np.uint64(1)), (info[which] & 1) > 0)
-    place = ((info >> 16)[which] + nth) << BITS["state"] | state
-    return pa.RecordBatch.from_pydict({"name": name.view(np.int64), "again": again.view(np.int64), "k0": k0[which], "tx": tx[which], "info": place})
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Round 2, sending: each block's pair of ranks, the name of all its bytes and which places of which stretch it is."""
+    for batch in _slices(batches):
+        c = _Cuts(batch)
+        low, high = (c.lead - c.many + 1) // BLOCK, c.lead // BLOCK  # leads of a stretch's places fall from lead to lead - many + 1
+        n = high - low + 1
+        which = np.repeat(np.arange(len(n)), n)
+        block = low[which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+        first, last = np.minimum(c.lead[which], block * BLOCK + BLOCK - 1), np.maximum((c.lead - c.many + 1)[which], block * BLOCK)  # by lead
+        anchor = c.at[which] + c.lead[which]
+        inner = anchor - block * BLOCK  # the last place that the block can have
+        pair = _pair(c.hash(inner, inner + FIRST), c.hash(inner + INNER - FIRST, inner + INNER))
+        key = _pair(_pair(c.rank[which], block.view(np.uint64)), pair)
+        whole = _pair(c.hash(anchor - first, anchor - last + LENGTH), (first * 256 + last).view(np.uint64))
+        place = c.lead[which] - first
+        info = ((((c.lo[which] << 8 | c.lead[which]) << 8 | place) << 8 | first - last + 1) << 1) | c.known[which]
+        yield pa.RecordBatch.from_pydict({"key": key.view(np.int64), "whole": whole.view(np.int64), "k0": c.k0[which], "tx": c.tx[which], "info": info})
+
+
+def _judged(blocks: DataFrame) -> DataFrame:
+    """Round 2, receiving: blocks whose pair occurs more than once, as ``k0, tx, info, past, tells``."""
+    kinds = blocks.groupBy("key", "whole").agg(
+        F.count(F.lit(1)).alias("times"), F.max(F.col("info").bitwiseAND(F.lit(1))).alias("known"), F.min(F.struct(*KEYS, "info")).alias("one")
+    ).withColumn("past", F.expr("times > 1 or known = 1"))
+    several = kinds.groupBy("key").agg(F.sum("times").alias("all"), F.count_if(~F.col("past")).alias("open")).where("all > 1")
+    kinds = kinds.join(several, "key").select("key", "whole", "past", "one", "open")
+    tells = F.col("past") & (F.col("open") > 0) & (F.struct(*KEYS, "info") == F.col("one"))
+    return blocks.join(kinds, ["key", "whole"]).select(*KEYS, "info", "past", tells.alias("tells"))
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Round 3, sending: the pair of ranks, in 128 bits, of every place of the blocks asked for, which are in ``found`` beside their stretch."""
+    told = np.empty(0, np.uint64)
+    for batch in _slices(batches):
+        c = _Cuts(batch)
+        owner, flat = _lists(batch)
+        block = flat.to_numpy()
+        many = (block >> 1) & 255
+        which = np.repeat(np.arange(len(block)), many)
+        nth = ((block >> 9) & 255)[which] + np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
+        owner, known = owner[which], (block & 1)[which] > 0
+        at = c.at[owner] + nth
+        halves = c.hash(at, at + FIRST), c.hash(at + LENGTH - FIRST, at + LENGTH)
+        lead = (c.lead[owner] - nth).view(np.uint64)
+        name, again = _pair(_pair(c.rank[owner], lead), _pair(*halves)), _pair(c.hash(at, at + LENGTH), _pair(*halves[::-1]))
+        state = _states(name, again)
+        state[known & (state < TELLS_PAST)] = TELLS_PAST
+        kind = _pair(name, again)
+        before = np.isin(kind, told)
+        told = _remember(told, kind[(state == TELLS_PAST) & ~before])
+        state[before] = FOUND_PAST
+        state[(state == TELLS) | (state == FOUND)] = PLAIN
+        info = (c.lo[owner] + nth) << 3 | state
+        yield pa.RecordBatch.from_pydict({"rank": name.view(np.int64), "whole": again.view(np.int64), "k0": c.k0[owner], "tx": c.tx[owner], "info": info})
 
 
 def _keep(with_text: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,16 +264,33 @@ def _once(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     return single, repeated.where(F.col("size") >= LENGTH).select(*KEYS, whole.alias("found"))
 
 
+def _range(lo, many):
+    return F.shiftleft(lo, 32).bitwiseOR(many).alias("found")
+
+
 def find_repeats(docs: DataFrame) -> DataFrame:
     """``k0, tx, found``: ranges of starting places of repeated strings (place, then how many, 32 bits each), for ``docs(k0, tx, text)``."""
     single, whole = _once(docs)
-    anchors = _again(single.mapInArrow(_ask, "name long, n long, k0 long, tx long, info long"), ["name"])
-    unpacked = _unpacked()
-    anchors = settle(anchors.select("name", "n", *KEYS, *[unpacked[c].alias(c) for c in ("at", "gap", "window", "lead", "many")]))
-    past, asked = _read_on(_ranked(anchors))
-    places = single.join(asked, KEYS).select(*KEYS, "text", "found").mapInArrow(_places, "name long, again long, k0 long, tx long, info long")
-    repeated = _again(places, ["name", "again"])
-    found = past.union(repeated.select(*KEYS, F.shiftleft(F.shiftright("info", BITS["state"]), 32).bitwiseOR(F.lit(1).cast("long"))))
+    rows = "rank long, whole long, k0 long, tx long, info long"
+    met = settle(_met(single.mapInArrow(_ask, rows)))
+    past = met.where("past").select(*KEYS, _range(_bits("info", 16, 32), _bits("info", 8, 8)))
+    rest = met.where("not past")
+    tells = met.where("one").join(rest.select("rank").distinct(), "rank", "left_semi").select(*met.columns)
+    asked = lambda df, known: df.select(*KEYS, F.struct(F.shiftleft("info", 1).bitwiseOR(F.lit(known)).alias("info"), "rank").alias("found"))
+    wanted = asked(rest, 0).union(asked(tells, 1)).groupBy(*KEYS).agg(F.collect_list("found").alias("found"))
+    cuts = single.join(wanted, KEYS).select(*KEYS, "text", "found").mapInArrow(_cut, "k0 long, tx long, info long, rank long, bytes binary")
+    cuts = settle(cuts)
+
+    judged = settle(_judged(cuts.mapInArrow(_blocks, "key long, whole long, k0 long, tx long, info long")))
+    lo, place, many = _bits("info", 25, 32), _bits("info", 9, 8), _bits("info", 1, 8)
+    past = past.union(judged.where("past").select(*KEYS, _range(lo + place, many)))
+    open_blocks = judged.where("not past or tells").select(
+        *KEYS, F.shiftright("info", 17).alias("stretch"), F.shiftleft(_bits("info", 1, 16), 1).bitwiseOR(F.col("past").cast("long")).alias("found")
+    ).groupBy(*KEYS, "stretch").agg(F.collect_list("found").alias("found"))
+    stretch = F.shiftleft(F.shiftright("info", 17), 8).bitwiseOR(_bits("info", 1, 8))
+    places = cuts.withColumn("stretch", stretch).join(open_blocks, [*KEYS, "stretch"]).select(*cuts.columns, "found").mapInArrow(_places, rows)
+    repeated = _met(places).where("past").select(*KEYS, _range(F.col("info"), F.lit(1).cast("long")))
+    found = past.union(repeated)
     return found if whole is None else found.union(whole)
 
 
