@@ -10,14 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small
+from tidemark.llm.common import settle, small
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: One block holds four 64-bit words and each key sets one bit in each, with this many bits of filter for a key.
 WORDS, BITS_PER_KEY = 4, 16
-#: Broadcast bounds: filter blocks (40 bytes each) and rules (about 100 bytes each). Above the first the filter is
-#: skipped and every key goes to the exact join; above the second that join shuffles.
-MAX_BLOCKS, MAX_RULES = 250_000, 100_000
+#: Broadcast bounds: filter blocks (40 bytes each) and rules (about 100 bytes each). Above them the joins with filter and rules shuffle.
+MAX_BLOCKS, MAX_RULES, SALTS = 250_000, 100_000, 8
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -43,6 +42,18 @@ def bloom_filter(keys: DataFrame, key: str, blocks: int) -> DataFrame:
     return marks.groupBy("block").agg(*[F.bit_or(F.expr(f"shiftleft(1L, b{i})")).alias(f"w{i}") for i in range(WORDS)])
 
 
+def possible(asked: DataFrame, bloom: DataFrame, blocks: int) -> DataFrame:
+    """The rows of ``asked(row, key)`` whose key the filter does not rule out. A filter of at most ``MAX_BLOCKS`` blocks is broadcast; a
+    larger one meets the keys by block, of which a key that many rows ask for is dealt to ``SALTS`` copies."""
+    asked = asked.withColumn("block", _block(F.col("key"), blocks)).withColumns({f"b{i}": b for i, b in enumerate(_bits(F.col("key")))})
+    if blocks <= MAX_BLOCKS:
+        met = asked.join(F.broadcast(bloom), "block")
+    else:
+        copies = bloom.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+        met = asked.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(copies, ["block", "salt"])
+    return met.where(" and ".join(f"(shiftrightunsigned(w{i}, b{i}) & 1) = 1" for i in range(WORDS))).select("row", "key")
+
+
 def filter_urls(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", url: str = "url", default: str = "allow") -> DataFrame:
     """Judge each row of ``pages`` by the longest fitting rule of ``rules(host, path, action)``.
 
@@ -59,25 +70,15 @@ def filter_urls(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", ur
     blocks = max(1, -(-n * BITS_PER_KEY // (64 * WORDS)))
 
     host, path = url_parts(F.col(url))
-    rows = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"), F.monotonically_increasing_id().alias("row"))
+    rows = settle(pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"), F.monotonically_increasing_id().alias("row")))
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     prefixes = F.transform(
         F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length("path")), lambda n: F.expr("path").substr(F.lit(1), n)
     )
     keys = F.when(F.col("host") != "", F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p)))))
-    asked = rows.withColumn("asked", F.explode_outer(keys))
-
-    bloom = bloom_filter(rules, "key", blocks)
-    asked = asked.withColumn("block", _block(F.col("asked"), blocks)).withColumns({f"b{i}": b for i, b in enumerate(_bits(F.col("asked")))})
-    if blocks <= MAX_BLOCKS:
-        asked = asked.join(F.broadcast(bloom), "block", "left")
-        hit = F.expr(" and ".join(f"(shiftrightunsigned(w{i}, b{i}) & 1) = 1" for i in range(WORDS)))
-        asked = asked.withColumn("asked", F.when(hit, F.col("asked")))
-    # Rows without a hit look for keys that no rule has, many different ones, so that they do not meet in one partition.
-    nothing = F.concat(F.lit("\0"), F.pmod(F.col("row"), F.lit(4096)).cast("string"))
-    asked = asked.select("page_id", "host", "path", "row", F.coalesce("asked", nothing).alias("key"))
-    found = asked.join(small(rules, MAX_RULES), "key", "left")
-    fit = F.when(F.col("action").isNotNull(), F.struct(F.length("key").alias("len"), "host_len", F.col("key").alias("rule"), "action"))
-    best = found.groupBy("row", "page_id", "host", "path").agg(F.max(fit).alias("best"))
-    return best.select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.action", F.lit(default)).alias("verdict"))
+    hits = possible(rows.select("row", F.explode(keys).alias("key")), bloom_filter(rules, "key", blocks), blocks)
+    fits = hits.join(small(rules, MAX_RULES), "key").withColumn("fit", F.struct(F.length("key").alias("len"), "host_len", F.col("key").alias("rule"), "action"))
+    best = fits.groupBy("row").agg(F.max("fit").alias("best"))
+    judged = rows.join(best, "row", "left")
+    return judged.select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.action", F.lit(default)).alias("verdict"))
