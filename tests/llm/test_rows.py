@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 from tests.llm.conftest import prose
 from tidemark.llm import mixing, near_vectors, quality, toxicity, url_filter, vector_search
 from tidemark.llm.components import components
+from tidemark.llm.labelled import labelled_sample
+from tidemark.llm.textbytes import CHUNK_BYTES, Hasher, chunks, mix64
 
 VECTORS = "vec_id long, embedding array<float>, label int, n int, v string, leaf string"
 
@@ -119,6 +122,20 @@ def test_urls_are_judged_by_the_longest_rule(spark, monkeypatch, large):
     assert {r.verdict for r in url_filter.filter_urls(pages, rules.limit(0)).collect()} == {"allow"}
 
 
+@pytest.mark.parametrize("large", [False, True])
+def test_the_filter_passes_listed_keys_and_few_others(spark, monkeypatch, large):
+    if large:
+        monkeypatch.setattr(url_filter, "MAX_BLOCKS", 0)
+        monkeypatch.setattr(url_filter, "SALTS", 3)
+    listed = spark.range(2000).select(F.concat(F.lit("h"), "id").alias("key"))
+    asked = spark.range(20_000).select(F.col("id").alias("row"), F.concat(F.lit("h"), "id").alias("key"))
+    hits = url_filter.possible(asked, url_filter.bloom_filter(listed, "key", 125), 125)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "shiftrightunsigned(w0" in plan and ("salt" in plan) == large
+    rows = [r.row for r in hits.collect()]
+    assert len(rows) == len(set(rows)) and set(range(2000)) <= set(rows) and len(rows) < 2600
+
+
 def plain_targets(sizes, weights=(5, 2, 1)):
     """Share, cap and share the excess again until no source is above its cap."""
     names = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
@@ -216,6 +233,80 @@ def test_classifiers_on_held_out_rows(spark, operator, label, column):
     assert sorted((r.doc_id, r.score) for r in operator.score(docs, flipped).collect()) == sorted((r.doc_id, r.score) for r in got)
 
 
+def test_samples_are_the_least_hashed_within_bounds(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.expr("repeat('ab ', cast(id % 40 as int))").alias("text"))
+    labels = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 3 == 0).cast("int").alias("toxic"))
+    hashed = [(r.h, r.doc_id) for r in labels.select("doc_id", F.xxhash64(F.col("doc_id").cast("string")).alias("h")).collect() if zlib.crc32(str(r.doc_id).encode()) % 5]
+    want = {k: [i for _, i in sorted(x for x in hashed if (x[1] % 3 == 0) == k)][:50] for k in (0, 1)}
+    texts, got = labelled_sample(docs, labels, "toxic", 50)
+    assert sorted(zip(got, texts)) == sorted((k, "ab " * (i % 40)) for k in (0, 1) for i in want[k])
+    texts, got = labelled_sample(docs, labels, "toxic", 50, max_bytes=1000)
+    for k in (0, 1):
+        room, kept = 500, []
+        for i in want[k]:
+            if 3 * (i % 40) <= room:
+                room -= 3 * (i % 40)
+                kept.append("ab " * (i % 40))
+        assert sorted(t for t, g in zip(texts, got) if g == k) == sorted(kept)
+
+
+def words_of(text):
+    return re.findall("[a-z0-9\u0080-\U0010ffff]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def test_toxicity_is_the_worst_segments_mean_of_subword_vectors():
+    """Scores by a plain loop over segments, words and n-grams."""
+    rng = random.Random(3)
+    texts = ["", None, "one", "Two words", "école, größe!", prose(rng, 100), "a-b c_d 12 " + prose(rng, 30)]
+    table, soft, bias = np.random.default_rng(1).normal(0, 1, (toxicity.BUCKETS, toxicity.DIMENSIONS)), np.random.default_rng(2).normal(0, 1, (toxicity.DIMENSIONS, 2)), 0.3
+    got = toxicity.score_texts(texts, (toxicity.Model(table, soft, bias).gram_scores(), bias))
+    name = lambda b, mixed: int((mix64(Hasher(np.frombuffer(b, np.uint8))(np.array([0]), np.array([len(b)])) + np.uint64(1)) if mixed else Hasher(np.frombuffer(b, np.uint8))(np.array([0]), np.array([len(b)])))[0] % np.uint64(toxicity.BUCKETS))
+    for text, score in zip(texts, got, strict=True):
+        logits, words = [], words_of(text)
+        for at in range(0, len(words), toxicity.SEGMENT):
+            vectors = []
+            for w in words[at : at + toxicity.SEGMENT]:
+                marked = b" " + w.encode() + b" "
+                vectors += [table[name(marked[i : i + n], False)] for n in toxicity.GRAMS for i in range(len(marked) - n + 1)]
+                vectors.append(table[name(w.encode(), True)])
+            mean = np.mean(vectors, 0) @ soft
+            logits.append(mean[1] - mean[0])
+        assert abs(score - 1 / (1 + math.exp(-(max(logits, default=0.0) + bias)))) < 1e-4
+
+
+def plain_machine(m, doc, bucket, value, z, n):
+    """Weights and the inner products of all pairs, formed one by one."""
+    out = []
+    for d in range(n):
+        x = [(b, v) for k, b, v in zip(doc, bucket, value, strict=True) if k == d] + [(quality.BUCKETS + i, v) for i, v in enumerate(z[d])]
+        pairs = sum(float(m.vectors[i] @ m.vectors[j]) * a * b for k, (i, a) in enumerate(x) for j, b in x[k + 1 :])
+        out.append(m.bias + sum(m.weights[i] * a for i, a in x) + pairs)
+    return np.array(out)
+
+
+def test_the_factorisation_machine_is_the_sum_over_all_pairs():
+    rng, size = np.random.default_rng(4), quality.BUCKETS + quality.STATISTICS
+    m = quality.Model(0.2, rng.normal(0, 0.3, size), rng.normal(0, 0.3, (size, quality.FACTORS)), rng.normal(0, 1, quality.STATISTICS), rng.uniform(1, 2, quality.STATISTICS))
+    texts = ["", "one two two", prose(random.Random(2), 40), None, "a\nb\nb | # 3"]
+    (_, data, bounds), *_ = chunks(texts, b"", b"\n")
+    doc, bucket, value, stats = quality.features(data, bounds)
+    z = quality._standard(m, stats)
+    want = plain_machine(m, doc, bucket, value, z, len(texts))
+    assert np.allclose(quality._forward(m, doc, bucket, value, z)[0], want)
+    fields = (m.bias, m.weights, m.vectors, m.mean, m.scale)
+    assert np.allclose(quality.score_texts(texts, fields), 1 / (1 + np.exp(-want)))
+
+
+def test_long_texts_are_scored_like_short_ones():
+    """A text over one chunk, between others."""
+    rng = random.Random(6)
+    long, short = prose(rng, 120_000), prose(rng, 50)
+    assert len(long) > CHUNK_BYTES
+    gram = np.random.default_rng(1).normal(0, 1, toxicity.BUCKETS).astype(np.float32)
+    alone = [toxicity.score_texts([t], (gram, 0.1))[0] for t in (short, long, short)]
+    assert np.allclose(toxicity.score_texts([short, long, short], (gram, 0.1)), alone)
+
+
 @pytest.mark.parametrize("operator", [toxicity, quality])
 def test_classifiers_take_awkward_rows(spark, awkward, nothing, operator):
     _, labels = labelled(spark, 40)
