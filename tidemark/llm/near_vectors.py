@@ -18,18 +18,21 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import settle, small
+from tidemark.llm.common import Scratch, settle, small
 from tidemark.llm.components import components
 from tidemark.llm.vector_search import usable
 
 #: Trees; vectors in a leaf that is split no more; levels split in one round; sample of a node's vectors; directions tried for a split.
 TREES, LEAF, LEVELS, SAMPLE, TRIES = 4, 512, 6, 1024, 6
+#: The most leaves whose sizes are broadcast (16 bytes each).
+MAX_LEAVES = 200_000
 #: A split is used only if this share of the sample, at most, would go to both sides.
 MAX_SPILL = 0.5
-#: Vectors of an unsplittable leaf are compared chunk by chunk, so that no task holds more than two chunks.
-CHUNK = 1024
+#: Vectors of an unsplittable leaf are compared chunk by chunk, so that no task holds more than two chunks, and a strip of rows at a time.
+CHUNK, STRIP = 4096, 512
 
 
 def _direction(leaf: int, node: int, attempt: int, d: int) -> np.ndarray:
@@ -43,28 +46,31 @@ def _spill(d: int, threshold: float) -> float:
     return 1.3 * float(np.sqrt((2 - 2 * threshold) / max(1, d)))
 
 
-def _unit(column) -> np.ndarray:
-    v = np.frombuffer(b"".join(column), np.float64)
+def _unit(column, kind: str) -> np.ndarray:
+    """Vectors of one length as rows of norm 1, in double precision, scaled by their largest component so that no square overflows."""
+    v = np.frombuffer(b"".join(column), kind).astype(np.float64)
     v = v.reshape(len(column), -1)
+    v = v / np.abs(v).max(1, keepdims=True)
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
-def _normed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Vectors as bytes of doubles, scaled by their largest component so that no square overflows."""
+def _packed(kind: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Vectors as the bytes of their own components."""
     for batch in batches:
         column = batch.column("v")
-        flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        rows = np.split(flat, np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))[:-1]) if len(column) else []
-        v = pa.array([(r / np.abs(r).max()).tobytes() for r in rows], pa.binary())
+        flat = column.flatten().to_numpy(zero_copy_only=False).astype(kind)
+        ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False)) * flat.itemsize
+        held = flat.tobytes()
+        v = pa.array([held[a:b] for a, b in zip([0, *ends], ends, strict=False)], pa.binary())
         yield pa.RecordBatch.from_pydict({c: v if c == "v" else batch.column(c) for c in batch.schema.names})
 
 
-def _fit(threshold: float, group: pd.DataFrame) -> pd.DataFrame:
+def _fit(threshold: float, kind: str, group: pd.DataFrame) -> pd.DataFrame:
     """Directions and medians of the top levels of the subtree at one leaf, from a sample of it."""
     leaf, levels = int(group.leaf.iloc[0]), int(group.levels.iloc[0])
-    x = _unit(group.v)
+    x = _unit(group.v, kind)
     margin = _spill(x.shape[1], threshold)
-    which, median = np.full(2**LEVELS, -1, np.int32), np.zeros(2**LEVELS)
+    which, median = np.full(2**LEVELS, -1, np.int8), np.zeros(2**LEVELS, np.float32)
     members = {1: np.arange(len(x))}
     for node in range(1, 2**levels):
         own = members.pop(node, None)
@@ -79,8 +85,8 @@ def _fit(threshold: float, group: pd.DataFrame) -> pd.DataFrame:
                 best = (both, attempt, m, p)
         if best[0] <= MAX_SPILL:
             which[node], median[node] = best[1], best[2]
-            members[2 * node], members[2 * node + 1] = own[best[3] <= best[2] + margin], own[best[3] >= best[2] - margin]
-    return pd.DataFrame({"label": [group.label.iloc[0]], "leaf": [leaf], "which": [which.tolist()], "median": [median.tolist()]})
+            members[2 * node], members[2 * node + 1] = own[best[3] <= median[node] + margin], own[best[3] >= median[node] - margin]
+    return pd.DataFrame({"label": [group.label.iloc[0]], "leaf": [leaf], "which": [which.tobytes()], "median": [median.tobytes()]})
 
 
 def _child(leaf: int, node: int) -> int:
@@ -91,84 +97,122 @@ def _child(leaf: int, node: int) -> int:
     return int(np.uint64(h ^ (h >> 31)).astype(np.int64))
 
 
-def _route(threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _leaves(x: np.ndarray, leaf: int, which: np.ndarray, median: np.ndarray, margin: float, directions: dict) -> Iterator[tuple[np.ndarray, int]]:
+    """The rows of ``x`` that each leaf of the subtree at ``leaf`` holds, and the leaf's node."""
+    at = {1: np.arange(len(x))}
+    for node in range(1, 2 ** (LEVELS + 1)):
+        own = at.pop(node, None)
+        if own is None or not len(own):
+            continue
+        if node < len(which) and which[node] >= 0:
+            key = leaf, node
+            if key not in directions:
+                directions[key] = _direction(leaf, node, int(which[node]), x.shape[1])
+            p = x[own] @ directions[key]
+            at[2 * node], at[2 * node + 1] = own[p <= median[node] + margin], own[p >= median[node] - margin]
+        else:
+            yield own, node
+
+
+def _route(threshold: float, kind: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each vector with the leaves that it falls into, from the splits of its present leaves in ``splits``."""
+    directions: dict = {}
     for batch in batches:
-        frame = batch.to_pandas()
-        out = []
-        for leaf, group in frame.groupby("leaf"):
-            which, median = group["which"].iloc[0], group["median"].iloc[0]
-            x, at = _unit(group.v), {1: np.arange(len(group))}
-            margin = _spill(x.shape[1], threshold)
-            for node in range(1, 2 ** (LEVELS + 1)):
-                own = at.pop(node, None)
-                if own is None or not len(own):
-                    continue
-                if node < len(which) and which[node] >= 0:
-                    p = x[own] @ _direction(int(leaf), node, int(which[node]), x.shape[1])
-                    at[2 * node], at[2 * node + 1] = own[p <= median[node] + margin], own[p >= median[node] - margin]
-                else:
-                    part = group.iloc[own][["id", "n", "label", "v"]].copy()
-                    part["leaf"], part["split"] = _child(int(leaf), node), node > 1
-                    out.append(part)
-        if out:
-            yield pa.RecordBatch.from_pandas(pd.concat(out)[["id", "n", "label", "v", "leaf", "split"]], preserve_index=False)
-
-
-def forest(vectors: DataFrame, threshold: float, trees: int = TREES) -> DataFrame:
-    """``id, n, label, v, leaf, size`` for each vector and leaf that holds it. Leaves above ``LEAF`` are split again until no split helps."""
+        rows, leaf, split = [], [], []
+        lists = batch.column("splits")
+        owner, flat = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy())), lists.flatten()
+        present = flat.field("leaf").to_numpy()
+        order = np.argsort(present, kind="stable")
+        cuts = np.flatnonzero(np.diff(present[order])) + 1
+        for group in np.split(order, cuts) if len(order) else []:
+            first, here = int(group[0]), int(present[group[0]])
+            which, median = np.frombuffer(flat.field("which")[first].as_py(), np.int8), np.frombuffer(flat.field("median")[first].as_py(), np.float32)
+            x = _unit(batch.column("v").take(pa.array(owner[group])).to_pylist(), kind)
+            for own, node in _leaves(x, here, which, median, _spill(x.shape[1], threshold), directions):
+                rows.append(owner[group[own]])
+                leaf.append(np.full(len(own), _child(here, node)))
+                split.append(np.full(len(own), node > 1))
+        if rows:
+            taken = pa.array(np.concatenate(rows))
+            columns = {c: batch.column(c).take(taken) for c in ("id", "n", "label", "v")}
+            yield pa.RecordBatch.from_pydict({**columns, "leaf": np.concatenate(leaf), "split": np.concatenate(split)})
+
+
+def _sampled(live: DataFrame) -> DataFrame:
+    """``SAMPLE`` vectors of each leaf at random: a cut-off by the leaf's size leaves about twice as many before any is sent."""
+    h = F.xxhash64("id", "leaf")
+    share = F.lit(2.0 * SAMPLE) / F.col("size")
+    few = live.where((F.col("size") <= 2 * SAMPLE) | (F.shiftrightunsigned(h, 12) < share * F.lit(float(1 << 52))))
+    nth = F.row_number().over(Window.partitionBy("leaf").orderBy(F.xxhash64("id", "leaf"), "id"))
+    return few.withColumn("nth", nth).where(F.col("nth") <= SAMPLE).drop("nth")
+
+
+def forest(vectors: DataFrame, threshold: float, kind: str, scratch: Scratch, trees: int = TREES) -> DataFrame:
+    """``id, n, label, v, leaf, size`` for each vector and leaf that holds it. Leaves above ``LEAF`` are split again until no split helps.
+
+    A round's splits and leaves are tables.
+    """
+    columns = ["id", "n", "label", "v"]
     roots = F.array(*[F.xxhash64("label", F.octet_length("v"), F.lit(t)) for t in range(trees)])
-    live = settle(vectors.withColumn("leaf", F.explode(roots)))
-    done = []
+    live, done = vectors.withColumn("leaf", F.explode(roots)), []
     while True:
-        sizes = live.groupBy("leaf").agg(F.count(F.lit(1)).alias("size"))
-        live = live.join(settle(sizes), "leaf")
-        done.append(live.where(F.col("size") <= LEAF))
-        live = settle(live.where(F.col("size") > LEAF))
-        if live.isEmpty():
+        sizes = scratch.settle(live.groupBy("leaf").agg(F.count(F.lit(1)).alias("size")))
+        large = sizes.where(F.col("size") > LEAF)
+        done.append(live.join(small(sizes.where(F.col("size") <= LEAF), MAX_LEAVES), "leaf").select(*columns, "leaf", "size"))
+        if large.isEmpty():
             break
         levels = F.least(F.lit(LEVELS), F.ceil(F.log2(F.col("size") / LEAF)) + 1).cast("int")
-        order = Window.partitionBy("leaf").orderBy(F.xxhash64("id", "leaf"), "id")
-        sample = live.withColumn("levels", levels).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= SAMPLE).drop("nth")
-        fitted = settle(sample.groupBy("leaf").applyInPandas(partial(_fit, threshold), "label int, leaf long, which array<int>, median array<double>"))
-        routed = live.join(small(fitted.select("leaf", "which", "median"), 10_000), "leaf").select("id", "n", "label", "v", "leaf", "which", "median")
-        routed = settle(routed.mapInArrow(partial(_route, threshold), "id long, n long, label int, v binary, leaf long, split boolean"))
+        sample = _sampled(live.join(small(large, MAX_LEAVES), "leaf")).withColumn("levels", levels)
+        fitted = scratch.settle(sample.groupBy("leaf").applyInPandas(partial(_fit, threshold, kind), "label int, leaf long, which binary, median binary"))
+        own = F.struct("leaf", "which", "median")
+        if len(done) == 1:  # the first round: all trees from one reading of the vectors
+            trees_of = fitted.groupBy("label").agg(F.collect_list(own).alias("all"))
+            sent = vectors.join(small(trees_of, 10_000), "label").withColumn("splits", F.filter("all", lambda s: F.array_contains(roots, s["leaf"])))
+        else:
+            sent = live.join(small(fitted.select("leaf", F.array(own).alias("splits")), 10_000), "leaf")
+        routed = sent.select(*columns, "splits").mapInArrow(partial(_route, threshold, kind), "id long, n long, label int, v binary, leaf long, split boolean")
+        routed = scratch.settle(routed)
         whole = routed.where(~F.col("split")).drop("split")
-        done.append(whole.join(settle(whole.groupBy("leaf").agg(F.count(F.lit(1)).alias("size"))), "leaf"))
+        done.append(whole.join(scratch.settle(whole.groupBy("leaf").agg(F.count(F.lit(1)).alias("size"))), "leaf").select(*columns, "leaf", "size"))
         live = routed.where("split").drop("split")
-    leaves = done[0].select("id", "n", "label", "v", "leaf", "size")
+    leaves = done[0]
     for more in done[1:]:
-        leaves = leaves.union(more.select("id", "n", "label", "v", "leaf", "size"))
+        leaves = leaves.union(more)
     return leaves
 
 
-def _compare(threshold: float, group: pd.DataFrame) -> pd.DataFrame:
+def _compare(threshold: float, kind: str, group: pd.DataFrame) -> pd.DataFrame:
     """Links of one leaf, or between two chunks of it: how many counted here for each vector, and the smallest one reached."""
     leaf, a, b = int(group.leaf.iloc[0]), int(group.a.iloc[0]), int(group.b.iloc[0])
     group = group.sort_values("id", kind="stable")
-    x, ids, n, chunk = _unit(group.v), group.id.to_numpy(), group.n.to_numpy(), group.chunk.to_numpy()
-    link = x @ x.T >= threshold
+    x, ids, n, chunk = _unit(group.v, kind), group.id.to_numpy(), group.n.to_numpy(), group.chunk.to_numpy()
+    strips = [slice(i, min(i + STRIP, len(ids))) for i in range(0, len(ids), STRIP)]
+    link = np.empty((len(ids), len(ids)), bool)
+    for s in strips:
+        link[s] = x[s] @ x.T >= threshold
+        if a != b:
+            link[s] &= chunk[s, None] != chunk[None, :]
     np.fill_diagonal(link, False)
-    if a != b:
-        link &= chunk[:, None] != chunk[None, :]
     if not link.any():
         return pd.DataFrame({"id": ids[:0], "links": n[:0], "root": ids[:0]})
-    root = np.arange(len(ids))
+    root = np.arange(len(ids), dtype=np.int32)
     while True:
-        least = np.where(link, root[None, :], len(ids)).min(1)
-        new = np.minimum(root, least)
+        new = np.minimum(root, np.concatenate([np.where(link[s], root[None, :], np.int32(len(ids))).min(1) for s in strips]))
         new = np.minimum(new, new[new])
         if (new == root).all():
             break
         root = new
     earlier = [np.array([x for x in own if x < leaf], np.int64) for own in group.leaves]
-    names = np.unique(np.concatenate(earlier)) if earlier else np.empty(0, np.int64)
+    names = np.unique(np.concatenate(earlier))
+    reached = link.any(1)
     if len(names):
         held = np.zeros((len(ids), len(names)), np.float32)
         for i, own in enumerate(earlier):
             held[i, np.searchsorted(names, own)] = 1
-        link &= held @ held.T == 0
-    linked = link.any(1) | (root != np.arange(len(ids)))
-    return pd.DataFrame({"id": ids, "links": link @ n, "root": ids[root]})[linked]
+        for s in strips:
+            link[s] &= held[s] @ held.T == 0
+    links = np.concatenate([link[s] @ n for s in strips])
+    return pd.DataFrame({"id": ids, "links": links, "root": ids[root]})[reached]
 
 
 def near_vectors(
@@ -190,15 +234,19 @@ def near_vectors(
     classes = keyed.where("key is not null").groupBy("key").agg(
         F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("n"), F.min("label").alias("label"), F.min(plain).alias("v")
     )
-    classes = settle(classes.select("key.k1", "key.k2", "id", "n", "label", "v"))
+    spark, element = vectors.sparkSession, rows.schema["v"].dataType.elementType
+    kind = "<f4" if isinstance(element, T.FloatType) else "<f8"
+    scratch = Scratch(spark)
+    classes = scratch.settle(classes.select("key.k1", "key.k2", "id", "n", "label", F.transform("v", lambda x: x.cast("float" if kind == "<f4" else "double")).alias("v")))
     usable_classes = classes.where("id is not null").groupBy("id", "label", "v").agg(F.sum("n").alias("n")).select("id", "n", "label", "v")
-    leaves = settle(forest(usable_classes.mapInArrow(_normed, "id long, n long, label int, v binary"), threshold, trees))
+    usable_classes = scratch.settle(usable_classes.mapInArrow(partial(_packed, kind), "id long, n long, label int, v binary"))
+    leaves = forest(usable_classes, threshold, kind, scratch, trees)
     held = leaves.groupBy("id").agg(F.sort_array(F.collect_set("leaf")).alias("leaves"))  # a few for each tree
     chunks = F.ceil(F.col("size") / CHUNK).cast("int")
     parts = leaves.join(held, "id").withColumn("chunk", F.pmod(F.xxhash64("id"), chunks).cast("int"))
     others = F.transform(F.sequence(F.lit(0), chunks - 1), lambda c: F.struct(F.least(c, "chunk").alias("a"), F.greatest(c, "chunk").alias("b")))
     units = parts.withColumn("pair", F.explode(others)).select("id", "n", "v", "leaf", "leaves", "chunk", "pair.a", "pair.b")
-    found = settle(units.groupBy("leaf", "a", "b").applyInPandas(partial(_compare, threshold), "id long, links long, root long"))
+    found = scratch.settle(units.groupBy("leaf", "a", "b").applyInPandas(partial(_compare, threshold, kind), "id long, links long, root long"))
 
     reached = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
@@ -207,5 +255,6 @@ def near_vectors(
     )
     keyed = keyed.select("vec_id", "key.k1", "key.k2")
     out = keyed.join(settle(classes), ["k1", "k2"], "left")
+    scratch.drop()
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
