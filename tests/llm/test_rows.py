@@ -92,6 +92,22 @@ def test_top_k_is_that_of_all_scores(spark, vectors, monkeypatch):
     assert vector_search.top_k(spark.createDataFrame([], VECTORS), F.lit(True)).count() == 0
 
 
+def test_top_k_of_extreme_components_and_many_copies(spark, monkeypatch):
+    """Outliers keep their own cell width, scores beyond 64 bits are the nearest number of 64 bits, and copies do not crowd out others."""
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.standard_normal(6)]) for i in range(60)]
+    rows += [(100, [-1e30] + [1.0] * 5), (101, [1e30, 2.0, 0.0, 0.0, 0.0, 1.0]), (102, [3e8, -2e8, 5e7, 1.0, 2.0, 3.0]), (103, [1e308] * 6), (104, [0.0] * 6)]
+    rows += [(200 + i % 40, rows[7][1]) for i in range(80)] + [(5, rows[5][1])] * 12
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+    exact = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows if np.isfinite(256 * np.array(v)).all()]
+    want = []
+    for q, v in sorted({(q, tuple(v)) for q, v in exact if q % 4 == 0 or q in (5, 101)}):
+        clipped = [(-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(v, w, strict=True)))), i) for i, w in exact if i != q]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(clipped)[:5])]
+    got = sorted(tuple(r) for r in vector_search.top_k(vectors, F.expr("vec_id % 4 = 0 or vec_id in (5, 101)"), 5).collect())
+    assert got == sorted(want)
+
+
 RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("a.b", "", "block"), (None, "/", "block")]
 
 
