@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.conftest import prose
@@ -245,6 +246,29 @@ def test_dropping_near_text_keeps_one_of_each(awkward, nothing):
     assert near_text.drop_near_text(nothing).columns == nothing.columns
 
 
+def test_dropping_near_text_by_rows(spark):
+    """Null ids, one id with unlike texts, and columns named like those of the operator."""
+    rng = random.Random(9)
+    a, b, c = prose(rng, 60), prose(rng, 60), prose(rng, 60)
+    rows = [(1, a, 1), (1, b, 2), (2, a + " x", 3), (None, b, 4), (None, c, 5), (None, c + " y", 6), (None, c, 7), (3, None, 8), (3, None, 9), (None, "", 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, tx int").withColumn("key", F.lit(1)).withColumn("__gone", F.lit(2))
+    stay = near_text.drop_near_text(docs)
+    assert stay.columns == docs.columns
+    got = sorted(r.tx for r in stay.collect())
+    assert got[:2] == [1, 2] and len(set(got) & {5, 6, 7}) == 1 and got[3:] == [8, 9, 10]
+
+
+def test_many_documents_beside_one(spark, monkeypatch):
+    """Pairs of one document with many, in groups of two, and texts over several chunks."""
+    monkeypatch.setattr(near_text, "GROUP", 2)
+    rng = random.Random(7)
+    words = prose(rng, 200).split()
+    texts = [" ".join(words[:i] + [f"z{i}"] + words[i + 1 :]) for i in range(0, 60)] + [prose(rng, 90_000)] * 2
+    texts.append(texts[-1] + " end")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.component_id for r in near_text.near_text(docs, 85).collect()} == plain_components(docs.collect(), 85)
+
+
 def test_sketches_estimate_similarity_and_fill():
     rng = np.random.default_rng(0)
     for size in (1, 3, 50, 4000):

@@ -28,12 +28,12 @@ from tidemark.llm.textbytes import Hasher, chunks, lowered, mix64, runs
 #: them once in two million times at 0.85, once in twenty million at 0.8.
 COORDINATES = 128
 #: A pair between components is not read if its finer sketches differ in more bits than a pair just similar enough would, by so many
-#: standard deviations: eight such pairs in a million are not read.
-DEVIATIONS = 4.5
+#: standard deviations: about three such pairs in a thousand million are not read.
+DEVIATIONS = 6.0
 #: Bits of the finer sketches that pairs between components are held against.
 FINE = 2048
-#: Members of a bucket that are held against as many others at once.
-CHUNK = 1024
+#: Members of a bucket that are held against as many others at once, and documents that are read beside one copy of another's text.
+CHUNK, GROUP = 4096, 256
 #: The most ids (8 bytes each) that are broadcast.
 MAX_IDS = 500_000
 _SEEDS = mix64(np.arange(1, 2 * FINE + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
@@ -119,39 +119,28 @@ def _features(width: int, rows: int, batches: Iterator[pa.RecordBatch]) -> Itera
 
 
 def _confirm(width: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of groups that come sorted, each the text of one document (``role`` 0) and then those that it is held against, by full sets."""
+    head, hub = None, np.empty(0, np.uint64)
     for batch in batches:
-        pairs = zip(batch.column("ta"), batch.column("tb"), strict=True)
-        kept = []
-        for first, data, bounds in _pair_chunks(pairs):
+        a, cid, role = (batch.column(c).to_numpy() for c in ("a", "cid", "role"))
+        for first, data, bounds in chunks((t.as_py() for t in batch.column("text")), b"", b"\n"):
+            n = len(bounds) - 1
             doc, h = shingle_sets(data, bounds, width)
-            size = np.bincount(doc, minlength=len(bounds) - 1)
-            pair = doc // 2
-            order = np.lexsort((h, pair))
-            p, v = pair[order], h[order]
-            shared = np.bincount(p[1:][(p[1:] == p[:-1]) & (v[1:] == v[:-1])], minlength=len(size) // 2)
-            kept.append(first + np.flatnonzero((100 * shared >= percent * (size[0::2] + size[1::2] - shared)) & (shared > 0)))
-        if kept:
-            rows = pa.array(np.concatenate(kept))
-            yield pa.RecordBatch.from_arrays([batch.column("a").take(rows), batch.column("b").take(rows)], ["a", "b"])
-
-
-def _pair_chunks(pairs) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """As ``chunks``, over both texts of each pair; a chunk never parts a pair."""
-    held, size, first, at = [], 0, 0, 0
-    for at, (a, b) in enumerate(pairs):
-        a, b = a.as_py() or "", b.as_py() or ""
-        if held and size + len(a) + len(b) > 1 << 19:
-            yield from _joined(first, held)
-            held, size, first = [], 0, at
-        held += [a, b]
-        size += len(a) + len(b)
-    if held:
-        yield from _joined(first, held)
-
-
-def _joined(first: int, texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    own = [t.encode("utf-8", "surrogatepass") + b"\n" for t in texts]
-    yield first, np.frombuffer(b"".join(own), np.uint8), np.cumsum([0, *map(len, own)])
+            edge = np.searchsorted(doc, np.arange(n + 1))
+            heads = np.flatnonzero(role[first : first + n] == 0)
+            for lo, hi in zip([0, *heads], [*heads, n], strict=True):
+                if lo < hi and role[first + lo] == 0:
+                    head, hub = a[first + lo], h[edge[lo] : edge[lo + 1]]
+                    lo += 1
+                if lo >= hi or not len(hub):
+                    continue
+                own = h[edge[lo] : edge[hi]]
+                met = hub[np.minimum(np.searchsorted(hub, own), len(hub) - 1)] == own
+                shared = np.bincount(doc[edge[lo] : edge[hi]][met] - lo, minlength=hi - lo)
+                linked = (100 * shared >= percent * (np.diff(edge[lo : hi + 1]) + len(hub) - shared)) & (shared > 0)
+                if linked.any():
+                    found = cid[first + lo : first + hi][linked]
+                    yield pa.RecordBatch.from_pydict({"a": np.full(len(found), head), "b": found})
 
 
 def _fine(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,14 +172,14 @@ UNIT = ("key", "a", "b")
 
 
 def _arrays(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
-    out = {c: batch.column(c).to_numpy() for c in (*UNIT, "chunk", "band", "rep", "cid", "n", "comp")}
+    out = {c: batch.column(c).to_numpy() for c in (*UNIT, "chunk", "band", "cid", "n", "comp")}
     out["fine"] = np.column_stack([batch.column(f"f{i}").to_numpy() for i in range(FINE // 64)]).view(np.uint64)
     out["bands"] = batch.column("bands").flatten().to_numpy().reshape(batch.num_rows, -1)
     return out
 
 
 def _unit(percent: int, u: dict[str, np.ndarray]) -> Iterator[np.ndarray]:
-    """Pairs (a, ac, b, bc) between components within one chunk of a bucket, or between two, that the longer sketches leave. A pair that
+    """Pairs between components within one chunk of a bucket, or between two, that the longer sketches leave. A pair that
     met in an earlier band is left to that one."""
     comp, n, band = u["comp"], u["n"], int(u["band"][0])
     x = np.flatnonzero(u["chunk"] == u["a"][0])
@@ -209,7 +198,7 @@ def _unit(percent: int, u: dict[str, np.ndarray]) -> Iterator[np.ndarray]:
         p, q = np.nonzero(near)
         p, q = i[p], y[q]
         new = ~(u["bands"][p, :band] == u["bands"][q, :band]).any(1)
-        yield np.stack([u["rep"][p], u["cid"][p], u["rep"][q], u["cid"][q]])[:, new]
+        yield np.stack([u["cid"][p], u["cid"][q]])[:, new]
 
 
 def _across(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,8 +219,8 @@ def _across(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
             cuts.pop()
         pairs = [found for lo, hi in zip(cuts, cuts[1:], strict=False) for found in _unit(percent, {c: v[lo:hi] for c, v in rows.items()})]
         if pairs:
-            a, ac, b, bc = np.concatenate(pairs, 1)
-            yield pa.RecordBatch.from_pydict({"a": a, "ac": ac, "b": b, "bc": bc})
+            a, b = np.concatenate(pairs, 1)
+            yield pa.RecordBatch.from_pydict({"a": a, "b": b})
 
 
 def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
@@ -239,49 +228,52 @@ def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | Non
     yield None
 
 
+def _source(doc_id, tx):
+    """Where a class's text is found again: by the id, or without one by the text's hash, and by that hash."""
+    return F.coalesce(doc_id, tx)
+
+
 def _texts(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """``cid, text`` of the classes in ``wanted(cid)``."""
-    rows = classes.select("cid", "rep", "tx").join(small(settle(wanted.distinct()), MAX_IDS), "cid", "left_semi")
-    texts = docs.join(small(settle(rows), MAX_IDS), (F.col("doc_id") == F.col("rep")) & (F.xxhash64("text") == F.col("tx")))
+    rows = classes.select("cid", _source(F.col("rep"), F.col("tx")).alias("from"), F.col("tx").alias("hash")).join(small(settle(wanted.distinct()), MAX_IDS), "cid", "left_semi")
+    tx = F.xxhash64("text")
+    texts = docs.join(small(settle(rows), MAX_IDS), (_source(F.col("doc_id"), tx) == F.col("from")) & (tx == F.col("hash")))
     return settle(texts.groupBy("cid").agg(F.first("text").alias("text")))
 
 
 def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs ``(a, ac, b, bc)`` of classes (smallest id and class key) whose full sets link."""
-    pairs = settle(pairs)
-    texts = _texts(pairs.select(F.col("ac").alias("cid")).union(pairs.select("bc")), classes, docs)
-    both = pairs.join(texts.select(F.col("cid").alias("ac"), F.col("text").alias("ta")), "ac")
-    both = both.join(texts.select(F.col("cid").alias("bc"), F.col("text").alias("tb")), "bc").select("a", "b", "ta", "tb")
-    return settle(both.mapInArrow(partial(_confirm, width, percent), "a long, b long"))
+    """The pairs ``(a, b)`` of classes whose full sets link.
 
+    Pairs are read in groups of at most about ``GROUP`` with the same ``a``, whose text is sent once for each group.
+    """
+    pairs = settle(pairs)
+    texts = _texts(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")), classes, docs)
+    groups = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("groups"))
+    heads = groups.select("a", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group"), F.col("a").alias("cid"), F.lit(0).alias("role"))
+    others = pairs.join(groups, "a").select("a", F.pmod(F.xxhash64("b"), F.col("groups")).cast("int").alias("group"), F.col("b").alias("cid"), F.lit(1).alias("role"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = heads.union(others).join(texts, "cid").repartition(parts, "a", "group").sortWithinPartitions("a", "group", "role")
+    return settle(rows.select("a", "cid", "role", "text").mapInArrow(partial(_confirm, width, percent), "a long, b long"))
 
-def near_text(docs: DataFrame, percent: int = 80, width: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for each row of ``docs``.
 
-    Words are what white space parts, A-Z in lower case; a document's set is its distinct shingles of ``width`` words. Documents link if
-    the sets share ``percent`` of their union or more; a component's id is the smallest ``doc_id`` in it, and ``kept`` marks the document
-    with that id. Null, empty and white-space texts have no shingles and link with nothing. Rows without an id belong to the component of
-    their set, if any row with an id has that set, and are not kept; rows that share an id are one document with several texts, whose
-    components are merged. Other columns are ignored, whatever their names; no rows give no rows.
-    """
+def _judged(docs: DataFrame, percent: int, width: int, doc_id: str, text: str) -> DataFrame:
+    """``doc_id, tx, n, class, component``: of each row the text's hash, the size of its set, its component of sets and that one's least id."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id long, tx long, n long, f0 long, f1 long, bands array<long>"
     known = settle(rows.withColumn("tx", F.xxhash64("text")).mapInArrow(partial(_features, width, _band_rows(percent)), schema))
-    first = F.min(F.struct("doc_id", "tx", "bands")).alias("r")
-    classes = known.where("n > 0 and doc_id is not null").groupBy("n", "f0", "f1").agg(first)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tx", "bands")).alias("r")
+    classes = known.where("n > 0").groupBy("n", "f0", "f1").agg(first)
     classes = settle(classes.select("n", "f0", "f1", F.xxhash64("f0", "f1", "n").alias("cid"), F.col("r.doc_id").alias("rep"), "r.tx", "r.bands"))
 
-    banded = classes.select(F.posexplode("bands").alias("band", "key"), "rep", "cid", "n")
-    hub = F.min(F.struct("rep", "cid", "n")).alias("hub")
-    hubs = settle(banded.groupBy("key").agg(F.count(F.lit(1)).alias("members"), hub).where("members > 1").drop("members"))
+    banded = classes.select(F.posexplode("bands").alias("band", "key"), "cid", "n")
+    hubs = settle(banded.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("cid", "n")).alias("hub")).where("members > 1").drop("members"))
     members = settle(banded.join(hubs, "key"))
     near = members.where((F.col("cid") != F.col("hub.cid")) & _fitting(F.col("n"), F.col("hub.n"), percent))
-    star = near.select(F.col("hub.rep").alias("a"), F.col("hub.cid").alias("ac"), F.col("rep").alias("b"), F.col("cid").alias("bc")).distinct()
-    links = _links(star, classes, rows, width, percent)
+    links = _links(near.select(F.col("hub.cid").alias("a"), F.col("cid").alias("b")).distinct(), classes, rows, width, percent)
 
     reached = components(links)
-    placed = members.join(reached, members.rep == reached.node, "left").select(
-        "key", "band", "rep", "cid", "n", (F.col("cid") == F.col("hub.cid")).alias("is_hub"), F.coalesce("component", "rep").alias("comp")
+    placed = members.join(reached, members.cid == reached.node, "left").select(
+        "key", "band", "cid", "n", (F.col("cid") == F.col("hub.cid")).alias("is_hub"), F.coalesce("component", "cid").alias("comp")
     )
     placed = settle(placed)
     several = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
@@ -293,27 +285,49 @@ def near_text(docs: DataFrame, percent: int = 80, width: int = 5, doc_id: str =
     units = rest.withColumn("pair", F.explode(others)).select("*", "pair.a", "pair.b").drop("pair", "is_hub", "chunks")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     units = units.repartition(parts, *UNIT).sortWithinPartitions(*UNIT)
-    more = units.mapInArrow(partial(_across, percent), "a long, ac long, b long, bc long")
-    found = links.union(_links(more, classes, rows, width, percent))
+    more = units.mapInArrow(partial(_across, percent), "a long, b long")
+    found = links.union(_links(more.distinct(), classes, rows, width, percent))
 
     reached = components(found)
-    named = classes.select("n", "f0", "f1", "rep").join(reached, F.col("rep") == F.col("node"), "left")
-    named = settle(named.select("n", "f0", "f1", F.coalesce("component", "rep").alias("component")))
-    out = known.select("doc_id", "n", "f0", "f1").join(named, ["n", "f0", "f1"], "left")
-    component = F.coalesce("component", "doc_id")
-    kept = F.coalesce(F.col("doc_id") == component, F.lit(False))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"))
+    linked = classes.select("cid", "rep").join(reached, F.col("cid") == F.col("node")).select("cid", "rep", "component")
+    least = linked.groupBy("component").agg(F.min("rep").alias("least"))
+    linked = settle(linked.join(least, "component").select(F.col("cid").alias("node"), "component", "least"))
+    named = classes.join(linked, F.col("cid") == F.col("node"), "left")
+    named = settle(named.select("n", "f0", "f1", F.coalesce("component", "cid").alias("class"), F.coalesce("least", "rep").alias("component")))
+    out = known.select("doc_id", "tx", "n", "f0", "f1").join(named, ["n", "f0", "f1"], "left")
+    return out.select("doc_id", "tx", "n", "class", F.coalesce("component", "doc_id").alias("component"))
+
+
+def near_text(docs: DataFrame, percent: int = 80, width: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for each row of ``docs``.
+
+    Words are what white space parts, A-Z in lower case; a document's set is its distinct shingles of ``width`` words. Documents link if
+    the sets share ``percent`` of their union or more; a component's id is the smallest ``doc_id`` in it, and ``kept`` marks the document
+    with that id. Null, empty and white-space texts have no shingles and link with nothing. Rows without an id link like others, but are not
+    kept; a component of such rows alone has a null id. Rows that share an id are each judged by their own text. Other columns are ignored,
+    whatever their names; no rows give no rows.
+    """
+    judged = _judged(docs, percent, width, doc_id, text)
+    kept = F.coalesce(F.col("doc_id") == F.col("component"), F.lit(False))
+    return judged.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), kept.alias("kept"))
 
 
 def drop_near_text(docs: DataFrame, percent: int = 80, width: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that stay: one document of each component, and those that link with nothing.
+    """The rows of ``docs``, with all their columns, that stay: one of each component, and those that link with nothing.
 
-    Cases are as in :func:`near_text`; of rows that share an id and stay, one does. Rows without an id stay.
+    The row with the least id stays, of equal ids the one with the least hash of its text, and rows without ids come last. Rows that share an
+    id but not a component all stay; of rows alike in id and text one does, if they have any words.
     """
-    judged = settle(near_text(docs, percent, width, doc_id, text))
-    gone = judged.where("not kept and doc_id is not null").select(F.col("doc_id").alias("__gone")).distinct()
-    stay = docs.join(small(settle(gone), MAX_IDS), docs[doc_id].cast("long") == F.col("__gone"), "left_anti")
-    repeated = judged.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    if repeated.isEmpty():
-        return stay
-    return stay.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id]).union(stay.where(F.col(doc_id).isNull()))
+    judged = settle(_judged(docs, percent, width, doc_id, text).where("n > 0"))
+    none = F.lit(-(2**63))
+    key, row = F.coalesce("doc_id", none), F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tx")
+    stays = judged.groupBy("class").agg(F.min(row).alias("one"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    grouped = judged.join(stays, "class").select(key.alias("key"), "tx", (row == F.col("one")).alias("stays"))
+    counted = settle(grouped.groupBy("key", "tx", "stays").agg(F.count(F.lit(1)).alias("rows")))
+    gone, repeated = settle(counted.where("not stays").select("key", "tx")), settle(counted.where("stays and rows > 1").select("key", "tx"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col(f"`{doc_id}`").cast("long"), none).alias("key"), F.xxhash64(f"`{text}`").alias("tx"))
+    left = rows.join(small(gone, MAX_IDS), ["key", "tx"], "left_anti")
+    if not repeated.isEmpty():
+        several = small(repeated, MAX_IDS)
+        left = left.join(several, ["key", "tx"], "left_anti").unionByName(left.join(several, ["key", "tx"], "left_semi").dropDuplicates(["key", "tx"]))
+    return left.select("row.*")
