@@ -152,7 +152,8 @@ def test_plan_over_counts_is_best_fit_over_pieces():
             assert place <= 40
 
 
-def test_packing_places_every_piece(awkward, nothing):
+def test_packing_places_every_piece(awkward, nothing, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_ROWS", 3)
     path = public_tokenizers.path("byte_bpe_50k.json")
     plain, rows = Tokenizer.from_file(path), packing.pack(awkward, path, 0, 512).collect()
     ids = [[*plain.encode(r.text or "", add_special_tokens=False).ids, 0] for r in awkward.collect()]

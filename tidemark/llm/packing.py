@@ -21,8 +21,10 @@ from pyspark.sql.window import Window
 from tidemark.llm.common import settle, small
 from tidemark.llm.encode import encoder
 
-#: Groups into which the pieces of one length are dealt to be ranked, for each shuffle partition.
-GROUPS = 4
+#: Pieces of one length that are ranked in one group, about; a longer-run length is dealt to several groups.
+GROUP_ROWS = 250_000
+#: Rows of a plan, or of the groups' bases, that are broadcast (some 100 bytes each).
+MAX_ROWS = 200_000
 
 
 def best_fit_plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -95,20 +97,25 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, doc_id: str
 
 
 def place(pieces: DataFrame, capacity: int) -> DataFrame:
-    """Add ``sequence_id`` and ``offset`` to ``pieces``, which have a ``length`` from 1 to ``capacity``; other columns stay."""
+    """Add ``sequence_id`` and ``offset`` to ``pieces``, a written table with a ``length`` from 1 to ``capacity``; other columns stay.
+
+    The driver sees one row for each length. Groups of a length are dealt by row, so rows that are alike spread too.
+    """
     spark = pieces.sparkSession
-    others = [c for c in pieces.columns if c != "length"]
-    groups = GROUPS * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = pieces.withColumn("group", F.pmod(F.xxhash64(*others), F.lit(groups)).cast("int"))
-    counts = dealt.groupBy("length", "group").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("length").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
-    bases = settle(counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))))
-    by_length = {r["length"]: r["n"] for r in bases.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # one row for each length
+    by_length = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
+    lengths = spark.createDataFrame([(length, -(-n // GROUP_ROWS)) for length, n in by_length.items()], "length long, groups int")
     slots = spark.createDataFrame(best_fit_plan(by_length, capacity), "length long, lo long, hi long, first long, each long, at long")
 
-    within = Window.partitionBy("length", "group").orderBy(*others)
-    ranked = dealt.join(small(bases.drop("n"), 200_000), ["length", "group"]).withColumn("rank", F.col("base") + F.row_number().over(within) - 1)
-    r, s = ranked.alias("r"), F.broadcast(slots).alias("s")  # a few slots for each length up to the capacity
+    numbered = settle(pieces.withColumn("row", F.monotonically_increasing_id()).join(F.broadcast(lengths), "length").withColumn(  # at most capacity rows
+        "group", F.pmod(F.xxhash64("row"), F.col("groups")).cast("int")
+    ))
+    counts = numbered.groupBy("length", "group").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("length").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    bases = settle(counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n"))
+
+    within = Window.partitionBy("length", "group").orderBy("row")
+    ranked = numbered.join(small(bases, MAX_ROWS), ["length", "group"]).withColumn("rank", F.col("base") + F.row_number().over(within) - 1)
+    r, s = ranked.alias("r"), small(slots, MAX_ROWS).alias("s")
     placed = r.join(s, (F.col("r.length") == F.col("s.length")) & F.col("r.rank").between(F.col("s.lo"), F.col("s.hi")))
     nth = F.col("rank") - F.col("lo")
     return placed.select(
