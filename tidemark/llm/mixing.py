@@ -32,9 +32,10 @@ def letter_share(text: Column) -> Column:
     return F.lit(0.05) + F.lit(0.95) * F.coalesce(letters / F.greatest(F.length(text), F.lit(1)), F.lit(0.0))
 
 
-def sampling_key(doc_id: Column, weight: Column, seed: int) -> Column:
-    """-ln(u) / w with u from the first 52 bits of a hash of the seed and the id."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary"))
+def sampling_key(doc_id: Column, text: Column, weight: Column, seed: int) -> Column:
+    """-ln(u) / w with u from the first 52 bits of a hash of the seed and the id, or without one of the text."""
+    name = F.coalesce(doc_id.cast("string"), F.concat(F.lit("text "), F.coalesce(text, F.lit(""))))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), name).cast("binary"))
     u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
     return -F.log(u) / weight
 
@@ -44,7 +45,7 @@ def _drawn(docs: DataFrame, doc_id: str, text: str, source: str, weight: Column
         "doc_id": F.col(doc_id),
         "source": F.col(source),
         "size": n_words(F.col(text)),
-        "key": sampling_key(F.col(doc_id), letter_share(F.col(text)) if weight is None else weight, seed),
+        "key": sampling_key(F.col(doc_id), F.col(text), letter_share(F.col(text)) if weight is None else weight, seed),
     }
 
 
@@ -95,9 +96,10 @@ def _plan(drawn: DataFrame, weights, share, max_epochs) -> DataFrame:
     stops = settle(stops.select("source", "stop.bucket", "stop.before"))
 
     edge = rows.alias("d").join(small(stops, MAX_SOURCES).alias("p"), same & (F.col("d.bucket") == F.col("p.bucket"))).select("d.*", "p.before")
+    alike = edge.where("bucket is not null").groupBy("source", "key", "doc_id", "size", "rest", "before").agg(F.sum("size").alias("words"))
     so_far = Window.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    middle = F.col("before") + F.sum("size").over(so_far) - F.col("size") / 2
-    last = edge.where("bucket is not null").withColumn("middle", middle).where("middle <= rest").groupBy("source").agg(
+    middle = F.col("before") + F.sum("words").over(so_far) - F.col("words") / 2
+    last = alike.withColumn("middle", middle).where("middle <= rest").groupBy("source").agg(
         F.max(F.struct("key", "doc_id", "size")).alias("last")
     )
     full = plan.alias("d").join(stops.alias("p"), same, "left").select("d.*", F.col("p.bucket").alias("stop"))
@@ -118,9 +120,9 @@ def mixture(
     """What the mix takes of each document: ``doc_id, source, size, source_size, target, times, taken``.
 
     ``size`` counts words; ``times`` is how often the document is taken and ``taken`` its words with repeats. The last document of a
-    source is taken if that ends nearer to the target than leaving it. Null texts have size 0 and take part without words; null ids draw
-    one key together; a null source is a source of its own, the last. Rows alike in id, source and size share a key and are taken or left
-    together. Other columns are ignored, whatever their names; no rows give no rows. Runs with one seed agree.
+    source is taken if that ends nearer to the target than leaving it. Null texts have size 0 and take part without words; rows
+    without an id draw their key by their text; a null source is a source of its own, the last. Rows alike in key, id, source and size are one
+    to the draw, and taken or left together. Other columns are ignored, whatever their names; no rows give no rows. Runs with one seed agree.
     """
     drawn = settle(docs.select(*[c.alias(k) for k, c in _drawn(docs, doc_id, text, source, weight, seed).items()]))
     full = _joined(drawn, _plan(drawn, weights, share, max_epochs))

@@ -118,7 +118,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP10_SQL = r"""
 WITH drawn AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
-    -ln((('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
+    -ln((('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, 'text ' || coalesce(text, ''))), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
       / (0.05 + 0.95 * coalesce(length(regexp_replace(text, '[^\p{L}]+', '', 'g'))::DOUBLE / greatest(length(text), 1), 0.0)) AS key
   FROM documents
 ), sizes AS (
