@@ -1,44 +1,14 @@
-"""What the operators share: a place for intermediate tables and a size-checked broadcast."""
+"""What the operators share: tables written in the shared folder and a size-checked broadcast."""
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.scratch import place as new_path
+from tidemark.functions.scratch import written as settle
 
-_own: list[str] = []
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares, from ``spark.checkpoint.dir``, with its scheme; a temporary one only where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        if not _own:
-            _own.append("file://" + tempfile.mkdtemp(prefix="spark-"))
-        found = _own[0]
-    path = spark._jvm.org.apache.hadoop.fs.Path(found)
-    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
-    return re.sub("^file:/+", "file:///", full).rstrip("/")
-
-
-def new_path(spark: SparkSession, kind: str) -> str:
-    return f"{scratch_dir(spark)}/{kind}-{uuid.uuid4().hex}"
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back.
-
-    This cuts the lineage, survives the loss of any executor and, unlike an RDD checkpoint, keeps column pruning. The folder is the
-    cluster's to expire, like its checkpoints.
-    """
-    spark = df.sparkSession
-    path = new_path(spark, "table")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["Scratch", "new_path", "settle", "small"]
 
 
 class Scratch:
