@@ -28,8 +28,8 @@ from tidemark.llm.textbytes import Hasher, chunks, lowered, mix64, runs
 #: them once in two million times at 0.85, once in twenty million at 0.8.
 COORDINATES = 128
 #: A pair between components is not read if its finer sketches differ in more bits than a pair just similar enough would, by so many
-#: standard deviations: about three such pairs in a thousand million are not read.
-DEVIATIONS = 6.0
+#: standard deviations: fewer than one such pair in a million is not read, about as many as banding misses.
+DEVIATIONS = 5.0
 #: Bits of the finer sketches that pairs between components are held against.
 FINE = 2048
 #: Members of a bucket that are held against as many others at once, and documents that are read beside one copy of another's text.
@@ -265,9 +265,9 @@ def _judged(docs: DataFrame, percent: int, width: int, doc_id: str, text: str) -
     classes = known.where("n > 0").groupBy("n", "f0", "f1").agg(first)
     classes = settle(classes.select("n", "f0", "f1", F.xxhash64("f0", "f1", "n").alias("cid"), F.col("r.doc_id").alias("rep"), "r.tx", "r.bands"))
 
-    banded = classes.select(F.posexplode("bands").alias("band", "key"), "cid", "n")
-    hubs = settle(banded.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("cid", "n")).alias("hub")).where("members > 1").drop("members"))
-    members = settle(banded.join(hubs, "key"))
+    banded = classes.select(F.posexplode("bands").alias("band", "key"), F.struct(F.col("rep").isNull().alias("none"), "rep", "cid", "n").alias("m"))
+    hubs = settle(banded.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("m").alias("hub")).where("members > 1").drop("members"))
+    members = settle(banded.join(hubs, "key").select("key", "band", "m.cid", "m.n", "hub"))
     near = members.where((F.col("cid") != F.col("hub.cid")) & _fitting(F.col("n"), F.col("hub.n"), percent))
     links = _links(near.select(F.col("hub.cid").alias("a"), F.col("cid").alias("b")).distinct(), classes, rows, width, percent)
 
