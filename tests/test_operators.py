@@ -43,6 +43,26 @@ def test_paths_share_hops(spark):
     assert got.columns == ["Id", "OwnerId", "Owner_Name", "Owner_Profile_Name", "Owner_Manager_Name"]
 
 
+def test_log_files_with_awkward_names(spark, tmp_path):
+    names = ["p.csv", "a b.csv", "h%20.csv", "ü+=&.csv"]
+    for n, name in enumerate(names):
+        (tmp_path / name).write_text(f"X\n{n}\n")
+    rows = [("Login", "Daily", f"2024-01-0{n + 1}", ("file://" if n % 2 else "") + f"{tmp_path}/{name}", ["X"]) for n, name in enumerate(names)]
+    catalog = spark.createDataFrame([*rows, rows[0]], "event_type string, interval string, log_date string, path string, field_names array<string>").withColumn("log_date", F.col("log_date").cast("timestamp"))
+    got = logs.scan_log_files(spark, catalog, "Login", "Daily").select("X", F.dayofmonth(tables.MARK).alias("day"))
+    assert values(got, "X", "day") == [(str(n), n + 1) for n in range(4)]
+
+
+def test_overwriting_a_csv_folder_keeps_the_old_one_until_the_end(spark, tmp_path):
+    path = f"{tmp_path}/out"
+    sinks.export_csv(spark.range(3), path, "Overwrite")
+    with pytest.raises(Exception, match="broken"):
+        sinks.export_csv(spark.range(3).withColumn("x", F.raise_error(F.lit("broken"))), path, "Overwrite")
+    assert logs.read_csv(spark, path, ["id"]).count() == 3
+    sinks.export_csv(spark.range(5), path, "Overwrite")
+    assert logs.read_csv(spark, path, ["id"]).count() == 5 and len([p for p in tmp_path.iterdir() if p.name.startswith("out__")]) <= 1
+
+
 def test_log_files_with_other_headers(spark, tmp_path):
     (tmp_path / "a.csv").write_text('X,Y\r\n1,"two\nlines"\r\n\r\n3,4\r\n')
     (tmp_path / "b.csv").write_text("Y,X,Z\nq,p,z\n")

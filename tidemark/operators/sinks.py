@@ -9,6 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidemark.functions.scratch import written
@@ -42,7 +43,7 @@ def csv_lines(df: DataFrame) -> DataFrame:
 
 
 def export_gzip(df: DataFrame, path: str, budget: int = PART_BYTES) -> None:
-    """Numbered folders of gzip text without headers, each below the budget before compression.
+    """Numbered folders of gzip text without headers, each of at most the budget and one row before compression.
 
     Rows are packed where they are: each Spark partition numbers its own parts, so nothing is shuffled or ordered.
     """
@@ -57,7 +58,10 @@ def export_gzip(df: DataFrame, path: str, budget: int = PART_BYTES) -> None:
 
 
 def export_csv(df: DataFrame, path: str, operation: str = "Append") -> None:
-    """A folder of CSV files with headers, cells quoted and guarded; ``Append`` adds files, ``Overwrite`` replaces them once written."""
+    """A folder of CSV files with headers, cells quoted and guarded; ``Append`` adds files, ``Overwrite`` replaces them once written.
+
+    Old files are moved aside and deleted only when the new ones are in place, so that a crash loses neither.
+    """
     fs = _Files(df.sparkSession)
     cells = df.select(*[formula_guard(as_text(F.col(f"`{f.name}`"), f.dataType)).alias(f.name) for f in df.schema])
     writer = cells.write.option("header", True).option("quoteAll", True).option("escape", '"').option("emptyValue", "")
@@ -67,8 +71,15 @@ def export_csv(df: DataFrame, path: str, operation: str = "Append") -> None:
         return
     staged = f"{path.rstrip('/')}__{uuid.uuid4().hex}"
     writer.csv(staged)
-    fs.delete(path)
-    fs.rename(staged, path)
+    aside = f"{path.rstrip('/')}__{uuid.uuid4().hex}" if fs.exists(path) else None
+    if aside and not fs.rename(path, aside):
+        raise OSError(f"{path} cannot be moved aside")
+    if not fs.rename(staged, path):
+        if aside:
+            fs.rename(aside, path)
+        raise OSError(f"{staged} cannot take the place of {path}")
+    if aside:
+        fs.delete(aside)
 
 
 class _Files:
@@ -89,6 +100,10 @@ class _Files:
         fs, p = self._at(old)
         return bool(fs.rename(p, self.jvm.org.apache.hadoop.fs.Path(new)))
 
+    def exists(self, path: str) -> bool:
+        fs, p = self._at(path)
+        return bool(fs.exists(p))
+
     def names(self, path: str) -> list[str]:
         fs, p = self._at(path)
         return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
@@ -117,14 +132,17 @@ class Store:
     """Versioned targets below one folder. A version is a small file that lists the folders of rows it consists of.
 
     Rows are written aside and become visible by one rename of the next version's file; until then, and after a failure, readers see the
-    version before. Appending lists the earlier folders too; overwriting does not, and never touches what is being read.
+    version before. Appending lists the earlier folders too; overwriting does not, and never touches what is being read. A version holds the
+    types of its columns, and rows of other types are not appended. One run at a time commits to a target; of two, the second fails where the
+    file system's rename refuses an existing file.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root, self.files = spark, root.rstrip("/"), _Files(spark)
 
     def _home(self, target: str) -> str:
-        return f"{self.root}/{re.sub(r'[^A-Za-z0-9_.-]', '_', target)}"
+        """A folder of the target's own: other characters are written as their bytes in hexadecimal."""
+        return f"{self.root}/{re.sub(r'[^A-Za-z0-9_.-]', lambda c: ''.join(f'~{b:02X}' for b in c[0].encode()), target)}"
 
     def version(self, target: str) -> tuple[int, dict] | None:
         found = [int(n.removesuffix(".json")) for n in self.files.names(f"{self._home(target)}/versions") if re.fullmatch(r"\d+\.json", n)]
@@ -132,7 +150,17 @@ class Store:
             return None
         return max(found), json.loads(self.files.read(f"{self._home(target)}/versions/{max(found)}.json"))
 
-    def stage(self, target: str, df: DataFrame) -> str:
+    def fit(self, target: str, schema: T.StructType) -> None:
+        """Refuse rows whose columns have other types than the target's."""
+        before = self.version(target)
+        held = {f["name"]: T.StructField.fromJson(f).dataType for f in before[1]["schema"]["fields"]} if before else {}
+        wrong = [f"{f.name} is {f.dataType.simpleString()}, not {held[f.name].simpleString()}" for f in schema if f.name in held and held[f.name] != f.dataType]
+        if wrong:
+            raise ValueError(f"columns do not fit the target: {', '.join(wrong)}")
+
+    def stage(self, target: str, df: DataFrame, operation: str = "Append") -> str:
+        if operation == "Append":
+            self.fit(target, df.schema)
         path = f"{self._home(target)}/rows/{uuid.uuid4().hex}"
         df.write.parquet(path)
         return path
@@ -141,7 +169,8 @@ class Store:
         before = self.version(target)
         kept = before[1]["folders"] if before and operation == "Append" else []
         number = before[0] + 1 if before else 1
-        text = json.dumps({"folders": [*kept, staged], "columns": list(columns), "run": run_id})
+        schema = self.spark.read.parquet(staged).select(*[f"`{c}`" for c in columns]).schema
+        text = json.dumps({"folders": [*kept, staged], "columns": list(columns), "schema": schema.jsonValue(), "run": run_id})
         self.files.create(f"{self._home(target)}/versions/{number}.json", text)
         return number
 
@@ -150,7 +179,7 @@ class Store:
 
     def read(self, target: str) -> DataFrame | None:
         found = self.version(target)
-        return self.spark.read.parquet(*found[1]["folders"]).select(*found[1]["columns"]) if found else None
+        return self.spark.read.schema(T.StructType.fromJson(found[1]["schema"])).parquet(*found[1]["folders"]) if found else None
 
 
 def merge_state(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -176,4 +205,4 @@ def read_state(store: Store) -> DataFrame:
 
 def write_state(store: Store, new: DataFrame) -> None:
     merged = merge_state(read_state(store), new)
-    store.commit("state", store.stage("state", merged), "Overwrite", ["watermark_key", "watermark_raw", "watermark_ts"])
+    store.commit("state", store.stage("state", merged, "Overwrite"), "Overwrite", ["watermark_key", "watermark_raw", "watermark_ts"])

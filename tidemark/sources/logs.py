@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,28 +41,56 @@ def scan_log_table(logs: DataFrame, event_type: str, interval: str, fields: Sequ
     return select_logs(logs, event_type, interval, bounds, mark).select(*fields, F.col("log_date").alias(MARK))
 
 
-def scan_log_files(
-    spark: SparkSession, catalog: DataFrame, event_type: str, interval: str, bounds: Bounds = NO_BOUNDS, mark: str | None = None, strict: bool = False
-) -> DataFrame | None:
-    """Rows of the log files that a catalog ``(event_type, interval, log_date, path, field_names)`` lists, or None if it lists none.
+def listed_logs(catalog: DataFrame, event_type: str, interval: str, bounds: Bounds = NO_BOUNDS, mark: str | None = None) -> list[Row]:
+    """``path, field_names, log_date`` of the files that a catalog lists inside the window: all that reaches the driver of a log."""
+    return select_logs(catalog, event_type, interval, bounds, mark).select("path", "field_names", "log_date").collect()
+
+
+def _file_names(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Paths as a file scan reports them: with scheme and authority, encoded as a URI, and one slash where there is no authority."""
+    path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    full = [p.getFileSystem(conf).makeQualified(p).toUri().toString() for p in map(path, paths)]
+    return [re.sub("^([A-Za-z][A-Za-z0-9+.-]*):///", r"\1:/", f) for f in full]
+
+
+def read_logs(spark: SparkSession, rows: Sequence[Row], strict: bool = False) -> DataFrame | None:
+    """Rows of the listed log files, with the log date of each one's file as ``MARK``; None if none is listed.
 
     Files are read by the header that the catalog holds for them. Where headers differ, columns are matched by name and missing ones are
-    null; ``strict`` refuses that. Only paths and headers reach the driver. ``MARK`` is the log date of a row's file.
+    null; ``strict`` refuses that. A row of a file that is not among the listed ones fails the job. Cells may hold newlines, so a file is
+    read by one task.
     """
-    chosen = select_logs(catalog, event_type, interval, bounds, mark).select("path", "field_names", "log_date")
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for row in chosen.collect():
+    for row in rows:
         by_header.setdefault(tuple(row["field_names"]), []).append(row["path"])
     if not by_header:
         return None
     if strict and len(by_header) > 1:
-        raise ValueError(f"files of {event_type} have {len(by_header)} different headers")
+        raise ValueError(f"the log files have {len(by_header)} different headers")
     out = None
     for names, paths in by_header.items():
-        part = read_csv(spark, paths, names, strict=True).withColumn("__path", F.col("_metadata.file_path"))
+        part = read_csv(spark, list(dict.fromkeys(paths)), names, strict=True).withColumn("__path", F.col("_metadata.file_path"))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    dates = chosen.select(F.regexp_replace("path", "^(file:)?/*", "/").alias("__plain"), F.col("log_date").alias(MARK))
-    return out.join(dates, F.regexp_replace("__path", "^(file:)?/*", "/") == F.col("__plain")).drop("__path", "__plain")
+    newest: dict[str, object] = {}
+    for name, row in zip(_file_names(spark, [r["path"] for r in rows]), rows, strict=True):
+        newest[name] = max(row["log_date"], newest.get(name, row["log_date"]))
+    dates = F.broadcast(spark.createDataFrame(list(newest.items()), T.StructType([T.StructField("__name", T.StringType()), T.StructField(MARK, _kind(rows))])))  # the list of paths
+    plain = F.regexp_replace("__path", "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
+    unknown = F.raise_error(F.concat(F.lit("not in the catalog: "), "__path"))
+    date = F.when(F.col("__name").isNull(), unknown.cast(_kind(rows))).otherwise(F.col(MARK))
+    return out.join(dates, plain == F.col("__name"), "left").withColumn(MARK, date).drop("__path", "__name")
+
+
+def _kind(rows: Sequence[Row]) -> T.DataType:
+    value = rows[0]["log_date"]
+    return T.StringType() if isinstance(value, str) else T.TimestampType() if hasattr(value, "hour") else T.DateType()
+
+
+def scan_log_files(
+    spark: SparkSession, catalog: DataFrame, event_type: str, interval: str, bounds: Bounds = NO_BOUNDS, mark: str | None = None, strict: bool = False
+) -> DataFrame | None:
+    """Rows of the log files that a catalog ``(event_type, interval, log_date, path, field_names)`` lists in the window, or None."""
+    return read_logs(spark, listed_logs(catalog, event_type, interval, bounds, mark), strict)
 
 
 def headers(spark: SparkSession, path: str | list[str]) -> DataFrame:

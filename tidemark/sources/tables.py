@@ -36,11 +36,12 @@ def scan_table(
     bounds: Bounds = NO_BOUNDS,
     mark: str | None = None,
     with_ties: bool = False,
+    tie_break: Sequence[str] = (),
 ) -> DataFrame:
     """Rows inside the window, as the asked fields (dots become underscores) and the hidden date.
 
     ``where`` is one SQL expression and cannot widen the window. With ``limit`` the oldest rows come; ``with_ties`` also takes the rows
-    that share the last date, which a later run would otherwise never see.
+    that share the last date, which a later run would otherwise never see, and ``tie_break`` decides among them if they are not taken.
     """
     date = dotted(df, date_field)
     kind = df.select(date).schema[0].dataType
@@ -48,7 +49,7 @@ def scan_table(
         if condition is not None:
             df = df.where(condition)
     if limit is not None and not with_ties:
-        df = df.orderBy(date.asc()).limit(limit)
+        df = df.orderBy(date.asc(), *tie_break).limit(limit)
     elif limit is not None:
         last = df.select(date.alias("__last")).orderBy(F.col("__last").asc()).limit(limit).agg(F.max("__last").alias("__last"))
         df = df.join(F.broadcast(last), date <= F.col("__last")).drop("__last")  # one row
@@ -102,6 +103,6 @@ def oldest(df: DataFrame, date: str, n: int, tie_break: Sequence[str] = ()) -> D
     return df.orderBy(F.col(date).asc(), *tie_break).limit(n)
 
 
-def oldest_per_key(df: DataFrame, keys: Sequence[str], date: str, n: int, with_ties: bool = False) -> DataFrame:
-    nth = (F.rank() if with_ties else F.row_number()).over(Window.partitionBy(*keys).orderBy(date))
+def oldest_per_key(df: DataFrame, keys: Sequence[str], date: str, n: int, with_ties: bool = False, tie_break: Sequence[str] = ()) -> DataFrame:
+    nth = F.rank().over(Window.partitionBy(*keys).orderBy(date)) if with_ties else F.row_number().over(Window.partitionBy(*keys).orderBy(date, *tie_break))
     return df.withColumn("__nth", nth).where(F.col("__nth") <= n).drop("__nth")
