@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.times import Bounds
 from tidemark.operators.sinks import Store, read_state
 from tidemark.plans import report
-from tidemark.plans.run import Entry, run, table_entry
+from tidemark.plans.run import Entry, csv_entry, log_entry, run, table_entry
 from tidemark.sources.tables import MARK
 from tidemark.streaming.tail import TailTarget, read_target, tail
 
@@ -81,6 +81,45 @@ def test_shared_scans_and_source_units(spark, events, store):
     assert set(marks(store)) == {"ke"}
 
 
+def test_logs_without_rows_move_the_mark(spark, store, tmp_path):
+    (tmp_path / "a b.csv").write_text("X,Y\n1,2\n")
+    (tmp_path / "h%20.csv").write_text("X,Y\n")
+    catalog = lambda *days: spark.createDataFrame(
+        [("Login", "Daily", f"2024-01-0{d}T00:00:00Z", f"{tmp_path}/{name}", ["X", "Y"]) for d, name in days], "event_type string, interval string, log_date string, path string, field_names array<string>"
+    ).withColumn("log_date", F.col("log_date").cast("timestamp"))
+    entry = lambda c: [log_entry(spark, c, "o", "Login", "Daily", "t")]
+    first = run(spark, entry(catalog((1, "a b.csv"))), store).first()
+    assert (first.status, first.rows, first.units, first.mark) == ("processed", 1, 1, "2024-01-01T00:00:00.000000Z")
+    both = catalog((1, "a b.csv"), (2, "h%20.csv"))
+    second = run(spark, entry(both), store).first()
+    assert (second.status, second.rows, second.units, second.mark) == ("processed", 0, 1, "2024-01-02T00:00:00.000000Z")
+    assert run(spark, entry(both), store).first().status == "skipped" and store.read("t").count() == 1
+
+
+def test_csv_files_are_read_in_full_each_time(spark, store, tmp_path):
+    (tmp_path / "in.csv").write_text("a,b\n1,2\n\n3,4\n")
+    entries = [csv_entry(spark, f"{tmp_path}/in.csv", ["a", "b"], "t")]
+    for n in (2, 4):
+        assert run(spark, entries, store, Bounds(end="2000-01-01T00:00:00Z")).first().status == "processed" and store.read("t").count() == n
+
+
+def test_oldest_rows_of_a_run_can_take_ties(spark, events, store):
+    same = events.withColumn("At", F.date_trunc("day", "At"))
+    n = same.where(F.col("At") == same.agg(F.min("At")).first()[0]).count()
+    assert run(spark, [table_entry(same, "e", ["Id"], "At", "t", limit=1, with_ties=True)], store).first().rows == n
+
+
+def test_targets_with_like_names_are_apart_and_types_stay(spark, events, store):
+    for target, ids in (("org:x:größe", "Id < 3"), ("org:x:grüße", "Id >= 3"), ("org:x~C3", "Id < 1")):
+        run(spark, [table_entry(events.where(ids), "e", ["Id"], "At", target, target)], store)
+    assert [store.read(t).count() for t in ("org:x:größe", "org:x:grüße", "org:x~C3")] == [3, 37, 1]
+    text = events.withColumn("Id", F.col("Id").cast("string"))
+    got = run(spark, [table_entry(text, "e", ["Id"], "At", "org:x:größe", "other")], store).first()
+    assert got.status == "failed" and "Id is string, not int" in got.problem and store.read("org:x:größe").count() == 3
+    run(spark, [table_entry(text, "e", ["Id"], "At", "org:x:größe", "more", operation="Overwrite")], store)
+    assert dict(store.read("org:x:größe").dtypes) == {"Id": "string"}
+
+
 def test_rows_without_dates_fail(spark, events, store):
     undated = events.withColumn("At", F.lit(None).cast("timestamp"))
     assert run(spark, [table_entry(undated, "e", ["Id"], "At", "t")], store).first().status == "failed" and store.read("t") is None

@@ -6,25 +6,38 @@ import uuid
 from collections import defaultdict
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import UTC, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.scratch import written
 from tidemark.functions.times import NO_BOUNDS, Bounds
 from tidemark.operators.schema import augment, project
 from tidemark.operators.sinks import STATE, Store, read_state, write_state
+from tidemark.sources import logs
 from tidemark.sources.tables import MARK, scan_table
 
 
+@dataclass(frozen=True)
+class Scan:
+    """Rows of a scan over countable units (files), how many there are and the mark that they lead to, if they have any rows or not."""
+
+    rows: DataFrame
+    units: int
+    mark: str | None = None
+
+
 @dataclass(frozen=True)
 class Entry:
-    """One source into one target. ``scan`` gives the rows inside bounds above a mark, with the hidden date; None means no source unit."""
+    """One source into one target. ``scan`` gives the rows inside bounds above a mark, with the hidden date, as a DataFrame or as a
+    :class:`Scan`; None means no source unit."""
 
     target: str
     watermark_key: str
-    scan: Callable[[Bounds, str | None], DataFrame | None]
+    scan: Callable[[Bounds, str | None], DataFrame | Scan | None]
     reader_key: tuple = ()
     constants: Mapping[str, str] = field(default_factory=dict)
     operation: str = "Append"
@@ -32,10 +45,41 @@ class Entry:
     kind: str = "sobject"
 
 
-def table_entry(df: DataFrame, object: str, fields: Sequence[str], date_field: str, target: str, name: str | None = None, where: str | None = None, limit: int | None = None, **more) -> Entry:
-    """An entry over a table; entries with equal scans share them."""
-    scan = lambda bounds, mark: scan_table(df, fields, date_field, where, limit, bounds, mark)
-    return Entry(target, name or f"sobject:{object}", scan, ("sobject", object, tuple(fields), date_field, where, limit), **more)
+def table_entry(
+    df: DataFrame, object: str, fields: Sequence[str], date_field: str, target: str, name: str | None = None, where: str | None = None, limit: int | None = None,
+    with_ties: bool = False, **more,
+) -> Entry:
+    """An entry over a table; entries with equal scans share them. With ``limit``, ``with_ties`` keeps rows that share the last date."""
+    scan = lambda bounds, mark: scan_table(df, fields, date_field, where, limit, bounds, mark, with_ties)
+    return Entry(target, name or f"sobject:{object}", scan, ("sobject", object, tuple(fields), date_field, where, limit, with_ties), **more)
+
+
+def log_entry(
+    spark: SparkSession, catalog: DataFrame, org: str, event_type: str, interval: str, target: str, name: str | None = None, strict: bool = False, **more
+) -> Entry:
+    """An entry over the log files that a catalog lists (see :func:`tidemark.sources.logs.read_logs`).
+
+    Files decide, not rows: files without rows are processed and move the mark to the newest one's date; without new files it is skipped.
+    """
+
+    def scan(bounds: Bounds, mark: str | None) -> Scan | None:
+        rows = logs.listed_logs(catalog, event_type, interval, bounds, mark)
+        if not rows:
+            return None
+        newest = spark.createDataFrame([(max(r["log_date"] for r in rows),)], "d " + catalog.schema["log_date"].dataType.simpleString())
+        return Scan(logs.read_logs(spark, rows, strict), len({r["path"] for r in rows}), newest.select(_mark_text(F.col("d"))).first()[0])
+
+    return Entry(target, name or f"{org}:elf:{event_type}:{interval}", scan, ("elf", org, event_type, interval, strict), kind="elf", **more)
+
+
+def csv_entry(spark: SparkSession, path: str, names: Sequence[str], target: str, name: str | None = None, **more) -> Entry:
+    """An entry over CSV files, which are read in full by every run, whatever bounds and marks."""
+    scan = lambda bounds, mark: Scan(logs.read_csv(spark, path, names).withColumn(MARK, F.lit(None).cast("timestamp")), 1)
+    return Entry(target, name or f"csv:{path}", scan, ("csv", path, tuple(names)), kind="csv", **more)
+
+
+def _mark_text(date):
+    return F.date_format(date.cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
 def merged(frames: Sequence[DataFrame]) -> DataFrame:
@@ -49,17 +93,23 @@ def merged(frames: Sequence[DataFrame]) -> DataFrame:
 def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     """Count rows and find the newest date while the rows are written, without another pass."""
     seen = Observation(f"scan-{uuid.uuid4().hex}")
-    text = F.date_format(F.col(MARK).cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    return df.observe(seen, F.count(F.lit(1)).alias("rows"), F.max(text).alias("mark")), seen
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), F.max(_mark_text(F.col(MARK))).alias("mark")), seen
+
 
+def _result(target: str, idx: int, e: Entry, status: str, rows: int = 0, units: int | None = None, mark: str | None = None, why: str | None = None) -> dict:
+    return {"target_key": target, "idx": idx, "status": status, "rows": rows, "units": units, "watermark_key": e.watermark_key, "mark": mark, "problem": why}
 
-def _target(store: Store, target: str, entries: list[tuple[int, Entry, DataFrame | None]], run_id: str) -> list[dict]:
-    """Load one target; any failure leaves it as it was."""
-    result = lambda idx, e, status, rows=0, mark=None, why=None: {"target_key": target, "idx": idx, "status": status, "rows": rows, "watermark_key": e.watermark_key, "mark": mark, "problem": why}
+
+def _target(store: Store, target: str, entries: list[tuple[int, Entry, DataFrame | Scan | None]], run_id: str) -> list[dict]:
+    """Load one target; any failure leaves it as it was. Rows of tables, and units of other sources, decide whether an entry is processed."""
+    result = partial(_result, target)
     staged = None
     try:
         found = [(i, e, df) for i, e, df in entries if df is not None]
         none = [result(i, e, "skipped") for i, e, df in entries if df is None]
+        units = {i: df.units for i, _, df in found if isinstance(df, Scan)}
+        last = {i: df.mark for i, _, df in found if isinstance(df, Scan)}
+        found = [(i, e, df.rows if isinstance(df, Scan) else df) for i, e, df in found]
         if not found:
             return none
         before = store.version(target)
@@ -72,48 +122,47 @@ def _target(store: Store, target: str, entries: list[tuple[int, Entry, DataFrame
             rows, observation = observed(df)
             parts.append(project(augment(rows, e.constants).drop(MARK), columns))
             seen.append(observation)
-        staged = store.stage(target, merged(parts))
+        staged = store.stage(target, merged(parts), "Overwrite" if not same_schema else operation)
         got = [o.get for o in seen]
-        empty = [g["rows"] == 0 and e.kind != "csv" for (_, e, _), g in zip(found, got, strict=True)]
-        if any(g["rows"] and g["mark"] is None for g in got):
+        if any(g["rows"] and g["mark"] is None and e.kind != "csv" for (_, e, _), g in zip(found, got, strict=True)):
             raise ValueError("rows without any date cannot advance a mark")
-        if all(empty):
-            store.abort(staged)
-        else:
+        if any(g["rows"] for g in got) or any(e.kind == "csv" for _, e, _ in found):
             store.commit(target, staged, operation, columns, run_id)
+        else:
+            store.abort(staged)
         now = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
         return none + [
-            result(i, e, "skipped") if nothing else result(i, e, "processed", g["rows"], now if e.kind == "csv" else g["mark"])
-            for (i, e, _), g, nothing in zip(found, got, empty, strict=True)
-        ]
+            result(i, e, "processed", g["rows"], units.get(i), now if e.kind == "csv" else last.get(i) or g["mark"])
+            if g["rows"] or units.get(i) or e.kind == "csv" else result(i, e, "skipped", units=units.get(i))
+            for (i, e, _), g in zip(found, got, strict=True)
+        ]
     except Exception as problem:  # a target fails alone
         if staged is not None:
             store.abort(staged)
         return [result(i, e, "failed", why=str(problem)[:500]) for i, e, _ in entries]
 
 
-RESULT = "target_key string, idx int, status string, rows long, watermark_key string, mark string, problem string"
+RESULT = "target_key string, idx int, status string, rows long, units long, watermark_key string, mark string, problem string"
 
 
 def run(spark: SparkSession, entries: Sequence[Entry], store: Store, bounds: Bounds = NO_BOUNDS, workers: int = 4) -> DataFrame:
     """Run all entries and return one row for each. Targets are loaded side by side and do not disturb one another.
 
-    Entries that share a scan and a mark read their source once, from a cached scan. The state is written even if nothing was loaded.
+    Entries that share a scan and a mark read their source once: its rows are written to the shared folder for all of them. ``units`` are
+    the files of an entry that has such. The state is written even if nothing was loaded.
     """
     marks = {r["watermark_key"]: r["watermark_raw"] for r in read_state(store).select("watermark_key", "watermark_raw").collect()}
     shared: dict[tuple, list[int]] = defaultdict(list)
     for i, e in enumerate(entries):
         shared[(e.reader_key, marks.get(e.watermark_key)) if e.reader_key else ("alone", i)].append(i)
-    scans: dict[int, DataFrame | None] = {}
+    scans: dict[int, DataFrame | Scan | None] = {}
     broken: dict[int, Exception] = {}
-    cached = []
     for members in shared.values():
         e = entries[members[0]]
         try:
             df = e.scan(bounds, marks.get(e.watermark_key))
             if df is not None and len(members) > 1:
-                df = df.persist()
-                cached.append(df)
+                df = replace(df, rows=written(df.rows)) if isinstance(df, Scan) else written(df)
             scans.update(dict.fromkeys(members, df))
         except Exception as problem:
             broken.update(dict.fromkeys(members, problem))
@@ -126,13 +175,11 @@ def run(spark: SparkSession, entries: Sequence[Entry], store: Store, bounds: Bou
         own = targets[target]
         problem = next((broken[i] for i in own if i in broken), None)
         if problem is not None:
-            return [{"target_key": target, "idx": i, "status": "failed", "rows": 0, "watermark_key": entries[i].watermark_key, "mark": None, "problem": str(problem)[:500]} for i in own]
+            return [_result(target, i, entries[i], "failed", why=str(problem)[:500]) for i in own]
         return _target(store, target, [(i, entries[i], scans[i]) for i in own], run_id)
 
     with ThreadPoolExecutor(workers) as pool:
         results = [r for rows in pool.map(load, targets) for r in rows]
-    for df in cached:
-        df.unpersist()
     names = [n.split(" ")[0] for n in RESULT.split(", ")]
     out = spark.createDataFrame([tuple(r[n] for n in names) for r in sorted(results, key=lambda r: r["idx"])], RESULT)
     new = {r["watermark_key"]: r["mark"] for r in sorted(results, key=lambda r: r["idx"]) if r["status"] == "processed"}
