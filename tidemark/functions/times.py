@@ -51,6 +51,17 @@ class Bounds:
 NO_BOUNDS = Bounds()
 
 
+def window_text(start: Column, end: Column) -> Column:
+    """The text of a window from its ends, as :meth:`Bounds.window` writes it."""
+    return F.concat(F.lit("["), F.coalesce(start, F.lit("-∞")), F.lit(", "), F.coalesce(end, F.lit("+∞")), F.lit("]"))
+
+
+def in_order(start: Column, end: Column) -> Column:
+    """Whether a start is not after an end, as instants in milliseconds; a missing side is in order, a malformed one is not."""
+    fits = lambda text: text.isNull() | is_iso(text)
+    return fits(start) & fits(end) & F.coalesce(F.unix_millis(instant(start)) <= F.unix_millis(instant(end)), F.lit(True))
+
+
 def _literal(value: str, kind: T.DataType) -> Column:
     """``value`` as a literal of a date column's own type, so that the comparison can be pushed to the scan."""
     at = parse_iso(value)

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 #: A name that may reach a target; limits of numbers; how dates are written.
 IDENTIFIER = r"^[a-zA-Z_][a-zA-Z0-9_]*$"
@@ -51,11 +52,19 @@ def column_diff(provided: DataFrame, expected: DataFrame, owner: str = "owner")
     p = provided.select(F.col(owner).alias("owner"), F.col("position").alias("p_pos"), F.col("name").alias("p_name"), F.lower(F.replace("name", F.lit("."), F.lit("_"))).alias("k"))
     e = expected.select(F.col(owner).alias("owner"), F.col("position").alias("e_pos"), F.col("name").alias("e_name"), F.lower(F.replace("name", F.lit("."), F.lit("_"))).alias("k"))
     both = p.join(e, ["owner", "k"], "full")
+    alone = (F.col("p_name").isNull() | F.col("e_name").isNull()).cast("int")
+    both = both.withColumn("unequal", F.max(alone).over(Window.partitionBy("owner")))
     odd = F.when(F.col("p_name").isNull(), "missing").when(F.col("e_name").isNull(), "extra").when(F.col("p_name") != F.col("e_name"), "casing")
-    by_name = both.select("owner", odd.alias("issue"), F.coalesce("e_name", "p_name").alias("name"), F.coalesce("e_pos", "p_pos").alias("position"))
-    unequal = both.groupBy("owner").agg(F.max((F.col("p_name").isNull() | F.col("e_name").isNull()).cast("int")).alias("unequal")).where("unequal = 0")
-    moved = both.where(F.col("p_pos") != F.col("e_pos")).join(unequal, "owner", "left_semi")
-    return by_name.where("issue is not null").union(moved.select("owner", F.lit("order"), "e_name", "e_pos"))
+    moved = F.when((F.col("unequal") == 0) & (F.col("p_pos") != F.col("e_pos")), "order")
+    issues = F.explode(F.array_compact(F.array(odd, moved))).alias("issue")
+    return both.select("owner", issues, F.coalesce("e_name", "p_name").alias("name"), F.coalesce("e_pos", "p_pos").alias("position"))
+
+
+def overlapping(provided: DataFrame, constants: DataFrame, owner: str = "owner") -> DataFrame:
+    """``owner, name`` of provided columns that a constant of the same owner would overlap, in any case and with dots as underscores."""
+    plain = lambda: F.lower(F.replace("name", F.lit("."), F.lit("_"))).alias("k")
+    own = constants.select(F.col(owner).alias("owner"), plain())
+    return provided.select(F.col(owner).alias("owner"), "name", plain()).join(own, ["owner", "k"], "left_semi").select("owner", "name")
 
 
 def target_type(source_type: Column) -> Column:

@@ -6,12 +6,14 @@ The driver's tables stand in for event logs (``events``: the type is the log's t
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scratch import place
 from tidemark.functions.text import as_text, csv_quote, interpolate
-from tidemark.functions.times import Bounds, instant, is_iso
+from tidemark.functions.times import Bounds, in_order, instant, is_iso, window_text
 from tidemark.operators import checks, schema, sinks
 from tidemark.plans import report, run
 from tidemark.sources import logs, tables
@@ -60,9 +62,9 @@ def start_overrides_watermark(spark, sf_dir):
     return tables.scan_table(table(spark, sf_dir, "events"), COLUMNS, "ts", bounds=Bounds(start=START), mark=MARK).drop(tables.MARK)
 
 
-@query("SELECT event_id, ts, user_id, event_type, value FROM events WHERE ts > TIMESTAMP '2024-01-20 12:00:00' ORDER BY ts LIMIT 500")
+@query("SELECT event_id, ts, user_id, event_type, value FROM events WHERE ts > TIMESTAMP '2024-01-20 12:00:00' ORDER BY ts, event_id LIMIT 500")
 def oldest_n(spark, sf_dir):
-    return tables.scan_table(table(spark, sf_dir, "events"), COLUMNS, "ts", limit=500, mark=MARK).drop(tables.MARK)
+    return tables.scan_table(table(spark, sf_dir, "events"), COLUMNS, "ts", limit=500, mark=MARK, tie_break=["event_id"]).drop(tables.MARK)
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity
@@ -75,8 +77,7 @@ def oldest_n_with_ties(spark, sf_dir):
 
 @query("SELECT event_type, max(ts) AS mark, count(*) AS n_rows, sum(octet_length(props::BLOB))::BIGINT AS n_bytes FROM events GROUP BY event_type")
 def high_water_marks(spark, sf_dir):
-    rows = table(spark, sf_dir, "events")
-    return rows.groupBy("event_type").agg(F.max("ts").alias("mark"), F.count(F.lit(1)).alias("n_rows"), F.sum(F.octet_length("props").cast("long")).alias("n_bytes"))
+    return report.high_water_marks(table(spark, sf_dir, "events"), ["event_type"], "ts", F.octet_length("props"))
 
 
 @query("""SELECT event_id, user_id, value FROM events
@@ -111,9 +112,9 @@ def latest_per_key(spark, sf_dir):
     return found.drop("o_orderstatus")
 
 
-@query("""SELECT event_id, event_type, ts FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts) AS n FROM events) WHERE n <= 100""")
+@query("""SELECT event_id, event_type, ts FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS n FROM events) WHERE n <= 100""")
 def oldest_per_type(spark, sf_dir):
-    return tables.oldest_per_key(table(spark, sf_dir, "events").select("event_id", "event_type", "ts"), ["event_type"], "ts", 100)
+    return tables.oldest_per_key(table(spark, sf_dir, "events").select("event_id", "event_type", "ts"), ["event_type"], "ts", 100, tie_break=["event_id"])
 
 
 # Shaping rows
@@ -229,8 +230,8 @@ def _entries(spark, sf_dir) -> DataFrame:
 
 
 def _state(spark, sf_dir) -> DataFrame:
-    """Marks by entry from an earlier run: the newest event before the 15th, where the user has a number below 100."""
-    events = table(spark, sf_dir, "events").where("ts < timestamp_ntz'2024-01-15 00:00:00' and user_id < 100")
+    """Marks by entry from an earlier run: the newest event before the 15th; errors were never loaded."""
+    events = table(spark, sf_dir, "events").where("ts < timestamp_ntz'2024-01-15 00:00:00' and event_type <> 'error'")
     newest = events.groupBy("user_id", "event_type").agg(F.date_trunc("second", F.max("ts").cast("timestamp")).alias("watermark_ts"))
     keyed = _entries(spark, sf_dir).withColumn("watermark_key", report.watermark_key()).where("kind <> 'csv'").join(newest, ["user_id", "event_type"])
     raw = F.date_format("watermark_ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
@@ -250,7 +251,7 @@ ENTRIES_SQL = """entries AS (
     CASE WHEN target_org IS NOT NULL THEN 'org:hub:set_' || u ELSE 'file:/out/' || u END AS target_key FROM entries
 ), marks AS (
   SELECT wkey, max(date_trunc('second', n.m)) AS m FROM keyed k
-  JOIN (SELECT user_id, event_type, max(ts) AS m FROM events WHERE ts < TIMESTAMP '2024-01-15' AND user_id < 100 GROUP BY ALL) n ON n.user_id = k.u AND n.event_type = k.t
+  JOIN (SELECT user_id, event_type, max(ts) AS m FROM events WHERE ts < TIMESTAMP '2024-01-15' AND event_type <> 'error' GROUP BY ALL) n ON n.user_id = k.u AND n.event_type = k.t
   WHERE kind <> 'csv' GROUP BY wkey
 ), full_entries AS (
   SELECT k.*, m, coalesce(CASE WHEN kind <> 'csv' THEN CASE WHEN s < m THEN 'REWIND' WHEN s > m THEN 'HOLE' WHEN s = m AND operation = 'Append' THEN 'BOUNDARY' WHEN e < m THEN 'EMPTY' END END,
@@ -375,10 +376,10 @@ def schema_alignment(spark, sf_dir):
 
 
 @query("WITH " + DIFF_SQL + """ SELECT owner % 10 AS bucket, count(*) AS n_checks, count(*) FILTER (bad) AS n_failed, CASE WHEN bool_or(bad) THEN 'fail' ELSE 'pass' END AS status
-FROM (SELECT owner, bool_or(issue IN ('missing', 'extra')) AS bad FROM diff GROUP BY owner) GROUP BY bucket""")
+FROM (SELECT o.owner, coalesce(bool_or(issue IN ('missing', 'extra')), false) AS bad FROM (SELECT DISTINCT l_orderkey AS owner FROM lineitem) o LEFT JOIN diff USING (owner) GROUP BY o.owner) GROUP BY bucket""")
 def check_roll_up(spark, sf_dir):
     diff = schema.column_diff(*_listings(spark, sf_dir))
-    owners = diff.select("owner").distinct()
+    owners = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("owner")).distinct()
     found = checks.alignment(diff, owners, F.lit(False)).withColumn("bucket", F.col("owner") % 10)
     return checks.roll_up(found, ["bucket"])
 
@@ -444,8 +445,58 @@ def metadata_synthesis(spark, sf_dir):
 def metadata_roundtrip(spark, sf_dir):
     fields = _source_fields(spark, sf_dir).withColumn("name", F.concat(F.replace("label", F.lit(" "), F.lit("_")), F.lit("_"), "position"))
     documents = schema.metadata_json(schema.synthesised_fields(fields))
-    own = schema.resolve_metadata(F.lit(None).cast("string"), F.col("metadata"), F.lit(False))
-    return documents.select("target", F.array_join(schema.metadata_columns(own), ",").alias("columns"))
+    return documents.select("target", F.array_join(schema.metadata_columns(F.col("metadata")), ",").alias("columns"))
+
+
+@query("""SELECT p_brand AS target, CASE WHEN bool_or(p_size = 1) OR NOT bool_or(p_size > 48) THEN string_agg(replace(p_name, ' ', '_') || '_' || p_partkey, ',' ORDER BY p_partkey)
+  ELSE string_agg('old_' || p_partkey, ',' ORDER BY p_partkey) FILTER (p_size > 48) END AS columns FROM part GROUP BY p_brand""")
+def metadata_resolution(spark, sf_dir):
+    """Existing metadata, where a target has any and does not override it, else synthesised metadata."""
+    part = table(spark, sf_dir, "part")
+    name = F.concat(F.replace("label", F.lit(" "), F.lit("_")), F.lit("_"), "position")
+    source = _source_fields(spark, sf_dir)
+    new = schema.metadata_json(schema.synthesised_fields(source.withColumn("name", name)))
+    large = source.join(part.where("p_size > 48").select(F.col("p_partkey").alias("position")), "position", "left_semi").select(*source.columns)
+    old = schema.metadata_json(schema.synthesised_fields(large.withColumn("name", F.concat(F.lit("old_"), "position")))).withColumnRenamed("metadata", "existing")
+    flags = part.groupBy(F.col("p_brand").alias("target")).agg((F.max((F.col("p_size") == 1).cast("int")) == 1).alias("override"))
+    both = new.join(old, "target", "left").join(flags, "target")
+    own = schema.resolve_metadata(F.col("existing"), F.col("metadata"), F.col("override"))
+    return both.select("target", F.array_join(schema.metadata_columns(own), ",").alias("columns"))
+
+
+@query("WITH " + DIFF_SQL + """, c AS (SELECT DISTINCT l_orderkey AS owner, lower('Col_' || l_partkey) AS k FROM lineitem WHERE l_linenumber = 1),
+ov AS (SELECT p.owner, name FROM p JOIN c ON p.owner = c.owner AND lower(name) = k),
+found AS (SELECT owner, issue, name FROM diff UNION ALL SELECT owner, 'overlap', name FROM ov)
+SELECT o.owner, ['pass', 'warn', 'fail'][max(CASE WHEN issue IN ('missing', 'extra', 'overlap') THEN 2 WHEN issue = 'casing' THEN 1 ELSE 0 END) + 1] AS status,
+  coalesce(string_agg(DISTINCT issue || ': ' || name, '; ' ORDER BY issue || ': ' || name) FILTER (issue <> 'order'), '') AS detail
+FROM (SELECT DISTINCT l_orderkey AS owner FROM lineitem) o LEFT JOIN found USING (owner) GROUP BY o.owner""")
+def overlap_alignment(spark, sf_dir):
+    """Alignment where each order's first part is also a constant."""
+    lines = table(spark, sf_dir, "lineitem")
+    provided, expected = _listings(spark, sf_dir)
+    constants = lines.where("l_linenumber = 1").select(F.col("l_orderkey").alias("owner"), F.concat(F.lit("Col_"), "l_partkey").alias("name"))
+    owners = lines.select(F.col("l_orderkey").alias("owner")).distinct()
+    return checks.alignment(schema.column_diff(provided, expected), owners, F.lit(False), schema.overlapping(provided, constants))
+
+
+@query("""SELECT c_custkey, n.name AS nation_name, upper(n.region) AS "NATION_Region" FROM customer LEFT JOIN
+(SELECT n_nationkey, n_name AS name, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'ASIA') n ON c_nationkey = n_nationkey""")
+def nested_paths(spark, sf_dir):
+    """Paths into a struct, in any case; null where the parent is null."""
+    nations = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region").where("r_name <> 'ASIA'"), F.col("n_regionkey") == F.col("r_regionkey"))
+    nations = nations.select("n_nationkey", F.struct(F.col("n_name").alias("Name"), F.upper("r_name").alias("Region")).alias("Nation"))
+    rows = table(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left").withColumn("at", F.lit("2024-01-01").cast("timestamp"))
+    return tables.scan_table(rows, ["c_custkey", "nation.name", "NATION.Region"], "at").drop(tables.MARK)
+
+
+@query("""SELECT o_orderkey, '[' || coalesce(s, '-∞') || ', ' || coalesce(e, '+∞') || ']' AS win, coalesce(d <= TIMESTAMP '1997-01-01 01:30:00', true) OR s IS NULL OR e IS NULL AS valid
+FROM (SELECT o_orderkey, o_orderdate AS d, CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') END AS s,
+  CASE WHEN o_orderpriority NOT LIKE '5%' THEN '1997-01-01T00:00:00-01:30' END AS e FROM orders)""")
+def window_texts(spark, sf_dir):
+    """Windows of entries from their ends, and whether these are in order as instants."""
+    start = F.when(F.col("o_orderstatus") != "P", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    end = F.when(~F.col("o_orderpriority").like("5%"), "1997-01-01T00:00:00-01:30")
+    return table(spark, sf_dir, "orders").select("o_orderkey", window_text(start, end).alias("win"), in_order(start, end).alias("valid"))
 
 
 @query("""SELECT 'set_' || o_custkey AS target_key, CASE WHEN bool_or(o_orderstatus = 'F') THEN 'pass' ELSE 'warn' END AS status,
@@ -462,9 +513,10 @@ def run_counters(spark, sf_dir):
 
 
 @query("WITH " + ENTRIES_SQL + """
-SELECT bool_or(s IS NOT NULL OR e IS NOT NULL) AND bool_and(kind = 'csv') AS without_effect FROM full_entries WHERE u % 7 = 0""")
+SELECT source_org, kind, bool_or(s IS NOT NULL OR e IS NOT NULL) AND bool_and(kind = 'csv') AS without_effect FROM full_entries GROUP BY source_org, kind""")
 def bounds_without_effect(spark, sf_dir):
-    return report.without_effect(_entries(spark, sf_dir).where("user_id % 7 = 0"))
+    """For the entries of each organisation and kind."""
+    return report.without_effect(_entries(spark, sf_dir), ["source_org", "kind"])
 
 
 def _outcomes(spark, sf_dir) -> DataFrame:
@@ -519,12 +571,72 @@ def staged_commit(spark, sf_dir):
     return store.read("org:hub:all")
 
 
+@query("""SELECT event_id, value FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts <= TIMESTAMP '2024-01-15 04:30:00'""")
+def overwrite_commit(spark, sf_dir):
+    """A full load, then an overwriting load of a window: the target holds the window alone."""
+    store = sinks.Store(spark, place(spark, "store"))
+    entry = lambda operation: [run.table_entry(table(spark, sf_dir, "events"), "events", ["event_id", "value"], "ts", "org:hub:größe", operation=operation)]
+    run.run(spark, entry("Append"), store)
+    run.run(spark, entry("Overwrite"), store, Bounds(START, END))
+    return store.read("org:hub:größe")
+
+
+@query("""SELECT 'user:' || user_id AS watermark_key, strftime(max(date_trunc('second', ts)), '%Y-%m-%dT%H:%M:%SZ') AS watermark_raw FROM events GROUP BY user_id""")
+def state_round_trip(spark, sf_dir):
+    """Marks written twice, the second time over some of the first, and read back."""
+    events = table(spark, sf_dir, "events")
+    store = sinks.Store(spark, place(spark, "store"))
+    raw = F.date_format(F.date_trunc("second", F.max("ts")), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("watermark_raw")
+    marks = lambda df: df.groupBy(F.concat(F.lit("user:"), "user_id").alias("watermark_key")).agg(raw).withColumn("watermark_ts", instant(F.col("watermark_raw")))
+    sinks.write_state(store, marks(events.where("ts < timestamp_ntz'2024-01-15 00:00:00'")))
+    sinks.write_state(store, marks(events))
+    return sinks.read_state(store).select("watermark_key", "watermark_raw")
+
+
+def _log_files(spark, sf_dir) -> DataFrame:
+    """Event logs as CSV files in folders with awkward names, the later ones with another header, and the catalog that lists them."""
+    events = table(spark, sf_dir, "events").withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    top, listed = place(spark, "logs"), []
+    parts = [("a b", "ts < '2024-01-11'", ["event_id", "event_type", "props"], 10), ("100%20 größe", "ts >= '2024-01-11'", ["event_type", "event_id", "ts", "props"], 30)]
+    for name, window, columns, day in parts:
+        folder = f"{top}/{name}"
+        events.where(window).select(*columns).write.option("header", True).option("escape", '"').option("lineSep", "\r\n").csv(folder)
+        listed += [("all", "Daily", f"2024-01-{day}T00:00:00Z", unquote(p), columns) for p in spark.read.text(folder).inputFiles()]
+    return spark.createDataFrame(listed, "event_type string, interval string, log_date string, path string, field_names array<string>").withColumn("log_date", F.col("log_date").cast("timestamp"))
+
+
+@query("""SELECT event_id::VARCHAR AS event_id, event_type, props, CASE WHEN ts >= TIMESTAMP '2024-01-11' THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS ts,
+  CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 10 ELSE 30 END AS day FROM events""")
+def log_files_scan(spark, sf_dir):
+    """All rows of log files with two headers, by name, with the date of each one's file."""
+    found = logs.scan_log_files(spark, _log_files(spark, sf_dir), "all", "Daily")
+    return found.select("event_id", "event_type", "props", "ts", F.dayofmonth(tables.MARK).alias("day"))
+
+
+@query("""SELECT event_id::VARCHAR AS event_id, event_type, props FROM events WHERE ts < TIMESTAMP '2024-01-11'""")
+def log_files_run(spark, sf_dir):
+    """A run over the log files of a window, then one that finds no new file in it."""
+    store, catalog = sinks.Store(spark, place(spark, "store")), _log_files(spark, sf_dir)
+    entries = [run.log_entry(spark, catalog, "org", "all", "Daily", "org:hub:logs")]
+    run.run(spark, entries, store, Bounds(end="2024-01-20T00:00:00Z"))
+    run.run(spark, entries, store, Bounds(end="2024-01-20T00:00:00Z"))
+    return store.read("org:hub:logs")
+
+
+@query("""SELECT names, n_columns FROM (VALUES ('event_id,event_type,props', 3), ('event_type,event_id,ts,props', 4)) v(names, n_columns)
+WHERE n_columns = 4 AND (SELECT count(*) FROM events WHERE ts >= TIMESTAMP '2024-01-11') > 0 OR n_columns = 3 AND (SELECT count(*) FROM events WHERE ts < TIMESTAMP '2024-01-11') > 0""")
+def header_inventory(spark, sf_dir):
+    """The different headers of all log files."""
+    paths = [r["path"] for r in _log_files(spark, sf_dir).select("path").collect()]
+    return logs.headers(spark, paths).select(F.array_join("names", ",").alias("names"), F.size("names").alias("n_columns")).distinct()
+
+
 @query("""SELECT target, count(*) AS n, round(sum(value), 2) AS total FROM (SELECT unnest(['one', 'two', 'three']) AS target, value FROM events WHERE ts > TIMESTAMP '2024-01-20 12:00:00') GROUP BY target""")
 def shared_scan(spark, sf_dir):
-    """One scan feeds three targets."""
-    events = table(spark, sf_dir, "events").where("ts > timestamp_ntz'2024-01-20 12:00:00'")
+    """One scan above one mark feeds three targets."""
     store = sinks.Store(spark, place(spark, "store"))
-    entries = [run.table_entry(events, "events", ["event_id", "value"], "ts", t) for t in ("one", "two", "three")]
+    entries = [run.table_entry(table(spark, sf_dir, "events"), "events", ["event_id", "value"], "ts", t) for t in ("one", "two", "three")]
+    sinks.write_state(store, spark.createDataFrame([("sobject:events", MARK)], "watermark_key string, watermark_raw string").withColumn("watermark_ts", instant(F.col("watermark_raw"))))
     run.run(spark, entries, store)
     return run.merged([store.read(t).groupBy(F.lit(t).alias("target")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total")) for t in ("one", "two", "three")])
 

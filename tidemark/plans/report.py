@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,7 +106,12 @@ def exit_status(targets: DataFrame) -> DataFrame:
     )
 
 
-def without_effect(entries: DataFrame) -> DataFrame:
-    """One row: whether bounds are set for entries that are all CSV files, which are always read in full."""
+def high_water_marks(rows: DataFrame, keys: Sequence[str], date: str, size: Column) -> DataFrame:
+    """``keys, mark, n_rows, n_bytes``: the newest date of each key, and its counters."""
+    return rows.groupBy(*keys).agg(F.max(date).alias("mark"), F.count(F.lit(1)).alias("n_rows"), F.sum(size.cast("long")).alias("n_bytes"))
+
+
+def without_effect(entries: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Whether bounds are set for entries that are all CSV files, which are always read in full: one row in all, or for each of ``keys``."""
     bounded = F.max((F.col("start_ts").isNotNull() | F.col("end_ts").isNotNull()).cast("int")) == 1
-    return entries.agg(F.coalesce(bounded & F.every(F.col("kind") == "csv"), F.lit(False)).alias("without_effect"))
+    return entries.groupBy(*keys).agg(F.coalesce(bounded & F.every(F.col("kind") == "csv"), F.lit(False)).alias("without_effect"))
