@@ -21,9 +21,25 @@ def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
 
 
+@needs_tables
+@pytest.mark.parametrize("name", ["plan_report", "entry_warnings", "bounds_classification", "two_org_load", "crash_recovery"])
+@pytest.mark.parametrize("zone", ["Asia/Tokyo", "America/New_York"])
+def test_marks_do_not_follow_the_zone(spark, name, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        compared(spark, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 @needs_tables
 @pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
 def test_queries_match_their_sql(spark, name):
+    compared(spark, name)
+
+
+def compared(spark, name):
     con = duckdb.connect()
     for p in Path(SF).glob("*.parquet"):
         con.execute(f"CREATE VIEW {p.stem} AS SELECT * FROM '{p}'")

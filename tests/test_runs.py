@@ -1,12 +1,15 @@
+from datetime import timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import Bounds
-from tidemark.operators.sinks import Store, read_state
+from tidemark.operators.sinks import Store, _Files, read_state, write_state
 from tidemark.plans import report
+from tidemark.plans import run as runs
 from tidemark.plans.run import Entry, csv_entry, log_entry, run, table_entry
 from tidemark.sources.tables import MARK
-from tidemark.streaming.tail import TailTarget, read_target, tail
+from tidemark.streaming.tail import StoreTarget, TailTarget, read_target, tail, tail_into
 
 
 @pytest.fixture
@@ -135,3 +138,154 @@ def test_tail_loads_each_file_once(spark, tmp_path):
         tail(spark, f"{tmp_path}/in", ["a", "b"], [target, other], f"{tmp_path}/offsets")
     assert sorted(tuple(r) for r in read_target(spark, target).collect()) == [("x", "o", "1"), ("y", "o", "2"), ("z", "o", "3")]
     assert sorted(r.a for r in read_target(spark, other).collect()) == ["1", "2", "3"]
+
+
+def test_entries_of_two_orgs_are_apart(spark, events, store):
+    other = events.withColumn("Id", F.col("Id") + 100)
+    entries = [table_entry(df, "events", ["Id"], "At", "t", org=org, constants={"Org": org}) for org, df in (("a", events), ("b", other))]
+    for n in (40, 0):
+        got = outcomes(run(spark, entries, store))
+        assert got == {("t", f"{o}:sobject:events"): ("processed" if n else "skipped", n) for o in "ab"}
+    assert sorted((r.Org, r.Id) for r in store.read("t").collect()) == [("a", i) for i in range(40)] + [("b", i + 100) for i in range(40)]
+    assert set(marks(store)) == {"a:sobject:events", "b:sobject:events"}
+
+
+def test_one_mark_for_two_sources_is_refused(spark, events, store):
+    other = events.where("Id > 3")
+    for more in ({}, {"name": "both"}):
+        with pytest.raises(ValueError, match="different sources"):
+            run(spark, [table_entry(df, "events", ["Id"], "At", "t", **more) for df in (events, other)], store)
+    same = [table_entry(df, "events", ["Id"], "At", "t", where=w) for df, w in ((events, "kind = 0"), (events, "kind = 1"))]
+    assert [r.status for r in run(spark, same, store).collect()] == ["processed"] * 2 and store.read("t").count() == 20
+
+
+@pytest.fixture(params=["UTC", "Asia/Tokyo", "America/New_York"])
+def zone(spark, request):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "string"])
+def test_marks_are_instants_in_any_zone(spark, store, zone, kind):
+    """Two runs, the second with newer rows: each row once, and marks that do not depend on the zone. Hours around a change of New York's clocks."""
+    hours = ["2024-11-03T04:30:00", "2024-11-03T05:30:00", "2024-11-03T06:30:00", "2024-11-03T13:00:00", "2024-11-04T15:00:00"]
+    rows = [(n, h if kind != "date" else f"2024-11-0{n + 1}T00:00:00") for n, h in enumerate(hours)]
+    text = spark.createDataFrame(rows, "Id int, text string")
+    at = {
+        "timestamp": F.concat("text", F.lit("Z")).cast("timestamp"), "timestamp_ntz": F.col("text").cast("timestamp_ntz"),
+        "date": F.col("text").substr(1, 10).cast("date"), "string": F.concat("text", F.lit("+00:00")),
+    }[kind]
+    df = text.select("Id", at.alias("At"))
+    for upto, want in ((2, 3), (4, 2), (4, 0)):
+        assert run(spark, [table_entry(df.where(F.col("Id") <= upto), "e", ["Id"], "At", "t")], store).first().rows == want
+    assert sorted(r.Id for r in store.read("t").collect()) == [0, 1, 2, 3, 4]
+    assert marks(store) == {"sobject:e": rows[-1][1] + ".000000Z"}
+    windowed = run(spark, [table_entry(df, "e", ["Id"], "At", "w", "w")], store, Bounds(rows[1][1] + "Z", rows[3][1] + "Z")).first()
+    assert (windowed.rows, windowed.mark) == (3, rows[3][1] + ".000000Z")
+
+
+class Crash(BaseException):
+    pass
+
+
+def test_a_crash_between_rows_and_state_repeats_nothing(spark, events, store, monkeypatch):
+    """A run dies when its targets are committed and the state is not: the next one goes on from the marks in the targets."""
+    entries = lambda df: [table_entry(df, "e", ["Id"], "At", t) for t in ("one", "two")]
+
+    def die(*_):
+        raise Crash
+
+    kept = store.commit
+    with monkeypatch.context() as m:  # dies before the state is written
+        m.setattr(runs, "write_state", die)
+        with pytest.raises(Crash):
+            run(spark, entries(events.where("Id < 10")), store)
+    assert marks(store) == {} and store.read("one").count() == store.read("two").count() == 10
+    with monkeypatch.context() as m:  # dies when one of the targets is committed
+        m.setattr(store, "commit", lambda target, *a, **b: die() if target == "two" else kept(target, *a, **b))
+        with pytest.raises(Crash):
+            run(spark, entries(events.where("Id < 20")), store)
+    assert marks(store) == {} and (store.read("one").count(), store.read("two").count()) == (20, 10)
+    got = outcomes(run(spark, entries(events), store))
+    assert {t: rows for (t, _), (_, rows) in got.items()} == {"one": 20, "two": 30}
+    for t in ("one", "two"):
+        assert sorted(r.Id for r in store.read(t).collect()) == list(range(40)) and store.pending(t) == {}
+    assert [r.status for r in run(spark, entries(events), store).collect()] == ["skipped"] * 2
+
+
+def test_a_failed_target_does_not_lose_rows_of_a_shared_mark(spark, events, store):
+    run(spark, [table_entry(events.where("Id < 5"), "e", ["Id"], "At", t) for t in ("one", "two")], store)
+    bad = table_entry(events, "e", ["Id"], "At", "two", constants={"More": "x"})
+    got = outcomes(run(spark, [table_entry(events, "e", ["Id"], "At", "one"), bad], store))
+    assert {t: v for (t, _), v in got.items()} == {"one": ("processed", 35), "two": ("failed", 0)}
+    got = outcomes(run(spark, [table_entry(events, "e", ["Id"], "At", t) for t in ("one", "two")], store))
+    assert {t: v for (t, _), v in got.items()} == {"one": ("skipped", 0), "two": ("processed", 35)}
+    write_state(store, spark.createDataFrame([("sobject:e", "2020-01-01T00:00:00Z", None)], "watermark_key string, watermark_raw string, watermark_ts timestamp"))
+    assert run(spark, [table_entry(events, "e", ["Id"], "At", "one")], store).first().rows == 40  # a mark that was moved back holds
+
+
+def test_versions_are_not_replaced(spark, events, store, tmp_path):
+    files = _Files(spark)
+    files.create(f"{tmp_path}/v/1.json", "first")
+    with pytest.raises(FileExistsError):
+        files.create(f"{tmp_path}/v/1.json", "second")
+    assert files.read(f"{tmp_path}/v/1.json") == "first" and files.names(f"{tmp_path}/v") == ["1.json"]
+    staged = [store.stage("t", events.select("Id")) for _ in range(3)]
+    for n, want in ((4, 1), (4, 1), (5, 2)):
+        assert store.commit("t", staged.pop(), "Append", ["Id"], transaction=("s", n)) == want
+    assert store.read("t").count() == 80 and store.transaction("t", "s") == 5 and store.transaction("t", "other") is None
+
+
+def test_late_rows_and_rows_at_the_mark_are_loaded_once(spark, store):
+    at = lambda *rows: spark.createDataFrame(list(rows), "Id int, part string, text string").select("Id", "part", F.col("text").cast("timestamp").alias("At"))
+    first = [(1, "a", "2024-01-01T00:00:00Z"), (2, "a", "2024-01-05T00:00:00Z"), (3, None, "2024-01-10T00:00:00Z")]
+    late = [(4, "a", "2024-01-10T00:00:00Z"), (5, "b", "2024-01-06T00:00:00Z"), (2, "b", "2024-01-05T00:00:00Z"), (6, "a", "2024-01-02T00:00:00Z")]
+    new = [(2, "a", "2024-01-12T00:00:00Z"), (7, "a", "2024-01-11T00:00:00Z")]
+    entry = lambda rows: [table_entry(at(*rows), "e", ["Id"], "At", "t", overlap=timedelta(days=6), key=["Id", "part"])]
+    rows = lambda r: (r.status, r.rows, r.mark and r.mark[:10])
+    assert rows(run(spark, entry(first), store).first()) == ("processed", 3, "2024-01-10")
+    assert rows(run(spark, entry(first), store).first()) == ("skipped", 0, None)
+    assert rows(run(spark, entry(first + late), store).first()) == ("processed", 3, "2024-01-10")  # 6 is older than the overlap
+    assert rows(run(spark, entry(first + late), store).first()) == ("skipped", 0, None)
+    assert rows(run(spark, entry(first + late + new), store).first()) == ("processed", 2, "2024-01-12")
+    assert sorted(r.Id for r in store.read("t").collect()) == [1, 2, 2, 2, 3, 4, 5, 7] and store.read("t").columns == ["Id"]
+    plain = table_entry(at((9, "a", "2024-02-01T00:00:00Z")), "other", ["Id"], "At", "t")
+    assert run(spark, [*entry(first + late + new), plain], store).collect()[1].rows == 1 and store.read("t").count() == 9
+    for wrong in ({"key": []}, {"limit": 3}, {"operation": "Overwrite"}):
+        with pytest.raises(ValueError, match="overlap"):
+            table_entry(at(*first), "e", ["Id"], "At", "t", overlap=timedelta(days=1), **{"key": ["Id"], **wrong})
+
+
+def test_a_replayed_batch_changes_nothing(spark, store, tmp_path, monkeypatch):
+    """A batch reaches the first of two targets and dies; its replay goes into the second alone. Later runs use the tail's marks and targets."""
+    (tmp_path / "in").mkdir()
+    targets = [StoreTarget("one", "k1", constants={"Org": "o"}), StoreTarget("two", "k2", ["b"])]
+    go = lambda: sorted(tuple(r)[:5] for r in tail_into(spark, f"{tmp_path}/in", ["a", "b"], targets, store, f"{tmp_path}/offsets").collect())
+    (tmp_path / "in" / "0.csv").write_text("a,b\n1,x\n2,y\n")
+    kept = store.commit
+
+    def commit(target, *a, **b):
+        if target == "two":
+            raise RuntimeError("lost")
+        return kept(target, *a, **b)
+
+    with monkeypatch.context() as m:
+        m.setattr(store, "commit", commit)
+        with pytest.raises(Exception, match="lost"):
+            go()
+    assert store.version("one")[0] == 1 and store.version("two") is None and marks(store) == {}
+    assert go() == [("two", 0, "processed", 2, 1)]
+    (tmp_path / "in" / "1.csv").write_text("a,b\n3,z\n")
+    (tmp_path / "in" / "2.csv").write_text("a,b\n")
+    assert go() == [("one", 1, "processed", 1, 1), ("two", 1, "processed", 1, 1)]
+    assert go() == []
+    assert sorted(tuple(r) for r in store.read("one").collect()) == [("1", "x", "o"), ("2", "y", "o"), ("3", "z", "o")]
+    assert sorted(r.b for r in store.read("two").collect()) == ["x", "y", "z"]
+    assert set(marks(store)) == {"k1", "k2"} and store.pending("one") == store.pending("two") == {}
+    targets[1] = StoreTarget("two", "k2", ["a", "b"])
+    (tmp_path / "in" / "3.csv").write_text("a,b\n4,w\n")
+    with pytest.raises(Exception, match="extra"):
+        go()
+    assert store.read("one").count() == 4 and store.read("two").count() == 3

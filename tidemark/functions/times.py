@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -62,29 +62,60 @@ def in_order(start: Column, end: Column) -> Column:
     return fits(start) & fits(end) & F.coalesce(F.unix_millis(instant(start)) <= F.unix_millis(instant(end)), F.lit(True))
 
 
-def _literal(value: str, kind: T.DataType) -> Column:
-    """``value`` as a literal of a date column's own type, so that the comparison can be pushed to the scan."""
-    at = parse_iso(value)
+def as_instant(date: Column, kind: T.DataType) -> Column:
+    """A date column as an instant that no session's time zone moves: dates, and timestamps without a zone, are in UTC."""
+    if isinstance(kind, T.StringType):
+        return instant(date)
     if isinstance(kind, T.TimestampNTZType):
-        return F.lit(at.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
-    return F.lit(at)
+        return F.make_timestamp_ltz(F.year(date), F.month(date), F.dayofmonth(date), F.hour(date), F.minute(date), F.date_part(F.lit("SECOND"), date), F.lit("UTC"))
+    if isinstance(kind, T.DateType):
+        none = F.lit(0)
+        return F.make_timestamp_ltz(F.year(date), F.month(date), F.dayofmonth(date), none, none, none.cast("decimal(16,6)"), F.lit("UTC"))
+    return date
 
 
-def _comparable(date: Column, kind: T.DataType) -> Column:
-    if isinstance(kind, T.StringType):
-        return instant(date)
-    return date.cast("timestamp") if isinstance(kind, T.DateType) else date
+def utc_text(at: Column) -> Column:
+    """An instant as ISO-8601 text in UTC, to the second, in any session's time zone."""
+    seconds = F.floor(F.unix_micros(at) / F.lit(1_000_000)).cast("decimal(18,6)")
+    wall = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    return F.concat(F.replace(wall.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
+
 
+def micros_text(micros: int) -> str:
+    """Microseconds since 1970 as a mark: ISO-8601 in UTC."""
+    return (datetime(1970, 1, 1) + timedelta(microseconds=micros)).isoformat(timespec="microseconds") + "Z"
 
-def lower_bound(date: Column, kind: T.DataType, bounds: Bounds, mark: str | None) -> Column | None:
-    """``>= start`` if the bounds have a start, else ``> mark`` if there is one."""
+
+def earlier(mark: str, by: timedelta) -> str:
+    """The mark that lies so much before another."""
+    return (parse_iso(mark) - by).replace(tzinfo=None).isoformat(timespec="microseconds") + "Z"
+
+
+def _compared(date: Column, kind: T.DataType, sign: str, value: str) -> Column:
+    """``date`` against an instant, as a literal of the column's own type, so that the comparison can be pushed to the scan."""
+    at = parse_iso(value)
+    if isinstance(kind, T.StringType):
+        date, literal = instant(date), F.lit(at)
+    elif isinstance(kind, T.TimestampNTZType):
+        literal = F.lit(at.replace(tzinfo=None).isoformat(" ")).cast("timestamp_ntz")
+    elif isinstance(kind, T.DateType):
+        literal = F.lit(at.date())
+        if sign == ">=" and at.time() != at.min.time():  # a date is its first instant, so it is past an instant within it only if it is a later date
+            sign = ">"
+    else:
+        literal = F.lit(at)
+    return date >= literal if sign == ">=" else date > literal if sign == ">" else date <= literal
+
+
+def lower_bound(date: Column, kind: T.DataType, bounds: Bounds, mark: str | None, with_mark: bool = False) -> Column | None:
+    """``>= start`` if the bounds have a start, else ``> mark`` (``with_mark``: ``>= mark``) if there is one."""
     if bounds.start is not None:
-        return _comparable(date, kind) >= _literal(bounds.start, kind)
-    return _comparable(date, kind) > _literal(mark, kind) if mark is not None else None
+        return _compared(date, kind, ">=", bounds.start)
+    return _compared(date, kind, ">=" if with_mark else ">", mark) if mark is not None else None
 
 
 def upper_bound(date: Column, kind: T.DataType, bounds: Bounds) -> Column | None:
-    return _comparable(date, kind) <= _literal(bounds.end, kind) if bounds.end is not None else None
+    return _compared(date, kind, "<=", bounds.end) if bounds.end is not None else None
 
 
 def bounds_class(start: Column, end: Column, mark: Column, appends: Column) -> Column:

@@ -5,8 +5,9 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +19,10 @@ from tidemark.functions.text import as_text, csv_quote, formula_guard
 #: Fixed value: a part stays below 10 MiB once its bytes are base64, which writes three bytes as four.
 PART_BYTES = 10 * 1024 * 1024 * 3 // 4
 STATE = "watermark_key string, watermark_raw string, watermark_ts timestamp"
+#: Columns that a target's rows may carry unseen: the mark key of the entry that loaded the row, its date and the digest of its key.
+HIDDEN = "__entry string, __at timestamp, __digest binary"
+#: Schemes of stores without folders: a rename there copies over what exists, while a file appears only once it is closed.
+OBJECT_STORES = {"s3", "s3a", "s3n", "gs", "abfs", "abfss", "wasb", "wasbs", "oss", "cosn", "obs"}
 
 
 def pack_parts(df: DataFrame, size: Column, order: Sequence[str], budget: int = PART_BYTES, groups: Sequence[str] = (), slices: int | None = None) -> DataFrame:
@@ -86,7 +91,7 @@ class _Files:
     """Whole files and renames in whatever file system a path names."""
 
     def __init__(self, spark: SparkSession):
-        self.jvm, self.conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        self.jvm, self.conf, self.gateway = spark._jvm, spark._jsc.hadoopConfiguration(), spark.sparkContext._gateway
 
     def _at(self, path: str):
         p = self.jvm.org.apache.hadoop.fs.Path(path)
@@ -117,14 +122,30 @@ class _Files:
             stream.close()
 
     def create(self, path: str, text: str) -> None:
-        """Write a new file; an existing one is an error."""
+        """Write a new file, whole or not at all; an existing one is an error.
+
+        Where there are folders, the text is written aside and renamed in a way that refuses to replace a file. Object stores cannot do that,
+        but refuse to create over a file. What is there afterwards is read back, so that of two writers the one that lost knows it.
+        """
         fs, p = self._at(path)
-        tried = self.jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
-        out = fs.create(tried, False)
-        out.write(text.encode())
-        out.close()
-        if fs.exists(p) or not fs.rename(tried, p):
-            fs.delete(tried, False)
+        if fs.exists(p):
+            raise FileExistsError(path)
+        direct = fs.getScheme() in OBJECT_STORES
+        tried = p if direct else self.jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+        try:
+            out = fs.create(tried, False)
+            out.write(text.encode())
+            out.close()
+            if not direct:
+                refuse = self.gateway.new_array(self.jvm.org.apache.hadoop.fs.Options.Rename, 0)
+                self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.conf).rename(fs.makeQualified(tried), fs.makeQualified(p), refuse)
+        except Py4JJavaError as problem:
+            if not direct:
+                fs.delete(tried, False)
+            if fs.exists(p):
+                raise FileExistsError(path) from problem
+            raise
+        if self.read(path) != text:
             raise FileExistsError(path)
 
 
@@ -133,8 +154,12 @@ class Store:
 
     Rows are written aside and become visible by one rename of the next version's file; until then, and after a failure, readers see the
     version before. Appending lists the earlier folders too; overwriting does not, and never touches what is being read. A version holds the
-    types of its columns, and rows of other types are not appended. One run at a time commits to a target; of two, the second fails where the
-    file system's rename refuses an existing file.
+    types of its columns, and rows of other types are not appended. Of two that commit to a target at once, the second fails.
+
+    A version also holds the marks that its rows lead to, so that rows and marks become visible by the same rename; the state of marks names
+    the version of each target up to which it has taken them over (``applied``). Marks of later versions are :meth:`pending`: whoever loads
+    the target next goes on from these, whatever happened between the two commits. ``transactions`` are the numbers of the last batches of
+    streams; a batch that was committed is not committed again.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -165,15 +190,47 @@ class Store:
         df.write.parquet(path)
         return path
 
-    def commit(self, target: str, staged: str, operation: str, columns: Sequence[str], run_id: str | None = None) -> int:
+    def commit(
+        self, target: str, staged: str, operation: str, columns: Sequence[str], run_id: str | None = None, marks: Mapping[str, str] | None = None,
+        transaction: tuple[str, int] | None = None, applied: Mapping[str, int] | None = None,
+    ) -> int:
+        """Make staged rows visible, with their marks, as the next version. A transaction that the target has seen changes nothing."""
         before = self.version(target)
-        kept = before[1]["folders"] if before and operation == "Append" else []
+        held = before[1] if before else {}
+        seen = held.get("transactions", {})
+        if transaction and seen.get(transaction[0], -1) >= transaction[1]:
+            self.abort(staged)
+            return before[0]
         number = before[0] + 1 if before else 1
         schema = self.spark.read.parquet(staged).select(*[f"`{c}`" for c in columns]).schema
-        text = json.dumps({"folders": [*kept, staged], "columns": list(columns), "schema": schema.jsonValue(), "run": run_id})
-        self.files.create(f"{self._home(target)}/versions/{number}.json", text)
+        version = {
+            "id": uuid.uuid4().hex, "run": run_id, "folders": [*(held.get("folders", []) if operation == "Append" else []), staged], "columns": list(columns),
+            "schema": schema.jsonValue(), "marks": dict(marks or {}), "transactions": {**seen, **dict([transaction] if transaction else [])},
+            "applied": {**held.get("applied", {}), **(applied or {})},
+        }
+        self.files.create(f"{self._home(target)}/versions/{number}.json", json.dumps(version))
         return number
 
+    def pending(self, target: str) -> dict[str, str]:
+        """Marks of the target's versions that the state has not taken over; later versions win."""
+        latest, state = self.version(target), self.version("state")
+        applied = state[1].get("applied", {}).get(target, 0) if state else 0
+        marks: dict[str, str] = {}
+        for number in range(applied + 1, latest[0] + 1 if latest else 0):
+            held = latest[1] if number == latest[0] else json.loads(self.files.read(f"{self._home(target)}/versions/{number}.json"))
+            marks |= held.get("marks", {})
+        return marks
+
+    def transaction(self, target: str, stream: str) -> int | None:
+        """The number of the last batch of a stream that the target holds."""
+        found = self.version(target)
+        return found[1].get("transactions", {}).get(stream) if found else None
+
+    def hidden(self, target: str) -> DataFrame | None:
+        """What rows carry unseen (see ``HIDDEN``), null for those that were loaded without."""
+        found = self.version(target)
+        return self.spark.read.schema(HIDDEN).parquet(*found[1]["folders"]) if found else None
+
     def abort(self, staged: str) -> None:
         self.files.delete(staged)
 
@@ -203,6 +260,7 @@ def read_state(store: Store) -> DataFrame:
     return state.withColumn("watermark_raw", F.when(is_iso(F.col("watermark_raw")), F.col("watermark_raw")).otherwise(wrong))
 
 
-def write_state(store: Store, new: DataFrame) -> None:
+def write_state(store: Store, new: DataFrame, applied: Mapping[str, int] | None = None) -> None:
+    """Merge marks into the state; ``applied`` are the versions of targets whose marks are among them."""
     merged = merge_state(read_state(store), new)
-    store.commit("state", store.stage("state", merged, "Overwrite"), "Overwrite", ["watermark_key", "watermark_raw", "watermark_ts"])
+    store.commit("state", store.stage("state", merged, "Overwrite"), "Overwrite", ["watermark_key", "watermark_raw", "watermark_ts"], applied=applied)

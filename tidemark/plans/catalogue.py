@@ -6,14 +6,16 @@ The driver's tables stand in for event logs (``events``: the type is the log's t
 
 from __future__ import annotations
 
+from datetime import timedelta
 from urllib.parse import unquote
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scratch import place
 from tidemark.functions.text import as_text, csv_quote, interpolate
-from tidemark.functions.times import Bounds, in_order, instant, is_iso, window_text
+from tidemark.functions.times import Bounds, as_instant, in_order, instant, is_iso, utc_text, window_text
 from tidemark.operators import checks, schema, sinks
 from tidemark.plans import report, run
 from tidemark.sources import logs, tables
@@ -232,9 +234,9 @@ def _entries(spark, sf_dir) -> DataFrame:
 def _state(spark, sf_dir) -> DataFrame:
     """Marks by entry from an earlier run: the newest event before the 15th; errors were never loaded."""
     events = table(spark, sf_dir, "events").where("ts < timestamp_ntz'2024-01-15 00:00:00' and event_type <> 'error'")
-    newest = events.groupBy("user_id", "event_type").agg(F.date_trunc("second", F.max("ts").cast("timestamp")).alias("watermark_ts"))
+    newest = events.groupBy("user_id", "event_type").agg(F.date_trunc("second", as_instant(F.max("ts"), events.schema["ts"].dataType)).alias("watermark_ts"))
     keyed = _entries(spark, sf_dir).withColumn("watermark_key", report.watermark_key()).where("kind <> 'csv'").join(newest, ["user_id", "event_type"])
-    raw = F.date_format("watermark_ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    raw = utc_text(F.col("watermark_ts"))
     return keyed.groupBy("watermark_key").agg(F.max("watermark_ts").alias("watermark_ts")).select("watermark_key", raw.alias("watermark_raw"), "watermark_ts")
 
 
@@ -275,7 +277,7 @@ CASE WHEN any_value(s) < any_value(m) THEN 'REWIND' WHEN any_value(s) > any_valu
 FROM e JOIN events ON events.event_type = e.event_type GROUP BY e.event_type""")
 def bounds_classification(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    marks = events.where("event_id % 10 = 0 and ts < timestamp_ntz'2024-01-15 00:00:00'").groupBy("event_type").agg(F.max("ts").cast("timestamp").alias("watermark_ts"))
+    marks = events.where("event_id % 10 = 0 and ts < timestamp_ntz'2024-01-15 00:00:00'").groupBy("event_type").agg(as_instant(F.max("ts"), events.schema["ts"].dataType).alias("watermark_ts"))
     k = F.ascii("event_type") % 3
     stamp = lambda text: F.lit(text).cast("timestamp")
     entries = marks.withColumns(
@@ -593,6 +595,66 @@ def state_round_trip(spark, sf_dir):
     return sinks.read_state(store).select("watermark_key", "watermark_raw")
 
 
+@query("""SELECT 'north' AS org, o_orderkey AS id, o_totalprice AS price FROM orders WHERE o_orderkey % 2 = 0
+UNION ALL SELECT 'south', o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 2 = 1""")
+def two_org_load(spark, sf_dir):
+    """Tables of one name in two organisations, into one target in two runs: each organisation's rows once, under a mark of its own."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"), "o_orderdate")
+    store = sinks.Store(spark, place(spark, "store"))
+    for upto in ("1996-01-01T00:00:00Z", None):
+        entries = [
+            run.table_entry(orders.where(F.col("id") % 2 == n), "orders", ["id", "price"], "o_orderdate", "org:hub:orders", org=org, constants={"org": org})
+            for n, org in enumerate(("north", "south"))
+        ]
+        run.run(spark, entries, store, Bounds(end=upto))
+    if {r["watermark_key"] for r in sinks.read_state(store).collect()} != {"north:sobject:orders", "south:sobject:orders"}:
+        raise ValueError("the organisations' marks are not apart")
+    return store.read("org:hub:orders")
+
+
+class DriverLost(BaseException):
+    """Not an error that a run could report: nothing after it happens."""
+
+
+class _Dies(sinks.Store):
+    """A store whose driver is lost at a commit of one target."""
+
+    def __init__(self, spark, root, at, how=DriverLost):
+        super().__init__(spark, root)
+        self.at, self.how = at, how
+
+    def commit(self, target, *args, **more):
+        if target == self.at:
+            raise self.how(target)
+        return super().commit(target, *args, **more)
+
+
+@query("""SELECT t AS target, event_id, value FROM events, (VALUES ('one'), ('two')) v(t)""")
+def crash_recovery(spark, sf_dir):
+    """Runs that die between the commits of two targets, and between these and the state's: a last one loads what is missing, and nothing twice."""
+    events, root = table(spark, sf_dir, "events"), place(spark, "store")
+    for dies, upto in (("state", "2024-01-10T00:00:00Z"), ("two", "2024-01-20T00:00:00Z"), (None, None)):
+        store = _Dies(spark, root, dies)
+        entries = [run.table_entry(events, "events", ["event_id", "value"], "ts", t) for t in ("one", "two")]
+        try:
+            run.run(spark, entries, store, Bounds(end=upto), workers=1)
+        except DriverLost:
+            continue
+    return run.merged([store.read(t).withColumn("target", F.lit(t)) for t in ("one", "two")])
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem""")
+def late_rows(spark, sf_dir):
+    """Lines that reach the source after the mark has passed their date, many of them dated as the mark itself: each is loaded once."""
+    lines, store = table(spark, sf_dir, "lineitem"), sinks.Store(spark, place(spark, "store"))
+    late = (F.col("l_shipdate") <= F.lit("1995-06-17").cast("timestamp_ntz")) & (F.col("l_shipdate") > F.lit("1995-03-17").cast("timestamp_ntz")) & (F.col("l_linenumber") % 3 == 0)
+    for there, upto in ((~late, "1995-06-17T00:00:00Z"), (F.lit(True), "1995-06-17T00:00:00Z"), (F.lit(True), None), (F.lit(True), None)):
+        fields = ["l_orderkey", "l_linenumber", "l_shipdate"]
+        entry = run.table_entry(lines.where(there), "lineitem", fields, "l_shipdate", "org:hub:lines", overlap=timedelta(days=92), key=["l_orderkey", "l_linenumber"])
+        run.run(spark, [entry], store, Bounds(end=upto))
+    return store.read("org:hub:lines")
+
+
 def _log_files(spark, sf_dir) -> DataFrame:
     """Event logs as CSV files in folders with awkward names, the later ones with another header, and the catalog that lists them."""
     events = table(spark, sf_dir, "events").withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
@@ -674,3 +736,20 @@ def tail_stream(spark, sf_dir):
     return streaming.read_target(spark, target)
 
 
+
+
+@query("""SELECT event_id::VARCHAR AS event_id, event_type, 'hub' AS org, 'one' AS target FROM events UNION ALL SELECT event_id::VARCHAR, event_type, NULL, 'two' FROM events""")
+def tail_store(spark, sf_dir):
+    """Event logs arrive in two goes and are loaded into two targets of a store; the driver dies once between the two, and the batch is replayed."""
+    folder, root, checkpoint = place(spark, "logs"), place(spark, "store"), place(spark, "offsets")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    targets = [streaming.StoreTarget("one", "logs:one", constants={"org": "hub"}), streaming.StoreTarget("two", "logs:two")]
+    for half, dies in ((events.where("event_id % 2 = 0"), "two"), (events.where("event_id % 2 = 1"), "state")):
+        half.write.mode("append").option("header", True).option("escape", '"').csv(folder)
+        for at in (dies, None):
+            try:
+                streaming.tail_into(spark, folder, ["event_id", "event_type"], targets, _Dies(spark, root, at, OSError), checkpoint)
+            except StreamingQueryException:
+                continue
+    store = sinks.Store(spark, root)
+    return store.read("one").withColumn("target", F.lit("one")).unionByName(store.read("two").withColumn("target", F.lit("two")), allowMissingColumns=True)

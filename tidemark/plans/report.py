@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import bounds_class, first_run_class
+from tidemark.functions.times import as_instant, bounds_class, first_run_class, utc_text
+from tidemark.plans.keys import mark_key_column
 
 
 def target_key() -> Column:
@@ -16,13 +17,8 @@ def target_key() -> Column:
 
 
 def watermark_key() -> Column:
-    """The entry's name, or what it reads: its filter does not count."""
-    return F.coalesce(
-        "name",
-        F.when(F.col("kind") == "elf", F.concat_ws(":", "source_org", F.lit("elf"), "event_type", "interval"))
-        .when(F.col("kind") == "sobject", F.concat_ws(":", "source_org", F.lit("sobject"), "object"))
-        .otherwise(F.concat(F.lit("csv:"), F.col("csv_path"))),
-    )
+    """The key of an entry's mark, as runs derive it."""
+    return mark_key_column()
 
 
 def with_marks(entries: DataFrame, state: DataFrame) -> DataFrame:
@@ -43,7 +39,7 @@ def row_counts(rows: DataFrame, entries: DataFrame, key: str, date: str) -> Data
     ``rows`` meet entries on ``key``; several entries may share one. Entries without rows count 0.
     """
     e = entries.select("watermark_key", F.col(key).alias("e_key"), "start_ts", "end_ts", "watermark_ts")
-    d, s, t, m = F.col(date).cast("timestamp"), F.col("start_ts"), F.col("end_ts"), F.col("watermark_ts")
+    d, s, t, m = as_instant(F.col(date), rows.schema[date].dataType), F.col("start_ts"), F.col("end_ts"), F.col("watermark_ts")
     above = F.when(s.isNotNull(), d >= s).when(m.isNotNull(), d > m).otherwise(F.lit(True))
     below = F.coalesce(d <= t, t.isNull())
     joined = e.join(rows.select(F.col(key).alias("r_key"), date), F.col("e_key") == F.col("r_key"), "left")
@@ -56,10 +52,6 @@ def row_counts(rows: DataFrame, entries: DataFrame, key: str, date: str) -> Data
     )
 
 
-def _stamp(at: Column) -> Column:
-    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")
-
-
 def plan_report(entries: DataFrame, state: DataFrame, existing: DataFrame) -> DataFrame:
     """What a run would do, one row for each entry: ``idx, target_key, mark, effective, note, warning``.
 
@@ -69,10 +61,10 @@ def plan_report(entries: DataFrame, state: DataFrame, existing: DataFrame) -> Da
     e = with_marks(entries.withColumn("target_key", target_key()).withColumn("watermark_key", watermark_key()), state)
     e = classified(e).join(existing.select("target_key", F.lit(True).alias("there")).distinct(), "target_key", "left")
     date = F.when(F.col("kind") == "elf", "LogDate").otherwise(F.col("date_field"))
-    lower = F.when(F.col("start_ts").isNotNull(), F.concat(date, F.lit(" >= "), _stamp(F.col("start_ts")))).when(
+    lower = F.when(F.col("start_ts").isNotNull(), F.concat(date, F.lit(" >= "), utc_text(F.col("start_ts")))).when(
         F.col("watermark_ts").isNotNull(), F.concat(date, F.lit(" > "), F.col("watermark_raw"))
     )
-    upper = F.when(F.col("end_ts").isNotNull(), F.concat(date, F.lit(" <= "), _stamp(F.col("end_ts"))))
+    upper = F.when(F.col("end_ts").isNotNull(), F.concat(date, F.lit(" <= "), utc_text(F.col("end_ts"))))
     table = F.col("kind") != "csv"
     note = F.when(F.col("target_org").isNull(), None).when(F.col("there").isNull(), "BOOTSTRAP").when(F.col("override_metadata"), "OVERRIDE")
     return e.select(

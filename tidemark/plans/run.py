@@ -7,18 +7,20 @@ from collections import defaultdict
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 from functools import partial
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.scratch import written
-from tidemark.functions.times import NO_BOUNDS, Bounds
+from tidemark.functions.times import NO_BOUNDS, Bounds, as_instant, earlier, micros_text, parse_iso
 from tidemark.operators.schema import augment, project
 from tidemark.operators.sinks import STATE, Store, read_state, write_state
+from tidemark.plans.keys import TableId, mark_key
 from tidemark.sources import logs
-from tidemark.sources.tables import MARK, scan_table
+from tidemark.sources.tables import MARK, dotted, scan_table
 
 
 @dataclass(frozen=True)
@@ -33,7 +35,9 @@ class Scan:
 @dataclass(frozen=True)
 class Entry:
     """One source into one target. ``scan`` gives the rows inside bounds above a mark, with the hidden date, as a DataFrame or as a
-    :class:`Scan`; None means no source unit."""
+    :class:`Scan`; None means no source unit. ``source`` is what the mark is about: entries that share a mark key must share it.
+
+    With ``overlap``, ``scan`` goes back so far behind the mark, and its rows carry the digest of their key as ``DIGEST``."""
 
     target: str
     watermark_key: str
@@ -43,15 +47,48 @@ class Entry:
     operation: str = "Append"
     override_metadata: bool = False
     kind: str = "sobject"
+    source: tuple = ()
+    overlap: timedelta | None = None
+
+
+#: The hidden column that carries the digest of a row's key, where late rows are looked for.
+DIGEST = "__digest"
+
+
+def key_digest(df: DataFrame, columns: Sequence[str]) -> Column:
+    """128 bits of a SHA-256 over the columns, alike in every session's time zone."""
+    texts = []
+    for name in columns:
+        column = dotted(df, name)
+        kind = df.select(column).schema[0].dataType
+        text = (F.unix_micros(column) if isinstance(kind, T.TimestampType) else column).cast("string")
+        texts.append(F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.unhex(F.substring(F.sha2(F.concat(*texts), 256), 1, 32))
 
 
 def table_entry(
     df: DataFrame, object: str, fields: Sequence[str], date_field: str, target: str, name: str | None = None, where: str | None = None, limit: int | None = None,
-    with_ties: bool = False, **more,
+    with_ties: bool = False, org: str | None = None, overlap: timedelta | None = None, key: Sequence[str] = (), **more,
 ) -> Entry:
-    """An entry over a table; entries with equal scans share them. With ``limit``, ``with_ties`` keeps rows that share the last date."""
-    scan = lambda bounds, mark: scan_table(df, fields, date_field, where, limit, bounds, mark, with_ties)
-    return Entry(target, name or f"sobject:{object}", scan, ("sobject", object, tuple(fields), date_field, where, limit, with_ties), **more)
+    """An entry over a table of an organisation; entries with equal scans of the same table share them. With ``limit``, ``with_ties`` keeps
+    rows that share the last date.
+
+    With ``overlap``, a run also takes rows that arrived late: those dated up to so long before the mark, the mark included, that the target
+    does not hold yet. ``key`` names the columns that, with the date, tell a row from all others; rows that share both are one to the search,
+    and are all loaded if they arrive together. A row dated before the overlap is not seen.
+    """
+    if overlap is not None and (not key or limit is not None or more.get("operation", "Append") != "Append" or overlap < timedelta(0)):
+        raise ValueError("an overlap needs a key, the operation Append and no limit, and is not negative")
+
+    def scan(bounds: Bounds, mark: str | None) -> DataFrame:
+        if overlap is None:
+            return scan_table(df, fields, date_field, where, limit, bounds, mark, with_ties)
+        keyed = df.withColumn(DIGEST, key_digest(df, [*key, date_field]))
+        return scan_table(keyed, [*fields, DIGEST], date_field, where, None, bounds, earlier(mark, overlap) if mark else None, with_mark=True)
+
+    table = TableId(df)
+    reader = ("sobject", org, object, table, tuple(fields), date_field, where, limit, with_ties, overlap, tuple(key))
+    return Entry(target, mark_key("sobject", name, source_org=org, object=object), scan, reader, source=("sobject", org, object, table), overlap=overlap, **more)
 
 
 def log_entry(
@@ -66,20 +103,16 @@ def log_entry(
         rows = logs.listed_logs(catalog, event_type, interval, bounds, mark)
         if not rows:
             return None
-        newest = spark.createDataFrame([(max(r["log_date"] for r in rows),)], "d " + catalog.schema["log_date"].dataType.simpleString())
-        return Scan(logs.read_logs(spark, rows, strict), len({r["path"] for r in rows}), newest.select(_mark_text(F.col("d"))).first()[0])
+        return Scan(logs.read_logs(spark, rows, strict), len({r["path"] for r in rows}), micros_text(max(r["micros"] for r in rows)))
 
-    return Entry(target, name or f"{org}:elf:{event_type}:{interval}", scan, ("elf", org, event_type, interval, strict), kind="elf", **more)
+    source = ("elf", org, event_type, interval, TableId(catalog))
+    return Entry(target, mark_key("elf", name, source_org=org, event_type=event_type, interval=interval), scan, (*source, strict), kind="elf", source=source, **more)
 
 
 def csv_entry(spark: SparkSession, path: str, names: Sequence[str], target: str, name: str | None = None, **more) -> Entry:
     """An entry over CSV files, which are read in full by every run, whatever bounds and marks."""
     scan = lambda bounds, mark: Scan(logs.read_csv(spark, path, names).withColumn(MARK, F.lit(None).cast("timestamp")), 1)
-    return Entry(target, name or f"csv:{path}", scan, ("csv", path, tuple(names)), kind="csv", **more)
-
-
-def _mark_text(date):
-    return F.date_format(date.cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return Entry(target, mark_key("csv", name, csv_path=path), scan, ("csv", path, tuple(names)), kind="csv", source=("csv", path), **more)
 
 
 def merged(frames: Sequence[DataFrame]) -> DataFrame:
@@ -93,15 +126,30 @@ def merged(frames: Sequence[DataFrame]) -> DataFrame:
 def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     """Count rows and find the newest date while the rows are written, without another pass."""
     seen = Observation(f"scan-{uuid.uuid4().hex}")
-    return df.observe(seen, F.count(F.lit(1)).alias("rows"), F.max(_mark_text(F.col(MARK))).alias("mark")), seen
+    newest = F.max(F.unix_micros(as_instant(F.col(MARK), df.schema[MARK].dataType)))
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), newest.alias("mark")), seen
+
+
+def unseen(df: DataFrame, loaded: DataFrame, key: str, mark: str, overlap: timedelta) -> DataFrame:
+    """Rows past the mark, and those before it that a target does not hold: no row of its own entry has their digest.
+
+    Nothing past the mark can have been loaded, so only the overlap's rows are held against the target's, of which only these are read.
+    """
+    at, last = as_instant(F.col(MARK), df.schema[MARK].dataType), F.lit(parse_iso(mark))
+    there = loaded.where((F.col("__entry") == key) & (F.col("__at") >= F.lit(parse_iso(earlier(mark, overlap)))) & (F.col("__at") <= last))
+    late = df.where(at <= last).join(there.select(F.col("__digest").alias(DIGEST)), DIGEST, "left_anti").select(*df.columns)
+    return df.where(at > last).union(late)
 
 
 def _result(target: str, idx: int, e: Entry, status: str, rows: int = 0, units: int | None = None, mark: str | None = None, why: str | None = None) -> dict:
     return {"target_key": target, "idx": idx, "status": status, "rows": rows, "units": units, "watermark_key": e.watermark_key, "mark": mark, "problem": why}
 
 
-def _target(store: Store, target: str, entries: list[tuple[int, Entry, DataFrame | Scan | None]], run_id: str) -> list[dict]:
-    """Load one target; any failure leaves it as it was. Rows of tables, and units of other sources, decide whether an entry is processed."""
+def _target(store: Store, target: str, entries: list[tuple[int, Entry, DataFrame | Scan | None]], run_id: str, since: Mapping[int, str | None]) -> list[dict]:
+    """Load one target; any failure leaves it as it was. Rows of tables, and units of other sources, decide whether an entry is processed.
+
+    ``since`` are the marks that entries with an overlap go back from.
+    """
     result = partial(_result, target)
     staged = None
     try:
@@ -115,27 +163,35 @@ def _target(store: Store, target: str, entries: list[tuple[int, Entry, DataFrame
         before = store.version(target)
         operation = found[0][1].operation
         same_schema = before is not None and not any(e.override_metadata for _, e, _ in found)
-        first = augment(found[0][2].drop(MARK), found[0][1].constants).columns
+        first = augment(found[0][2].drop(MARK, DIGEST), found[0][1].constants).columns
         columns = before[1]["columns"] if same_schema else [c.replace(".", "_") for c in first]
+        looks_back = any(e.overlap is not None for _, e, _ in found)
         parts, seen = [], []
-        for _, e, df in found:
+        for i, e, df in found:
+            if e.overlap is not None and since.get(i) is not None and before is not None:
+                df = unseen(df, store.hidden(target), e.watermark_key, since[i], e.overlap)
             rows, observation = observed(df)
-            parts.append(project(augment(rows, e.constants).drop(MARK), columns))
+            unseen_columns = {"__entry": F.lit(e.watermark_key), "__at": as_instant(F.col(MARK), df.schema[MARK].dataType), "__digest": F.col(DIGEST) if DIGEST in df.columns else F.lit(None).cast("binary")}
+            hidden = unseen_columns if looks_back else {}
+            parts.append(project(augment(rows.withColumns(hidden), e.constants).drop(MARK), columns, list(hidden)))
             seen.append(observation)
         staged = store.stage(target, merged(parts), "Overwrite" if not same_schema else operation)
         got = [o.get for o in seen]
         if any(g["rows"] and g["mark"] is None and e.kind != "csv" for (_, e, _), g in zip(found, got, strict=True)):
             raise ValueError("rows without any date cannot advance a mark")
+        now = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+        results = []
+        for (i, e, _), g in zip(found, got, strict=True):
+            newest = None if g["mark"] is None else micros_text(g["mark"])
+            if e.overlap is not None and since.get(i) and newest and parse_iso(newest) < parse_iso(since[i]):
+                newest = since[i]  # late rows alone do not move the mark back
+            processed = g["rows"] or units.get(i) or e.kind == "csv"
+            results.append(result(i, e, "processed", g["rows"], units.get(i), now if e.kind == "csv" else last.get(i) or newest) if processed else result(i, e, "skipped", units=units.get(i)))
         if any(g["rows"] for g in got) or any(e.kind == "csv" for _, e, _ in found):
-            store.commit(target, staged, operation, columns, run_id)
+            store.commit(target, staged, operation, columns, run_id, {r["watermark_key"]: r["mark"] for r in results if r["status"] == "processed"})
         else:
             store.abort(staged)
-        now = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
-        return none + [
-            result(i, e, "processed", g["rows"], units.get(i), now if e.kind == "csv" else last.get(i) or g["mark"])
-            if g["rows"] or units.get(i) or e.kind == "csv" else result(i, e, "skipped", units=units.get(i))
-            for (i, e, _), g in zip(found, got, strict=True)
-        ]
+        return none + results
     except Exception as problem:  # a target fails alone
         if staged is not None:
             store.abort(staged)
@@ -145,46 +201,63 @@ def _target(store: Store, target: str, entries: list[tuple[int, Entry, DataFrame
 RESULT = "target_key string, idx int, status string, rows long, units long, watermark_key string, mark string, problem string"
 
 
+def _one_source(entries: Sequence[Entry]) -> None:
+    """Refuse a mark key over several sources: the mark of one would hide rows of the other."""
+    sources: dict[str, tuple] = {}
+    for e in entries:
+        if e.source and sources.setdefault(e.watermark_key, e.source) != e.source:
+            raise ValueError(f"different sources share the mark key {e.watermark_key!r}: give each an org or a name of its own")
+
+
 def run(spark: SparkSession, entries: Sequence[Entry], store: Store, bounds: Bounds = NO_BOUNDS, workers: int = 4) -> DataFrame:
     """Run all entries and return one row for each. Targets are loaded side by side and do not disturb one another.
 
     Entries that share a scan and a mark read their source once: its rows are written to the shared folder for all of them. ``units`` are
     the files of an entry that has such. The state is written even if nothing was loaded.
+
+    A target's rows and marks are one commit. A run that dies before it writes the state leaves marks pending in the targets that it had
+    loaded, and the next one goes on from these, target by target. In the same way, where entries of several targets share a mark and one of
+    these targets fails, the state keeps the old mark for it, and the others go on from their own.
     """
-    marks = {r["watermark_key"]: r["watermark_raw"] for r in read_state(store).select("watermark_key", "watermark_raw").collect()}
+    _one_source(entries)
+    targets: dict[str, list[int]] = defaultdict(list)
+    for i, e in enumerate(entries):
+        targets[e.target].append(i)
+    pending = {t: store.pending(t) for t in targets}
+    keys = spark.createDataFrame([(k,) for k in {e.watermark_key for e in entries}], "watermark_key string")
+    held = {r["watermark_key"]: r["watermark_raw"] for r in read_state(store).join(keys, "watermark_key", "left_semi").select("watermark_key", "watermark_raw").collect()}
+    marks = {i: pending[e.target].get(e.watermark_key, held.get(e.watermark_key)) for i, e in enumerate(entries)}
     shared: dict[tuple, list[int]] = defaultdict(list)
     for i, e in enumerate(entries):
-        shared[(e.reader_key, marks.get(e.watermark_key)) if e.reader_key else ("alone", i)].append(i)
+        shared[(e.reader_key, marks[i]) if e.reader_key else ("alone", i)].append(i)
     scans: dict[int, DataFrame | Scan | None] = {}
     broken: dict[int, Exception] = {}
     for members in shared.values():
         e = entries[members[0]]
         try:
-            df = e.scan(bounds, marks.get(e.watermark_key))
+            df = e.scan(bounds, marks[members[0]])
             if df is not None and len(members) > 1:
                 df = replace(df, rows=written(df.rows)) if isinstance(df, Scan) else written(df)
             scans.update(dict.fromkeys(members, df))
         except Exception as problem:
             broken.update(dict.fromkeys(members, problem))
-    targets: dict[str, list[int]] = defaultdict(list)
-    for i, e in enumerate(entries):
-        targets[e.target].append(i)
     run_id = uuid.uuid4().hex
+    since = {} if bounds.start is not None else marks
 
     def load(target: str) -> list[dict]:
         own = targets[target]
         problem = next((broken[i] for i in own if i in broken), None)
         if problem is not None:
             return [_result(target, i, entries[i], "failed", why=str(problem)[:500]) for i in own]
-        return _target(store, target, [(i, entries[i], scans[i]) for i in own], run_id)
+        return _target(store, target, [(i, entries[i], scans[i]) for i in own], run_id, since)
 
     with ThreadPoolExecutor(workers) as pool:
-        results = [r for rows in pool.map(load, targets) for r in rows]
+        results = sorted((r for rows in pool.map(load, targets) for r in rows), key=lambda r: r["idx"])
     names = [n.split(" ")[0] for n in RESULT.split(", ")]
-    out = spark.createDataFrame([tuple(r[n] for n in names) for r in sorted(results, key=lambda r: r["idx"])], RESULT)
-    new = {r["watermark_key"]: r["mark"] for r in sorted(results, key=lambda r: r["idx"]) if r["status"] == "processed"}
-    rows = [(k, m, datetime.fromisoformat(m)) for k, m in new.items()]
-    write_state(store, spark.createDataFrame(rows, STATE))
+    out = spark.createDataFrame([tuple(r[n] for n in names) for r in results], RESULT)
+    failed = {r["watermark_key"] for r in results if r["status"] == "failed"}
+    new = {k: m for t in targets for k, m in pending[t].items()} | {r["watermark_key"]: r["mark"] for r in results if r["status"] == "processed"}
+    rows = [(k, m, parse_iso(m)) for k, m in new.items() if k not in failed]
+    applied = {t: found[0] for t in targets if not failed & {*pending[t], *(entries[i].watermark_key for i in targets[t])} and (found := store.version(t))}
+    write_state(store, spark.createDataFrame(rows, STATE), applied)
     return out
-
-

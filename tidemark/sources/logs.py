@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.times import NO_BOUNDS, Bounds, lower_bound, upper_bound
+from tidemark.functions.times import NO_BOUNDS, Bounds, as_instant, lower_bound, upper_bound
 from tidemark.sources.tables import MARK
 
 
@@ -42,8 +42,9 @@ def scan_log_table(logs: DataFrame, event_type: str, interval: str, fields: Sequ
 
 
 def listed_logs(catalog: DataFrame, event_type: str, interval: str, bounds: Bounds = NO_BOUNDS, mark: str | None = None) -> list[Row]:
-    """``path, field_names, log_date`` of the files that a catalog lists inside the window: all that reaches the driver of a log."""
-    return select_logs(catalog, event_type, interval, bounds, mark).select("path", "field_names", "log_date").collect()
+    """``path, field_names, log_date, micros`` (of the date) of the files that a catalog lists inside the window: all that reaches the driver of a log."""
+    micros = F.unix_micros(as_instant(F.col("log_date"), catalog.schema["log_date"].dataType)).alias("micros")
+    return select_logs(catalog, event_type, interval, bounds, mark).select("path", "field_names", "log_date", micros).collect()
 
 
 def _file_names(spark: SparkSession, paths: Sequence[str]) -> list[str]:

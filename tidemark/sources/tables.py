@@ -37,15 +37,18 @@ def scan_table(
     mark: str | None = None,
     with_ties: bool = False,
     tie_break: Sequence[str] = (),
+    with_mark: bool = False,
 ) -> DataFrame:
     """Rows inside the window, as the asked fields (dots become underscores) and the hidden date.
 
+    The mark itself is outside the window, unless ``with_mark`` says otherwise.
+
     ``where`` is one SQL expression and cannot widen the window. With ``limit`` the oldest rows come; ``with_ties`` also takes the rows
     that share the last date, which a later run would otherwise never see, and ``tie_break`` decides among them if they are not taken.
     """
     date = dotted(df, date_field)
     kind = df.select(date).schema[0].dataType
-    for condition in (lower_bound(date, kind, bounds, mark), upper_bound(date, kind, bounds), F.expr(f"({where})") if where else None):
+    for condition in (lower_bound(date, kind, bounds, mark, with_mark), upper_bound(date, kind, bounds), F.expr(f"({where})") if where else None):
         if condition is not None:
             df = df.where(condition)
     if limit is not None and not with_ties:
