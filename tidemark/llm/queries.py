@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, near_text, near_vectors, packing, quality, repeats, token_files, toxicity, url_filter, vector_search
+from tidemark.llm import lexical, mixing, near_text, near_vectors, packing, passages, prefix_trie, quality, repeats, token_files, toxicity, url_filter, vector_search
 from tidemark.llm.common import new_path
 
 
@@ -140,6 +140,95 @@ WITH drawn AS (
 SELECT doc_id, size, source_size, target, ((epochs + CASE WHEN rest > 0 AND middle <= rest THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM ordered
 """
 
+
+def op11_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passages(table(spark, sf_dir, "documents")).drop("kept")
+
+
+OP11_SQL = r"""
+WITH w AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), windows AS (
+  SELECT row, doc_id, s, array_to_string(ws[s:s + 19], ' ') AS t FROM (SELECT row, doc_id, ws, unnest(range(1, len(ws) - 18)) AS s FROM w)
+), again AS (
+  SELECT row, s FROM (SELECT row, s, row_number() OVER (PARTITION BY t ORDER BY doc_id, s) AS n FROM windows) WHERE n > 1
+), gone AS (
+  SELECT DISTINCT row, s + k AS i FROM again, range(0, 20) r(k)
+), words AS (
+  SELECT row, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w
+), kept AS (
+  SELECT words.row, string_agg(word, ' ' ORDER BY words.i) AS t, count(*) AS n FROM words ANTI JOIN gone ON words.row = gone.row AND words.i = gone.i GROUP BY words.row
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (row)
+"""
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents
+), q AS (
+  SELECT row_number() OVER () AS item, item_id, unnest(list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term FROM benchmark
+), c AS (
+  SELECT count(*) FILTER (len(ts) > 0) AS docs, sum(len(ts))::BIGINT AS total FROM d
+), tf AS (
+  SELECT row, doc_id, term, n, count(*) AS tf FROM (SELECT row, doc_id, len(ts) AS n, unnest(ts) AS term FROM d) GROUP BY ALL
+), w AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, c GROUP BY term, docs
+), scores AS (
+  SELECT item, item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // total))))::BIGINT AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term), c GROUP BY ALL
+)
+SELECT item_id, rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id)::INT AS rank FROM scores WHERE score > 0) WHERE rank <= 10
+"""
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as their turns stand, but that the first of each, by the hash of its id, are those of the first conversation of its five."""
+    turns = prefix_trie.numbered(table(spark, sf_dir, "conversations"))
+    convs = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    plan = convs.select("conv_id", (F.col("conv_id") - F.col("conv_id") % 5).alias("base"), (F.crc32(F.col("conv_id").cast("string")) % 9).alias("h"))
+    plan = plan.join(convs.select(F.col("conv_id").alias("base"), F.col("n").alias("held")), "base", "left")
+    start = F.least("h", F.coalesce("held", F.lit(0).cast("long")))
+    head = turns.where("pos <= 8").withColumnRenamed("conv_id", "base").join(plan.select("conv_id", "base", "h"), "base").where("pos <= h")
+    tail = turns.join(plan, "conv_id").where("pos > h")
+    rebuilt = head.select("conv_id", "pos", "turn_id").union(tail.select("conv_id", (start + F.col("pos") - F.col("h")).alias("pos"), "turn_id"))
+    return prefix_trie.prefix_trie(rebuilt, convs.select("conv_id"))
+
+
+OP13_SQL = """
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos FROM conversations WHERE conv_id IS NOT NULL
+), original AS (
+  SELECT c, list({'role': role, 'text': text} ORDER BY pos) AS ts FROM turns GROUP BY c
+), hashed AS (
+  SELECT c, ts, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 9 AS h FROM original
+), rebuilt AS (
+  SELECT x.c, list_concat(coalesce(b.ts, [])[1:x.h], x.ts[x.h + 1:]) AS ts FROM hashed x LEFT JOIN original b ON b.c = x.c - x.c % 5
+), members AS (
+  SELECT c, d, ts[1:d] AS path, len(ts) = d AS ends FROM (SELECT c, ts, unnest(range(0, len(ts) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT path, d, min(c) AS c, count(*) AS n, (count(*) - 1) * coalesce(octet_length(encode(path[d].text)), 0) AS saved,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends FROM members GROUP BY path, d
+), children AS (
+  SELECT path[1:d - 1] AS path, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL
+), full_nodes AS (
+  SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (path, d)
+), below AS (
+  SELECT path[1:a] AS path, a AS d, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM full_nodes) GROUP BY ALL
+)
+SELECT x.c AS conv_id, x.d AS depth, p.c AS parent_conv_id, x.n AS n_convs, x.n_children, n_leaves, saved_tokens, x.ends AS ends_sha256
+FROM full_nodes x JOIN below USING (path, d) LEFT JOIN nodes p ON p.d = x.d - 1 AND p.path = x.path[1:x.d - 1]
+"""
+
 QUERIES = {
     "op1_repeats": op1_repeats,
     "op6_near_text": op6_near_text,
@@ -151,5 +240,8 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op8_url_filter": op8_url_filter,
     "op10_mixing": op10_mixing,
+    "op11_passages": op11_passages,
+    "op12_lexical": op12_lexical,
+    "op13_prefix_trie": op13_prefix_trie,
 }
-ORACLES = {"op6_near_text": OP6_SQL, "op7_top_k": OP7_SQL, "op8_url_filter": OP8_SQL, "op10_mixing": OP10_SQL}
+ORACLES = {"op6_near_text": OP6_SQL, "op7_top_k": OP7_SQL, "op8_url_filter": OP8_SQL, "op10_mixing": OP10_SQL, "op11_passages": OP11_SQL, "op12_lexical": OP12_SQL, "op13_prefix_trie": OP13_SQL}
