@@ -6,11 +6,11 @@ its window, and all of them but the earliest repeat it. The trees are grown in p
 1. Only repeats need a tree. Each window is given to the anchor among its places, the least rank of ``GRAM`` words; the windows of one anchor
    are a stretch. Stretches whose anchor's rank occurs once are dropped. Stretches that are alike from end to end are one leaf with many
    places: all but its earliest place repeat it in all their windows. Counts are aggregated before they are shuffled.
-2. Of leaves that share a rank with other leaves the earliest places go on, as the suffixes that start in them. They are split by variable-length
-   prefixes: the first of ``PREFIXES`` words whose group has at most ``GROUP`` suffixes. A prefix of one suffix has no tree.
+2. Of leaves that share a rank with other leaves the earliest places go on, as the suffixes that start in them, cut at the depth that counts.
+   They are split by variable-length prefixes: the first of ``PREFIXES`` words whose group has at most ``GROUP`` suffixes.
 3. Each group is sorted, which is the order of its tree's leaves; the words that neighbours share are the depths of its internal nodes. Below
-   a topmost node of at least ``WINDOW`` words, a maximal repeat, all leaves but the earliest repeat their window. A group that is too large
-   even at a whole window is one node: its earliest place is a minimum, and no task holds it.
+   a node of ``WINDOW`` words, all leaves but the earliest repeat their window. A group that is too large even at a whole window is one node:
+   its earliest place is a minimum, and no task holds it.
 """
 
 from __future__ import annotations
@@ -28,10 +28,10 @@ from tidemark.llm.common import Scratch, settle
 from tidemark.llm.textbytes import Hasher, chunks, draw, mix64, runs, trim
 
 #: Words of a window and of an anchor's rank; places of a window among which one is the anchor.
-WINDOW, GRAM = 20, 4
+WINDOW, GRAM = 20, 6
 SPREAD = WINDOW - GRAM + 1
 #: Words of the prefixes that split suffixes, and the most suffixes of one subtree.
-PREFIXES, GROUP = (5, 10, WINDOW), 1 << 15
+PREFIXES, GROUP = (10, 15, WINDOW), 1 << 15
 _FACTOR = np.uint64(0xA0761D6478BD642F)
 KEYS = ["k0", "tx"]
 
@@ -68,13 +68,12 @@ def _anchors(bases: tuple[int, int], batches: Iterator[pa.RecordBatch]) -> Itera
             rank = one(w.start[: n + SPREAD - 1], w.end[GRAM - 1 :])
             low = np.uint64((1 << max(20, len(rank).bit_length())) - 1)
             least = (rank & ~low) | np.arange(len(rank), dtype=np.uint64)
-            for step in (1, 2, 4, 8):
+            for step in (1, 2, 4, SPREAD - 8):  # of the next 2, 4, 8 and all ranks
                 least = np.minimum(least[:-step], least[step:])
-            least = np.minimum(least[:n], least[1 : n + 1])  # of 16 and one more
             s = np.flatnonzero(w.doc[:n] == w.doc[WINDOW - 1 :])
             if not len(s):
                 continue
-            q = (least[s] & low).astype(np.int64)
+            q = (least[:n][s] & low).astype(np.int64)
             new = np.ones(len(s), bool)
             new[1:] = (q[1:] != q[:-1]) | (s[1:] != s[:-1] + 1)
             first = np.flatnonzero(new)
@@ -90,7 +89,7 @@ def _anchors(bases: tuple[int, int], batches: Iterator[pa.RecordBatch]) -> Itera
 
 
 def _suffixes(base: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The suffixes that start in the stretches ``found`` of each text, up to the stretch's end, and hashes of their prefixes."""
+    """The suffixes that start in the stretches ``found`` of each text, and hashes of their prefixes."""
     for batch in batches:
         lists = batch.column("found")
         offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
@@ -101,13 +100,13 @@ def _suffixes(base: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
             many = info & 255
             which = np.repeat(np.arange(len(info)), many)
             start = (info >> 8)[which] + np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
-            word, last = start + w.first[text][which], (info >> 8)[which] + many[which] + WINDOW - 2 + w.first[text][which]
+            word = start + w.first[text][which]
             h = Hasher(w.bytes, base)
             for lo in range(0, len(word), 1 << 16):
                 part = slice(lo, lo + (1 << 16))
                 i, own = word[part], pa.array(at + text[which[part]])
                 raw = w.bytes.tobytes() if lo == 0 else raw
-                words = pa.array([raw[a:b] for a, b in zip(w.start[i].tolist(), w.end[last[part]].tolist(), strict=True)], pa.binary())
+                words = pa.array([raw[a:b] for a, b in zip(w.start[i].tolist(), w.end[i + WINDOW - 1].tolist(), strict=True)], pa.binary())
                 columns = {c: batch.column(c).take(own) for c in KEYS} | {"start": start[part], "words": words}
                 yield pa.RecordBatch.from_pydict(columns | {f"p{p}": h(w.start[i], w.end[i + p - 1]).view(np.int64) for p in PREFIXES})
     trim()
@@ -126,24 +125,16 @@ def _shared(a: bytes, b: bytes) -> int:
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Leaves below the topmost deep nodes of each group's tree, but for the earliest. Rows come sorted by group and words."""
-    before: tuple | None = None
-    node: list[tuple] = []  # places of the leaves below the node that is open
-
-    def closed() -> list[tuple]:
-        least = min(node, default=None)
-        return [place for place in node if place != least]
-
+    """Leaves below the deep nodes of each group's tree, but for the earliest of each. Rows come sorted by group, words and place, so a node's
+    leaves follow one another, its earliest place first, and only the last leaf is held."""
+    key, last = None, b""
     for batch in batches:
         out: list[tuple] = []
-        for key, words, *place in zip(*[batch.column(c).to_pylist() for c in ("key", "words", *KEYS, "start")], strict=True):
-            if before is None or before[0] != key or _shared(before[1], words) < WINDOW:
-                out += closed()
-                node = []
-            node.append(tuple(place))
-            before = (key, words)
+        for own, words, *place in zip(*[batch.column(c).to_pylist() for c in ("key", "words", *KEYS, "start")], strict=True):
+            if own == key and _shared(last, words) >= WINDOW:
+                out.append(tuple(place))
+            key, last = own, words
         yield _ranges(out)
-    yield _ranges(closed())
 
 
 def _ranges(places: list[tuple]) -> pa.RecordBatch:
@@ -178,33 +169,38 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     trim()
 
 
-def _repeated(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """``k0, tx, found``: windows that also start earlier, as place in words and number (8 bits), for ``docs(k0, tx, text)``."""
-    bases = (draw(), draw())
-    place = F.struct(*KEYS, "info")
-    anchors = scratch.settle(docs.mapInArrow(partial(_anchors, bases), "rank long, whole long, k0 long, tx long, info long"))
+def _repeated(docs: DataFrame) -> tuple[DataFrame, list[Scratch]]:
+    """``k0, tx, found``: windows that also start earlier, as place in words and number (8 bits), for ``docs(k0, tx, text)``.
+
+    Tables on the way are deleted once nothing reads them; those that the result reads are returned.
+    """
+    bases, place = (draw(), draw()), F.struct(*KEYS, "info")
+    early, middle, late = (Scratch(docs.sparkSession) for _ in range(3))
+    anchors = early.settle(docs.mapInArrow(partial(_anchors, bases), "rank long, whole long, k0 long, tx long, info long"))
     ranks = anchors.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("rank")
-    met = scratch.settle(anchors.join(ranks, "rank", "left_semi"))
-    leaves = scratch.settle(met.groupBy("rank", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("one")))
-    copies = met.join(leaves.where("n > 1"), ["rank", "whole"]).where(place != F.col("one")).select(*KEYS, F.col("info").alias("found"))
+    met = middle.settle(anchors.join(ranks, "rank", "left_semi"))
+    early.drop()
+    leaves = middle.settle(met.groupBy("rank", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("one")))
+    copies = late.settle(met.join(leaves.where("n > 1"), ["rank", "whole"]).where(place != F.col("one")).select(*KEYS, F.col("info").alias("found")))
 
     several = leaves.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("rank")
     wanted = leaves.join(several, "rank", "left_semi").select("one.*").groupBy(*KEYS).agg(F.collect_list("info").alias("found"))
     rows = "k0 long, tx long, start long, words binary, " + ", ".join(f"p{p} long" for p in PREFIXES)
-    rest = scratch.settle(docs.join(wanted, KEYS).select(*KEYS, "text", "found").mapInArrow(partial(_suffixes, bases[1]), rows))
+    rest = late.settle(docs.join(wanted, KEYS).select(*KEYS, "text", "found").mapInArrow(partial(_suffixes, bases[1]), rows))
+    middle.drop()
     found, groups = [copies], []
     for words in PREFIXES:
-        counts = scratch.settle(rest.groupBy(f"p{words}").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-        groups.append(rest.join(counts.where(F.col("n") <= GROUP), f"p{words}").select(F.col(f"p{words}").alias("key"), "words", *KEYS, "start"))
-        large = counts.where(F.col("n") > GROUP).select(f"p{words}")
-        rest = rest.join(large, f"p{words}", "left_semi")
+        large = late.settle(rest.groupBy(f"p{words}").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP).select(f"p{words}"))
+        keyed = lambda df: df.select(F.col(f"p{words}").alias("key"), "words", *KEYS, "start")  # noqa: B023, E731
         if large.isEmpty():
+            groups.append(keyed(rest))
             break
+        groups.append(keyed(rest.join(large, f"p{words}", "left_anti")))
+        rest = rest.join(large, f"p{words}", "left_semi")
     else:  # nodes of a whole window with more leaves than a task takes
-        node, leaf = F.substring_index(F.col("words").cast("string"), " ", WINDOW), F.struct(*KEYS, "start")
-        rest = rest.select(node.cast("binary").alias("node"), *KEYS, "start")
-        least = rest.groupBy("node").agg(F.min(leaf).alias("one"))
-        found.append(rest.join(least, "node").where(leaf != F.col("one")).select(*KEYS, F.shiftleft("start", 8).bitwiseOR(F.lit(1)).alias("found")))
+        leaf = F.struct(*KEYS, "start")
+        least = rest.groupBy("words").agg(F.min(leaf).alias("one"))
+        found.append(rest.join(least, "words").where(leaf != F.col("one")).select(*KEYS, F.shiftleft("start", 8).bitwiseOR(F.lit(1)).alias("found")))
     suffixes = groups[0]
     for more in groups[1:]:
         suffixes = suffixes.union(more)
@@ -214,7 +210,7 @@ def _repeated(docs: DataFrame, scratch: Scratch) -> DataFrame:
     out = found[0]
     for more in found[1:]:
         out = out.union(more)
-    return out
+    return out, [late]
 
 
 def passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -226,11 +222,12 @@ def passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     that of a hash; rows alike in id and text are one document, given once for each. Other columns are ignored, whatever their names; no
     rows give no rows. ``docs`` must give the same rows each time it is read.
     """
-    scratch = Scratch(docs.sparkSession)
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     rows = rows.select("id", F.coalesce("id", F.lit(-(2**63))).alias("k0"), F.xxhash64("text").alias("tx"), "text")
-    found = settle(_repeated(rows.select(*KEYS, "text"), scratch).groupBy(*KEYS).agg(F.collect_set("found").alias("found")))
-    scratch.drop()
+    repeated, held = _repeated(rows.select(*KEYS, "text"))
+    found = settle(repeated.groupBy(*KEYS).agg(F.collect_set("found").alias("found")))
+    for scratch in held:
+        scratch.drop()
     joined = rows.join(found, KEYS, "left").select("id", "text", F.coalesce("found", F.array().cast("array<long>")).alias("found"))
     out = joined.mapInArrow(_keep, "id long, n_words long, n_removed long, kept_sha256 string, kept binary")
     return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256", "kept")
