@@ -10,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import prose
-from tidemark.llm import lexical, passages, prefix_trie
+from tests.llm.test_texts import plain_repeats
+from tidemark.llm import lexical, near_text, passages, prefix_trie, repeats
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -155,3 +156,19 @@ def test_lexical_ranks_are_those_of_all_scores(spark, awkward, nothing, monkeypa
     got = Counter(tuple(r) for r in lexical.top_documents(docs, frame).select("item_id", "rank", "doc_id", "score").collect())
     assert got == plain_ranks([(r.doc_id, r.text) for r in docs.collect()], items)
     assert lexical.top_documents(nothing, frame).count() == lexical.top_documents(docs, frame.where("false")).count() == 0
+
+
+def thue_morse(n, a="a", b="b"):
+    return "".join(a if i.bit_count() % 2 == 0 else b for i in range(n))
+
+
+def test_texts_that_collide_under_powers_of_two_are_apart(spark):
+    """A Thue-Morse string and its complement have one polynomial hash modulo 2**64, whatever its odd base."""
+    one, other = thue_morse(2048), thue_morse(2048, "b", "a")
+    docs = spark.createDataFrame(list(enumerate([one, other, "x" + one[:1024] + "y" + "z" * 300, "v" + other[:1024] + "w"])), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_text.near_text(docs, percent=80).collect()} == {0: 0, 1: 1, 2: 2, 3: 3}
+    words = docs.select("doc_id", F.concat(F.lit("same " * 10), "text", F.lit(" same" * 9)).alias("text"))
+    assert {r.n_removed for r in passages.passages(words).collect()} == {0}
+    got = {r.doc_id: r.n_removed for r in repeats.repeats(docs).collect()}
+    texts = [r.text for r in docs.sort("doc_id").collect()]
+    assert [got[i] for i in range(4)] == [w[1] for w in plain_repeats(texts)]

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import settle, small
 from tidemark.llm.components import components
-from tidemark.llm.textbytes import Hasher, chunks, lowered, mix64, runs
+from tidemark.llm.textbytes import KeyedHasher, chunks, draw, lowered, mix64, runs
 
 #: Coordinates of a sketch. Bands of five coordinates from a similarity of 0.85 on, else of four: a pair just similar enough misses all of
 #: them once in two million times at 0.85, once in twenty million at 0.8.
@@ -40,7 +40,7 @@ _SEEDS = mix64(np.arange(1, 2 * FINE + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB
 _FACTOR = np.uint64(0xA0761D6478BD642F)
 
 
-def shingle_sets(data: np.ndarray, bounds: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(data: np.ndarray, bounds: np.ndarray, width: int = 5, base: int = 0x9E3779B97F4A7C1) -> tuple[np.ndarray, np.ndarray]:
     """Document and hash of each distinct shingle of a chunk, in order. Texts end in white space of their own.
 
     A text with fewer words than ``width`` has its whole sequence as its only shingle; one without words has none.
@@ -48,7 +48,7 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray, width: int = 5) -> tuple[
     data = lowered(data)
     starts, ends = runs(~((data == 32) | ((data >= 9) & (data <= 13))))
     of = np.searchsorted(bounds, starts, "right") - 1
-    words = Hasher(data)(starts, ends)
+    words = KeyedHasher(data, base)(starts, ends)
     at = np.flatnonzero(of[width - 1 :] == of[: len(of) - width + 1]) if len(of) >= width else np.empty(0, np.int64)
     h = np.zeros(len(at), np.uint64)
     for k in range(width):
@@ -96,12 +96,12 @@ def _band_rows(percent: int) -> int:
     return 5 if percent >= 85 else 4
 
 
-def _features(width: int, rows: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _features(width: int, rows: int, base: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each document the size and two hashes of its shingle set and a key for each band."""
     for batch in batches:
         for first, data, bounds in chunks((t.as_py() for t in batch.column("text")), b"", b"\n"):
             n = len(bounds) - 1
-            doc, h = shingle_sets(data, bounds, width)
+            doc, h = shingle_sets(data, bounds, width, base)
             size = np.bincount(doc, minlength=n)
             sums = np.zeros((2, n), np.uint64)
             np.add.at(sums[0], doc, mix64(h))
@@ -118,14 +118,14 @@ def _features(width: int, rows: int, batches: Iterator[pa.RecordBatch]) -> Itera
             yield pa.RecordBatch.from_pydict({k: v if isinstance(v, pa.Array) else pa.array(v) for k, v in columns.items()})
 
 
-def _confirm(width: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _confirm(width: int, percent: int, base: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of groups that come sorted, each the text of one document (``role`` 0) and then those that it is held against, by full sets."""
     head, hub = None, np.empty(0, np.uint64)
     for batch in batches:
         a, cid, role = (batch.column(c).to_numpy() for c in ("a", "cid", "role"))
         for first, data, bounds in chunks((t.as_py() for t in batch.column("text")), b"", b"\n"):
             n = len(bounds) - 1
-            doc, h = shingle_sets(data, bounds, width)
+            doc, h = shingle_sets(data, bounds, width, base)
             edge = np.searchsorted(doc, np.arange(n + 1))
             heads = np.flatnonzero(role[first : first + n] == 0)
             for lo, hi in zip([0, *heads], [*heads, n], strict=True):
@@ -143,7 +143,7 @@ def _confirm(width: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Ite
                     yield pa.RecordBatch.from_pydict({"a": np.full(len(found), head), "b": found})
 
 
-def _fine(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _fine(width: int, base: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A longer one-bit sketch of each text."""
     for batch in batches:
         for first, data, bounds in chunks((t.as_py() for t in batch.column("text")), b"", b"\n"):
@@ -151,7 +151,7 @@ def _fine(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             for at in range(0, n, 64):
                 own = slice(at, min(n, at + 64))
                 lo, hi = bounds[own.start], bounds[own.stop]
-                doc, h = shingle_sets(data[lo:hi], bounds[own.start : own.stop + 1] - lo, width)
+                doc, h = shingle_sets(data[lo:hi], bounds[own.start : own.stop + 1] - lo, width, base)
                 bits = _one_bit(sketches(doc, h, own.stop - own.start, FINE))
                 words = {f"f{i}": np.ascontiguousarray(bits[:, i]) for i in range(FINE // 64)}
                 yield pa.RecordBatch.from_pydict({"cid": batch.column("cid").slice(first + at, own.stop - own.start), **words})
@@ -241,7 +241,7 @@ def _texts(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     return settle(texts.groupBy("cid").agg(F.first("text").alias("text")))
 
 
-def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int, base: int) -> DataFrame:
     """The pairs ``(a, b)`` of classes whose full sets link.
 
     Pairs are read in groups of at most about ``GROUP`` with the same ``a``, whose text is sent once for each group.
@@ -253,14 +253,14 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, pe
     others = pairs.join(groups, "a").select("a", F.pmod(F.xxhash64("b"), F.col("groups")).cast("int").alias("group"), F.col("b").alias("cid"), F.lit(1).alias("role"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = heads.union(others).join(texts, "cid").repartition(parts, "a", "group").sortWithinPartitions("a", "group", "role")
-    return settle(rows.select("a", "cid", "role", "text").mapInArrow(partial(_confirm, width, percent), "a long, b long"))
+    return settle(rows.select("a", "cid", "role", "text").mapInArrow(partial(_confirm, width, percent, base), "a long, b long"))
 
 
 def _judged(docs: DataFrame, percent: int, width: int, doc_id: str, text: str) -> DataFrame:
     """``doc_id, tx, n, class, component``: of each row the text's hash, the size of its set, its component of sets and that one's least id."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows, base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), draw()
     schema = "doc_id long, tx long, n long, f0 long, f1 long, bands array<long>"
-    known = settle(rows.withColumn("tx", F.xxhash64("text")).mapInArrow(partial(_features, width, _band_rows(percent)), schema))
+    known = settle(rows.withColumn("tx", F.xxhash64("text")).mapInArrow(partial(_features, width, _band_rows(percent), base), schema))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tx", "bands")).alias("r")
     classes = known.where("n > 0").groupBy("n", "f0", "f1").agg(first)
     classes = settle(classes.select("n", "f0", "f1", F.xxhash64("f0", "f1", "n").alias("cid"), F.col("r.doc_id").alias("rep"), "r.tx", "r.bands"))
@@ -269,7 +269,7 @@ def _judged(docs: DataFrame, percent: int, width: int, doc_id: str, text: str) -
     hubs = settle(banded.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("m").alias("hub")).where("members > 1").drop("members"))
     members = settle(banded.join(hubs, "key").select("key", "band", "m.cid", "m.n", "hub"))
     near = members.where((F.col("cid") != F.col("hub.cid")) & _fitting(F.col("n"), F.col("hub.n"), percent))
-    links = _links(near.select(F.col("hub.cid").alias("a"), F.col("cid").alias("b")).distinct(), classes, rows, width, percent)
+    links = _links(near.select(F.col("hub.cid").alias("a"), F.col("cid").alias("b")).distinct(), classes, rows, width, percent, base)
 
     reached = components(links)
     placed = members.join(reached, members.cid == reached.node, "left").select(
@@ -278,7 +278,7 @@ def _judged(docs: DataFrame, percent: int, width: int, doc_id: str, text: str) -
     placed = settle(placed)
     several = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
     rest = settle(placed.where("not is_hub").join(settle(several.where("lo < hi").select("key", "chunks")), "key"))
-    fine = settle(_texts(rest.select("cid"), classes, rows).mapInArrow(partial(_fine, width), "cid long, " + ", ".join(f"f{i} long" for i in range(FINE // 64))))
+    fine = settle(_texts(rest.select("cid"), classes, rows).mapInArrow(partial(_fine, width, base), "cid long, " + ", ".join(f"f{i} long" for i in range(FINE // 64))))
     fine = settle(fine.join(classes.select("cid", "bands"), "cid"))
     rest = rest.join(fine, "cid").withColumn("chunk", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int"))
     others = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.struct(F.least(c, "chunk").alias("a"), F.greatest(c, "chunk").alias("b")))
@@ -286,7 +286,7 @@ def _judged(docs: DataFrame, percent: int, width: int, doc_id: str, text: str) -
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     units = units.repartition(parts, *UNIT).sortWithinPartitions(*UNIT)
     more = units.mapInArrow(partial(_across, percent), "a long, b long")
-    found = links.union(_links(more.distinct(), classes, rows, width, percent))
+    found = links.union(_links(more.distinct(), classes, rows, width, percent, base))
 
     reached = components(found)
     linked = classes.select("cid", "rep").join(reached, F.col("cid") == F.col("node")).select("cid", "rep", "component")

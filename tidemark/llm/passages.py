@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Scratch, settle
-from tidemark.llm.textbytes import Hasher, chunks, draw, mix64, runs, trim
+from tidemark.llm.textbytes import KeyedHasher, chunks, draw, mix64, runs, trim
 
 #: Words of a window and of an anchor's rank; places of a window among which one is the anchor.
 WINDOW, GRAM = 20, 6
@@ -64,7 +64,7 @@ def _anchors(bases: tuple[int, int], batches: Iterator[pa.RecordBatch]) -> Itera
             n = len(w.doc) - WINDOW + 1
             if n <= 0:
                 continue
-            one, two = Hasher(w.bytes, bases[0]), Hasher(w.bytes, bases[1])
+            one, two = KeyedHasher(w.bytes, bases[0]), KeyedHasher(w.bytes, bases[1])
             rank = one(w.start[: n + SPREAD - 1], w.end[GRAM - 1 :])
             low = np.uint64((1 << max(20, len(rank).bit_length())) - 1)
             least = (rank & ~low) | np.arange(len(rank), dtype=np.uint64)
@@ -101,7 +101,7 @@ def _suffixes(base: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
             which = np.repeat(np.arange(len(info)), many)
             start = (info >> 8)[which] + np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
             word = start + w.first[text][which]
-            h = Hasher(w.bytes, base)
+            h = KeyedHasher(w.bytes, base)
             for lo in range(0, len(word), 1 << 16):
                 part = slice(lo, lo + (1 << 16))
                 i, own = word[part], pa.array(at + text[which[part]])
@@ -177,13 +177,13 @@ def _repeated(docs: DataFrame) -> tuple[DataFrame, list[Scratch]]:
     bases, place = (draw(), draw()), F.struct(*KEYS, "info")
     early, middle, late = (Scratch(docs.sparkSession) for _ in range(3))
     anchors = early.settle(docs.mapInArrow(partial(_anchors, bases), "rank long, whole long, k0 long, tx long, info long"))
-    ranks = anchors.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("rank")
+    ranks = early.settle(anchors.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("rank"))  # a join of tables splits hot ranks
     met = middle.settle(anchors.join(ranks, "rank", "left_semi"))
     early.drop()
     leaves = middle.settle(met.groupBy("rank", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("one")))
     copies = late.settle(met.join(leaves.where("n > 1"), ["rank", "whole"]).where(place != F.col("one")).select(*KEYS, F.col("info").alias("found")))
 
-    several = leaves.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("rank")
+    several = middle.settle(leaves.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("rank"))
     wanted = leaves.join(several, "rank", "left_semi").select("one.*").groupBy(*KEYS).agg(F.collect_list("info").alias("found"))
     rows = "k0 long, tx long, start long, words binary, " + ", ".join(f"p{p} long" for p in PREFIXES)
     rest = late.settle(docs.join(wanted, KEYS).select(*KEYS, "text", "found").mapInArrow(partial(_suffixes, bases[1]), rows))

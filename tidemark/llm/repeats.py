@@ -1,8 +1,9 @@
 """Suffix-array dedup: bytes covered by a string of a given length that starts anywhere else in the corpus.
 
-Prefix doubling over a sample of positions. A rank stands for the bytes from a position on: equal ranks, equal bytes. Rounds within a chunk
-of text, where all ranks are at hand, give ranks of ``FIRST`` bytes, half of a repeat. From there on Spark sorts: it brings pairs of ranks
-together, of a position and of the one at a growing offset, drops what is unique and passes on what is not, until it is past the threshold.
+Doubling over a sample of positions. A rank stands for the bytes from a position on: equal ranks, equal bytes. Within a chunk of text a rolling
+hash gives ranks of ``FIRST`` bytes, half of a repeat, at once. From there on Spark sorts: it brings pairs of ranks together, of a position and
+of the one at an offset, drops what is unique and passes on what is not, until it is past the threshold. What is called repeated has equal
+hashes under two bases that are drawn for the run, so no text can be made to look like another's.
 
 1. Positions are anchors: from every place, the least of the next ``SPREAD`` ranks of ``FIRST`` bytes, so that both ends of a repeat choose
    alike and every string of the full length holds one. Unique ranks are dropped. The strings with one anchor lie together as a stretch; one
@@ -10,7 +11,7 @@ together, of a position and of the one at a growing offset, drops what is unique
 2. Stretches that are left, which are those around the ends of repeats, are cut into blocks of ``BLOCK`` places, alike from their anchors. A
    block's pair of ranks, at offset ``INNER - FIRST``, covers what all its strings share: unique pairs are dropped, and blocks whose bytes from
    end to end occur twice are past the threshold.
-3. Every place of the blocks that are left: pairs of ranks at offset ``LENGTH - FIRST`` cover the whole string, in 128 bits.
+3. Every place of the blocks that are left: pairs of ranks at offset ``LENGTH - FIRST`` cover the whole string, in 122 bits.
 
 A stretch or block that is past the threshold tells the others of its rank, which one of each kind goes on to do. Hot passages: of equal
 stretches in a task's text one is sent to where they meet, marked, and the others go elsewhere; counts of pairs are aggregated before they
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.llm.common import settle
-from tidemark.llm.textbytes import CHUNK_BYTES, Hasher, chunks, mix64, runs, trim
+from tidemark.llm.textbytes import CHUNK_BYTES, KeyedHasher, chunks, draw, mix64, runs, trim
 
 #: Bytes of a repeat and of a first rank; places among which one is the anchor; places of a block and the bytes that all its strings share.
 LENGTH, FIRST, SPREAD, BLOCK = 200, 100, 100, 10
@@ -40,6 +41,8 @@ REMEMBERED = 1 << 18
 #: States of a stretch: as it is; its rank is known to be repeated, and it is sent to tell others or goes elsewhere; so are all its bytes,
 #: and it tells others, goes elsewhere or tells only those with the same bytes.
 PLAIN, TELLS, FOUND, TELLS_PAST, FOUND_PAST, KIND_PAST = range(6)
+#: Bases of hashes, where none are drawn.
+BASES = (0x9E3779B97F4A7C1, 0xD6E8FEB86659FD9)
 _FACTOR = np.uint64(0xA0761D6478BD642F)
 KEYS = ["k0", "tx"]
 
@@ -51,9 +54,9 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class _Stretches:
     """Anchors of a chunk of documents, each with the stretch of strings that have it."""
 
-    def __init__(self, data: np.ndarray, bounds: np.ndarray):
+    def __init__(self, data: np.ndarray, bounds: np.ndarray, bases: tuple[int, int]):
         size = len(data)
-        h = Hasher(data)
+        h, h2 = KeyedHasher(data, bases[0]), KeyedHasher(data, bases[1])
         rank = h.grams(FIRST) if size >= FIRST else np.empty(0, np.uint64)
         starts = np.flatnonzero(np.arange(size) + LENGTH <= np.repeat(bounds[1:], np.diff(bounds)))  # of strings of the full length
         low = np.uint64((1 << max(20, size.bit_length())) - 1)
@@ -69,7 +72,8 @@ class _Stretches:
         first = np.flatnonzero(new)
         self.lo, self.many, q = starts[first], np.diff(np.append(first, len(q))), q[first]
         self.lead, self.rank = q - self.lo, rank[q]
-        self.whole = _pair(h(self.lo, self.lo + self.many - 1 + LENGTH), (self.lead * 256 + self.many).astype(np.uint64))
+        end = self.lo + self.many - 1 + LENGTH
+        self.whole = _pair(_pair(h(self.lo, end), (self.lead * 256 + self.many).astype(np.uint64)), h2(self.lo, end))
         self.doc = np.searchsorted(bounds, self.lo, "right") - 1
 
 
@@ -88,13 +92,13 @@ def _remember(known: np.ndarray, new: np.ndarray) -> np.ndarray:
     return np.union1d(known, new[: max(0, REMEMBERED - len(known))])
 
 
-def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _ask(batches: Iterator[pa.RecordBatch], bases: tuple[int, int] = BASES) -> Iterator[pa.RecordBatch]:
     """Round 1, sending: each anchor's rank and, for its stretch, the name of all bytes, the places and a state."""
     ranks = wholes = np.empty(0, np.uint64)
     for batch in batches:
         key0, key1 = batch.column("k0").to_numpy(), batch.column("tx").to_numpy()
         for first, data, bounds in chunks(t.as_py() for t in batch.column("text")):
-            s = _Stretches(data, bounds)
+            s = _Stretches(data, bounds, bases)
             if not len(s.lo):
                 continue
             state, kind = _states(s.rank, s.whole), _pair(s.rank, s.whole)
@@ -155,13 +159,14 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Cuts:
     """A batch of stretches: their bytes as one array, and where each begins."""
 
-    def __init__(self, batch: pa.RecordBatch):
+    def __init__(self, batch: pa.RecordBatch, bases: tuple[int, int]):
         info = batch.column("info").to_numpy()
         self.info, self.lo, self.many, self.lead, self.known = info, info >> 17, (info >> 9) & 255, (info >> 1) & 255, info & 1
         self.rank, self.k0, self.tx = batch.column("rank").to_numpy().view(np.uint64), batch.column("k0").to_numpy(), batch.column("tx").to_numpy()
         held = batch.column("bytes").to_pylist()
         self.at = np.cumsum([0, *map(len, held)])[:-1]
-        self.hash = Hasher(np.frombuffer(b"".join(held), np.uint8))
+        data = np.frombuffer(b"".join(held), np.uint8)
+        self.hash, self.hash2 = KeyedHasher(data, bases[0]), KeyedHasher(data, bases[1])
 
 
 def _slices(batches: Iterator[pa.RecordBatch], rows: int = 2048) -> Iterator[pa.RecordBatch]:
@@ -171,10 +176,10 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 2048) -> Iterator[pa.
     trim()
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(batches: Iterator[pa.RecordBatch], bases: tuple[int, int] = BASES) -> Iterator[pa.RecordBatch]:
     """Round 2, sending: each block's pair of ranks, the name of all its bytes and which places of which stretch it is."""
     for batch in _slices(batches):
-        c = _Cuts(batch)
+        c = _Cuts(batch, bases)
         low, high = (c.lead - c.many + 1) // BLOCK, c.lead // BLOCK  # leads of a stretch's places fall from lead to lead - many + 1
         n = high - low + 1
         which = np.repeat(np.arange(len(n)), n)
@@ -184,7 +189,8 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inner = anchor - block * BLOCK  # the last place that the block can have
         pair = _pair(c.hash(inner, inner + FIRST), c.hash(inner + INNER - FIRST, inner + INNER))
         key = _pair(_pair(c.rank[which], block.view(np.uint64)), pair)
-        whole = _pair(c.hash(anchor - first, anchor - last + LENGTH), (first * 256 + last).view(np.uint64))
+        ends = anchor - first, anchor - last + LENGTH
+        whole = _pair(_pair(c.hash(*ends), (first * 256 + last).view(np.uint64)), c.hash2(*ends))
         place = c.lead[which] - first
         info = ((((c.lo[which] << 8 | c.lead[which]) << 8 | place) << 8 | first - last + 1) << 1) | c.known[which]
         yield pa.RecordBatch.from_pydict({"key": key.view(np.int64), "whole": whole.view(np.int64), "k0": c.k0[which], "tx": c.tx[which], "info": info})
@@ -201,11 +207,11 @@ def _judged(blocks: DataFrame) -> DataFrame:
     return blocks.join(kinds, ["key", "whole"]).select(*KEYS, "info", "past", tells.alias("tells"))
 
 
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _places(batches: Iterator[pa.RecordBatch], bases: tuple[int, int] = BASES) -> Iterator[pa.RecordBatch]:
     """Round 3, sending: the pair of ranks, in 128 bits, of every place of the blocks asked for, which are in ``found`` beside their stretch."""
     told = np.empty(0, np.uint64)
     for batch in _slices(batches):
-        c = _Cuts(batch)
+        c = _Cuts(batch, bases)
         owner, flat = _lists(batch)
         block = flat.to_numpy()
         many = (block >> 1) & 255
@@ -215,7 +221,7 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = c.at[owner] + nth
         halves = c.hash(at, at + FIRST), c.hash(at + LENGTH - FIRST, at + LENGTH)
         lead = (c.lead[owner] - nth).view(np.uint64)
-        name, again = _pair(_pair(c.rank[owner], lead), _pair(*halves)), _pair(c.hash(at, at + LENGTH), _pair(*halves[::-1]))
+        name, again = _pair(_pair(c.rank[owner], lead), _pair(*halves)), _pair(c.hash2(at, at + LENGTH), _pair(*halves[::-1]))
         state = _states(name, again)
         state[known & (state < TELLS_PAST)] = TELLS_PAST
         kind = _pair(name, again)
@@ -271,8 +277,9 @@ def _range(lo, many):
 def find_repeats(docs: DataFrame) -> DataFrame:
     """``k0, tx, found``: ranges of starting places of repeated strings (place, then how many, 32 bits each), for ``docs(k0, tx, text)``."""
     single, whole = _once(docs)
+    bases = (draw(), draw())
     rows = "rank long, whole long, k0 long, tx long, info long"
-    met = settle(_met(single.mapInArrow(_ask, rows)))
+    met = settle(_met(single.mapInArrow(partial(_ask, bases=bases), rows)))
     past = met.where("past").select(*KEYS, _range(_bits("info", 16, 32), _bits("info", 8, 8)))
     rest = met.where("not past")
     tells = met.where("one").join(rest.select("rank").distinct(), "rank", "left_semi").select(*met.columns)
@@ -281,14 +288,14 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     cuts = single.join(wanted, KEYS).select(*KEYS, "text", "found").mapInArrow(_cut, "k0 long, tx long, info long, rank long, bytes binary")
     cuts = settle(cuts)
 
-    judged = settle(_judged(cuts.mapInArrow(_blocks, "key long, whole long, k0 long, tx long, info long")))
+    judged = settle(_judged(cuts.mapInArrow(partial(_blocks, bases=bases), "key long, whole long, k0 long, tx long, info long")))
     lo, place, many = _bits("info", 25, 32), _bits("info", 9, 8), _bits("info", 1, 8)
     past = past.union(judged.where("past").select(*KEYS, _range(lo + place, many)))
     open_blocks = judged.where("not past or tells").select(
         *KEYS, F.shiftright("info", 17).alias("stretch"), F.shiftleft(_bits("info", 1, 16), 1).bitwiseOR(F.col("past").cast("long")).alias("found")
     ).groupBy(*KEYS, "stretch").agg(F.collect_list("found").alias("found"))
     stretch = F.shiftleft(F.shiftright("info", 17), 8).bitwiseOR(_bits("info", 1, 8))
-    places = cuts.withColumn("stretch", stretch).join(open_blocks, [*KEYS, "stretch"]).select(*cuts.columns, "found").mapInArrow(_places, rows)
+    places = cuts.withColumn("stretch", stretch).join(open_blocks, [*KEYS, "stretch"]).select(*cuts.columns, "found").mapInArrow(partial(_places, bases=bases), rows)
     repeated = _met(places).where("past").select(*KEYS, _range(F.col("info"), F.lit(1).cast("long")))
     found = past.union(repeated)
     return found if whole is None else found.union(whole)

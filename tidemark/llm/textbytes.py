@@ -12,11 +12,11 @@ import pyarrow as pa
 #: Bytes of text handled at once, unless one document alone is longer. Arrays over a chunk take some 150 bytes for each.
 CHUNK_BYTES = 1 << 19
 PRIME = (1 << 61) - 1
-#: A base for hashes that decide nothing.
-BASE = 0x9E3779B97F4A7C15 % PRIME
+BASE = 0x9E3779B97F4A7C15
 _P, _M31, _M30 = np.uint64(PRIME), np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_powers: list[np.ndarray] = []
+_prime_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 _libc = ctypes.CDLL(None)
 
 
@@ -27,6 +27,37 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of the base and of its inverse modulo 2**64."""
+    if not _powers or len(_powers[0]) < n:
+        size = max(n, CHUNK_BYTES + 4096)
+        _powers[:] = []
+        for base in (BASE, pow(BASE, -1, 1 << 64)):
+            p = np.full(size, base, np.uint64)
+            p[0] = 1
+            _powers.append(np.cumprod(p))
+    return _powers[0][:n], _powers[1][:n]
+
+
+class Hasher:
+    """64-bit hashes of any substrings of a byte array; equal substrings have equal hashes wherever they stand.
+
+    For features of models: unlike strings can be made that share a hash, so nothing else is decided by it.
+    """
+
+    def __init__(self, data: np.ndarray):
+        up, self.down = powers(len(data) + 1)
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=self.sums[1:])
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix64((self.sums[end] - self.sums[start]) * self.down[start])
+
+    def grams(self, n: int) -> np.ndarray:
+        """Hashes of all substrings of length ``n``."""
+        return mix64((self.sums[n:] - self.sums[:-n]) * self.down[: len(self.sums) - n])
+
+
 def draw() -> int:
     """A base for hashes, drawn for one run: nobody can choose texts that collide under it."""
     return secrets.randbelow(PRIME - (1 << 32)) + (1 << 31)
@@ -45,30 +76,30 @@ def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return _folded(((ah * bh) << np.uint64(1)) + (middle >> np.uint64(30)) + ((middle & _M30) << np.uint64(31)) + al * bl)
 
 
-def powers(n: int, base: int = BASE) -> tuple[np.ndarray, np.ndarray]:
+def prime_powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     """The first powers of the base and of its inverse modulo the prime."""
-    if base not in _powers or len(_powers[base][0]) < n:
+    if base not in _prime_powers or len(_prime_powers[base][0]) < n:
         size, found = max(n, CHUNK_BYTES + 4096), []
         for b in (base, pow(base, -1, PRIME)):
             p = np.ones(1, np.uint64)
             while len(p) < size:
                 p = np.concatenate([p, _times(p, np.full(len(p), pow(b, len(p), PRIME), np.uint64))])
             found.append(p[:size])
-        if len(_powers) > 3:
-            _powers.clear()
-        _powers[base] = tuple(found)
-    return _powers[base][0][:n], _powers[base][1][:n]
+        if len(_prime_powers) > 3:
+            _prime_powers.clear()
+        _prime_powers[base] = tuple(found)
+    return _prime_powers[base][0][:n], _prime_powers[base][1][:n]
 
 
-class Hasher:
+class KeyedHasher:
     """61-bit hashes of any substrings of a byte array; equal substrings have equal hashes wherever they stand.
 
     A polynomial in the base modulo the prime 2**61 - 1: two different strings of n bytes share a hash for at most n of all bases, so with a
     base drawn for the run a text can aim at a collision no better than by chance.
     """
 
-    def __init__(self, data: np.ndarray, base: int = BASE):
-        up, self.down = powers(len(data) + 1, base)
+    def __init__(self, data: np.ndarray, base: int):
+        up, self.down = prime_powers(len(data) + 1, base)
         self.sums = np.zeros(len(data) + 1, np.uint64)
         carry = np.uint64(0)
         for at in range(0, len(data), 1 << 20):
