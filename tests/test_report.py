@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,3 +74,25 @@ def test_a_missing_org_is_an_error(spark, tmp_path):
     spark.createDataFrame([(7, 1), (8, 2)], "s_suppkey int, s_nationkey int").write.parquet(str(tmp_path / "supplier.parquet"))
     with pytest.raises(Exception, match="missing org: 2"):
         catalogue.augment_lookup(spark, str(tmp_path)).collect()
+
+
+def test_counts_of_many_entries_over_one_key(spark):
+    """A thousand windows over one source, whose dates tie, against a count of each; rows without dates and keys, and entries without rows."""
+    rng = random.Random(2)
+    dates = [rng.choice([None, *range(50)]) for _ in range(3000)]
+    rows = spark.createDataFrame([("a", d, 1) for d in dates] + [("b", 3, 1), (None, 4, 1), ("c", None, 1)], "key string, n int, at int").withColumn("When", F.timestamp_seconds("n")).drop("n").repartition(6)
+    pick = lambda: rng.choice([None, rng.randrange(-2, 53)])
+    windows = [(f"k{i}", rng.choice("aaaaabcd"), pick(), pick(), pick()) for i in range(1000)] + [("none", None, 1, 2, 3)]
+    entries = spark.createDataFrame(windows, "watermark_key string, key string, s int, t int, m int")
+    entries = entries.select("watermark_key", "key", *[F.timestamp_seconds(c).alias(n) for c, n in (("s", "start_ts"), ("t", "end_ts"), ("m", "watermark_ts"))])
+    held = {"a": dates, "b": [3], "c": [None]}
+    want = set()
+    for name, key, s, t, m in windows:
+        own = held.get(key, [])
+        inside = lambda d: (d >= s if s is not None else d > m if m is not None else True) and (t is None or d <= t)  # noqa: B023, E731
+        load = sum(inside(d) if d is not None else s is None and t is None and m is None for d in own)
+        known = [d for d in own if d is not None]
+        again = sum(s <= d <= m and (t is None or d <= t) for d in known) if s is not None and m is not None else 0
+        gap = sum(m < d < s for d in known) if s is not None and m is not None else 0
+        want.add((name, load, again, gap, known.count(m) if m is not None else 0))
+    assert {tuple(r) for r in report.row_counts(rows, entries, "key", "When").collect()} == want

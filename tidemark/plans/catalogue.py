@@ -291,6 +291,25 @@ def bounds_classification(spark, sf_dir):
     return counts.join(report.classified(entries).select("watermark_key", "warning"), "watermark_key")
 
 
+@query("""WITH e AS (SELECT l_suppkey AS k, ['A', 'N', 'R'][l_suppkey % 3 + 1] AS flag, CASE WHEN l_suppkey % 4 <> 0 THEN min(l_shipdate) + INTERVAL 400 DAY END AS s,
+  CASE WHEN l_suppkey % 5 <> 0 THEN max(l_shipdate) - INTERVAL 300 DAY END AS t, CASE WHEN l_suppkey % 7 <> 0 THEN max(l_shipdate) - ((l_suppkey * 37) % 2000) * INTERVAL 1 DAY END AS m FROM lineitem GROUP BY l_suppkey)
+SELECT 'supp:' || k AS watermark_key, count(l_shipdate) FILTER ((CASE WHEN s IS NOT NULL THEN l_shipdate >= s WHEN m IS NOT NULL THEN l_shipdate > m ELSE true END) AND (t IS NULL OR l_shipdate <= t)) AS n_load,
+  count(*) FILTER (l_shipdate >= s AND l_shipdate <= m AND (t IS NULL OR l_shipdate <= t)) AS n_again, count(*) FILTER (l_shipdate > m AND l_shipdate < s) AS n_gap,
+  count(*) FILTER (l_shipdate = m) AS n_boundary FROM e LEFT JOIN lineitem ON l_returnflag = flag GROUP BY k""")
+def many_windows(spark, sf_dir):
+    """What entries for each supplier, all over the lines of three flags, would load: rows are counted once, however many entries there are."""
+    lines = table(spark, sf_dir, "lineitem")
+    at, k = as_instant(F.col("l_shipdate"), lines.schema["l_shipdate"].dataType), F.col("l_suppkey")
+    days = lambda n: F.make_dt_interval(days=n)
+    ends = lines.groupBy("l_suppkey").agg(F.min(at).alias("lo"), F.max(at).alias("hi"))
+    entries = ends.select(
+        F.concat(F.lit("supp:"), "l_suppkey").alias("watermark_key"), F.element_at(F.array(F.lit("A"), F.lit("N"), F.lit("R")), (k % 3 + 1).cast("int")).alias("l_returnflag"),
+        F.when(k % 4 != 0, F.col("lo") + days(F.lit(400))).alias("start_ts"), F.when(k % 5 != 0, F.col("hi") - days(F.lit(300))).alias("end_ts"),
+        F.when(k % 7 != 0, F.col("hi") - days(((k * 37) % 2000).cast("int"))).alias("watermark_ts"),
+    )
+    return report.row_counts(lines, entries, "l_returnflag", "l_shipdate")
+
+
 @query("WITH " + ENTRIES_SQL + """
 SELECT idx, target_key, CASE WHEN kind = 'csv' THEN 'n/a' ELSE coalesce(strftime(m, '%Y-%m-%dT%H:%M:%SZ'), '(none)') END AS mark,
   CASE WHEN kind <> 'csv' THEN nullif(concat_ws(' AND ', d || CASE WHEN s IS NOT NULL THEN ' >= ' || strftime(s, '%Y-%m-%dT%H:%M:%SZ') ELSE ' > ' || strftime(m, '%Y-%m-%dT%H:%M:%SZ') END,

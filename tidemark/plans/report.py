@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from tidemark.functions.scratch import written
 from tidemark.functions.times import as_instant, bounds_class, first_run_class, utc_text
 from tidemark.plans.keys import mark_key_column
 
@@ -33,23 +35,49 @@ def classified(entries: DataFrame) -> DataFrame:
     return entries.withColumn("warning", F.coalesce(F.when(F.col("kind") != "csv", met), first))
 
 
+def cumulative(rows: DataFrame, points: DataFrame) -> DataFrame:
+    """``key, at, below, upto``: for each of ``points(key, at)`` how many of ``rows(key, at)`` of its key lie before it, and up to it.
+
+    Rows are counted by key and date before anything moves. Counts and points are then dealt to slices by ranges of both, summed within a slice
+    and moved on by the sums of the slices before, so neither many points nor a key that holds most rows costs more than one pass.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = rows.groupBy("key", "at").agg(F.count(F.lit(1)).alias("n")).withColumn("asked", F.lit(0))
+    both = counts.union(points.distinct().select("key", "at", F.lit(0).cast("long"), F.lit(1)))
+    both = both.groupBy("key", "at").agg(F.sum("n").alias("n"), F.max("asked").alias("asked"))
+    dealt = written(both.repartitionByRange(n, "key", "at").withColumn("slice", F.spark_partition_id()))
+    inside = Window.partitionBy("key", "slice").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    bases = dealt.groupBy("key", "slice").agg(F.sum("n").alias("total")).select("key", "slice", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
+    summed = dealt.withColumn("own", F.sum("n").over(inside)).where("asked = 1").join(bases, ["key", "slice"])
+    return summed.select("key", "at", (F.col("base") + F.col("own") - F.col("n")).alias("below"), (F.col("base") + F.col("own")).alias("upto"))
+
+
 def row_counts(rows: DataFrame, entries: DataFrame, key: str, date: str) -> DataFrame:
-    """For each entry, in one pass over its source's rows: to load, loaded again, left in the gap, and on the boundary.
+    """For each entry: rows to load, loaded again, left in the gap, and on the boundary.
 
-    ``rows`` meet entries on ``key``; several entries may share one. Entries without rows count 0.
+    ``rows`` meet entries on ``key``; any number of entries may share one, for rows are counted at the ends of their windows, once for all
+    entries, and what lies between two ends is a difference. Rows without a date are loaded by entries without bounds and mark. Entries
+    without rows count 0.
     """
-    e = entries.select("watermark_key", F.col(key).alias("e_key"), "start_ts", "end_ts", "watermark_ts")
-    d, s, t, m = as_instant(F.col(date), rows.schema[date].dataType), F.col("start_ts"), F.col("end_ts"), F.col("watermark_ts")
-    above = F.when(s.isNotNull(), d >= s).when(m.isNotNull(), d > m).otherwise(F.lit(True))
-    below = F.coalesce(d <= t, t.isNull())
-    joined = e.join(rows.select(F.col(key).alias("r_key"), date), F.col("e_key") == F.col("r_key"), "left")
-    present = F.col("r_key").isNotNull()
-    return joined.groupBy("watermark_key").agg(
-        F.count_if(present & above & below).alias("n_load"),
-        F.count_if(present & (d >= s) & (d <= m) & below).alias("n_again"),
-        F.count_if(present & (d > m) & (d < s)).alias("n_gap"),
-        F.count_if(present & (d == m)).alias("n_boundary"),
-    )
+    micros = lambda c: F.unix_micros(c).alias(c)
+    e = written(entries.select("watermark_key", F.col(key).alias("key"), *map(micros, ("start_ts", "end_ts", "watermark_ts"))))
+    never = F.lit(2**63 - 1)  # where rows without a date are counted
+    at = F.coalesce(F.unix_micros(as_instant(F.col(date), rows.schema[date].dataType)), never).alias("at")
+    own = rows.select(F.col(key).alias("key"), at).join(e.select("key").distinct(), "key", "left_semi")
+    points = e.select("key", F.explode(F.array("start_ts", "end_ts", "watermark_ts", never)).alias("at")).where("at is not null and key is not null")
+    ends = written(cumulative(own, points))
+    found = e.join(ends.where(F.col("at") == never).select("key", F.col("below").alias("dated"), (F.col("upto") - F.col("below")).alias("undated")), "key", "left")
+    for name, column in (("s", "start_ts"), ("t", "end_ts"), ("m", "watermark_ts")):
+        found = found.join(ends.select("key", F.col("at").alias(column), F.col("below").alias(f"{name}_below"), F.col("upto").alias(f"{name}_upto")), ["key", column], "left")
+    s, t, m = (F.col(c).isNotNull() for c in ("start_ts", "end_ts", "watermark_ts"))
+    every, zero = F.coalesce("dated", F.lit(0)), F.lit(0)
+    first = F.when(s, F.col("s_below")).when(m, F.col("m_upto")).otherwise(zero)
+    load = F.greatest(zero, F.when(t, F.col("t_upto")).otherwise(every) - first) + F.when(s | t | m, zero).otherwise(F.coalesce("undated", zero))
+    again = F.when(s & m, F.greatest(zero, F.least("m_upto", "t_upto") - F.col("s_below")))  # a missing end does not bound
+    gap = F.when(s & m, F.greatest(zero, F.col("s_below") - F.col("m_upto")))
+    sums = {"n_load": load, "n_again": again, "n_gap": gap, "n_boundary": F.col("m_upto") - F.col("m_below")}
+    return found.groupBy("watermark_key").agg(*[F.coalesce(F.sum(c), zero).cast("long").alias(n) for n, c in sums.items()])
 
 
 def plan_report(entries: DataFrame, state: DataFrame, existing: DataFrame) -> DataFrame:
