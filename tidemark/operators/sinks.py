@@ -42,9 +42,14 @@ def pack_parts(df: DataFrame, size: Column, order: Sequence[str], budget: int =
     return summed.select(*df.columns, part.alias("part"))
 
 
+def csv_line(df: DataFrame, columns: Sequence[str]) -> Column:
+    """The quoted and guarded line of a row of these columns."""
+    return F.concat_ws(",", *[csv_quote(as_text(F.col(f"`{c}`"), df.schema[c].dataType)) for c in columns])
+
+
 def csv_lines(df: DataFrame) -> DataFrame:
     """One quoted and guarded line for each row, as ``line``."""
-    return df.select(F.concat_ws(",", *[csv_quote(as_text(F.col(f"`{f.name}`"), f.dataType)) for f in df.schema]).alias("line"))
+    return df.select(csv_line(df, df.columns).alias("line"))
 
 
 def export_gzip(df: DataFrame, path: str, budget: int = PART_BYTES) -> None:
@@ -231,6 +236,10 @@ class Store:
         found = self.version(target)
         return self.spark.read.schema(HIDDEN).parquet(*found[1]["folders"]) if found else None
 
+    def parts(self, staged: str) -> int:
+        """How many files staged rows consist of."""
+        return sum(n.startswith("part-") for n in self.files.names(staged))
+
     def abort(self, staged: str) -> None:
         self.files.delete(staged)
 

@@ -631,6 +631,19 @@ def two_org_load(spark, sf_dir):
     return store.read("org:hub:orders")
 
 
+@query("""SELECT event_type AS target_key, count(*) AS n_rows, sum(octet_length(encode('"' || event_id || '","' || replace(props, '"', '""') || '"')) + 1)::BIGINT AS n_bytes
+FROM events WHERE event_type IN ('click', 'view', 'purchase') AND ts <= TIMESTAMP '2024-01-20 00:00:00' GROUP BY event_type""")
+def measured_run(spark, sf_dir):
+    """Rows and bytes of each target, as its load counted them while it wrote; the parts are files that are there."""
+    events, store = table(spark, sf_dir, "events"), sinks.Store(spark, place(spark, "store"))
+    entries = [run.table_entry(events, "events", ["event_id", "props"], "ts", t, t, f"event_type = '{t}'") for t in ("click", "view", "purchase")]
+    got = run.run(spark, entries, store, Bounds(end="2024-01-20T00:00:00Z"), measured=True)
+    files = run.merged([store.read(t).select(F.lit(t).alias("target_key"), F.input_file_name().alias("file")) for t in ("click", "view", "purchase")])
+    there = files.groupBy("target_key").agg(F.countDistinct("file").alias("there"))
+    rows = F.when(F.col("parts") >= F.col("there"), F.col("rows")).otherwise(F.raise_error(F.lit("parts are missing")).cast("long"))
+    return got.join(there, "target_key").select("target_key", rows.alias("n_rows"), F.col("bytes").alias("n_bytes"))
+
+
 class DriverLost(BaseException):
     """Not an error that a run could report: nothing after it happens."""
 

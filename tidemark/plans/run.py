@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tidemark.functions.scratch import written
 from tidemark.functions.times import NO_BOUNDS, Bounds, as_instant, earlier, micros_text, parse_iso
 from tidemark.operators.schema import augment, project
-from tidemark.operators.sinks import STATE, Store, read_state, write_state
+from tidemark.operators.sinks import STATE, Store, csv_line, read_state, write_state
 from tidemark.plans.keys import TableId, mark_key
 from tidemark.sources import logs
 from tidemark.sources.tables import MARK, dotted, scan_table
@@ -123,11 +123,14 @@ def merged(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """Count rows and find the newest date while the rows are written, without another pass."""
+def observed(df: DataFrame, measured: Sequence[str] = ()) -> tuple[DataFrame, Observation]:
+    """Count rows, find the newest date and, of ``measured`` columns, the bytes as quoted lines, while the rows are written, without another pass."""
     seen = Observation(f"scan-{uuid.uuid4().hex}")
     newest = F.max(F.unix_micros(as_instant(F.col(MARK), df.schema[MARK].dataType)))
-    return df.observe(seen, F.count(F.lit(1)).alias("rows"), newest.alias("mark")), seen
+    metrics = [F.count(F.lit(1)).alias("rows"), newest.alias("mark")]
+    if measured:
+        metrics.append(F.sum(F.octet_length(csv_line(df, measured)).cast("long") + 1).alias("bytes"))
+    return df.observe(seen, *metrics), seen
 
 
 def unseen(df: DataFrame, loaded: DataFrame, key: str, mark: str, overlap: timedelta) -> DataFrame:
@@ -141,11 +144,14 @@ def unseen(df: DataFrame, loaded: DataFrame, key: str, mark: str, overlap: timed
     return df.where(at > last).union(late)
 
 
-def _result(target: str, idx: int, e: Entry, status: str, rows: int = 0, units: int | None = None, mark: str | None = None, why: str | None = None) -> dict:
-    return {"target_key": target, "idx": idx, "status": status, "rows": rows, "units": units, "watermark_key": e.watermark_key, "mark": mark, "problem": why}
+def _result(
+    target: str, idx: int, e: Entry, status: str, rows: int = 0, units: int | None = None, mark: str | None = None, why: str | None = None, n_bytes: int | None = None, parts: int | None = None
+) -> dict:
+    found = {"target_key": target, "idx": idx, "status": status, "rows": rows, "units": units, "watermark_key": e.watermark_key, "mark": mark, "problem": why}
+    return found | {"bytes": n_bytes, "parts": parts}
 
 
-def _target(store: Store, target: str, entries: list[tuple[int, Entry, DataFrame | Scan | None]], run_id: str, since: Mapping[int, str | None]) -> list[dict]:
+def _target(store: Store, target: str, entries: list[tuple[int, Entry, DataFrame | Scan | None]], run_id: str, since: Mapping[int, str | None], measured: bool = False) -> list[dict]:
     """Load one target; any failure leaves it as it was. Rows of tables, and units of other sources, decide whether an entry is processed.
 
     ``since`` are the marks that entries with an overlap go back from.
@@ -170,10 +176,10 @@ def _target(store: Store, target: str, entries: list[tuple[int, Entry, DataFrame
         for i, e, df in found:
             if e.overlap is not None and since.get(i) is not None and before is not None:
                 df = unseen(df, store.hidden(target), e.watermark_key, since[i], e.overlap)
-            rows, observation = observed(df)
             unseen_columns = {"__entry": F.lit(e.watermark_key), "__at": as_instant(F.col(MARK), df.schema[MARK].dataType), "__digest": F.col(DIGEST) if DIGEST in df.columns else F.lit(None).cast("binary")}
             hidden = unseen_columns if looks_back else {}
-            parts.append(project(augment(rows.withColumns(hidden), e.constants).drop(MARK), columns, list(hidden)))
+            rows, observation = observed(project(augment(df.withColumns(hidden), e.constants), columns, [MARK, *hidden]), columns if measured else ())
+            parts.append(rows.drop(MARK))
             seen.append(observation)
         staged = store.stage(target, merged(parts), "Overwrite" if not same_schema else operation)
         got = [o.get for o in seen]
@@ -186,7 +192,9 @@ def _target(store: Store, target: str, entries: list[tuple[int, Entry, DataFrame
             if e.overlap is not None and since.get(i) and newest and parse_iso(newest) < parse_iso(since[i]):
                 newest = since[i]  # late rows alone do not move the mark back
             processed = g["rows"] or units.get(i) or e.kind == "csv"
-            results.append(result(i, e, "processed", g["rows"], units.get(i), now if e.kind == "csv" else last.get(i) or newest) if processed else result(i, e, "skipped", units=units.get(i)))
+            size = {"n_bytes": g.get("bytes") or 0, "parts": store.parts(staged)} if measured else {}
+            mark = now if e.kind == "csv" else last.get(i) or newest
+            results.append(result(i, e, "processed", g["rows"], units.get(i), mark, **size) if processed else result(i, e, "skipped", units=units.get(i)))
         if any(g["rows"] for g in got) or any(e.kind == "csv" for _, e, _ in found):
             store.commit(target, staged, operation, columns, run_id, {r["watermark_key"]: r["mark"] for r in results if r["status"] == "processed"})
         else:
@@ -198,7 +206,7 @@ def _target(store: Store, target: str, entries: list[tuple[int, Entry, DataFrame
         return [result(i, e, "failed", why=str(problem)[:500]) for i, e, _ in entries]
 
 
-RESULT = "target_key string, idx int, status string, rows long, units long, watermark_key string, mark string, problem string"
+RESULT = "target_key string, idx int, status string, rows long, units long, watermark_key string, mark string, problem string, bytes long, parts long"
 
 
 def _one_source(entries: Sequence[Entry]) -> None:
@@ -209,11 +217,12 @@ def _one_source(entries: Sequence[Entry]) -> None:
             raise ValueError(f"different sources share the mark key {e.watermark_key!r}: give each an org or a name of its own")
 
 
-def run(spark: SparkSession, entries: Sequence[Entry], store: Store, bounds: Bounds = NO_BOUNDS, workers: int = 4) -> DataFrame:
+def run(spark: SparkSession, entries: Sequence[Entry], store: Store, bounds: Bounds = NO_BOUNDS, workers: int = 4, measured: bool = False) -> DataFrame:
     """Run all entries and return one row for each. Targets are loaded side by side and do not disturb one another.
 
     Entries that share a scan and a mark read their source once: its rows are written to the shared folder for all of them. ``units`` are
-    the files of an entry that has such. The state is written even if nothing was loaded.
+    the files of an entry that has such. The state is written even if nothing was loaded. With ``measured``, ``bytes`` are an entry's rows as
+    quoted lines with their ends, summed as they are written, and ``parts`` the files that its target's load consists of.
 
     A target's rows and marks are one commit. A run that dies before it writes the state leaves marks pending in the targets that it had
     loaded, and the next one goes on from these, target by target. In the same way, where entries of several targets share a mark and one of
@@ -249,7 +258,7 @@ def run(spark: SparkSession, entries: Sequence[Entry], store: Store, bounds: Bou
         problem = next((broken[i] for i in own if i in broken), None)
         if problem is not None:
             return [_result(target, i, entries[i], "failed", why=str(problem)[:500]) for i in own]
-        return _target(store, target, [(i, entries[i], scans[i]) for i in own], run_id, since)
+        return _target(store, target, [(i, entries[i], scans[i]) for i in own], run_id, since, measured)
 
     with ThreadPoolExecutor(workers) as pool:
         results = sorted((r for rows in pool.map(load, targets) for r in rows), key=lambda r: r["idx"])
