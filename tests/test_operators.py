@@ -1,3 +1,5 @@
+import gzip
+import io
 import json
 
 import pytest
@@ -82,6 +84,37 @@ def test_log_files_with_other_headers(spark, tmp_path):
         logs.text_schema(["a", ""])
 
 
+class Counting(io.BytesIO):
+    def read(self, size=-1):
+        self.asked = getattr(self, "asked", 0) + size
+        return super().read(size)
+
+
+@pytest.mark.parametrize("sep", ["\n", "\r\n", "\r"])
+@pytest.mark.parametrize("chunk", [1, 2, 3, 64])
+def test_first_lines_read_no_further(sep, chunk):
+    stream = Counting(f"{sep}  {sep}a,b{sep}".encode() + b"x" * 100_000)
+    assert logs.first_line(stream, chunk) == "a,b" and stream.asked <= 16 + 2 * chunk
+    assert logs.first_line(io.BytesIO(b" \n"), chunk) is None and logs.first_line(io.BytesIO(b"a"), chunk) == "a"
+
+
+def test_headers_of_a_catalog_and_of_packed_files(spark, tmp_path):
+    with gzip.open(tmp_path / "a b%20.csv.gz", "wt") as f:
+        f.write("\ufeffa,b\n" + "1,2\n" * 1000)
+    (tmp_path / "empty.csv").write_text("")
+    paths = spark.createDataFrame([(f"{tmp_path}/{n}",) for n in ("a b%20.csv.gz", "empty.csv")], "path string")
+    for source in (paths, str(tmp_path)):
+        assert [r.names for r in logs.headers(spark, source).collect()] == [["a", "b"]]
+
+
+def test_parts_are_cut_where_rows_are(spark):
+    lines = spark.range(1000).select(F.col("id").cast("string").alias("line")).repartition(3)
+    cut = sinks.cut_parts(lines, 100)
+    assert "Exchange" not in sinks.cut_parts(spark.range(9, numPartitions=2).select(F.col("id").cast("string").alias("line")), 100)._jdf.queryExecution().executedPlan().toString()
+    sums = cut.groupBy("part").agg(F.sum(F.length("line") + 1).alias("n"), F.count("line").alias("rows")).collect()
+    assert sum(r.rows for r in sums) == 1000 and max(r.n for r in sums) <= 104 and min(r.part for r in sums) == 0
+
+
 @pytest.mark.parametrize(
     ("line", "names"),
     [("a,b", ["a", "b"]), ("﻿a,b\r", ["a", "b"]), (' a , "b" ', ["a", '"b"']), ('"a,x","b""q"', ["a,x", 'b"q']), ("a,,b,", ["a", "b"]), ('﻿"a", b ,,"c,d"\r', ["a", "b", "c,d"])],

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import Bounds
+from tidemark.operators.schema import document_fields
 from tidemark.operators.sinks import Store, _Files, read_state, write_state
 from tidemark.plans import report
 from tidemark.plans import run as runs
@@ -289,3 +290,49 @@ def test_a_replayed_batch_changes_nothing(spark, store, tmp_path, monkeypatch):
     with pytest.raises(Exception, match="extra"):
         go()
     assert store.read("one").count() == 4 and store.read("two").count() == 3
+
+
+def test_metadata_is_made_kept_and_made_anew(spark, events, store):
+    run(spark, [table_entry(events, "e", ["Id"], "At", "t", "a", constants={"Org": "x"})], store)
+    first = store.metadata("t")
+    assert [(f["name"], f["type"]) for f in document_fields(first)] == [("Id", "Numeric"), ("Org", "Text")]
+    assert {k: document_fields(first)[0][k] for k in ("precision", "scale", "defaultValue")} == {"precision": 18, "scale": 0, "defaultValue": "0"}
+    run(spark, [table_entry(events, "e", ["id"], "At", "t", "b", constants={"org": "y"})], store)
+    assert store.metadata("t") == first
+    wide = events.select(F.col("Id").cast("long").alias("Id"), F.col("kind").alias("Kind"), "At")
+    run(spark, [table_entry(wide, "w", ["Id", "Kind"], "At", "t", "c", override_metadata=True)], store)
+    assert [f["name"] for f in document_fields(store.metadata("t"))] == store.read("t").columns == ["Id", "Kind"]
+    rows = store.read("t")
+    assert rows.count() == 120 and rows.where("Kind is null").count() == 80 and rows.schema["Id"].dataType.simpleString() == "bigint"
+    run(spark, [table_entry(wide, "w", ["Id", "Kind"], "At", "t", "d")], store)
+    assert store.read("t").count() == 160 and store.read("t").where("Kind is null").count() == 80
+
+
+def test_names_that_metadata_cannot_hold_fail(spark, events, store):
+    bad = events.withColumnRenamed("Id", "no name")
+    got = run(spark, [table_entry(bad, "e", ["`no name`"], "At", "t")], store).first()
+    assert got.status == "failed" and "no name" in got.problem and store.version("t") is None
+
+
+def test_declared_types(spark, store, tmp_path):
+    (tmp_path / "x.csv").write_text("n,d,s\n1.50,2024-02-01,a\n,,\n")
+    path = f"{tmp_path}/x.csv"
+    document = {"objects": [{"fields": [
+        {"fullyQualifiedName": "N", "type": "Numeric", "precision": 5, "scale": 2}, {"fullyQualifiedName": "D", "type": "Date", "format": "yyyy-MM-dd"}, {"fullyQualifiedName": "S", "type": "Text"},
+    ]}]}
+    store.declare("t", document)
+    assert store.read("t").count() == 0 and store.read("t").columns == ["N", "D", "S"]
+    assert run(spark, [csv_entry(spark, path, ["n", "d", "s"], "t")], store).first().status == "processed"
+    assert sorted(store.read("t").collect(), key=str)[0].N == "1.50" and store.metadata("t") == document
+    rows = store.described("t").orderBy("N").collect()
+    assert [(float(r.N), str(r.D), r.S or "") for r in rows] == [(0.0, "None", ""), (1.5, "2024-02-01", "a")]
+    (tmp_path / "y.csv").write_text("n,d,s\nodd,,\n")
+    run(spark, [csv_entry(spark, f"{tmp_path}/y.csv", ["n", "d", "s"], "t")], store)
+    with pytest.raises(Exception, match="odd"):
+        store.described("t").collect()
+    text = {"objects": [{"fields": [{"fullyQualifiedName": n, "type": "Text"} for n in ("N", "D", "S")]}]}
+    store.declare("t", text)
+    assert store.described("t").count() == 3
+    for wrong in ({"objects": [{"fields": [{"fullyQualifiedName": "N", "type": "Text"}]}]}, {"objects": []}, {}):
+        with pytest.raises(ValueError, match="document does not name|metadata without fields"):
+            store.declare("t", wrong)

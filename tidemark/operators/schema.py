@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -123,7 +124,7 @@ METADATA = f"struct<objects:array<struct<name:string,numberOfLinesToIgnore:int,f
 def metadata_json(fields: DataFrame) -> DataFrame:
     """``target, metadata``: one JSON document for each target from :func:`synthesised_fields`, in order of position."""
     field = F.struct(
-        "name", F.col("name").alias("fullyQualifiedName"), "label", "type", F.col("precision").cast("int"), F.col("scale").cast("int"),
+        "name", F.col("name").alias("fullyQualifiedName"), "label", "type", F.col("precision").cast("int").alias("precision"), F.col("scale").cast("int").alias("scale"),
         F.col("default_value").alias("defaultValue"), "format",
     )
     ordered = F.transform(F.sort_array(F.collect_list(F.struct("position", field.alias("field")))), lambda x: x["field"])
@@ -140,6 +141,44 @@ def metadata_columns(metadata: Column) -> Column:
     return F.when(empty, F.raise_error(F.lit("metadata without fields")).cast("array<string>")).otherwise(names)
 
 
+def frame_fields(df: DataFrame, target: str) -> DataFrame:
+    """The listing ``(target, position, name, label, type, precision, scale, format)`` of a frame's columns, for :func:`synthesised_fields`.
+
+    Whole numbers and decimals keep their precision within the limits; other numbers get six places. What is neither number nor date is text.
+    """
+    rows = []
+    for i, f in enumerate(df.schema):
+        kind = "Numeric" if isinstance(f.dataType, T.NumericType) else "Date" if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)) else "Text"
+        whole = isinstance(f.dataType, T.IntegralType)
+        decimal = isinstance(f.dataType, T.DecimalType)
+        precision, scale = (f.dataType.precision, f.dataType.scale) if decimal else (MAX_PRECISION, 0 if whole else 6)
+        form = DATE_FORMAT if isinstance(f.dataType, T.DateType) else DATETIME_FORMAT
+        rows.append((target, i, f.name, f.name, kind, precision, scale, form if kind == "Date" else None))
+    return df.sparkSession.createDataFrame(rows, "target string, position int, name string, label string, type string, precision int, scale int, format string")
+
+
+def synthesised_metadata(df: DataFrame, target: str) -> dict:
+    """The metadata document of a frame's columns; names that are no identifiers, or repeat in any case, are refused."""
+    wrong = F.raise_error(F.concat(F.lit("column cannot be described: "), "name", F.lit(" ("), "problem", F.lit(")"))).cast("string")
+    fields = synthesised_fields(frame_fields(df, target)).withColumn("name", F.when(F.col("problem").isNull(), F.col("name")).otherwise(wrong))
+    return json.loads(metadata_json(fields).first()["metadata"])
+
+
+def document_fields(document: Mapping) -> list[dict]:
+    """The fields of a metadata document, each with a name; a document without any is refused."""
+    found = (document.get("objects") or [{}])[0].get("fields") or []
+    if not found or any(not f.get("fullyQualifiedName") for f in found):
+        raise ValueError("metadata without fields")
+    return [{**f, "name": f["fullyQualifiedName"]} for f in found]
+
+
+def as_described(df: DataFrame, document: Mapping) -> DataFrame:
+    """Rows of text as the types that a metadata document declares (see :func:`typed_load`); columns of other types stay as they are."""
+    fields = {plain_name(f["name"]): f for f in document_fields(document)}
+    text = {c for c in df.columns if isinstance(df.schema[c].dataType, T.StringType)}
+    return df.select(*[_typed(c, fields[plain_name(c)], False).alias(c) if c in text and plain_name(c) in fields else F.col(f"`{c}`") for c in df.columns])
+
+
 def resolve_metadata(existing: Column, synthesised: Column, override: Column) -> Column:
     return F.when(override | existing.isNull(), synthesised).otherwise(existing)
 

@@ -5,9 +5,14 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from functools import partial
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from py4j.protocol import Py4JJavaError
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +20,7 @@ from pyspark.sql.window import Window
 
 from tidemark.functions.scratch import written
 from tidemark.functions.text import as_text, csv_quote, formula_guard
+from tidemark.operators.schema import as_described, document_fields, plain_name
 
 #: Fixed value: a part stays below 10 MiB once its bytes are base64, which writes three bytes as four.
 PART_BYTES = 10 * 1024 * 1024 * 3 // 4
@@ -52,19 +58,29 @@ def csv_lines(df: DataFrame) -> DataFrame:
     return df.select(csv_line(df, df.columns).alias("line"))
 
 
+def _cut(budget: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    base, upto = TaskContext.get().partitionId() << 32, 0
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(0)).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        starts = upto + np.cumsum(sizes) - sizes
+        upto += int(sizes.sum())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(base + starts // budget)], ["line", "part"])
+
+
+def cut_parts(lines: DataFrame, budget: int = PART_BYTES) -> DataFrame:
+    """Add ``part`` to rows of one ``line`` by their running size within the Spark partition that they are in: nothing is moved or ordered.
+
+    Numbers ascend by partition and place, with gaps: a partition's parts start at its number times 2^32.
+    """
+    return lines.mapInArrow(partial(_cut, budget), "line string, part long")
+
+
 def export_gzip(df: DataFrame, path: str, budget: int = PART_BYTES) -> None:
-    """Numbered folders of gzip text without headers, each of at most the budget and one row before compression.
+    """Numbered folders of gzip text without headers, one file each, of at most the budget and one row before compression.
 
-    Rows are packed where they are: each Spark partition numbers its own parts, so nothing is shuffled or ordered.
+    Rows are packed where they are (see :func:`cut_parts`), in one pass without a shuffle; Spark commits the files of a task or none.
     """
-    lines = csv_lines(df).withColumn("size", F.octet_length("line") + 1).withColumn("slice", F.spark_partition_id())
-    kept = written(lines.withColumn("at", F.monotonically_increasing_id()))
-    upto = F.sum("size").over(Window.partitionBy("slice").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
-    parts = kept.withColumn("cut", F.floor(upto / budget).cast("long"))
-    numbered = parts.select("slice", "cut").distinct().groupBy("slice").agg((F.max("cut") + 1).alias("n"))
-    base = F.coalesce(F.sum("n").over(Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row for each slice
-    placed = parts.join(numbered.withColumn("base", base), "slice").withColumn("part", F.col("base") + F.col("cut"))
-    placed.repartition("part").select("line", "part").write.partitionBy("part").option("compression", "gzip").text(path)
+    cut_parts(csv_lines(df), budget).write.partitionBy("part").option("compression", "gzip").text(path)
 
 
 def export_csv(df: DataFrame, path: str, operation: str = "Append") -> None:
@@ -165,6 +181,10 @@ class Store:
     the version of each target up to which it has taken them over (``applied``). Marks of later versions are :meth:`pending`: whoever loads
     the target next goes on from these, whatever happened between the two commits. ``transactions`` are the numbers of the last batches of
     streams; a batch that was committed is not committed again.
+
+    A version carries the target's metadata document, which names its columns and, for columns of text, the types that :meth:`described`
+    reads them as. A change of columns or types is a version too: folders of rows keep the schema that they were written with (``schemas``),
+    and are read in the columns of the last version, matched by name, cast to its types, and null where they lack a column.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -183,7 +203,7 @@ class Store:
     def fit(self, target: str, schema: T.StructType) -> None:
         """Refuse rows whose columns have other types than the target's."""
         before = self.version(target)
-        held = {f["name"]: T.StructField.fromJson(f).dataType for f in before[1]["schema"]["fields"]} if before else {}
+        held = {f["name"]: T.StructField.fromJson(f).dataType for f in before[1]["schema"]["fields"]} if before and before[1]["folders"] else {}
         wrong = [f"{f.name} is {f.dataType.simpleString()}, not {held[f.name].simpleString()}" for f in schema if f.name in held and held[f.name] != f.dataType]
         if wrong:
             raise ValueError(f"columns do not fit the target: {', '.join(wrong)}")
@@ -197,9 +217,11 @@ class Store:
 
     def commit(
         self, target: str, staged: str, operation: str, columns: Sequence[str], run_id: str | None = None, marks: Mapping[str, str] | None = None,
-        transaction: tuple[str, int] | None = None, applied: Mapping[str, int] | None = None,
+        transaction: tuple[str, int] | None = None, applied: Mapping[str, int] | None = None, metadata: Mapping | None = None,
     ) -> int:
-        """Make staged rows visible, with their marks, as the next version. A transaction that the target has seen changes nothing."""
+        """Make staged rows visible, with their marks, as the next version. A transaction that the target has seen changes nothing.
+
+        ``metadata`` replaces the target's document; without it the earlier one stays."""
         before = self.version(target)
         held = before[1] if before else {}
         seen = held.get("transactions", {})
@@ -208,9 +230,11 @@ class Store:
             return before[0]
         number = before[0] + 1 if before else 1
         schema = self.spark.read.parquet(staged).select(*[f"`{c}`" for c in columns]).schema
+        older = held.get("folders", []) if operation == "Append" else []
+        schemas = {f: held.get("schemas", {}).get(f, held["schema"]) for f in older} if held.get("schema") != schema.jsonValue() or held.get("schemas") else {}
         version = {
-            "id": uuid.uuid4().hex, "run": run_id, "folders": [*(held.get("folders", []) if operation == "Append" else []), staged], "columns": list(columns),
-            "schema": schema.jsonValue(), "marks": dict(marks or {}), "transactions": {**seen, **dict([transaction] if transaction else [])},
+            "id": uuid.uuid4().hex, "run": run_id, "folders": [*older, staged], "columns": list(columns), "schemas": schemas,
+            "schema": schema.jsonValue(), "metadata": metadata or held.get("metadata"), "marks": dict(marks or {}), "transactions": {**seen, **dict([transaction] if transaction else [])},
             "applied": {**held.get("applied", {}), **(applied or {})},
         }
         self.files.create(f"{self._home(target)}/versions/{number}.json", json.dumps(version))
@@ -234,6 +258,8 @@ class Store:
     def hidden(self, target: str) -> DataFrame | None:
         """What rows carry unseen (see ``HIDDEN``), null for those that were loaded without."""
         found = self.version(target)
+        if found and not found[1]["folders"]:
+            return self.spark.createDataFrame([], HIDDEN)
         return self.spark.read.schema(HIDDEN).parquet(*found[1]["folders"]) if found else None
 
     def parts(self, staged: str) -> int:
@@ -245,7 +271,47 @@ class Store:
 
     def read(self, target: str) -> DataFrame | None:
         found = self.version(target)
-        return self.spark.read.schema(T.StructType.fromJson(found[1]["schema"])).parquet(*found[1]["folders"]) if found else None
+        if not found:
+            return None
+        last = found[1]["schema"]
+        schema, groups = T.StructType.fromJson(last), {}
+        for folder in found[1]["folders"]:
+            own = found[1].get("schemas", {}).get(folder, last)
+            groups.setdefault(json.dumps(own), (own, []))[1].append(folder)
+        out = None
+        for own, folders in groups.values():
+            rows = self.spark.read.schema(T.StructType.fromJson(own)).parquet(*folders)
+            if own != last:
+                names = {plain_name(c): c for c in rows.columns}
+                cells = [F.col(f"`{names[plain_name(f.name)]}`") if plain_name(f.name) in names else F.lit(None) for f in schema]
+                rows = rows.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(cells, schema, strict=True)])
+            out = rows if out is None else out.union(rows)
+        return self.spark.createDataFrame([], schema) if out is None else out
+
+    def metadata(self, target: str) -> dict | None:
+        """The document of the target's last version."""
+        found = self.version(target)
+        return found[1].get("metadata") if found else None
+
+    def declare(self, target: str, document: Mapping) -> int:
+        """Give a target a document by hand: as its first version, without rows, or over the present one, whose columns it must name."""
+        names = [f["name"] for f in document_fields(document)]
+        found = self.version(target)
+        if found:
+            if [plain_name(n) for n in names] != [plain_name(c) for c in found[1]["columns"]]:
+                raise ValueError("the document does not name the target's columns")
+            version = {**found[1], "id": uuid.uuid4().hex, "run": None, "marks": {}, "metadata": dict(document)}
+        else:
+            version = {"id": uuid.uuid4().hex, "run": None, "folders": [], "columns": names, "metadata": dict(document), "marks": {}}
+            version["schema"] = T.StructType([T.StructField(n, T.StringType()) for n in names]).jsonValue()
+        number = found[0] + 1 if found else 1
+        self.files.create(f"{self._home(target)}/versions/{number}.json", json.dumps(version))
+        return number
+
+    def described(self, target: str) -> DataFrame | None:
+        """The target's rows with columns of text as the types that its document declares; a malformed cell fails the job."""
+        rows, document = self.read(target), self.metadata(target)
+        return rows if rows is None or not document else as_described(rows, document)
 
 
 def merge_state(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ The driver's tables stand in for event logs (``events``: the type is the log's t
 
 from __future__ import annotations
 
+import json
 from datetime import timedelta
 from urllib.parse import unquote
 
@@ -17,7 +18,7 @@ from tidemark.functions.scratch import place
 from tidemark.functions.text import as_text, csv_quote, interpolate
 from tidemark.functions.times import Bounds, as_instant, in_order, instant, is_iso, utc_text, window_text
 from tidemark.operators import checks, schema, sinks
-from tidemark.plans import report, run
+from tidemark.plans import audit, report, run
 from tidemark.sources import logs, tables
 from tidemark.streaming import tail as streaming
 
@@ -631,6 +632,64 @@ def two_org_load(spark, sf_dir):
     return store.read("org:hub:orders")
 
 
+@query("""SELECT 'a' AS target_key, 7 AS n_checks, 0 AS n_failed, count(*) AS n_rows FROM events
+UNION ALL SELECT 'b', 6, 1, NULL UNION ALL SELECT 'c', 4, 1, NULL UNION ALL SELECT 'd', 5, 1, NULL
+UNION ALL SELECT 'e', 4, 0, (SELECT count(*) FROM orders) UNION ALL SELECT 'f', 3, 1, NULL""")
+def audited_load(spark, sf_dir):
+    """Entries are audited as a whole, then targets that pass are loaded: one over a table in two parts, one over CSV files; the others
+    have a broken source, a constant over a column, a check of the caller's that fails, or a file that is not there."""
+    events, orders = table(spark, sf_dir, "events"), table(spark, sf_dir, "orders")
+    store, keys = sinks.Store(spark, place(spark, "store")), ["event_id", "props"]
+    folder = place(spark, "csv")
+    sinks.export_csv(orders.select("o_orderkey", "o_orderpriority"), folder)
+    parts = [events.where("event_id % 2 = 0"), events.where("event_id % 2 <> 0")]
+    entries = [
+        *[run.table_entry(p, "events", keys, "ts", "a", org=o) for p, o in zip(parts, ("north", "south"), strict=True)],
+        run.table_entry(events, "events", keys, "ts", "b", org="west"),
+        run.table_entry(events, "events", ["event_id", "no_such_column"], "ts", "b", org="east"),
+        run.table_entry(orders, "orders", ["o_orderkey"], "o_orderdate", "c", org="hub", constants={"O_ORDERKEY": "x"}),
+        run.table_entry(events, "events", keys, "ts", "d", name="one"), run.csv_entry(spark, folder, ["o_orderkey", "o_orderpriority"], "e"),
+        run.csv_entry(spark, f"{folder}/nowhere", ["o_orderkey"], "f"),
+    ]
+    own = audit.Check("d", "volume", lambda: ("pass" if events.isEmpty() else "fail", "has rows"))
+    found = audit.audit(spark, entries, store, more=[own])
+    sums = checks.roll_up(found, ["target_key"])
+    good = {r["target_key"] for r in sums.where("status = 'pass'").collect()}
+    run.run(spark, [e for e in entries if e.target in good], store)
+    loaded = [store.read(t).agg(F.lit(t).alias("target_key"), F.count(F.lit(1)).alias("n_rows")) for t in sorted(good)]
+    return sums.join(run.merged(loaded), "target_key", "left").select("target_key", "n_checks", "n_failed", "n_rows")
+
+
+@query("""SELECT o_orderkey AS id, o_totalprice AS price, o_orderdate AS dated, CASE WHEN o_orderdate > TIMESTAMP '1998-01-01' THEN o_orderpriority END AS priority FROM orders""")
+def changed_columns(spark, sf_dir):
+    """A target that gets a column in a later load: its metadata is made at the first, kept by the second and made anew by the third, and
+    rows of all three are read in the last one's columns."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"), F.col("o_orderdate").alias("dated"), F.col("o_orderpriority").alias("priority")
+    )
+    store, documents = sinks.Store(spark, place(spark, "store")), []
+    for end, columns, anew in (("1996-01-01T00:00:00Z", 3, False), ("1998-01-01T00:00:00Z", 3, False), (None, 4, True)):
+        entry = run.table_entry(orders, "orders", orders.columns[:columns], "dated", "org:hub:orders", override_metadata=anew)
+        run.run(spark, [entry], store, Bounds(end=end))
+        documents.append(store.metadata("org:hub:orders"))
+    if documents[0] != documents[1] or len(schema.document_fields(documents[2])) != 4:
+        raise ValueError("metadata was not kept, or not made anew")
+    return store.read("org:hub:orders")
+
+
+@query("""SELECT o_orderkey AS id, o_totalprice::DECIMAL(12, 2) AS price, o_orderdate::DATE AS dated FROM orders""")
+def declared_types(spark, sf_dir):
+    """CSV files into a target whose metadata was declared beforehand: rows are stored as text and read in the declared types."""
+    path, store = place(spark, "csv"), sinks.Store(spark, place(spark, "store"))
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.round("o_totalprice", 2).cast("decimal(12,2)").alias("price"), F.col("o_orderdate").cast("date").alias("dated"))
+    sinks.export_csv(rows.select("id", "price", F.date_format("dated", "yyyy-MM-dd").alias("dated")), path)
+    fields = [("id", "Numeric", 18, 0, None), ("price", "Numeric", 12, 2, None), ("dated", "Date", None, None, schema.DATE_FORMAT)]
+    described = spark.createDataFrame([("t", i, n, n, *more) for i, (n, *more) in enumerate(fields)], "target string, position int, name string, label string, type string, precision int, scale int, format string")
+    store.declare("t", json.loads(schema.metadata_json(schema.synthesised_fields(described)).first()["metadata"]))
+    run.run(spark, [run.csv_entry(spark, path, ["id", "price", "dated"], "t")], store)
+    return store.described("t").select(F.col("id").cast("long").alias("id"), "price", "dated")
+
+
 @query("""SELECT event_type AS target_key, count(*) AS n_rows, sum(octet_length(encode('"' || event_id || '","' || replace(props, '"', '""') || '"')) + 1)::BIGINT AS n_bytes
 FROM events WHERE event_type IN ('click', 'view', 'purchase') AND ts <= TIMESTAMP '2024-01-20 00:00:00' GROUP BY event_type""")
 def measured_run(spark, sf_dir):
@@ -721,8 +780,7 @@ def log_files_run(spark, sf_dir):
 WHERE n_columns = 4 AND (SELECT count(*) FROM events WHERE ts >= TIMESTAMP '2024-01-11') > 0 OR n_columns = 3 AND (SELECT count(*) FROM events WHERE ts < TIMESTAMP '2024-01-11') > 0""")
 def header_inventory(spark, sf_dir):
     """The different headers of all log files."""
-    paths = [r["path"] for r in _log_files(spark, sf_dir).select("path").collect()]
-    return logs.headers(spark, paths).select(F.array_join("names", ",").alias("names"), F.size("names").alias("n_columns")).distinct()
+    return logs.headers(spark, _log_files(spark, sf_dir)).select(F.array_join("names", ",").alias("names"), F.size("names").alias("n_columns")).distinct()
 
 
 @query("""SELECT target, count(*) AS n, round(sum(value), 2) AS total FROM (SELECT unnest(['one', 'two', 'three']) AS target, value FROM events WHERE ts > TIMESTAMP '2024-01-20 12:00:00') GROUP BY target""")

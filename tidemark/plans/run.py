@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.scratch import written
 from tidemark.functions.times import NO_BOUNDS, Bounds, as_instant, earlier, micros_text, parse_iso
-from tidemark.operators.schema import augment, project
+from tidemark.operators.schema import augment, document_fields, project, synthesised_metadata
 from tidemark.operators.sinks import STATE, Store, csv_line, read_state, write_state
 from tidemark.plans.keys import TableId, mark_key
 from tidemark.sources import logs
@@ -37,7 +37,8 @@ class Entry:
     """One source into one target. ``scan`` gives the rows inside bounds above a mark, with the hidden date, as a DataFrame or as a
     :class:`Scan`; None means no source unit. ``source`` is what the mark is about: entries that share a mark key must share it.
 
-    With ``overlap``, ``scan`` goes back so far behind the mark, and its rows carry the digest of their key as ``DIGEST``."""
+    With ``overlap``, ``scan`` goes back so far behind the mark, and its rows carry the digest of their key as ``DIGEST``. ``header`` gives
+    the names of the source's columns without reading rows, or None if there is no source unit yet."""
 
     target: str
     watermark_key: str
@@ -49,6 +50,16 @@ class Entry:
     kind: str = "sobject"
     source: tuple = ()
     overlap: timedelta | None = None
+    header: Callable[[], Sequence[str] | None] | None = None
+
+    def names(self) -> list[str] | None:
+        """The source's column names, by ``header`` or else by the plan of a scan."""
+        if self.header is not None:
+            found = self.header()
+            return None if found is None else list(found)
+        found = self.scan(NO_BOUNDS, None)
+        rows = found.rows if isinstance(found, Scan) else found
+        return None if rows is None else [c for c in rows.columns if c not in (MARK, DIGEST)]
 
 
 #: The hidden column that carries the digest of a row's key, where late rows are looked for.
@@ -105,13 +116,28 @@ def log_entry(
             return None
         return Scan(logs.read_logs(spark, rows, strict), len({r["path"] for r in rows}), micros_text(max(r["micros"] for r in rows)))
 
+    def header() -> list[str] | None:
+        rows = catalog.where((F.col("event_type") == event_type) & (F.col("interval") == interval)).select("path", "log_date")
+        first = rows.orderBy(F.desc("log_date"), "path").limit(1)
+        found = logs.headers(spark, first).first()
+        return None if found is None else list(found["names"])
+
     source = ("elf", org, event_type, interval, TableId(catalog))
+    more.setdefault("header", header)
     return Entry(target, mark_key("elf", name, source_org=org, event_type=event_type, interval=interval), scan, (*source, strict), kind="elf", source=source, **more)
 
 
 def csv_entry(spark: SparkSession, path: str, names: Sequence[str], target: str, name: str | None = None, **more) -> Entry:
     """An entry over CSV files, which are read in full by every run, whatever bounds and marks."""
     scan = lambda bounds, mark: Scan(logs.read_csv(spark, path, names).withColumn(MARK, F.lit(None).cast("timestamp")), 1)
+
+    def header() -> list[str]:
+        found = [list(r["names"]) for r in logs.headers(spark, path).select("names").distinct().collect()]
+        if len(found) != 1:
+            raise ValueError(f"{path} has {len(found)} different headers")
+        return found[0]
+
+    more.setdefault("header", header)
     return Entry(target, mark_key("csv", name, csv_path=path), scan, ("csv", path, tuple(names)), kind="csv", source=("csv", path), **more)
 
 
@@ -169,8 +195,13 @@ def _target(store: Store, target: str, entries: list[tuple[int, Entry, DataFrame
         before = store.version(target)
         operation = found[0][1].operation
         same_schema = before is not None and not any(e.override_metadata for _, e, _ in found)
-        first = augment(found[0][2].drop(MARK, DIGEST), found[0][1].constants).columns
-        columns = before[1]["columns"] if same_schema else [c.replace(".", "_") for c in first]
+        first = augment(found[0][2].drop(MARK, DIGEST), found[0][1].constants)
+        document = store.metadata(target) if same_schema else None
+        if document is not None:
+            columns = [f["name"] for f in document_fields(document)]
+        else:
+            columns = before[1]["columns"] if same_schema else [c.replace(".", "_") for c in first.columns]
+            document = synthesised_metadata(first.toDF(*[c.replace(".", "_") for c in first.columns]).select(*[f"`{c}`" for c in columns]), target)
         looks_back = any(e.overlap is not None for _, e, _ in found)
         parts, seen = [], []
         for i, e, df in found:
@@ -196,7 +227,7 @@ def _target(store: Store, target: str, entries: list[tuple[int, Entry, DataFrame
             mark = now if e.kind == "csv" else last.get(i) or newest
             results.append(result(i, e, "processed", g["rows"], units.get(i), mark, **size) if processed else result(i, e, "skipped", units=units.get(i)))
         if any(g["rows"] for g in got) or any(e.kind == "csv" for _, e, _ in found):
-            store.commit(target, staged, operation, columns, run_id, {r["watermark_key"]: r["mark"] for r in results if r["status"] == "processed"})
+            store.commit(target, staged, operation, columns, run_id, {r["watermark_key"]: r["mark"] for r in results if r["status"] == "processed"}, metadata=document)
         else:
             store.abort(staged)
         return none + results
@@ -209,7 +240,7 @@ def _target(store: Store, target: str, entries: list[tuple[int, Entry, DataFrame
 RESULT = "target_key string, idx int, status string, rows long, units long, watermark_key string, mark string, problem string, bytes long, parts long"
 
 
-def _one_source(entries: Sequence[Entry]) -> None:
+def one_source(entries: Sequence[Entry]) -> None:
     """Refuse a mark key over several sources: the mark of one would hide rows of the other."""
     sources: dict[str, tuple] = {}
     for e in entries:
@@ -228,7 +259,7 @@ def run(spark: SparkSession, entries: Sequence[Entry], store: Store, bounds: Bou
     loaded, and the next one goes on from these, target by target. In the same way, where entries of several targets share a mark and one of
     these targets fails, the state keeps the old mark for it, and the others go on from their own.
     """
-    _one_source(entries)
+    one_source(entries)
     targets: dict[str, list[int]] = defaultdict(list)
     for i, e in enumerate(entries):
         targets[e.target].append(i)

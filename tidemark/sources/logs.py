@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -94,13 +96,65 @@ def scan_log_files(
     return read_logs(spark, listed_logs(catalog, event_type, interval, bounds, mark), strict)
 
 
-def headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``file, names`` for each file: its first line as column names, without a byte-order mark, quotes, outer blanks and empty cells."""
+#: Schemes whose files tasks open by themselves, as local or object stores; of others, Spark's text source reads files whole.
+RANGED = {"", "file", "s3", "s3a", "gs", "abfs", "abfss"}
+#: Bytes that are read at a time until the first line ends.
+CHUNK = 64 * 1024
+
+
+def first_line(stream, chunk: int = CHUNK) -> str | None:
+    """The first line that is not blank; no more is read than up to the end of the chunk in which it ends."""
+    held = b""
+    while True:
+        more = stream.read(chunk)
+        *lines, held = re.split(rb"\r\n|\n|\r", held + more)
+        for line in lines if more else [*lines, held]:
+            if line.strip(b" "):
+                return line.decode(errors="replace")
+        if not more:
+            return None
+
+
+def _scheme(path: str) -> str:
+    found = re.match("([A-Za-z][A-Za-z0-9+.-]*):/", path)
+    return found[1].lower() if found else ""
+
+
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lines = []
+        for path in batch.column(0).to_pylist():
+            if _scheme(path) in ("", "file"):
+                store, name = fs.LocalFileSystem(), re.sub("^file:/+", "/", path)
+            else:
+                store, name = fs.FileSystem.from_uri(re.sub("^s3a:", "s3:", path))
+            with store.open_input_stream(name, buffer_size=CHUNK) as stream:
+                lines.append(first_line(stream))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lines, pa.string())], ["file", "line"])
+
+
+def _scanned_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     first = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value"
     ).where("block = 0 and trim(value) <> ''")
-    line = first.groupBy("file").agg(F.min_by("value", "at").alias("line"))
-    clean = F.regexp_replace(F.regexp_replace("line", "^﻿", ""), "\r$", "")
+    return first.groupBy("file").agg(F.min_by("value", "at").alias("line"))
+
+
+def headers(spark: SparkSession, path: str | list[str] | DataFrame) -> DataFrame:
+    """``file, names`` for each file with a line: its first one that is not blank as column names, without a byte-order mark, quotes, outer
+    blanks and empty cells.
+
+    ``path`` are files, folders and patterns, or a DataFrame with a column ``path``, such as a catalog, whose files tasks open without a
+    listing in the driver. Only the first bytes of a file are read, whatever its size, packed or not; but see ``RANGED``.
+    """
+    if isinstance(path, DataFrame):
+        files = path.select("path").distinct()
+    elif {_scheme(p) for p in ([path] if isinstance(path, str) else path)} <= RANGED:
+        files = spark.read.format("binaryFile").load(path).select("path")  # contents are not asked for, so not read
+    else:
+        files = None
+    line = _scanned_lines(spark, path) if files is None else files.mapInArrow(_first_lines, "file string, line string").where("line is not null")
+    clean = F.regexp_replace("line", "^\ufeff", "")
     cells = F.regexp_extract_all(clean, F.lit(r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
     bare = F.transform(cells, lambda c: F.trim(F.when(c.startswith('"'), F.replace(c.substr(F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c)))
     return line.select("file", F.filter(bare, lambda c: c != "").alias("names"))
