@@ -204,6 +204,22 @@ def test_heavier_documents_are_taken_more_often(spark):
     assert even > 1.5 * odd > 0
 
 
+@pytest.mark.parametrize("kind", ["double", "float", "decimal(38,3)"])
+def test_documents_without_a_positive_weight_come_last(spark, kind):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("one two").alias("text"), F.when(F.col("id") < 2000, "a").otherwise("b").alias("source"))
+    at = F.col("doc_id") % 5
+    odd = F.when(at == 1, F.lit(None)).when(at == 2, 0.0).when(at == 3, -1.0).when((at == 0) & F.lit(kind != "decimal(38,3)"), F.lit(float("nan")))
+    few = odd.when(at == 4, 0.001).cast(kind)
+    times = defaultdict(list)
+    for r in mixing.mixture(docs, weight=few).collect():
+        if r.source == "b":
+            times[r.doc_id % 5].append(r.times)
+    assert set(times[4]) == {1} and all(100 < sum(times[k]) < 300 for k in range(4))
+    many = F.when(at == 0, F.lit(0.0)).otherwise(1e-300 if kind == "double" else 0.5).cast(kind)
+    got = [r for r in mixing.mixture(docs, weight=many).collect() if r.source == "b"]
+    assert sum(r.times for r in got) > 1000 and not any(r.times for r in got if r.doc_id % 5 == 0)
+
+
 def test_components_of_paths_stars_and_rings(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [(i, 300 + (i - 299) % 20) for i in range(300, 320)] + [(5, 5), (None, 3), (160, 400), (400, 160)]
     parent = {}

@@ -21,6 +21,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Rows for each bucket of a source, at most so many buckets for a source, and the most sources that are broadcast (about 100 bytes each).
 BUCKET_ROWS, MAX_BUCKETS, MAX_SOURCES = 128, 65_536, 100_000
 
+#: The largest key of a positive weight; without one, keys start at 1e20 times the smallest -ln(u), some 1e-16, of it.
+LAST = 1e280
+
 
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -33,11 +36,16 @@ def letter_share(text: Column) -> Column:
 
 
 def sampling_key(doc_id: Column, text: Column, weight: Column, seed: int) -> Column:
-    """-ln(u) / w with u from the first 52 bits of a hash of the seed and the id, or without one of the text."""
+    """-ln(u) / w with u from the first 52 bits of a hash of the seed and the id, or without one of the text.
+
+    Rows whose weight is null, not a number, zero or negative come after all others, at random among themselves. Positive weights keep keys
+    up to ``LAST``, so that those below some 1e-279 are alike.
+    """
     name = F.coalesce(doc_id.cast("string"), F.concat(F.lit("text "), F.coalesce(text, F.lit(""))))
     digest = F.md5(F.concat(F.lit(f"{seed}:"), name).cast("binary"))
     u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
-    return -F.log(u) / weight
+    w = weight.cast("double")
+    return F.when((w > 0) & ~F.isnan(w), F.least(-F.log(u) / w, F.lit(LAST))).otherwise(-F.log(u) * F.lit(LAST * 1e20))
 
 
 def _drawn(docs: DataFrame, doc_id: str, text: str, source: str, weight: Column | None, seed: int) -> dict[str, Column]:
@@ -121,7 +129,8 @@ def mixture(
 
     ``size`` counts words; ``times`` is how often the document is taken and ``taken`` its words with repeats. The last document of a
     source is taken if that ends nearer to the target than leaving it. Null texts have size 0 and take part without words; rows
-    without an id draw their key by their text; a null source is a source of its own, the last. Rows alike in key, id, source and size are one
+    without an id draw their key by their text; rows whose ``weight`` is null, not a number, zero or negative are drawn only once all others
+    of their source are taken; a null source is a source of its own, the last. Rows alike in key, id, source and size are one
     to the draw, and taken or left together. Other columns are ignored, whatever their names; no rows give no rows. Runs with one seed agree.
     """
     drawn = settle(docs.select(*[c.alias(k) for k, c in _drawn(docs, doc_id, text, source, weight, seed).items()]))
