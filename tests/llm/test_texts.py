@@ -289,3 +289,17 @@ def test_hashes_agree_wherever_a_string_stands():
     most = CHUNK_BYTES * 6 // 10
     parts = list(chunks(["a" * most, None, "b" * most, "c" * 2 * CHUNK_BYTES, ""], b" "))
     assert [first for first, *_ in parts] == [0, 2, 3, 4] and sum(len(b) - 1 for _, _, b in parts) == 5
+
+
+def test_a_worker_that_turns_to_other_work_drops_what_it_kept():
+    from tidemark.llm import encode, textbytes
+    from tidemark.llm.queries import tokenizer_file
+
+    for base in (3, 5, 7):
+        assert len(textbytes.prime_powers(10, base)[0]) == 10 and len(textbytes._prime_powers) <= 2
+    first = encode.encoder(tokenizer_file("byte_bpe_50k.json"))
+    assert not textbytes._prime_powers and encode.encoder(tokenizer_file("byte_bpe_50k.json")) is first
+    list(textbytes.chunks(["a text"]))
+    assert not encode._encoders
+    grams = textbytes.KeyedHasher(np.frombuffer(b"abab", np.uint8), 7).grams(2)
+    assert grams[0] == grams[2] != grams[1]

@@ -10,6 +10,8 @@ from __future__ import annotations
 from array import array
 from string import punctuation as PUNCTUATION
 
+from tidemark.llm.textbytes import kept, turn
+
 #: Pieces held by a worker (about 200 bytes each) before it starts afresh.
 MAX_PIECES = 600_000
 
@@ -89,10 +91,12 @@ class Encoder:
 
 
 _encoders: dict[str, Encoder] = {}
+kept.append(_encoders)
 
 
 def encoder(path: str) -> Encoder:
-    """The worker's own encoder for ``path``, loaded once."""
+    """The worker's own encoder for ``path``, loaded once; other work in that worker drops it."""
     if path not in _encoders:
+        turn()
         _encoders[path] = Encoder(path)
     return _encoders[path]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import secrets
 from collections.abc import Iterable, Iterator
 
@@ -18,6 +19,8 @@ _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _powers: list[np.ndarray] = []
 _prime_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 _libc = ctypes.CDLL(None)
+#: Tables that a worker keeps from task to task.
+kept: list[list | dict] = [_powers, _prime_powers]
 
 
 def mix64(h: np.ndarray) -> np.ndarray:
@@ -85,8 +88,9 @@ def prime_powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
             while len(p) < size:
                 p = np.concatenate([p, _times(p, np.full(len(p), pow(b, len(p), PRIME), np.uint64))])
             found.append(p[:size])
-        if len(_prime_powers) > 3:
-            _prime_powers.clear()
+        _prime_powers.pop(base, None)
+        while len(_prime_powers) > 1:
+            del _prime_powers[next(iter(_prime_powers))]
         _prime_powers[base] = tuple(found)
     return _prime_powers[base][0][:n], _prime_powers[base][1][:n]
 
@@ -123,8 +127,19 @@ def trim() -> None:
         _libc.malloc_trim(0)
 
 
+def turn(*own: list | dict) -> None:
+    """A worker that turns to other work drops the tables that it kept for the last, all but ``own``."""
+    others = [t for t in kept if t and not any(t is o for o in own)]
+    for table in others:
+        table.clear()
+    if others:
+        gc.collect()
+        trim()
+
+
 def chunks(texts: Iterable[str | None], before: bytes = b"", after: bytes = b"") -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``(first text, bytes, bounds)``: whole texts joined into byte arrays; text i of a chunk is bytes bounds[i] to bounds[i + 1]."""
+    turn(_powers, _prime_powers)
     held: list[bytes] = []
     size = first = 0
     for at, text in enumerate(texts):
