@@ -19,7 +19,7 @@ from tidemark.functions.text import as_text, csv_quote, interpolate
 from tidemark.functions.times import Bounds, as_instant, in_order, instant, is_iso, utc_text, window_text
 from tidemark.operators import checks, schema, sinks
 from tidemark.plans import audit, report, run
-from tidemark.sources import logs, tables
+from tidemark.sources import log_stream, logs, tables
 from tidemark.streaming import tail as streaming
 
 MARK = "2024-01-20T12:00:00Z"
@@ -766,6 +766,35 @@ def log_files_scan(spark, sf_dir):
     return found.select("event_id", "event_type", "props", "ts", F.dayofmonth(tables.MARK).alias("day"))
 
 
+LOG_FILES_SQL = """SELECT event_id::VARCHAR AS event_id, event_type, props, CASE WHEN ts >= TIMESTAMP '2024-01-11' THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS ts,
+  CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 10 ELSE 30 END AS day"""
+
+
+@query(f"{LOG_FILES_SQL} FROM events WHERE ts >= TIMESTAMP '2024-01-11'")
+def log_source_window(spark, sf_dir):
+    """Log files after a mark through the data source, their list in a Parquet catalog that only tasks read."""
+    path = place(spark, "catalog")
+    _log_files(spark, sf_dir).write.parquet(path)
+    found = log_stream.log_frame(spark, path, "all", "Daily", ["event_id", "event_type", "props", "ts"], mark="2024-01-10T00:00:00Z")
+    return found.withColumn("day", F.dayofmonth(tables.MARK)).drop(tables.MARK)
+
+
+@query(f"{LOG_FILES_SQL}, CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0 ELSE 1 END AS batch FROM events")
+def log_source_stream(spark, sf_dir):
+    """The data source as a stream: files that a catalog lists later come in a later batch, each file in one."""
+    catalog, out, checkpoint = place(spark, "catalog"), place(spark, "streamed"), place(spark, "checkpoint")
+    listed = _log_files(spark, sf_dir)
+    for window in ("log_date < '2024-01-11T00:00:00Z'", "log_date >= '2024-01-11T00:00:00Z'", "false"):
+        listed.where(window).write.mode("append").parquet(catalog)
+        rows = log_stream.log_stream(spark, catalog, "all", "Daily", ["event_id", "event_type", "props", "ts"]).withColumn("day", F.dayofmonth(tables.MARK))
+
+        def load(batch, number):
+            batch.drop(tables.MARK).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+        rows.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).withColumn("batch", F.col("batch").cast("int"))
+
+
 @query("""SELECT event_id::VARCHAR AS event_id, event_type, props FROM events WHERE ts < TIMESTAMP '2024-01-11'""")
 def log_files_run(spark, sf_dir):
     """A run over the log files of a window, then one that finds no new file in it."""

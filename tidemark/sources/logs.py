@@ -120,14 +120,18 @@ def _scheme(path: str) -> str:
     return found[1].lower() if found else ""
 
 
+def opened(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path, without Spark, and its name there."""
+    if _scheme(path) in ("", "file"):
+        return fs.LocalFileSystem(), re.sub("^file:/+", "/", path)
+    return fs.FileSystem.from_uri(re.sub("^s3a:", "s3:", path))
+
+
 def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lines = []
         for path in batch.column(0).to_pylist():
-            if _scheme(path) in ("", "file"):
-                store, name = fs.LocalFileSystem(), re.sub("^file:/+", "/", path)
-            else:
-                store, name = fs.FileSystem.from_uri(re.sub("^s3a:", "s3:", path))
+            store, name = opened(path)
             with store.open_input_stream(name, buffer_size=CHUNK) as stream:
                 lines.append(first_line(stream))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lines, pa.string())], ["file", "line"])
