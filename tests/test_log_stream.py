@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import Bounds
+from tidemark.operators.sinks import Store, read_state
+from tidemark.plans.run import log_source_entry, run
 from tidemark.sources import log_stream, logs, tables
 
 CATALOG = "event_type string, interval string, log_date string, path string, field_names array<string>"
@@ -87,6 +89,26 @@ def test_agrees_with_the_scan_by_the_driver(spark, tmp_path, files):
     assert _read(log_stream.log_frame(spark, path, "Login", "Daily", ["X", "Y", "Z"])) == _read(theirs)
 
 
+def test_runs_load_listed_files_once(spark, tmp_path, files):
+    catalog, store = f"{tmp_path}/catalog", Store(spark, f"{tmp_path}/store")
+    late = "2024-01-06T00:00:00.000007Z"
+
+    def load(*rows, **window):
+        _catalog(spark, rows, catalog)
+        got = run(spark, [log_source_entry(spark, catalog, "o", "Login", "Daily", ["X", "Y"], "t")], store, Bounds(**window)).first()
+        return got.status, got.rows, got.units, got.mark and got.mark[:10]
+
+    assert load() == ("skipped", 0, None, None)
+    assert log_source_entry(spark, catalog, "o", "Login", "Daily", ["X", "Y"], "t").names() is None
+    assert load(*files[:3], end=DAYS[1]) == ("processed", 4, 2, "2024-01-02")
+    assert load() == ("processed", 0, 1, "2024-01-03")
+    assert load(*files[3:5], files[5][:2] + (late,) + files[5][3:]) == ("processed", 2, 3, "2024-01-06")
+    assert load() == ("skipped", 0, None, None)
+    assert sorted((r.X or "-") for r in store.read("t").collect()) == ["-", "1", "3", "4", "5", "p"]
+    assert read_state(store).first().watermark_raw == late
+    assert log_source_entry(spark, catalog, "o", "Login", "Daily", ["X", "Y"], "t").names() == ["X", "Y"]
+
+
 def test_a_stream_goes_on_from_its_mark(spark, tmp_path, files):
     catalog, out, checkpoint = (f"{tmp_path}/{n}" for n in ("catalog", "out", "checkpoint"))
 

@@ -795,6 +795,17 @@ def log_source_stream(spark, sf_dir):
     return spark.read.parquet(out).withColumn("batch", F.col("batch").cast("int"))
 
 
+@query("""SELECT event_id::VARCHAR AS event_id, event_type, props, CASE WHEN ts >= TIMESTAMP '2024-01-11' THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS ts FROM events""")
+def log_source_run(spark, sf_dir):
+    """Runs over log files by the data source: those of a window, then the later ones, then none."""
+    store, catalog = sinks.Store(spark, place(spark, "store")), place(spark, "catalog")
+    _log_files(spark, sf_dir).write.parquet(catalog)
+    entries = [run.log_source_entry(spark, catalog, "org", "all", "Daily", ["event_id", "event_type", "props", "ts"], "org:hub:logs")]
+    for bounds in (Bounds(end="2024-01-20T00:00:00Z"), Bounds(), Bounds()):
+        run.run(spark, entries, store, bounds)
+    return store.read("org:hub:logs")
+
+
 @query("""SELECT event_id::VARCHAR AS event_id, event_type, props FROM events WHERE ts < TIMESTAMP '2024-01-11'""")
 def log_files_run(spark, sf_dir):
     """A run over the log files of a window, then one that finds no new file in it."""

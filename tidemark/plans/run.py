@@ -19,7 +19,7 @@ from tidemark.functions.times import NO_BOUNDS, Bounds, as_instant, earlier, mic
 from tidemark.operators.schema import augment, document_fields, project, synthesised_metadata
 from tidemark.operators.sinks import STATE, Store, csv_line, read_state, write_state
 from tidemark.plans.keys import TableId, mark_key
-from tidemark.sources import logs
+from tidemark.sources import log_stream, logs
 from tidemark.sources.tables import MARK, dotted, scan_table
 
 
@@ -127,6 +127,35 @@ def log_entry(
     return Entry(target, mark_key("elf", name, source_org=org, event_type=event_type, interval=interval), scan, (*source, strict), kind="elf", source=source, **more)
 
 
+def log_source_entry(
+    spark: SparkSession, catalog: str, org: str, event_type: str, interval: str, fields: Sequence[str], target: str, name: str | None = None, files_per_task: int = 64, **more
+) -> Entry:
+    """An entry over ``fields`` of the log files that the Parquet folder ``catalog`` lists, by the data source (see
+    :func:`tidemark.sources.log_stream.log_frame`): the list of files never reaches the driver.
+
+    Files decide, as in :func:`log_entry`, with which it shares mark keys. Files dated after the newest one at the start of a run are left to
+    the next run.
+    """
+
+    def scan(bounds: Bounds, mark: str | None) -> Scan | None:
+        listed = spark.read.parquet(catalog)
+        date = as_instant(F.col("log_date"), listed.schema["log_date"].dataType)
+        window = logs.select_logs(listed, event_type, interval, bounds, mark)
+        found = window.agg(F.count_distinct("path").alias("units"), F.unix_micros(F.max(date)).alias("newest")).first()
+        if not found["units"]:
+            return None
+        newest = micros_text(found["newest"])
+        rows = log_stream.log_frame(spark, catalog, event_type, interval, fields, Bounds(bounds.start, newest), mark, files_per_task)
+        return Scan(rows, found["units"], newest)
+
+    def header() -> list[str] | None:
+        return list(fields) if logs.select_logs(spark.read.parquet(catalog), event_type, interval).limit(1).count() else None
+
+    source = ("elf", org, event_type, interval, catalog)
+    more.setdefault("header", header)
+    return Entry(target, mark_key("elf", name, source_org=org, event_type=event_type, interval=interval), scan, (*source, tuple(fields)), kind="elf", source=source, **more)
+
+
 def csv_entry(spark: SparkSession, path: str, names: Sequence[str], target: str, name: str | None = None, **more) -> Entry:
     """An entry over CSV files, which are read in full by every run, whatever bounds and marks."""
     scan = lambda bounds, mark: Scan(logs.read_csv(spark, path, names).withColumn(MARK, F.lit(None).cast("timestamp")), 1)
