@@ -83,6 +83,25 @@ def test_numbers_as_text(spark, value, text):
     assert one(spark, as_text(F.lit(True), T.BooleanType()))[0] == "true"
 
 
+def test_quoted_numbers_agree_with_sql(spark, tmp_path):
+    import duckdb
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from tidemark.plans.catalogue import ORACLES, QUERIES
+
+    values = [-0.0, 0.0, None, -0.01, 12345678.9, -4e7, 1e15, 1e16, 0.0001, 0.00001, 5e-324, 2e23, float("nan"), float("inf"), float("-inf")]
+    pq.write_table(pa.table({"c_custkey": range(len(values)), "c_acctbal": pa.array(values, pa.float64())}), f"{tmp_path}/customer.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW customer AS FROM '{tmp_path}/customer.parquet'")
+    assert sorted(map(tuple, QUERIES["csv_quoted_numbers"](spark, str(tmp_path)).collect())) == sorted(con.sql(ORACLES["csv_quoted_numbers"]).fetchall())
+
+
+@pytest.mark.parametrize(("value", "text"), [(12345678.9, "12345678.9"), (0.0005, "0.0005"), (1e15, "1000000000000000"), (float("inf"), "Infinity"), (float("nan"), "NaN")])
+def test_doubles_as_plain_text(spark, value, text):
+    assert one(spark, as_text(F.lit(value), T.DoubleType()))[0] == text
+
+
 def test_templates(spark):
     tokens = {"sourceOrg.Id": F.lit("00D"), "sourceOrg.Name": F.lit("Acme")}
     fill = lambda t: one(spark, interpolate(F.lit(t), tokens))[0]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,10 +15,23 @@ FORMULA_START = r"^[=+\-@|\t\r]"
 TOKEN = r"\{\{([\w.]+)\}\}"
 
 
+def _shortest(values: pa.Array) -> pa.Array:
+    return pa.array([None if v is None else repr(v).removesuffix(".0") for v in values.to_pylist()], pa.string())
+
+
+def double_text(value: Column) -> Column:
+    """A double in the fewest digits that give it back, as SQL engines and Python write it (Spark's cast writes 12345678.9 as 1.23456789E7
+    and, before Java 19, some digits too many): plain from 1e-4 to below 1e16, without a fraction if whole; zero keeps its sign."""
+    return F.arrow_udf(_shortest, T.StringType())(value)
+
+
 def as_text(value: Column, kind: T.DataType) -> Column:
-    """A value as the text of a cell: null is empty, and a whole double has no fraction."""
+    """A value as the text of a cell: null is empty, a whole double has no fraction, and zero no sign."""
     text = value.cast("string")
-    if isinstance(kind, (T.DoubleType, T.FloatType)):
+    if isinstance(kind, T.DoubleType):
+        finite = F.abs(value) < float("inf")
+        text = F.when(value == 0, "0").when(finite, double_text(value)).otherwise(text)
+    elif isinstance(kind, T.FloatType):
         whole = (value == F.floor(value)) & (F.abs(value) < 1e15)
         text = F.when(whole, F.floor(value).cast("string")).otherwise(text)
     return F.coalesce(text, F.lit(""))
@@ -28,8 +42,11 @@ def formula_guard(text: Column) -> Column:
     return F.when(text.rlike(FORMULA_START), F.concat(F.lit("\t"), text)).otherwise(text)
 
 
-def csv_quote(text: Column) -> Column:
-    return F.concat(F.lit('"'), formula_guard(F.replace(text, F.lit('"'), F.lit('""'))), F.lit('"'))
+def csv_quote(text: Column, guarded: Column | None = None) -> Column:
+    """The quoted cell. ``guarded`` says which cells get the tab, for values whose text alone does not tell (minus zero)."""
+    text = F.replace(text, F.lit('"'), F.lit('""'))
+    text = formula_guard(text) if guarded is None else F.when(guarded, F.concat(F.lit("\t"), text)).otherwise(text)
+    return F.concat(F.lit('"'), text, F.lit('"'))
 
 
 def interpolate(template: Column, tokens: Mapping[str, Column]) -> Column:
