@@ -106,6 +106,20 @@ def test_pieces_give_the_ids_of_whole_texts(name, awkward):
         assert encode(text) == array("I", plain.encode(text, add_special_tokens=False).ids).tobytes(), repr(text)
 
 
+def test_capitals_and_newlines_make_no_new_pieces():
+    name = public_tokenizers.path("word_bpe_49k.json")
+    encode, plain = Encoder(name), Tokenizer.from_file(name)
+    ids = lambda t: array("I", plain.encode(t, add_special_tokens=False).ids).tobytes()
+    encode("kand lost. école neme, x")
+    held = len(encode.pieces) + len(encode.ends) + len(encode.alone)
+    for text in ("KAND lost.\nÉcole\nNeme, X", "Neme,\nx", "Kand"):
+        assert encode(text) == ids(text)
+    assert len(encode.pieces) + len(encode.ends) + len(encode.alone) == held
+    for text in ("A <|ENDOFTEXT|> B<|EndOfText|>", "A <|endoftext|> B", "a " + "xyZ" * 5000 + " b\n" + "q." * 5000):
+        assert encode(text) == ids(text)
+    assert max(map(len, encode.pieces)) < 1000
+
+
 def test_token_files_round_trip(spark, awkward, nothing):
     path = public_tokenizers.path("word_bpe_49k.json")
     plain, folder = Tokenizer.from_file(path), new_path(spark, "tokens")

@@ -14,6 +14,8 @@ from tidemark.llm.textbytes import kept, turn
 
 #: Pieces held by a worker (about 200 bytes each) before it starts afresh.
 MAX_PIECES = 600_000
+#: Longer pieces than this are not held.
+MAX_PIECE = 256
 
 #: Byte-level tokenizers write a byte that prints in Latin-1 as itself and the others as the characters from U+0100 on, in order.
 _PRINTS = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -40,7 +42,8 @@ class _Pieces(dict):
             found = self[before] + self.encoder.bare(newline) + self.encoder.bare(after)
         else:
             found = self.encoder.whole(self.prefix + piece)
-        self[piece] = found
+        if len(piece) <= MAX_PIECE:
+            self[piece] = found
         return found
 
 
@@ -54,9 +57,11 @@ class Encoder:
         self.model = self.tokenizer.model
         self.lowers = self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str("A") == "a"
         self.keeps_space = bool(self.tokenizer.encode(" ", add_special_tokens=False).ids)
+        self.drops_space = not self.keeps_space and not self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.specials = [token.content.lower() for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.pieces = _Pieces(self, " " if self.keeps_space else "", True)
-        self.ends = _Pieces(self, self.pieces.prefix, False)
-        self.alone = _Pieces(self, "", False)
+        self.ends = _Pieces(self, self.pieces.prefix, False) if self.keeps_space else self.pieces
+        self.alone = _Pieces(self, "", False) if self.keeps_space else self.pieces
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -78,7 +83,20 @@ class Encoder:
     def bare(self, piece: str) -> bytes:
         return self.alone[piece]
 
+    def lowered(self, text: str) -> str:
+        """The text in lower case, if its ids are the same: letters of Latin-1, each of which has one lower case wherever it stands, and no
+        token that is taken from the text as it was written."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+        low = text.lower()
+        return text if any(token in low for token in self.specials) else low
+
     def __call__(self, text: str | None) -> bytes:
+        if self.drops_space:
+            text = self.lowered(text or "") if self.lowers else text or ""
+            return b"".join(map(self.pieces.__getitem__, text.replace("\n", " ").split(" ")))
         head, *rest = (text or "").split(" ")
         if not rest or self.keeps_space and head[-1:].isspace():
             return self.whole(text or "")
