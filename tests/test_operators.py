@@ -1,7 +1,11 @@
 import gzip
 import io
 import json
+from collections import Counter
 
+import duckdb
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -220,6 +224,31 @@ def test_csv_export(spark, tmp_path):
     assert values(back, "a", "b") == [(" a ", "\t-5"), ('q"', "x\ny")]
 
 
+ODD = [None, "", " ", '"', "a\x00b", '\x00"', 'a\x00"\x00b', "x\x00", "a\r\nb", "\r", "\n", "\ufeffx", "#x", "=1", "\t=1", "-2", "null", 'q" ,\n"']
+
+
+def test_csv_export_keeps_nulls_apart(spark, tmp_path):
+    df = spark.createDataFrame([(a, i, b) for i, (a, b) in enumerate(zip(ODD, ODD[::-1], strict=True))] + [(None, None, None)], "a string, b int, c string")
+    sinks.export_csv(df, f"{tmp_path}/csv", guarded=[], nulls=True)
+    texts = df.withColumn("b", F.col("b").cast("string"))
+    assert Counter(logs.read_csv(spark, f"{tmp_path}/csv", df.columns, nulls=True).collect()) == Counter(texts.collect())
+    sinks.export_csv(df.select("a").where("a is not null"), f"{tmp_path}/lone", guarded=[], nulls=True)
+    assert Counter(r.a for r in logs.read_csv(spark, f"{tmp_path}/lone", ["a"], nulls=True).collect()) == Counter(ODD[1:])
+    with pytest.raises(Exception, match="lone column"):
+        sinks.export_csv(df.select("a"), f"{tmp_path}/lone", nulls=True)
+
+
+def test_csv_round_trip_agrees_with_sql(spark, tmp_path):
+    from tidemark.plans.catalogue import ORACLES, QUERIES
+
+    ids = [*range(1, len(ODD)), None]
+    pq.write_table(pa.table({"doc_id": pa.array([*ids, *[i and -i for i in ids]], pa.int64()), "text": [*ODD, *["t"] * len(ODD)], "source": [*["s"] * len(ODD), *ODD]}), f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS FROM '{tmp_path}/documents.parquet'")
+    got = QUERIES["csv_export_roundtrip"](spark, str(tmp_path)).select("doc_id", "text", "source")
+    assert Counter(map(tuple, got.collect())) == Counter(con.sql(ORACLES["csv_export_roundtrip"]).fetchall())
+
+
 def test_store_versions(spark, tmp_path):
     store, df = sinks.Store(spark, f"{tmp_path}/store"), spark.range(3)
     assert store.read("t") is None

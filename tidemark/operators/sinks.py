@@ -83,14 +83,25 @@ def export_gzip(df: DataFrame, path: str, budget: int = PART_BYTES) -> None:
     cut_parts(csv_lines(df), budget).write.partitionBy("part").option("compression", "gzip").text(path)
 
 
-def export_csv(df: DataFrame, path: str, operation: str = "Append") -> None:
-    """A folder of CSV files with headers, cells quoted and guarded; ``Append`` adds files, ``Overwrite`` replaces them once written.
+def export_csv(df: DataFrame, path: str, operation: str = "Append", guarded: Sequence[str] | None = None, nulls: bool = False) -> None:
+    """A folder of CSV files with headers; ``Append`` adds files, ``Overwrite`` replaces them once written.
+
+    Cells of the ``guarded`` columns, by default of all, are guarded. Every cell is quoted, and null is the cell of empty text. With ``nulls``
+    null is a bare empty cell, and only cells that need quotes have them: Spark's writer quotes nulls too where it quotes all. A bare cell
+    alone in its line would be an empty line, so a null in a lone column then fails the job.
 
     Old files are moved aside and deleted only when the new ones are in place, so that a crash loses neither.
     """
     fs = _Files(df.sparkSession)
-    cells = df.select(*[formula_guard(as_text(F.col(f"`{f.name}`"), f.dataType)).alias(f.name) for f in df.schema])
-    writer = cells.write.option("header", True).option("quoteAll", True).option("escape", '"').option("emptyValue", "")
+    alone = F.raise_error(F.lit("the null of a lone column would be an empty line")).cast("string")
+    cells = []
+    for f in df.schema:
+        cell = as_text(F.col(f"`{f.name}`"), f.dataType)
+        cell = formula_guard(cell) if guarded is None or f.name in guarded else cell
+        if nulls:
+            cell = F.when(F.col(f"`{f.name}`").isNotNull(), cell).otherwise(alone if len(df.columns) == 1 else F.lit(None))
+        cells.append(cell.alias(f.name))
+    writer = df.select(*cells).write.option("header", True).option("quoteAll", not nulls).option("escape", '"').option("emptyValue", '""' if nulls else "")
     writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if operation == "Append":
         writer.mode("append").csv(path)

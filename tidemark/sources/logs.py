@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -22,9 +23,14 @@ def text_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def read_csv(spark: SparkSession, path: str | list[str], names: Sequence[str], strict: bool = False) -> DataFrame:
-    """Whole CSV files as text columns; headers and empty lines are dropped, cells may hold newlines. ``strict`` checks each header."""
+def read_csv(spark: SparkSession, path: str | list[str], names: Sequence[str], strict: bool = False, nulls: bool = False) -> DataFrame:
+    """Whole CSV files as text columns; headers and empty lines are dropped, cells may hold newlines. ``strict`` checks each header.
+
+    An empty cell is null, quoted or not; with ``nulls`` a quoted one is empty text."""
     reader = spark.read.schema(text_schema(names)).option("header", True).option("multiLine", True).option("escape", '"')
+    reader = reader.option("charToEscapeQuoteEscaping", '"')  # unset it is NUL, and the parser drops NULs from cells with quotes
+    if nulls:
+        reader = reader.option("nullValue", uuid.uuid4().hex)  # a text that is null too, so one that no cell can be made to hold
     return reader.option("enforceSchema", not strict).csv(path)
 
 
